@@ -13,6 +13,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Rows of (id, id) that may be broadcast; beyond it a shuffle join is used.
 BROADCAST_ROWS = 1_000_000
@@ -55,6 +56,19 @@ def matching(rows: DataFrame, keys: DataFrame, on: str, how: str = "left_semi")
     return rows.join(F.broadcast(keys) if n <= BROADCAST_ROWS else keys.hint("merge"), on, how)
 
 
+def running(rows: DataFrame, group: str, bucket: Column, order: list[Column], value: Column, out: str) -> DataFrame:
+    """Adds ``out``: the sum of ``value`` over the rows before, within ``group`` (no nulls) by
+    (bucket, order).  A window sees one bucket; the buckets' sums are small and run through apart."""
+    b, off, g, v = (fresh(rows, x) for x in ("bucket_", "offset_", "group_", "value_"))
+    rows = rows.withColumn(b, bucket).withColumn(v, value.cast("long"))
+    sums = rows.groupBy(group, b).agg(F.sum(v).alias(f"{v}2"))
+    before = F.sum(f"{v}2").over(Window.partitionBy(group).orderBy(b)) - F.col(f"{v}2")
+    sums = sums.select(F.col(group).alias(g), F.col(b).alias(f"{b}2"), before.alias(off))
+    rows = rows.withColumn(out, F.sum(v).over(Window.partitionBy(group, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) - F.col(v))
+    rows = rows.join(sums, (F.col(group) == F.col(g)) & (F.col(b) == F.col(f"{b}2")))
+    return rows.withColumn(out, F.col(out) + F.col(off)).drop(b, f"{b}2", g, off, v)
+
+
 class WordHash(dict):
     """Word (bytes) -> 64-bit hash; forgets everything when it has grown large."""
 

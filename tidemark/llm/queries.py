@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,40 @@ def op1_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(_table(spark, sf_dir, "documents")).drop("row_key")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_mcd,)}
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .linededup import dedup
 
-ORACLE_SQL: dict[str, str] = {}
+    out = dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op2_mix_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mixture
+
+    return mixture(_table(spark, sf_dir, "documents")).drop("source")
+
+
+OP3_SQL = """
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+w AS (SELECT doc_id, unnest(range(len(ls) - 2)) AS pos, ls FROM l WHERE len(ls) >= 3),
+v AS (SELECT doc_id, pos, [ls[pos + 1], ls[pos + 2], ls[pos + 3]] AS win FROM w WHERE trim(ls[pos + 1] || ls[pos + 2] || ls[pos + 3], ' ') <> ''),
+f AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) AS nth FROM v),
+g AS (SELECT DISTINCT doc_id, pos + k AS line FROM f, range(3) t(k) WHERE nth > 1),
+a AS (SELECT doc_id, unnest(range(len(ls))) AS line, ls FROM l),
+k AS (SELECT a.doc_id, count(*) FILTER (WHERE g.line IS NOT NULL) AS n_removed, count(*) AS n_lines,
+        coalesce(string_agg(a.ls[a.line + 1], chr(10) ORDER BY a.line) FILTER (WHERE g.line IS NULL), '') AS kept
+      FROM a LEFT JOIN g ON a.doc_id = g.doc_id AND a.line = g.line GROUP BY a.doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(kept) AS kept_sha256
+FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
+
+def op7_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import placed
+
+    return placed(_table(spark, sf_dir, "documents"), shards=40)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_mcd, op2_mix_blocks, op3_line_dedup, op7_hypergeometric_shards)}
+
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL}
