@@ -30,6 +30,8 @@ DIM, UNIT, BINS = len(VECTOR), 256, 640
 FLOOR = (0.3**2, 0.1**2, 0.6**2, 0.8**2, 0.6**2)
 MIN_ROWS, SUBSET, STEPS = 60, 0.75, 4
 CUTOFF = 0.9999
+#: Groups whose estimates (some 400 bytes each) may be broadcast; beyond it the join shuffles.
+BROADCAST_GROUPS = 50_000
 
 
 def chi2_quantile(p: float, df: int) -> float:
@@ -198,7 +200,9 @@ def verdicts(docs: DataFrame) -> DataFrame:
     """
     stats = staged(statistics(docs).select("*", *(c.alias(q) for c, q in zip(_vector(), _Q, strict=True))), "quality-stats")
     vectors = staged(_groups(stats), "quality-groups")
-    scored = vectors.join(estimates(vectors), "grp", "left").withColumn("distance", F.greatest(_distance(), F.lit(0.0)) / F.col("scale"))
+    found = staged(estimates(vectors), "quality-estimates")
+    found = F.broadcast(found) if found.count() <= BROADCAST_GROUPS else found
+    scored = vectors.join(found, "grp", "left").withColumn("distance", F.greatest(_distance(), F.lit(0.0)) / F.col("scale"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     inside = F.coalesce(F.col("distance") <= chi2_quantile(CUTOFF, DIM), F.lit(True))
     return scored.select("doc_id", "row_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & inside).alias("kept"), "distance")

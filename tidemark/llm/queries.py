@@ -46,12 +46,38 @@ FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id
 """
 
 
+def op4_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import round_trip
+
+    return round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: A hex digest in base32: five hex digits are four characters.
+OP4_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS hex FROM p),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS last FROM h),
+q AS (SELECT *, list_transform(range(8), lambda i: ('0x' || substr(hex, 5 * i + 1, 5))::BIGINT) AS fives FROM g)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(fives, lambda v: array_to_string(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> s) & 31)::INT + 1, 1)), '')), '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to
+FROM q
+"""
+
+
+def op9_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html import extract
+
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op7_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import placed
 
     return placed(_table(spark, sf_dir, "documents"), shards=40)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_mcd, op2_mix_blocks, op3_line_dedup, op7_hypergeometric_shards)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_mcd, op2_mix_blocks, op3_line_dedup, op4_warc_salvage, op7_hypergeometric_shards, op9_host_paths)}
 
-ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op4_warc_salvage": OP4_SQL}
