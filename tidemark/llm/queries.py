@@ -72,6 +72,12 @@ def op9_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(_table(spark, sf_dir, "pages"))
 
 
+def op5_jaccard_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import clusters
+
+    return clusters(_table(spark, sf_dir, "documents")).drop("key")
+
+
 def op6_substring_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring import dedup
 
@@ -84,6 +90,6 @@ def op7_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed(_table(spark, sf_dir, "documents"), shards=40)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_mcd, op2_mix_blocks, op3_line_dedup, op4_warc_salvage, op6_substring_levels, op7_hypergeometric_shards, op9_host_paths)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_mcd, op2_mix_blocks, op3_line_dedup, op4_warc_salvage, op5_jaccard_prefixes, op6_substring_levels, op7_hypergeometric_shards, op9_host_paths)}
 
 ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op4_warc_salvage": OP4_SQL}
