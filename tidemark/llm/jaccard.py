@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Windows, WordHash, matching, mix, row_key, staged
+from .common import Windows, WordHash, fresh, matching, mix, row_key, staged
 from .components import components
 from .packed import PER_BUCKET, _split, repeats, text_bytes
 
@@ -260,18 +260,37 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return nodes, linked if roots is None else linked
 
 
+def _grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, key, n, grp (the component's node; null for empty sets), component."""
+    nodes, linked = links(docs)
+    roots = components(linked)
+    classes = nodes.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    placed = staged(classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "jaccard-classes")
+    least = placed.groupBy("root").agg(F.min("least").alias("component"), F.sum("copies").alias("members")).where("members > 1")
+    named = placed.join(least.withColumnRenamed("root", "root2"), F.col("root") == F.col("root2")).select(F.col("node").alias("node2"), F.col("root2").alias("grp"), "component")
+    return nodes.join(named, F.col("node") == F.col("node2"), "left").select("doc_id", "key", "n", F.coalesce("grp", "node").alias("grp"), F.coalesce("component", "doc_id").alias("component"))
+
+
 def clusters(docs: DataFrame) -> DataFrame:
-    """One row per row of docs (doc_id, text): doc_id, key (row_key), n_shingles, component_id.
+    """One row per row of docs (doc_id, text): doc_id, n_shingles, component_id.
 
     Texts of fewer than five words are one shingle; null, empty and blank texts have none and link
     with nothing, so their component is their own id.  Null ids never name a component unless no
     other id is in it; repeated rows are copies of each other; other columns are ignored.
     """
-    nodes, linked = links(docs)
-    roots = components(linked)
-    classes = nodes.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
-    placed = staged(classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "jaccard-classes")
-    least = placed.groupBy("root").agg(F.min("least").alias("component"), F.sum("copies").alias("members")).where("members > 1")
-    named = placed.join(least.withColumnRenamed("root", "root2"), F.col("root") == F.col("root2")).select(F.col("node").alias("node2"), "component")
-    out = nodes.join(named, F.col("node") == F.col("node2"), "left")
-    return out.select("doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    return _grouped(docs).select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """docs with one row of each component, that of the least doc_id, and all rows that link with
+    nothing, empty ones included; all columns of docs."""
+    key = fresh(docs, "row_key_")
+    rows = staged(_grouped(docs).where("grp is not null").select("grp", "doc_id", "key"), "jaccard-groups")
+    first = rows.groupBy("grp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("f"), F.count("*").alias("n")).where("n > 1")
+    joined = rows.join(first.select(F.col("grp").alias("grp2"), F.col("f.key").alias("kept")), F.col("grp") == F.col("grp2"))
+    losers = staged(joined.where("key <> kept").select(F.col("key").alias(key)).distinct(), "jaccard-losers")
+    twice = staged(joined.where("key = kept").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias(key)), "jaccard-repeated")
+    kept = matching(docs.withColumn(key, row_key()), losers, key, "left_anti")
+    if not twice.limit(1).count():
+        return kept.drop(key)
+    return matching(kept, twice, key, "left_anti").unionByName(matching(kept, twice, key).dropDuplicates([key])).drop(key)

@@ -75,7 +75,7 @@ def op9_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_jaccard_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import clusters
 
-    return clusters(_table(spark, sf_dir, "documents")).drop("key")
+    return clusters(_table(spark, sf_dir, "documents"))
 
 
 def op6_substring_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +90,18 @@ def op7_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed(_table(spark, sf_dir, "documents"), shards=40)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_mcd, op2_mix_blocks, op3_line_dedup, op4_warc_salvage, op5_jaccard_prefixes, op6_substring_levels, op7_hypergeometric_shards, op9_host_paths)}
+def op8_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identify
+
+    return identify(_table(spark, sf_dir, "documents"))
+
+
+def op10_cgk_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import leaked_documents
+
+    return leaked_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_mcd, op2_mix_blocks, op3_line_dedup, op4_warc_salvage, op5_jaccard_prefixes, op6_substring_levels, op7_hypergeometric_shards, op8_byte_cnn, op9_host_paths, op10_cgk_leaks)}
 
 ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op4_warc_salvage": OP4_SQL}
