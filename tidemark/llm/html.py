@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import matching, staged
+
 # Element names by their role.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CONTAINERS = frozenset("article body div main section td".split())
@@ -147,47 +149,55 @@ def below(page: Page, path: str) -> list[str]:
     return [t for t, node, _ in page.blocks if node.path == path or node.path.startswith(path + "/")]
 
 
-def _votes(batches):
+def _first(batches):
     for b in batches:
-        hosts, paths, weights = [], [], []
-        for host, html in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
+        paths, texts = [], []
+        for html in b.column("html").to_pylist():
             page = parse(html or "")
-            if (p := best_path(page)) is not None:
-                hosts.append(host)
-                paths.append(p)
-                weights.append(min(sum(len(t) for t in below(page, p)), 10_000))
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(weights, pa.int64())], names=["host", "path", "weight"])
+            path = best_path(page)
+            paths.append(path)
+            texts.append("\n".join(below(page, path)) if path is not None else "")
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("key", "page_id", "url", "host")), pa.array(paths, pa.string()), pa.array(texts, pa.string())], names=["key", "page_id", "url", "host", "own", "text"])
 
 
-def _extract(batches):
+def _again(batches):
     for b in batches:
         texts = []
-        for html, path in zip(b.column("html").to_pylist(), b.column("path").to_pylist(), strict=True):
-            page = parse(html or "")
-            found = below(page, path) if path is not None else []
-            if not found and (own := best_path(page)) is not None:
-                found = below(page, own)
-            texts.append("\n".join(found))
-        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+        for html, path, text in zip(b.column("html").to_pylist(), b.column("path").to_pylist(), b.column("text").to_pylist(), strict=True):
+            texts.append("\n".join(below(parse(html or ""), path)) or text)
+        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
 def _hosted(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host.alias("host"))
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host.alias("host"), F.xxhash64("page_id", "url", "html").alias("key"))
+
+
+def own_texts(pages: DataFrame) -> DataFrame:
+    """key, page_id, url, host, own (the page's best path), text (what stands below it)."""
+    return _hosted(pages).select("key", "page_id", "url", "host", "html").mapInArrow(_first, "key long, page_id long, url string, host string, own string, text string")
 
 
-def host_paths(pages: DataFrame) -> DataFrame:
-    """The winning path of each host: of, path; ties go to the path that sorts first."""
-    votes = _hosted(pages).select("host", "html").mapInArrow(_votes, "host string, path string, weight long")
-    sums = votes.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
-    return sums.groupBy("host").agg(F.min_by("path", F.struct(-F.col("n"), -F.col("w"), "path")).alias("path")).select(F.col("host").alias("of"), "path")
+def host_paths(own: DataFrame) -> DataFrame:
+    """The winning path of each host: of, path.  A page's vote counts once; ties go to the path
+    with more text (10,000 characters of a page at most), then to the one that sorts first."""
+    sums = own.where("own is not null").groupBy("host", "own").agg(F.count("*").alias("n"), F.sum(F.least(F.length("text"), F.lit(10_000))).alias("w"))
+    return sums.groupBy("host").agg(F.min_by("own", F.struct(-F.col("n"), -F.col("w"), "own")).alias("path")).select(F.col("host").alias("of"), "path")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """One row per row of pages (page_id, url, html): page_id, url, text, n_chars.
 
-    Null html is empty and has the empty text; a null or odd url belongs to the host of no name;
-    repeated rows get equal texts; other columns are ignored.
+    Pages whose own best path is their host's have their text already; the others are extracted
+    again below the host's path, and keep their own text if they have nothing there.  Null html is
+    empty and has the empty text; a null or odd url belongs to the host of no name; repeated rows
+    get equal texts; other columns are ignored.
     """
-    rows = _hosted(pages).join(host_paths(pages), F.col("host") == F.col("of"), "left")
-    return rows.select("page_id", "url", "html", "path").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    own = staged(own_texts(pages), "html-own")
+    voted = own.join(host_paths(own), F.col("host") == F.col("of"), "left")
+    agreed = F.col("own").isNull() | F.col("own").eqNullSafe(F.col("path"))
+    other = staged(voted.where(~agreed).select("key", "path", "text").dropDuplicates(["key"]), "html-other")
+    rows = matching(_hosted(pages).select("key", "page_id", "url", "html"), other.select("key"), "key").join(other, "key")
+    again = rows.select("page_id", "url", "html", "path", "text").mapInArrow(_again, "page_id long, url string, text string")
+    out = voted.where(agreed).select("page_id", "url", "text").unionByName(again)
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
