@@ -10,7 +10,6 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -69,21 +68,6 @@ def running(rows: DataFrame, group: str, bucket: Column, order: list[Column], va
     return rows.withColumn(out, F.col(out) + F.col(off)).drop(b, f"{b}2", g, off, v)
 
 
-class WordHash(dict):
-    """Word (bytes) -> 64-bit hash; forgets everything when it has grown large."""
-
-    LIMIT = 400_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > self.LIMIT:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A finalizer over uint64 (multiply and xor-shift), so that every bit depends on all."""
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -102,6 +86,35 @@ def powers(n: int, base: int = _ODD) -> np.ndarray:
     return np.multiply.accumulate(out, dtype=np.uint64)
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BYTES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+_BASE = 0xD1342543DE82EF95
+_powers = {"up": powers(1 << 12, _BASE), "down": powers(1 << 12, pow(_BASE, -1, 1 << 64))}
+
+
+def hash_words(raw: bytes | None) -> np.ndarray:
+    """The 64-bit hashes of the words of a text, words being what stands between ASCII white space:
+    a polynomial over random values of the bytes, for all words by one running sum."""
+    b = np.frombuffer(raw or b"", np.uint8)
+    n = len(b)
+    if n > len(_powers["up"]):
+        _powers["up"], _powers["down"] = powers(2 * n, _BASE), powers(2 * n, pow(_BASE, -1, 1 << 64))
+    inside = np.zeros(n + 2, bool)
+    inside[1:-1] = ~_SPACE[b]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    run = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTES[b] * _powers["up"][:n], dtype=np.uint64, out=run[1:])
+    return mix((run[ends] - run[starts]) * _powers["down"][starts])
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 def window_hashes(w: np.ndarray, n: int, up: np.ndarray | None = None, down: np.ndarray | None = None) -> np.ndarray:
     """Hashes of all windows of n consecutive word hashes, by one running sum."""
     m = len(w) - n + 1

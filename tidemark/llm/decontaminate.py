@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, fresh, matching, mix, row_key, staged
+from .common import fresh, hash_words, matching, mix, row_key, staged
 
 #: A window of n words is a leak within n * EDIT_PERCENT // 100 word edits; shorter items than MIN_WORDS are not searched.
 EDIT_PERCENT, MIN_WORDS = 15, 8
@@ -31,9 +31,9 @@ _LOWER = bytes(range(256)).lower()
 MATCHES = "key long, item_id long, from_word long, n_words long, distance int"
 
 
-def words(raw: bytes | None) -> list[bytes]:
-    """ASCII case and punctuation do not count; words are what white space separates."""
-    return raw.translate(_LOWER, _PUNCT).split() if raw else []
+def words(raw: bytes | None) -> np.ndarray:
+    """The words' hashes (never 0); ASCII case and punctuation do not count."""
+    return hash_words(raw.translate(_LOWER, _PUNCT) if raw else None) | np.uint64(1 << 63)
 
 
 class Samplings:
@@ -201,14 +201,14 @@ def build(items: list[np.ndarray]) -> Index:
 
 def _find(shared, ids: list):
     def run(batches):
-        index, hashes = shared.value, WordHash()
+        index = shared.value
         for b in batches:
             rows, held, keys, size = [], [], [], 0
             texts = b.column("text").cast(pa.binary()).to_pylist()
             for i, (key, t) in enumerate(zip(b.column("key").to_pylist(), texts, strict=True)):
                 ws = words(t)
                 if len(ws) >= MIN_WORDS - MIN_WORDS * EDIT_PERCENT // 100:
-                    held.append(np.append(hashes.of(ws) | np.uint64(1 << 63), np.uint64(0)))
+                    held.append(np.append(ws, np.uint64(0)))
                     keys.append(key)
                     size += len(ws)
                 if held and (size >= 8 * CHUNK or i == len(texts) - 1):
@@ -235,8 +235,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     out = None
     for block in range(blocks):  # a stated query set against all rows, in blocks of bounded size
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
-        hashes = WordHash()
-        index = build([hashes.of(words(r.text.encode() if r.text else None)) | np.uint64(1 << 63) for r in mine])
+        index = build([words(r.text.encode() if r.text else None) for r in mine])
         found = rows.mapInArrow(_find(sc.broadcast(index), [r.item_id for r in mine]), MATCHES)
         out = found if out is None else out.unionByName(found)
     return out

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Windows, WordHash, fresh, matching, mix, row_key, staged
+from .common import BROADCAST_ROWS, Windows, distinct, fresh, hash_words, matching, mix, row_key, staged
 from .components import components
 from .packed import PER_BUCKET, _split, repeats, text_bytes
 
@@ -37,11 +37,11 @@ class Shingles:
     """Texts (bytes or None) to sorted distinct shingle hashes."""
 
     def __init__(self) -> None:
-        self.ids, self.windows = WordHash(), Windows()
+        self.windows = Windows()
 
     def __call__(self, raw: bytes | None) -> np.ndarray:
-        w = self.ids.of(raw.lower().split()) if raw else np.empty(0, np.uint64)  # bytes.lower() lowers A-Z only
-        return np.unique(self.windows(w, min(SHINGLE, len(w)))) if len(w) else np.empty(0, np.uint64)
+        w = hash_words(raw.lower() if raw else None)  # bytes.lower() lowers A-Z only
+        return distinct(self.windows(w, min(SHINGLE, len(w)))) if len(w) else w
 
 
 def node_of(s: np.ndarray) -> int:
@@ -87,7 +87,9 @@ def frequencies(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
     def count(batches):
         for sets in _distinct_sets(batches):
             if sets:
-                h, c = np.unique(np.concatenate(list(sets.values())), return_counts=True)
+                h = np.sort(np.concatenate(list(sets.values())))
+                at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+                h, c = h[at], np.diff(np.append(at, len(h)))
                 bucket, short = _short(h, buckets)
                 got = list(zip(*_split(bucket, short, c.astype(np.uint32)), strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(got[0], pa.int32()), pa.array(got[1], pa.binary()), pa.array(got[2], pa.binary())], names=["bucket", "tokens", "counts"])
@@ -156,8 +158,17 @@ def compatible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return 100 * np.minimum(a, b).astype(np.int64) >= PERCENT * np.maximum(a, b).astype(np.int64)
 
 
+def _counted(rows: np.ndarray) -> np.ndarray:
+    """Rows (a, b, count) with equal (a, b) added up."""
+    if not len(rows):
+        return rows
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    at = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)]))
+    return np.column_stack([rows[at, :2], np.add.reduceat(rows[:, 2], at)])
+
+
 def _single_pairs(rows: DataFrame, common, short: int, size: int) -> DataFrame:
-    """a < b: nodes that share a rare signature and whose sizes allow a link."""
+    """a < b, shared: nodes whose sizes allow a link and how many rare signatures they share (by bucket)."""
     buckets = max(8, int(size / 5.5 / 4 / PER_BUCKET) + 1)
 
     def send(batches):
@@ -170,22 +181,17 @@ def _single_pairs(rows: DataFrame, common, short: int, size: int) -> DataFrame:
         order = np.lexsort((k, h))
         order = order[repeats(h[order])]
         h, k, n = h[order], k[order], n[order]
-        a, b = [], []
+        found = np.empty((0, 3), np.int64)
         for d in range(1, len(h)):
             same = h[d:] == h[:-d]
             if not same.any():
                 break
             ok = same & (k[d:] != k[:-d]) & compatible(n[d:], n[:-d])
-            a.append(k[:-d][ok])
-            b.append(k[d:][ok])
-            if d % 8 == 0:  # many signatures give the same pairs
-                u = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
-                a, b = [u[:, 0]], [u[:, 1]]
-        u = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0) if a else np.empty((0, 2), np.int64)
-        return pd.DataFrame({"a": u[:, 0], "b": u[:, 1]})
+            found = _counted(np.concatenate([found, np.stack([k[:-d][ok], k[d:][ok], np.ones(int(ok.sum()), np.int64)], 1)]))
+        return pd.DataFrame(found, columns=["a", "b", "shared"])
 
     sent = rows.mapInArrow(send, "bucket int, hashes binary, keys binary, sizes binary")
-    return sent.groupBy("bucket").applyInPandas(meet, "a long, b long").distinct()
+    return sent.groupBy("bucket").applyInPandas(meet, "a long, b long, shared long")
 
 
 def _pair_signatures(rows: DataFrame, common, short: int) -> DataFrame:
@@ -200,30 +206,32 @@ _FIT = f"100L * least(n, m) >= {PERCENT}L * greatest(n, m)"
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold."""
+    """The pairs (a, b) whose sets reach the threshold.  Texts travel, which are shorter than sets."""
     needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     keys = staged(nodes.join(needed, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key")), "jaccard-needed")
-
-    def sets(batches):
-        for got in _distinct_sets(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.int64()), pa.array([s.tobytes() for s in got.values()], pa.binary())], names=["node", "set"])
-
-    whole = matching(rows, keys.select("key"), "key").select("text").mapInArrow(sets, "node long, set binary").groupBy("node").agg(F.first("set").alias("set"))
+    keys = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+    texts = rows.join(keys, "key").select("node", "text").groupBy("node").agg(F.first("text").alias("text"))
 
     def verify(batches):
+        make = Shingles()
         for b in batches:
-            x, y = b.column("set_a").to_pylist(), b.column("set_b").to_pylist()
             ok = []
-            for p, q in zip(x, y, strict=True):
-                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                both = np.concatenate([p, q])
-                both.sort(kind="stable")
+            for p, q in zip(*(b.column(c).cast(pa.binary()).to_pylist() for c in ("text_a", "text_b")), strict=True):
+                p, q = make(p), make(q)
+                both = np.sort(np.concatenate([p, q]))
                 shared = int((both[1:] == both[:-1]).sum())
                 ok.append(100 * shared >= PERCENT * (len(both) - shared))
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    met = pairs.join(whole.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b").join(whole.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
-    return met.select("a", "b", "set_a", "set_b").mapInArrow(verify, "a long, b long")
+    met = pairs.select("a", "b").join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    return met.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a long, b long")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose nodes lie in different components."""
+    of = lambda c: roots.select(F.col("node").alias(f"node_{c}"), F.col("root").alias(f"root_{c}"))
+    both = pairs.join(of("a"), F.col("a") == F.col("node_a"), "left").join(of("b"), F.col("b") == F.col("node_b"), "left")
+    return both.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(*pairs.columns)
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -243,21 +251,25 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = _single_pairs(texts, common, short, size)
     shared = staged(_pair_signatures(texts, common, short).distinct(), "jaccard-pair-signatures")
     pivots = shared.groupBy("sig").agg(F.min(F.struct("node", "n")).alias("p"), F.count("*").alias("c")).where("c > 1").select("sig", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"))
-    starred = shared.join(pivots, "sig").where(f"node <> pivot and {_FIT}").select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
-    tried = staged(pairs.unionByName(starred).distinct(), "jaccard-candidates")
-    linked = staged(_verified(tried, rows, nodes), "jaccard-links")
+    starred = shared.join(pivots, "sig").where(f"node <> pivot and {_FIT}").groupBy(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).agg(F.count("*").alias("shared"))
+    tried = staged(pairs.unionByName(starred).groupBy("a", "b").agg(F.sum("shared").alias("shared")), "jaccard-candidates")
+    # First each node with the one it shares most with; then only what is still apart.
+    best = staged(tried.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b"), "jaccard-first")
+    linked = staged(_verified(best, rows, nodes), "jaccard-links")
+    roots = staged(components(linked), "jaccard-roots")
+    later = staged(_apart(tried.select("a", "b").join(best, ["a", "b"], "left_anti"), roots), "jaccard-second")
+    linked = linked.unionByName(staged(_verified(later, rows, nodes), "jaccard-links"))
     roots = staged(components(linked), "jaccard-roots")
     # What shares a pair signature but no component, and was not compared yet.
     placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     torn = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
     torn = staged(placed.join(torn, "sig", "left_semi"), "jaccard-torn")
     other = torn.select("sig", F.col("node").alias("node2"), F.col("root").alias("root2"), F.col("n").alias("m"))
-    rest = torn.join(other, "sig").where(f"node < node2 and root <> root2 and {_FIT}").select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    rest = torn.join(other, "sig").where(f"node < node2 and root <> root2 and {_FIT}").select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
     rest = staged(rest, "jaccard-candidates")
     if rest.limit(1).count():
         linked = linked.unionByName(staged(_verified(rest, rows, nodes), "jaccard-links"))
-        roots = None
-    return nodes, linked if roots is None else linked
+    return nodes, linked
 
 
 def _grouped(docs: DataFrame) -> DataFrame:

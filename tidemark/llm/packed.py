@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import distinct
+
 #: Triples that a bucket should hold, some 20 bytes each.
 PER_BUCKET = 1_000_000
 _ROW = "bucket int, hashes binary, keys binary, places binary"
@@ -91,7 +93,7 @@ def _gather(pdf: pd.DataFrame) -> pd.DataFrame:
     k, p = k[order], p[order]
     cuts = np.flatnonzero(np.diff(k)) + 1
     starts = np.concatenate([[0], cuts]).astype(int) if len(k) else np.empty(0, int)
-    return pd.DataFrame({"key": k[starts], "places": [np.unique(x).tobytes() for x in np.split(p, cuts)] if len(k) else []})
+    return pd.DataFrame({"key": k[starts], "places": [distinct(x).tobytes() for x in np.split(p, cuts)] if len(k) else []})
 
 
 def repeated_places(rows: DataFrame, emit: Emit, triples: float) -> DataFrame:

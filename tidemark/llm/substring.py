@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Windows, WordHash, matching, row_key, staged
+from .common import Windows, distinct, hash_words, matching, row_key, staged
 from .packed import repeated_places, text_bytes
 
 WORDS = 35
@@ -70,12 +70,12 @@ def _first_level(words: int):
     state: dict = {}
 
     def emit(b: pa.RecordBatch):
-        ids, hashes = state.setdefault("ids", WordHash()), state.setdefault("windows", Windows())
+        hashes = state.setdefault("windows", Windows())
         for key, t in zip(b.column("key").to_pylist(), _texts(b), strict=True):
-            w = t.split() if t else []
+            w = hash_words(t)
             if len(w) >= words:
-                h = hashes(ids.of(w), half)
-                at = np.unique(chosen(h, words - half + 1))
+                h = hashes(w, half)
+                at = distinct(chosen(h, words - half + 1))
                 yield h[at], key, at
 
     return _flushing(emit)
@@ -86,9 +86,9 @@ def _second_level(words: int):
     state: dict = {}
 
     def emit(b: pa.RecordBatch):
-        ids, hashes = state.setdefault("ids", WordHash()), state.setdefault("windows", Windows())
+        hashes = state.setdefault("windows", Windows())
         for key, t, places in zip(b.column("key").to_pylist(), _texts(b), b.column("places").to_pylist(), strict=True):
-            w = ids.of(t.split())
+            w = hash_words(t)
             halves = hashes(w, half)
             known = np.zeros(len(halves), bool)
             known[np.frombuffer(places, np.int32)] = True
@@ -102,9 +102,9 @@ def _doubled(words: int):
     state: dict = {}
 
     def emit(b: pa.RecordBatch):
-        ids, hashes = state.setdefault("ids", WordHash()), state.setdefault("windows", Windows())
+        hashes = state.setdefault("windows", Windows())
         for key, t, places in zip(b.column("key").to_pylist(), _texts(b), b.column("places").to_pylist(), strict=True):
-            w = ids.of(t.split())
+            w = hash_words(t)
             n = len(w) - 2 * words + 1
             if n > 0:
                 known = np.zeros(len(w) + 1, bool)
