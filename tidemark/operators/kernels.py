@@ -62,7 +62,7 @@ def rsi(column: str = "close", n: int = 14, variant: str = "bars") -> Kernel:
             s["i"] += 1
             rs = None if s["g"] is None or not s["l"] else s["g"] / s["l"]
             out.append(None if rs is None else 100 * rs / (1 + rs))
-        return pdf.assign(rsi=pd.array(out, "Float64").astype(object)), s
+        return pdf.assign(rsi=np.array(out, object)), s
 
     return run
 

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_TRADE = "stream string, data struct<e: string, E: bigint, s: string, t: bigint, a: bigint, f: bigint, l: bigint, p: string, q: string, T: bigint, m: boolean>"
-_DEPTH = "stream string, data struct<e: string, E: bigint, s: string, U: bigint, u: bigint, b: array<array<string>>, a: array<array<string>>>"
+def _field(name: str, kind: str) -> Column:
+    """A field of the message's data; names differ by case alone, so each is fetched by its path."""
+    return F.get_json_object("value", f"$.data.{name}").try_cast(kind)
 
 
 def stream_path(symbols: list[str], suffix: str, market: str = "spot") -> str:
@@ -18,10 +19,10 @@ def stream_path(symbols: list[str], suffix: str, market: str = "spot") -> str:
     return ("/market" if market == "futures" else "") + "/stream?streams=" + path
 
 
-def levels(c: str) -> Column:
+def levels(c: Column) -> Column:
     """[["price", "qty"], ...] as pairs of doubles; a level of the wrong shape is skipped, what
     stands after the first two elements is ignored."""
-    pairs = F.transform(F.col(c), lambda x: F.struct(F.get(x, F.lit(0)).try_cast("double").alias("price"), F.get(x, F.lit(1)).try_cast("double").alias("qty")))
+    pairs = F.transform(c, lambda x: F.struct(F.get(x, F.lit(0)).try_cast("double").alias("price"), F.get(x, F.lit(1)).try_cast("double").alias("qty")))
     return F.filter(pairs, lambda p: p["price"].isNotNull() & p["qty"].isNotNull())
 
 
@@ -33,18 +34,16 @@ def _split(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
 
 def trades(messages: DataFrame, aggregated: bool = False) -> tuple[DataFrame, DataFrame]:
     """(rows, rejected) of messages (value: JSON text): price and quantity come as strings."""
-    d = messages.select("value", F.from_json("value", _TRADE).alias("j")).select("value", "j.data.*")
     ids = {"aggTradeId": "a", "firstTradeId": "f", "lastTradeId": "l"} if aggregated else {"tradeId": "t"}
-    rows = d.select(
-        "value", F.timestamp_millis(F.col("E")).alias("time"), F.col("s").alias("sym"), *(F.col(v).alias(k) for k, v in ids.items()), F.col("p").try_cast("double").alias("price"), F.col("q").try_cast("double").alias("qty"),
-        F.col("m").alias("buyerIsMaker"), F.col("E").alias("exchEventTimeMs"), F.col("T").alias("exchTradeTimeMs"),
+    rows = messages.select(
+        "value", F.timestamp_millis(_field("E", "long")).alias("time"), _field("s", "string").alias("sym"), *(_field(v, "long").alias(k) for k, v in ids.items()), _field("p", "double").alias("price"), _field("q", "double").alias("qty"),
+        _field("m", "boolean").alias("buyerIsMaker"), _field("E", "long").alias("exchEventTimeMs"), _field("T", "long").alias("exchTradeTimeMs"),
     )
     return _split(rows, ["sym", *ids, "price", "qty", "buyerIsMaker", "exchTradeTimeMs"])
 
 
 def depth(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(deltas, rejected): sym, kind, firstId, finalId, eventMs, bids, asks as the order book takes them."""
-    d = messages.select("value", F.from_json("value", _DEPTH).alias("j")).select("value", "j.data.*")
-    as_lists = lambda c: F.transform(levels(c), lambda x: F.array(x["price"], x["qty"]))
-    rows = d.select("value", F.col("s").alias("sym"), F.lit("delta").alias("kind"), F.col("U").alias("firstId"), F.col("u").alias("finalId"), F.col("E").alias("eventMs"), as_lists("b").alias("bids"), as_lists("a").alias("asks"))
+    as_lists = lambda c: F.transform(levels(F.from_json(F.get_json_object("value", f"$.data.{c}"), "array<array<string>>")), lambda x: F.array(x["price"], x["qty"]))
+    rows = messages.select("value", _field("s", "string").alias("sym"), F.lit("delta").alias("kind"), _field("U", "long").alias("firstId"), _field("u", "long").alias("finalId"), _field("E", "long").alias("eventMs"), as_lists("b").alias("bids"), as_lists("a").alias("asks"))
     return _split(rows, ["sym", "firstId", "finalId", "bids", "asks"])
