@@ -11,11 +11,13 @@ indexed.  Whichever set's prefix ends first in the global order, what it shares
 prefixes, so no pair is lost.  Candidates are verified on the whole sets.
 
 Equal sets are one node from the start.  Rare signatures have fewer than ``frequent`` nodes and
-give all their pairs.  A pair signature may be hot: its nodes are first compared with one pivot
+give all their pairs.  A pair signature may be hot: its nodes are first compared with two pivots
 only; components are formed; and only signatures that still join several components give further
 pairs, each between nodes not yet connected.  No group's pairs are ever enumerated as a whole.
 """
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -59,16 +61,25 @@ def _nodes(batches):
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())], names=["doc_id", "key", "n", "node"])
 
 
+#: Shingles that a map task gathers before it passes them on.
+FLUSH = 1_500_000
+
+
 def _distinct_sets(batches):
-    """Sets of each batch, once per batch for equal ones."""
+    """Sets, once per flush for equal ones."""
     make = Shingles()
     for b in batches:
-        out = {}
+        out, held = {}, 0
         for t in _rows(b):
             s = make(t)
-            if len(s):
-                out.setdefault(node_of(s), s)
-        yield out
+            if len(s) and (node := node_of(s)) not in out:
+                out[node] = s
+                held += len(s)
+                if held >= FLUSH:
+                    yield out
+                    out, held = {}, 0
+        if out:
+            yield out
 
 
 def _short(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,13 +97,12 @@ def frequencies(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
 
     def count(batches):
         for sets in _distinct_sets(batches):
-            if sets:
-                h = np.sort(np.concatenate(list(sets.values())))
-                at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-                h, c = h[at], np.diff(np.append(at, len(h)))
-                bucket, short = _short(h, buckets)
-                got = list(zip(*_split(bucket, short, c.astype(np.uint32)), strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(got[0], pa.int32()), pa.array(got[1], pa.binary()), pa.array(got[2], pa.binary())], names=["bucket", "tokens", "counts"])
+            h = np.sort(np.concatenate(list(sets.values())))
+            at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            h, c = h[at], np.diff(np.append(at, len(h)))
+            bucket, short = _short(h, buckets)
+            got = list(zip(*_split(bucket, short, c.astype(np.uint32)), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(got[0], pa.int32()), pa.array(got[1], pa.binary()), pa.array(got[2], pa.binary())], names=["bucket", "tokens", "counts"])
 
     def add(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         t, c = _join(pdf["tokens"], np.uint32), _join(pdf["counts"], np.uint32).astype(np.int64)
@@ -136,7 +146,7 @@ def signatures(s: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return mix(rare ^ np.uint64(0x5151)), np.concatenate(pairs) if pairs else np.empty(0, np.uint64)
 
 
-def _signed(common, buckets: int, kinds: int):
+def _signed(common, buckets: int):
     def run(batches):
         known = common.value
         for sets in _distinct_sets(batches):
@@ -145,11 +155,11 @@ def _signed(common, buckets: int, kinds: int):
                 bucket, short = _short(s, buckets)
                 t = short.astype(np.int64) * buckets + bucket
                 at = np.minimum(np.searchsorted(known, t), max(len(known) - 1, 0))
-                a, b = signatures(s, known[at] == t if len(known) else np.zeros(len(s), bool))
+                marks = known[at] == t if len(known) else np.zeros(len(s), bool)
+                a, b = signatures(s, marks)
                 single.append((a, np.full(len(a), node, np.int64), np.full(len(a), len(s), np.int32)))
-                pair.append((b, np.full(len(b), node, np.int64), np.full(len(b), len(s), np.int32)))
-            if sets:
-                yield [np.concatenate(x) for x in zip(*single, strict=True)], [np.concatenate(x) for x in zip(*pair, strict=True)]
+                pair.append((b, np.full(len(b), node, np.int64), np.full(len(b), len(s), np.int32), np.full(len(b), int(marks.sum()), np.int32)))
+            yield [np.concatenate(x) for x in zip(*single, strict=True)], [np.concatenate(x) for x in zip(*pair, strict=True)]
 
     return run
 
@@ -172,7 +182,7 @@ def _single_pairs(rows: DataFrame, common, short: int, size: int) -> DataFrame:
     buckets = max(8, int(size / 5.5 / 4 / PER_BUCKET) + 1)
 
     def send(batches):
-        for (h, k, n), _ in _signed(common, short, 1)(batches):
+        for (h, k, n), _ in _signed(common, short)(batches):
             got = list(zip(*_split((h % np.uint64(buckets)).astype(np.int32), h, k, n), strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(got[0], pa.int32()), *(pa.array(x, pa.binary()) for x in got[1:])], names=["bucket", "hashes", "keys", "sizes"])
 
@@ -196,13 +206,16 @@ def _single_pairs(rows: DataFrame, common, short: int, size: int) -> DataFrame:
 
 def _pair_signatures(rows: DataFrame, common, short: int) -> DataFrame:
     def send(batches):
-        for _, (h, k, n) in _signed(common, short, 2)(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(k), pa.array(n)], names=["sig", "node", "n"])
+        for _, (h, k, n, f) in _signed(common, short)(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(k), pa.array(n), pa.array(f)], names=["sig", "node", "n", "f"])
 
-    return rows.mapInArrow(send, "sig long, node long, n int")
+    return rows.mapInArrow(send, "sig long, node long, n int, f int")
 
 
-_FIT = f"100L * least(n, m) >= {PERCENT}L * greatest(n, m)"
+#: Sets with pair signatures index all their rare shingles singly.  So two of them that meet in pair
+#: signatures only share frequent shingles only, at most the smaller number f of them, which must be
+#: PERCENT / (100 + PERCENT) of both sizes together.
+_FIT = f"{100 + PERCENT}L * least(f, g) >= {PERCENT}L * (n + m)"
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -213,7 +226,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     texts = rows.join(keys, "key").select("node", "text").groupBy("node").agg(F.first("text").alias("text"))
 
     def verify(batches):
-        make = Shingles()
+        make = lru_cache(256)(Shingles())  # a pivot's pairs come together
         for b in batches:
             ok = []
             for p, q in zip(*(b.column(c).cast(pa.binary()).to_pylist() for c in ("text_a", "text_b")), strict=True):
@@ -250,26 +263,34 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     common = sc.broadcast(tokens)
     pairs = _single_pairs(texts, common, short, size)
     shared = staged(_pair_signatures(texts, common, short).distinct(), "jaccard-pair-signatures")
-    pivots = shared.groupBy("sig").agg(F.min(F.struct("node", "n")).alias("p"), F.count("*").alias("c")).where("c > 1").select("sig", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"))
+    # Two pivots: the node with the largest share of frequent shingles, which an original has among
+    # its edited copies, and one by hash, which differs from signature to signature.
+    member, central = F.struct("node", "n", "f"), F.struct(F.col("f") / F.col("n"), F.col("node"))
+    pivots = shared.groupBy("sig").agg(F.array_distinct(F.array(F.max_by(member, central), F.min_by(member, F.xxhash64("sig", "node")))).alias("ps"), F.count("*").alias("c")).where("c > 1")
+    pivots = pivots.select("sig", F.explode("ps").alias("p")).select("sig", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"), F.col("p.f").alias("g"))
     starred = shared.join(pivots, "sig").where(f"node <> pivot and {_FIT}").groupBy(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).agg(F.count("*").alias("shared"))
     tried = staged(pairs.unionByName(starred).groupBy("a", "b").agg(F.sum("shared").alias("shared")), "jaccard-candidates")
-    # First each node with the one it shares most with; then only what is still apart.
-    best = staged(tried.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b"), "jaccard-first")
-    linked = staged(_verified(best, rows, nodes), "jaccard-links")
-    roots = staged(components(linked), "jaccard-roots")
-    later = staged(_apart(tried.select("a", "b").join(best, ["a", "b"], "left_anti"), roots), "jaccard-second")
-    linked = linked.unionByName(staged(_verified(later, rows, nodes), "jaccard-links"))
+    linked = _connected(tried, rows, nodes, None)
     roots = staged(components(linked), "jaccard-roots")
     # What shares a pair signature but no component, and was not compared yet.
     placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     torn = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
     torn = staged(placed.join(torn, "sig", "left_semi"), "jaccard-torn")
-    other = torn.select("sig", F.col("node").alias("node2"), F.col("root").alias("root2"), F.col("n").alias("m"))
-    rest = torn.join(other, "sig").where(f"node < node2 and root <> root2 and {_FIT}").select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    other = torn.select("sig", F.col("node").alias("node2"), F.col("root").alias("root2"), F.col("n").alias("m"), F.col("f").alias("g"))
+    rest = torn.join(other, "sig").where(f"node < node2 and root <> root2 and {_FIT}").groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("shared")).join(tried.select("a", "b"), ["a", "b"], "left_anti")
     rest = staged(rest, "jaccard-candidates")
-    if rest.limit(1).count():
-        linked = linked.unionByName(staged(_verified(rest, rows, nodes), "jaccard-links"))
-    return nodes, linked
+    return nodes, _connected(rest, rows, nodes, linked) if rest.limit(1).count() else linked
+
+
+def _connected(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, known: DataFrame | None) -> DataFrame:
+    """known links and those among pairs that connect more: each node is compared with the one it
+    shares most with, and then only pairs that are still in different components."""
+    best = staged(pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b"), "jaccard-first")
+    linked = staged(_verified(best, rows, nodes), "jaccard-links")
+    linked = linked if known is None else known.unionByName(linked)
+    roots = staged(components(linked), "jaccard-roots")
+    later = staged(_apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), roots), "jaccard-second")
+    return linked.unionByName(staged(_verified(later, rows, nodes), "jaccard-links"))
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
