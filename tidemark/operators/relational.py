@@ -157,6 +157,23 @@ def row_counts(rows: DataFrame, dates: DataFrame | None = None, by: tuple[str, .
     return counts if dates is None else dates.join(counts, "date", "left").withColumn("rows", F.coalesce("rows", F.lit(0).cast("long")))
 
 
+def bars_per_day(bars: DataFrame) -> DataFrame:
+    return bars.groupBy("sym", F.to_date("barend").cast("string").alias("date")).agg(F.count("*").alias("n"), div(F.sum("ticks").cast("double"), F.count("*")).alias("avgTicks"))
+
+
+def position_flips(online: DataFrame) -> DataFrame:
+    """Of online bars (sym, bn, barend, position, ...) those at which the position changes; it starts at 0."""
+    before = F.coalesce(F.lag("position").over(Window.partitionBy("sym").orderBy("bn")), F.lit(0))
+    return online.withColumn("before", before).where("position <> before").select(F.col("barend").alias("time"), "sym", "bn", "position", F.col("close").alias("price"), "buyPct", "dollars", "ticks")
+
+
+def position_stats(flips: DataFrame) -> DataFrame:
+    return flips.groupBy("sym").agg(
+        F.count("*").alias("changes"), F.count_if(F.col("position") == 1).alias("longs"), F.count_if(F.col("position") == -1).alias("shorts"),
+        F.max_by("position", "bn").alias("lastPosition"), F.max_by("price", "bn").alias("lastPrice"), F.max_by("time", "bn").alias("lastTime"),
+    )
+
+
 def distinct_symbols(*tables: DataFrame) -> DataFrame:
     out = tables[0].select("sym")
     for t in tables[1:]:

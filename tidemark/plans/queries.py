@@ -243,14 +243,14 @@ def label_distribution(spark, d):
 
 
 def _sequence(spark, d):
-    """Every 7th number twice, every 11th left out, and one restart."""
-    t = A.trades(spark, d).where("tradeId % 11 <> 5")
-    seq = F.when(F.col("tradeId") >= 7000, F.col("tradeId") - 7000).otherwise(F.col("tradeId"))
-    return t.select(F.lit("trade").alias("side"), "tradeId", F.explode(F.when(F.col("tradeId") % 7 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"), seq.alias("seq"))
+    """All trades, numbered with a gap after every 11th, every 7th sent twice, and one restart."""
+    seq = F.col("tradeId") + F.floor(F.col("tradeId") / 11)
+    seq = F.when(F.col("tradeId") >= 7000, seq - 7636).otherwise(seq)
+    return A.trades(spark, d).select(F.lit("trade").alias("side"), "tradeId", F.explode(F.when(F.col("tradeId") % 7 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"), seq.alias("seq"))
 
 
 @query(
-    """WITH RECURSIVE x AS (SELECT event_id AS tradeId, unnest(CASE WHEN event_id % 7 = 3 THEN [0, 1] ELSE [0] END) AS copy, CASE WHEN event_id >= 7000 THEN event_id - 7000 ELSE event_id END AS seq FROM events WHERE event_id % 11 <> 5),
+    """WITH RECURSIVE x AS (SELECT event_id AS tradeId, unnest(CASE WHEN event_id % 7 = 3 THEN [0, 1] ELSE [0] END) AS copy, event_id + event_id // 11 - CASE WHEN event_id >= 7000 THEN 7636 ELSE 0 END AS seq FROM events),
 s AS (SELECT *, row_number() OVER (ORDER BY tradeId, copy) AS i FROM x),
 r AS (SELECT i, seq AS last, 'accept' AS action, 0::BIGINT AS missed FROM s WHERE i = 1 UNION ALL
   SELECT s.i, CASE WHEN s.seq <= r.last AND r.last - s.seq < 1000 THEN r.last ELSE s.seq END, CASE WHEN s.seq <= r.last AND r.last - s.seq < 1000 THEN 'drop_duplicate' WHEN s.seq > r.last + 1 THEN 'accept_with_gap' ELSE 'accept' END, CASE WHEN s.seq > r.last + 1 THEN s.seq - r.last - 1 ELSE 0 END FROM r JOIN s ON s.i = r.i + 1)
@@ -261,6 +261,44 @@ def sequence_counters(spark, d):
     return checked.groupBy("action").agg(F.count("*").alias("n"), F.sum("missed").alias("missed"))
 
 
+@query(
+    f"""WITH RECURSIVE {_TRADES}, s AS (SELECT sym, tradeId, price * qty * CASE WHEN buyerIsMaker THEN -1 ELSE 1 END AS sd, row_number() OVER (PARTITION BY sym ORDER BY tradeId) AS i FROM t WHERE price * qty >= 50),
+r AS (SELECT sym, tradeId, i, CASE WHEN abs(sd) >= 5000 THEN 0.0::DOUBLE ELSE sd END AS theta, CASE WHEN abs(sd) >= 5000 THEN 1 ELSE 0 END::BIGINT AS bn FROM s WHERE i = 1 UNION ALL
+  SELECT sym, tradeId, i, CASE WHEN abs(x) >= 5000 THEN 0.0::DOUBLE ELSE x END, bn + CASE WHEN abs(x) >= 5000 THEN 1 ELSE 0 END FROM (SELECT s.sym, s.tradeId, s.i, r.bn, CASE WHEN (s.sd > 0) = (r.theta > 0) THEN r.theta + s.sd ELSE s.sd END AS x FROM r JOIN s ON s.sym = r.sym AND s.i = r.i + 1))
+SELECT sym, tradeId, bn FROM r"""
+)
+def drb_numbers(spark, d):
+    return ordered_scan(B.ticks(A.trades(spark, d)), ["sym"], ["tradeId"], K.fixed_bars("drb", 5_000.0), f"{B.TICKS}, bn long").select("sym", "tradeId", "bn")
+
+
+@query(f"WITH RECURSIVE {_DIB} SELECT sym, CAST(CAST(barend AS DATE) AS VARCHAR) AS date, count(*) AS n, sum(ticks)::DOUBLE / count(*) AS avgTicks FROM bars GROUP BY 1, 2")
+def bars_per_day(spark, d):
+    return R.bars_per_day(_bars(spark, d))
+
+
+@query(f"WITH {_TRADES}, {_FUNDING} SELECT sym, fundingTime, CASE WHEN sym = 'click' THEN fundingRate + 1 ELSE fundingRate END AS fundingRate FROM fr")
+def funding_merge(spark, d):
+    from ..sources.archives import merge_funding
+
+    stored = A.funding(spark, d).withColumn("markPrice", F.lit(None).cast("double"))
+    return merge_funding(stored, stored.where("sym = 'click'").withColumn("fundingRate", F.col("fundingRate") + 1)).drop("markPrice")
+
+
+@query()
+def position_flips(spark, d):
+    return R.position_flips(online_bars(spark, d))
+
+
+@query()
+def position_stats(spark, d):
+    return R.position_stats(R.position_flips(online_bars(spark, d)))
+
+
+@query()
+def bar_stats(spark, d):
+    return B.stats(adaptive_bars(spark, d).where("kind = 'rwdib'"))
+
+
 @query()
 def warmup_bars(spark, d):
     t = B.ticks(A.trades(spark, d))
