@@ -32,7 +32,7 @@ from .packed import PER_BUCKET, _split, repeats, text_bytes
 SHINGLE, PERCENT = 5, 75
 #: Least document frequency of a frequent shingle; doubled until MAX_FREQUENT shingles (8 bytes each, broadcast) suffice.
 FREQUENT, MAX_FREQUENT = 32, 1_000_000
-PER_SUBCLASS = 16
+PER_SUBCLASS = 4
 
 
 class Shingles:
@@ -62,7 +62,7 @@ def _nodes(batches):
 
 
 #: Shingles that a map task gathers before it passes them on.
-FLUSH = 1_500_000
+FLUSH = 800_000
 
 
 def _distinct_sets(batches):
@@ -93,7 +93,7 @@ def _join(s, t) -> np.ndarray:
 
 def frequencies(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
     """token (a shingle's hash by bucket and 32 more bits), df of the shingles in FREQUENT documents or more."""
-    buckets = max(8, int(size / 5.5 / 4 / PER_BUCKET) + 1)
+    buckets = max(8, int(size / 5.5 / 2 / PER_BUCKET) + 1)
 
     def count(batches):
         for sets in _distinct_sets(batches):
@@ -120,15 +120,17 @@ def band(n: int) -> int:
     return int(np.log(n) / np.log(4 / 3) + 1e-9)
 
 
-def signatures(s: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of a set (sorted hashes) with its frequent shingles marked: the single and the pair signatures."""
+def signatures(s: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a set (sorted hashes) with its frequent shingles marked: the single and the pair signatures,
+    and which of these are of the next band.  Sets within the ratio are of one band, or one is of the
+    band below the other's: a pair meets in the upper one's own band, never in two ``next`` ones."""
     n = len(s)
     need = n + (-PERCENT * n // 100) + 1  # n - ceil(0.75 n) + 1
     rare = s[~common]
     if len(rare) >= need:
-        return mix(rare[:need] ^ np.uint64(0x5151)), np.empty(0, np.uint64)
-    freq, pairs = s[common], []
-    for b in (band(n), band(n) + 1):  # sets within the ratio differ by one band at most
+        return mix(rare[:need] ^ np.uint64(0x5151)), np.empty(0, np.uint64), np.empty(0, bool)
+    freq, pairs, own = s[common], [], 0
+    for b in (band(n), band(n) + 1):
         m = max(1, int((4 / 3) ** b / PER_SUBCLASS))
         sub = (mix(freq ^ np.uint64(0xABCD)) % np.uint64(m)).astype(np.int64)
         order = np.argsort(sub, kind="stable")
@@ -143,7 +145,10 @@ def signatures(s: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarra
             if not same.any():
                 break
             pairs.append(mix(t[:-d][same] * np.uint64(0x9E3779B97F4A7C15) + (t[d:][same] ^ np.uint64(b))))
-    return mix(rare ^ np.uint64(0x5151)), np.concatenate(pairs) if pairs else np.empty(0, np.uint64)
+        if b == band(n):
+            own = sum(map(len, pairs))
+    pairs_ = np.concatenate(pairs) if pairs else np.empty(0, np.uint64)
+    return mix(rare ^ np.uint64(0x5151)), pairs_, np.arange(len(pairs_)) >= own
 
 
 def _signed(common, buckets: int):
@@ -156,9 +161,9 @@ def _signed(common, buckets: int):
                 t = short.astype(np.int64) * buckets + bucket
                 at = np.minimum(np.searchsorted(known, t), max(len(known) - 1, 0))
                 marks = known[at] == t if len(known) else np.zeros(len(s), bool)
-                a, b = signatures(s, marks)
+                a, b, low = signatures(s, marks)
                 single.append((a, np.full(len(a), node, np.int64), np.full(len(a), len(s), np.int32)))
-                pair.append((b, np.full(len(b), node, np.int64), np.full(len(b), len(s), np.int32), np.full(len(b), int(marks.sum()), np.int32)))
+                pair.append((b, np.full(len(b), node, np.int64), np.full(len(b), len(s), np.int32), np.full(len(b), int(marks.sum()), np.int32), low))
             yield [np.concatenate(x) for x in zip(*single, strict=True)], [np.concatenate(x) for x in zip(*pair, strict=True)]
 
     return run
@@ -179,7 +184,7 @@ def _counted(rows: np.ndarray) -> np.ndarray:
 
 def _single_pairs(rows: DataFrame, common, short: int, size: int) -> DataFrame:
     """a < b, shared: nodes whose sizes allow a link and how many rare signatures they share (by bucket)."""
-    buckets = max(8, int(size / 5.5 / 4 / PER_BUCKET) + 1)
+    buckets = max(8, int(size / 5.5 / 2 / PER_BUCKET) + 1)
 
     def send(batches):
         for (h, k, n), _ in _signed(common, short)(batches):
@@ -206,10 +211,10 @@ def _single_pairs(rows: DataFrame, common, short: int, size: int) -> DataFrame:
 
 def _pair_signatures(rows: DataFrame, common, short: int) -> DataFrame:
     def send(batches):
-        for _, (h, k, n, f) in _signed(common, short)(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(k), pa.array(n), pa.array(f)], names=["sig", "node", "n", "f"])
+        for _, (h, k, n, f, low) in _signed(common, short)(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(k), pa.array(n), pa.array(f), pa.array(low)], names=["sig", "node", "n", "f", "low"])
 
-    return rows.mapInArrow(send, "sig long, node long, n int, f int")
+    return rows.mapInArrow(send, "sig long, node long, n int, f int, low boolean")
 
 
 #: Sets with pair signatures index all their rare shingles singly.  So two of them that meet in pair
@@ -265,9 +270,9 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = staged(_pair_signatures(texts, common, short).distinct(), "jaccard-pair-signatures")
     # Two pivots: the node with the largest share of frequent shingles, which an original has among
     # its edited copies, and one by hash, which differs from signature to signature.
-    member, central = F.struct("node", "n", "f"), F.struct(F.col("f") / F.col("n"), F.col("node"))
-    pivots = shared.groupBy("sig").agg(F.array_distinct(F.array(F.max_by(member, central), F.min_by(member, F.xxhash64("sig", "node")))).alias("ps"), F.count("*").alias("c")).where("c > 1")
-    pivots = pivots.select("sig", F.explode("ps").alias("p")).select("sig", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"), F.col("p.f").alias("g"))
+    member, central = F.struct("node", "n", "f", "low"), F.struct(~F.col("low"), F.col("f") / F.col("n"), F.col("node"))
+    pivots = shared.groupBy("sig").agg(F.array_distinct(F.array(F.max_by(member, central), F.min_by(member, F.struct("low", F.xxhash64("sig", "node"))))).alias("ps"), F.count("*").alias("c")).where("c > 1")
+    pivots = pivots.select("sig", F.explode("ps").alias("p")).where("not p.low").select("sig", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"), F.col("p.f").alias("g"))
     starred = shared.join(pivots, "sig").where(f"node <> pivot and {_FIT}").groupBy(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).agg(F.count("*").alias("shared"))
     tried = staged(pairs.unionByName(starred).groupBy("a", "b").agg(F.sum("shared").alias("shared")), "jaccard-candidates")
     linked = _connected(tried, rows, nodes, None)
@@ -276,8 +281,8 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     torn = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
     torn = staged(placed.join(torn, "sig", "left_semi"), "jaccard-torn")
-    other = torn.select("sig", F.col("node").alias("node2"), F.col("root").alias("root2"), F.col("n").alias("m"), F.col("f").alias("g"))
-    rest = torn.join(other, "sig").where(f"node < node2 and root <> root2 and {_FIT}").groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("shared")).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    other = torn.select("sig", F.col("node").alias("node2"), F.col("root").alias("root2"), F.col("n").alias("m"), F.col("f").alias("g"), F.col("low").alias("low2"))
+    rest = torn.join(other, "sig").where(f"node < node2 and root <> root2 and not (low and low2) and {_FIT}").groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("shared")).join(tried.select("a", "b"), ["a", "b"], "left_anti")
     rest = staged(rest, "jaccard-candidates")
     return nodes, _connected(rest, rows, nodes, linked) if rest.limit(1).count() else linked
 
