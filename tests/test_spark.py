@@ -192,3 +192,14 @@ def test_volatility_tool(spark):
     assert serving.get_volatility(v, "btcusdt")["data"][0]["volatility"] == 50.0
     assert serving.get_volatility(v, "xx")["data"] == []
     assert serving.volatility_comparison(v).first().difference == 5.0
+
+
+def test_logs(spark, tmp_path):
+    path, store = f"file:{tmp_path}/log", archives.Store(spark, f"file:{tmp_path}/hdb")
+    for d in ("2024-01-01", "2024-01-09"):
+        trades(spark, 5).coalesce(1).write.parquet(f"{path}/date={d}")
+    (tmp_path / "log/date=2024-01-08").mkdir()
+    (tmp_path / "log/date=2024-01-08/part-0.parquet").write_bytes(b"nothing")
+    assert [(r.date, r.files, r.state) for r in archives.logs(store, path).orderBy("date").collect()] == [("2024-01-01", 1, "ok"), ("2024-01-08", 1, "corrupt"), ("2024-01-09", 1, "ok")]
+    assert archives.clean_logs(store, path, dt.date(2024, 1, 10)) == ["2024-01-01"]
+    assert archives.logs(store, path).count() == 2

@@ -213,3 +213,25 @@ def recover_orphans(store: Store, spool: str, table: str, today: str) -> list[st
     for d in done:
         end_of_day(store, spool, table, d)
     return done
+
+
+def logs(store: Store, path: str) -> DataFrame:
+    """By date of a durable log below path: files, megabytes and whether every file can be read."""
+    rows = []
+    for day in (d.removeprefix("date=") for d in store.listed(path, "date=")):
+        files = [s for s in store._statuses(f"{path}/date={day}") if s.getPath().getName().endswith(".parquet")]
+        try:
+            store.spark.read.parquet(f"{path}/date={day}").limit(1).collect()
+            state = "ok"
+        except Exception:  # whatever keeps the files from being read
+            state = "corrupt"
+        rows.append((day, len(files), sum(s.getLen() for s in files) / 1e6, state))
+    return store.spark.createDataFrame(rows, "date string, files long, megabytes double, state string")
+
+
+def clean_logs(store: Store, path: str, today: date, keep_days: int = 7) -> list[str]:
+    """Deletes the log's dates older than keep_days and returns them."""
+    old = [d for d in (x.removeprefix("date=") for x in store.listed(path, "date=")) if date.fromisoformat(d) < today - timedelta(days=keep_days)]
+    for d in old:
+        store.delete(f"{path}/date={d}")
+    return old
