@@ -28,6 +28,8 @@ WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: Words of a block, slots of an output shard; sources beyond MAX_SOURCES raise an error.
 BLOCK, SLOTS, MAX_SOURCES = 128, 512, 200_000
 ROWS_PER_BUCKET = 20_000
+#: Slots that a task should permute.
+SLOTS_PER_TASK = 50_000
 
 
 def targets(sizes: list[int], weights: list[float], total: float, most: float = MOST) -> list[float]:
@@ -110,7 +112,8 @@ def _slots(docs: DataFrame, sources: list[dict], seed: int) -> DataFrame:
                     first, n = first + m, n - m
             yield pd.DataFrame(rows, columns=["shard", "sid", "first", "n"])
 
-    runs = kept.unionByName(over.mapInPandas(deal, "shard long, sid int, first long, n long"))
+    # A run is a few hundred slots at most; they are dealt out evenly before they become rows.
+    runs = kept.unionByName(over.mapInPandas(deal, "shard long, sid int, first long, n long")).repartition(max(1, -(-total // SLOTS_PER_TASK)), "shard", "sid")
     return runs.select("shard", "sid", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("slot"))
 
 
