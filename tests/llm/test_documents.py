@@ -379,6 +379,26 @@ def test_leaks(spark, frame):
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == set(range(90)) - {i for i, _ in got}
 
 
+@pytest.mark.parametrize("most", [24, 4])
+def test_leaks_of_short_items_among_long_ones(monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "MOST_REPETITIONS", most)
+    if most == 4:  # no class reaches this: all are searched by their pieces
+        monkeypatch.setattr(decontaminate, "RECALL", 1.1)
+    rng = np.random.default_rng(13)
+    draw = lambda n: rng.integers(1 << 63, (1 << 64) - 1, n, dtype=np.uint64)
+    items = [draw(n) for n in [*[15, 16] * 10, *range(40, 60), *range(40, 60), *range(40, 60)]]
+    index = decontaminate.build(items)
+    found = tried = 0
+    for i, item in enumerate(items[:20]):
+        for _ in range(15):
+            w = item.copy()
+            w[rng.choice(len(w), 2, replace=False)] = draw(2)
+            got = decontaminate._matches(index, np.concatenate([draw(20), w, draw(20), np.zeros(1, np.uint64)]))
+            assert all((text, j, d) == (0, i, 2) for text, j, _, _, d in got)
+            found, tried = found + len(got), tried + 1
+    assert found >= (0.95 if most > 4 else 1) * tried
+
+
 def test_leaks_on_odd_tables(spark, odd, empty):
     benchmark = spark.createDataFrame([(1, "one two three four five six seven eight nine ten"), (None, None)], "item_id long, text string")
     assert decontaminate.leaked_documents(odd, benchmark).count() == 0

@@ -4,9 +4,11 @@ A benchmark item and every window of a document are embedded by the random walk
 Goldenberg and Koucky (2016): at step j the walk writes the word under its pointer and moves on if
 bit j of the word's random bits is set, so that few edits between two texts leave few differences
 between their embeddings.  A repetition samples SAMPLED steps of a walk; where a window agrees
-with an item in all of them the pair is a candidate.  Items are embedded from several offsets, so
-that an edit near the start leaves later walks alone.  Repetitions are added until planted edits
-of the items are found at the target recall.  Candidates are verified by exact word edit distance
+with an item in all of them the pair is a candidate.  Items are embedded from many offsets and
+every other pair of repetitions samples short reaches, so that any few words left alone between two
+edits can agree.  Repetitions are added until planted edits of the items are found at the target
+recall in every length class; the items of classes that stay below it are searched exactly, by the
+one of EDITS + 1 pieces that no edit touches.  Candidates are verified by exact word edit distance
 against the best-placed window.
 
 Scale.  Documents are read once per block of items (ITEMS in a block, so the broadcast tables are
@@ -18,11 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, hash_words, matching, mix, row_key, staged
+from .common import Windows, distinct, fresh, hash_words, matching, mix, row_key, staged
 
 #: A window of n words is a leak within n * EDIT_PERCENT // 100 word edits; shorter items than MIN_WORDS are not searched.
 EDIT_PERCENT, MIN_WORDS = 15, 8
 WALKS, STEPS, SAMPLED, MOST_REPETITIONS, RECALL = 2, 24, 6, 24, 0.95
+#: Steps of a short reach (about five words); offsets of an item, about; planted edits of a length class at least.
+REACH, OFFSETS, PLANTED = 10, 24, 200
 ITEMS = 20_000
 #: Words of a chunk of windows, chosen to stay in a core's cache; bits of the first lookup.
 CHUNK, BITS = 1 << 16, 20
@@ -43,8 +47,8 @@ class Samplings:
         rng = np.random.default_rng(seed)
         self.plan: list[tuple[int, np.ndarray]] = []
         for r in range(repetitions):
-            # The first of each walk end within the shortest item; later ones reach further.
-            reach = min(shortest, STEPS) if r < WALKS else STEPS
+            # The first of each walk end within few words; every other pair reaches further.
+            reach = min(shortest, REACH) if r // WALKS % 2 == 0 else STEPS
             self.plan.append((r % WALKS, np.sort(rng.choice(reach, SAMPLED, replace=False))))
         self.last = [int(s[-1]) for _, s in self.plan]
 
@@ -70,48 +74,72 @@ class Samplings:
         return [mix(s) for s in out], ends
 
 
+def length_class(n: int) -> int:
+    """Lengths whose recall is measured together: each by itself up to 64 words, then by powers of two."""
+    return n if n < 64 else 1 << (n.bit_length() - 1)
+
+
+class Table:
+    """Hashes of places in items, for lookups of many hashes at once."""
+
+    def __init__(self, keys: np.ndarray, owner: np.ndarray, offset: np.ndarray) -> None:
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owner, self.offset = keys[order], owner[order].astype(np.int32), offset[order].astype(np.int32)
+        self.quick = np.zeros(1 << BITS, bool)
+        self.quick[(self.keys >> np.uint64(64 - BITS)).astype(np.int64)] = True
+
+    def lookup(self, hashes: np.ndarray, start: int) -> np.ndarray:
+        """Rows (item, place where the item would begin) for the hashes of places start, start + 1, ..."""
+        hit = np.flatnonzero(self.quick[(hashes >> np.uint64(64 - BITS)).astype(np.int64)])
+        lo, hi = np.searchsorted(self.keys, hashes[hit]), np.searchsorted(self.keys, hashes[hit], side="right")
+        many = hi - lo
+        k = np.repeat(lo - np.cumsum(many) + many, many) + np.arange(many.sum())
+        return np.stack([self.owner[k].astype(np.int64), np.repeat(start + hit, many) - self.offset[k]], 1)
+
+
 class Index:
-    """The items' signatures by repetition."""
+    """The items' signatures by repetition; the items of the length classes ``exactly`` by their pieces."""
 
-    def __init__(self, items: list[np.ndarray], repetitions: int) -> None:
+    def __init__(self, items: list[np.ndarray], repetitions: int, exactly: frozenset[int] = frozenset()) -> None:
         self.items = items
-        self.samplings = Samplings(repetitions, min((len(w) for w in items if len(w) >= MIN_WORDS), default=MIN_WORDS))
-        found: list[list[tuple[int, int, int]]] = [[] for _ in range(repetitions)]
-        for i, w in enumerate(items):
-            n = len(w)
-            if n < MIN_WORDS:
-                continue
-            offsets = sorted({0, *(o for o in (n // 5, 2 * n // 5, 3 * n // 5) if n - o >= STEPS // 2 + 2)})
-            ended = np.append(w, np.uint64(0))
-            for o in offsets:
-                sig, ends = self.samplings.signatures(ended, o, o + 1)
-                for r in range(repetitions):
-                    if ends[r][0] < n:
-                        found[r].append((int(sig[r][0]), i, o))
-        self.keys, self.owner, self.offset, self.quick = [], [], [], []
-        for rows in found:
-            rows.sort()
-            self.keys.append(np.array([x[0] for x in rows], np.uint64))
-            self.owner.append(np.array([x[1] for x in rows], np.int64))
-            self.offset.append(np.array([x[2] for x in rows], np.int64))
-            quick = np.zeros(1 << BITS, bool)
-            quick[(self.keys[-1] >> np.uint64(64 - BITS)).astype(np.int64)] = True
-            self.quick.append(quick)
-
-    def candidates(self, w: np.ndarray) -> set[tuple[int, int]]:
-        """(item, place in w where the item would begin) of all windows of w that agree with an item."""
-        out: set[tuple[int, int]] = set()
+        searched = [i for i, w in enumerate(items) if len(w) >= MIN_WORDS]
+        walked = [i for i in searched if length_class(len(items[i])) not in exactly]
+        self.samplings = Samplings(repetitions if walked else 0, min((len(items[i]) for i in walked), default=MIN_WORDS))
+        # The items in a row, a 0 after each, and of each place its item and its offset in it.
+        ended = np.concatenate([np.append(items[i], np.uint64(0)) for i in walked] or [np.zeros(1, np.uint64)])
+        sizes = np.array([len(items[i]) for i in walked], np.int64)
+        begin = np.cumsum(sizes + 1) - sizes - 1
+        owner, offset = np.repeat(np.array(walked, np.int64), sizes + 1), np.arange(len(ended) if walked else 0) - np.repeat(begin, sizes + 1)
+        stop, stride = np.repeat(begin + sizes, sizes + 1), np.repeat(-(-sizes // OFFSETS), sizes + 1)
+        sigs, ends = self.samplings.signatures(ended, 0, len(ended))
+        self.tables = []
+        for sig, end in zip(sigs, ends, strict=True):
+            mine = (end < stop) & (offset % stride == 0)
+            self.tables.append(Table(sig[mine], owner[mine], offset[mine]))
+        # Of k + 1 pieces k edits leave one alone.
+        self.pieces: dict[int, Table] = {}
+        windows, by = Windows(), {}
+        for i in sorted(set(searched) - set(walked)):
+            k = len(items[i]) * EDIT_PERCENT // 100
+            by.setdefault(len(items[i]) // (k + 1), []).append((i, k + 1))
+        for n, mine in by.items():
+            rows = [(h, i, j * n) for i, m in mine for j, h in enumerate(windows(items[i], n)[: m * n : n].tolist())]
+            keys, owner, offset = zip(*rows, strict=True)
+            self.pieces[n] = Table(np.array(keys, np.uint64), np.array(owner), np.array(offset))
+
+    def candidates(self, w: np.ndarray) -> np.ndarray:
+        """Distinct rows (item, place in w where the item would begin) of all windows of w that agree with an item."""
+        windows, out = Windows(), [np.empty((0, 2), np.int64)]
         for start in range(0, len(w), CHUNK):
             stop = min(start + CHUNK, len(w))
-            sigs, _ = self.samplings.signatures(w, start, stop)
-            for r, s in enumerate(sigs):
-                hit = np.flatnonzero(self.quick[r][(s >> np.uint64(64 - BITS)).astype(np.int64)])
-                if not len(hit):
-                    continue
-                lo, hi = np.searchsorted(self.keys[r], s[hit]), np.searchsorted(self.keys[r], s[hit], side="right")
-                for at, a, b in zip(hit[hi > lo], lo[hi > lo], hi[hi > lo], strict=True):
-                    out.update((int(self.owner[r][k]), int(start + at - self.offset[r][k])) for k in range(a, b))
-        return out
+            if self.tables:
+                sigs, _ = self.samplings.signatures(w, start, stop)
+                out += [t.lookup(s, start) for t, s in zip(self.tables, sigs, strict=True)]
+            out += [t.lookup(windows(w[start : stop + n - 1], n), start) for n, t in self.pieces.items()]
+        item, at = np.concatenate(out).T
+        longest = max(map(len, self.items), default=0)
+        pair = distinct(item * (len(w) + longest) + at + longest)
+        return np.stack([pair // (len(w) + longest), pair % (len(w) + longest) - longest], 1)
 
 
 def best_window(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -139,30 +167,39 @@ def best_window(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 def _matches(index: Index, w: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """text, item, from, words, distance: for each text of w (a 0 ends each) and item its best window."""
-    ends = np.flatnonzero(w == 0)
+    ends, lists = np.flatnonzero(w == 0), w.tolist()
+    found = index.candidates(w)
+    # The place may lie before the text; the item's middle decides which text is meant.
+    middles = found[:, 1] + np.array([len(x) // 2 for x in index.items], np.int64)[found[:, 0]] if len(found) else found[:, 1]
     by: dict[tuple[int, int], list[int]] = {}
-    for item, at in index.candidates(w):
-        # The place may lie before the text; the item's middle decides which text is meant.
-        text = int(np.searchsorted(ends, at + len(index.items[item]) // 2))
+    for text, (item, at) in zip(np.searchsorted(ends, middles).tolist(), found.tolist(), strict=True):
         by.setdefault((text, item), []).append(at)
+    known: dict[int, list[int]] = {}
     out = []
     for (text, item), places in sorted(by.items()):
         if text >= len(ends):
             continue
         first, last = (int(ends[text - 1]) + 1 if text else 0), int(ends[text])
         x = index.items[item]
-        n, k = len(x), len(x) * EDIT_PERCENT // 100
-        best, tried = None, -1
-        for at in sorted(places):
-            if first <= at and at + n <= last and np.array_equal(w[at : at + n], x):
+        if item not in known:
+            known[item] = x.tolist()
+        n, k, xs = len(x), len(x) * EDIT_PERCENT // 100, known[item]
+        best, spans = None, []
+        for at in places:
+            if first <= at and at + n <= last and lists[at : at + n] == xs:
                 best = (0, at, n)
                 break
-        for at in sorted(places) if best is None else ():
-            a, b = max(first, at - k), min(last, at + n + k)
+        for at in places if best is None else ():
+            # Places that differ by edits before them are one.
+            if spans and at - spans[-1][1] <= k:
+                spans[-1][1] = at
+            else:
+                spans.append([at, at])
+        for lo, hi in spans:
+            a, b = max(first, lo - k), min(last, hi + n + k)
             # Each edit spoils one word: n - k of the item's words at least stand in the window.
-            if b <= tried or b - a < n - k or int(np.isin(x, w[a:b]).sum()) < n - k:
+            if b - a < n - k or sum(map(set(lists[a:b]).__contains__, xs)) < n - k:
                 continue
-            tried = b
             d, s, e = best_window(x, w[a:b])
             if d <= k and (best is None or d < best[0]):
                 best = (d, a + s, e - s)
@@ -171,31 +208,54 @@ def _matches(index: Index, w: np.ndarray) -> list[tuple[int, int, int, int, int]
     return out
 
 
-def planted_recall(index: Index, seed: int = 3, copies: int = 4, most: int = 500) -> float:
-    """The share of edited items (as many random edits as allowed, inside foreign words) that candidates() finds."""
-    rng, found, all_ = np.random.default_rng(seed), 0, 0
-    long_enough = [i for i, w in enumerate(index.items) if len(w) >= MIN_WORDS][:most]
-    for i in long_enough:
-        for _ in range(copies):
+def planted_recall(index: Index, seed: int = 3, copies: int = 4) -> dict[int, float]:
+    """By length class the share of edited items (as many random edits as allowed, inside foreign
+    words) that candidates() finds: all items in ``copies`` copies, and PLANTED a class at least."""
+    rng, found, all_ = np.random.default_rng(seed), {}, {}
+    by: dict[int, list[int]] = {}
+    for i, w in enumerate(index.items):
+        if len(w) >= MIN_WORDS:
+            by.setdefault(length_class(len(w)), []).append(i)
+    foreign = lambda n: rng.integers(1, 1 << 62, n).tolist()
+
+    def measure(planted: list[tuple[int, int]], texts: list[int]) -> None:
+        got: dict[int, list[int]] = {}
+        for item, at in index.candidates(np.array(texts, np.uint64)).tolist():
+            got.setdefault(item, []).append(at)
+        for i, at in planted:
+            n = len(index.items[i])
+            c, places = length_class(n), np.array(got.get(i, []), np.int64)
+            all_[c] = all_.get(c, 0) + 1
+            found[c] = found.get(c, 0) + bool((np.abs(places - at) <= n * EDIT_PERCENT // 100).any())
+
+    planted, texts = [], []
+    for mine in by.values():
+        for i in mine * max(copies, -(-PLANTED // len(mine))):
             w = index.items[i].tolist()
             for _ in range(len(w) * EDIT_PERCENT // 100):
                 at, kind = int(rng.integers(len(w))), int(rng.integers(3))
-                new = int(rng.integers(1, 1 << 62))
-                w[at : at + (kind != 1)] = [new] if kind != 2 else []
-            text = np.array([*rng.integers(1, 1 << 62, 20).tolist(), *w, *rng.integers(1, 1 << 62, 20).tolist(), 0], np.uint64)
-            all_ += 1
-            k = len(w) * EDIT_PERCENT // 100 + 2
-            found += any(j == i and abs(at - 20) <= 2 * k for j, at in index.candidates(text))
-    return found / all_ if all_ else 1.0
+                w[at : at + (kind != 1)] = foreign(1) if kind != 2 else []
+            planted.append((i, len(texts) + 20))
+            texts += [*foreign(20), *w, *foreign(20), 0]
+            if len(texts) >= 8 * CHUNK:
+                measure(planted, texts)
+                planted, texts = [], []
+    if planted:
+        measure(planted, texts)
+    return {c: found[c] / n for c, n in all_.items()}
 
 
 def build(items: list[np.ndarray]) -> Index:
-    """The index with as few repetitions as reach RECALL."""
+    """The index with as few repetitions as reach RECALL in every length class; classes that
+    MOST_REPETITIONS do not bring there are searched exactly."""
     n = 4
     while True:
         index = Index(items, n)
-        if n >= MOST_REPETITIONS or planted_recall(index) >= RECALL:
+        short = frozenset(c for c, share in planted_recall(index).items() if share < RECALL)
+        if not short:
             return index
+        if n >= MOST_REPETITIONS:
+            return Index(items, n, short)
         n += 4
 
 
