@@ -86,6 +86,13 @@ def test_quality_rejects_junk_only(frame):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.kept}
 
 
+def test_quality_keeps_long_clean_documents(frame):
+    rng = random.Random(21)
+    texts = [words(rng, rng.randrange(80, 160), 40_000) for _ in range(150)] + [words(rng, 20_000, 40_000)]
+    got = {r.doc_id: r for r in quality.verdicts(frame(texts, source=lambda i: "s")).collect()}
+    assert got[150].kept and sum(got[i].kept for i in range(150)) >= 149
+
+
 def test_quality_on_odd_tables(odd, empty):
     got = quality.verdicts(odd).collect()
     assert len(got) == odd.count() and {r.base_failed for r in got if r.n_words < 50} == {True}

@@ -3,7 +3,8 @@
 Every document becomes a vector of five transformed statistics.  For each language and source
 the regularised minimum-covariance-determinant (MCD) estimate is found by concentration steps
 (Rousseeuw and Van Driessen 1999, deterministic starts as in Hubert et al. 2012), and documents
-whose squared Mahalanobis distance from it exceeds a chi-square quantile are rejected.
+whose squared Mahalanobis distance from it exceeds a chi-square quantile are rejected.  Length
+counts on one side only: a document is measured as of the best length up to its own.
 
 Scale.  The text is read once.  A concentration step is one join of the statistics with the
 groups' estimates and one aggregation by (group, start, distance bin): sums are combined before
@@ -154,8 +155,12 @@ def _edge(b):
     return np.expm1(b / 64)
 
 
-def _distance() -> F.Column:
+def _distance(one_sided: bool = False) -> F.Column:
+    """The squared distance; one_sided, the least for any length from the centre's up to the document's own."""
     d = [f"(q{i} / {UNIT}D - center[{i}])" for i in range(DIM)]
+    if one_sided:
+        pull = " + ".join(f"precision[{j}] * {d[j]}" for j in range(1, DIM))
+        d[0] = f"least({d[0]}, greatest(0D, -({pull}) / precision[0]))"
     return F.expr(" + ".join(f"{1 if i == j else 2} * precision[{i * DIM + j}] * {d[i]} * {d[j]}" for i, j in _PAIRS))
 
 
@@ -202,7 +207,7 @@ def verdicts(docs: DataFrame) -> DataFrame:
     vectors = staged(_groups(stats), "quality-groups")
     found = staged(estimates(vectors), "quality-estimates")
     found = F.broadcast(found) if found.count() <= BROADCAST_GROUPS else found
-    scored = vectors.join(found, "grp", "left").withColumn("distance", F.greatest(_distance(), F.lit(0.0)) / F.col("scale"))
+    scored = vectors.join(found, "grp", "left").withColumn("distance", F.greatest(_distance(one_sided=True), F.lit(0.0)) / F.col("scale"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     inside = F.coalesce(F.col("distance") <= chi2_quantile(CUTOFF, DIM), F.lit(True))
     return scored.select("doc_id", "row_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & inside).alias("kept"), "distance")
