@@ -1,8 +1,11 @@
 """WARC archives and main texts."""
 
 import gzip
+import random
+from html import escape
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import html, warc
 
@@ -21,6 +24,53 @@ def test_extraction():
     assert html.below(html.parse("<div>plain <i>text</i> &eacute;"), "/div") == ["plain text é"]
 
 
+@pytest.mark.parametrize(("body", "blocks"), [
+    ("<p>A <math>x</math> b <button>no</button>c<svg><text>no</text></svg> d</p>", ["A x b c d"]),
+    ("<article><h1 class='header'>H</h1><p class='share'>kept</p><div class='share-buttons'>no</div><div class='entry-header'><h2>sub</h2></div></article>", ["H", "kept", "sub"]),
+    ("<div class='post has-comments'><h1>T</h1><p>long text of the post</p><div class='comments'><p>First!</p></div></div>", ["T", "long text of the post"]),
+    ("<nav><a href='/'>Home</a><article><p>left open above</p></article>", ["left open above"]),
+    ("<p>one<select><option>no</p><p>two</p>", ["one", "two"]),
+    ("<div>a&nbsp;b \t\n c</div>", ["a\u00a0b c"]),
+    ("<main>" + "<div>" * 3000 + "deep", ["deep"]),
+])
+def test_what_counts_as_text(body, blocks):
+    for head in ("<head><title>t</title></head><body>", "<head><title>t</title><body>", ""):
+        page = html.parse(f"<html>{head}{body}")
+        assert [t for t, _, _ in page.blocks] == blocks
+
+
+def page_of(rng, i):
+    """A page of known main text: its html and the text."""
+    vocabulary = ["alpha", "b&b", "çé", "x<y", "word", "7", "\u00a0", "\U0001f600"]
+    blocks = [" ".join(rng.choices(vocabulary[:6], k=rng.randrange(3, 40))) for _ in range(rng.randrange(1, 12))]
+    esc = lambda t: "".join(rng.choice([escape(c), f"&#{ord(c)};", f"&#x{ord(c):x};"]) if c in "&<" else c for c in t)
+    inline = lambda t: rng.choice(["{}", "<b>{}</b>", "<p><i>{}<br></i>", "\n {} \t", "<span class=ad-word>{}</span>"]).format(esc(t).replace(" ", rng.choice([" ", "  ", "\n"])))
+    parts = [f"<{tag}>{inline(t)}</{tag}>" for t, tag in zip(blocks, rng.choices(["p", "h2", "li", "div", "blockquote", "td"], k=len(blocks)), strict=True)]
+    noise = ["<nav><ul><li><a href=/>Home</a></ul></nav>", "<div class='ad'>Buy this now</div>", "<div id='cookie-banner'><p>Cookies!</p></div>", "<form>Mail <input> <button>Send</button></form>", "<aside><p>Related things</p></aside>", "<footer>&copy; us</footer>", "<script>var a='</p>'</script>", "<section class='comments'><p>Nice words</p></section>", "<!-- no -->"]
+    rng.shuffle(noise)
+    k = rng.randrange(len(noise))
+    return f"<html><head><title>T{i}</title></head><body>{''.join(noise[:k])}<article class='post{i}'>{''.join(parts)}</article>{''.join(noise[k:])}</body></html>", "\n".join(blocks)
+
+
+def test_extract_against_known_texts(spark):
+    rng = random.Random(4)
+    made = [page_of(rng, i) for i in range(300)]
+    long_, text = page_of(rng, 1)
+    made.append((long_.replace("</article>", "<p>very long</p>" * 100_000 + "</article>"), text + "\nvery long" * 100_000))
+    df = spark.createDataFrame([(i, f"https://h{i % 7}.example.org/{i}", h, "k", "w", 1) for i, (h, _) in enumerate(made)], "page_id long, url string, html string, key string, own string, host int")
+    got = {r.page_id: r for r in html.extract(df).collect()}
+    assert [got[i].text for i in range(len(made))] == [t for _, t in made]
+    assert all(r.n_chars == len(r.text) for r in got.values())
+
+
+def test_ties_of_paths_and_copies(spark):
+    a, b = "<body><div class='x'><p>one two</p></div></body>", "<body><div class='y'><p>one two</p></div></body>"
+    rows = [(1, "http://h/1", a), (2, "http://h/2", b), (2, "http://h/2", b), (3, "http://h/3", a + "<p>zz</p>"), (4, "http://h/4", "<div class='y'>no</div>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert html.host_paths(html.own_texts(df).withColumn("size", F.length("text"))).collect()[0].path == "/body/div.x"
+    assert sorted((r.page_id, r.text) for r in html.extract(df).collect())[:4] == [(1, "one two"), (2, "one two"), (2, "one two"), (3, "one two")]
+
+
 def test_hosts_agree_on_a_path(spark):
     a = '<body><div class="main1"><p>{}</p></div><div class="more"><p>{}</p></div></body>'
     rows = [(i, "http://h.example.org/p", a.format("content " * 30, "other")) for i in range(5)] + [(9, "http://h.example.org/q", a.format("short", "other " * 40))]

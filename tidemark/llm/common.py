@@ -48,6 +48,12 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.xxhash64(F.col(doc_id), F.coalesce(t, F.lit("")), t.isNull())
 
 
+def identity(*columns: str) -> Column:
+    """128 bits of hash over the columns, as hex digits: rows equal in all of them are one row."""
+    nulls = [F.col(c).isNull() for c in columns]
+    return F.concat(*(F.lpad(F.hex(F.xxhash64(F.lit(seed), *columns, *nulls)), 16, "0") for seed in (1, 2)))
+
+
 def matching(rows: DataFrame, keys: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
     """rows joined by semi or anti join with keys (one column ``on``): the keys are broadcast if
     a count shows that they fit BROADCAST_ROWS, else both sides are shuffled."""

@@ -6,7 +6,8 @@ dropped), Spark sums the votes per host, and every page is extracted again below
 of its host; a page without that path falls back on its own best container.
 
 Scale.  A vote is a host, a path and a number: votes combine before they are dealt out.  Winners
-meet pages by a join on the host, in which adaptive execution splits hot hosts.
+meet (key, host, path) rows by a join on the host, in which adaptive execution splits hot hosts;
+no text takes part in it.  Only pages whose path lost are read and parsed a second time.
 """
 
 import re
@@ -17,101 +18,166 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import matching, staged
+from .common import identity, matching, staged
 
 # Element names by their role.
-BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
+BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CONTAINERS = frozenset("article body div main section td".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset("script style noscript template iframe object svg math canvas audio video map select textarea button form nav header footer aside menu dialog head title".split())
-RAW = frozenset(["script", "style"])
-CLOSED_BY_BLOCK = frozenset(["p"])
+DROPPED = frozenset("aside dialog footer form head header menu nav".split())
+#: Dropped, but standing inside a line of text: they end no block.
+MUTED = frozenset("button iframe noscript script select style svg template textarea title".split())
 FORMATTING = frozenset("a b big code em font i small span strong tt u".split())
-NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|copyright|disqus|discussion|footer|gdpr|header|hidden|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|pager|pagination|popup|promo\w*|related|replies|reply|respond|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|tags|toolbar|widget)(?:$|[\s_-])",
-    re.I,
-)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Where they are left open, the elements on the right end as one on the left begins.
+ENDS = {
+    "body": frozenset(["head"]),
+    "article": frozenset("nav menu head".split()),
+    "main": frozenset("nav menu head".split()),
+    **dict.fromkeys("blockquote h1 h2 h3 h4 h5 h6 ol p pre section table ul".split(), frozenset("button select title".split())),
+}
+# Words of class names and ids that label boilerplate, whole or as a beginning.
+NOISE = frozenset("ad ads banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright disqus discussion footer gdpr header hidden login masthead menu modal nav navbar navigation newsletter notice pager pagination popup related replies reply respond share sharing sidebar signup skip social subscribe tags toolbar widget".split())
+NOISY = ("advert", "promo", "sponsor")
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
-_SPACE = re.compile(r"\s+")
+_SPACE = re.compile(r"[\x20\t-\r]+")
+#: A container's share in text fades by this for each container between; what is below LEAST does not count.
+FADE, LEAST = 0.9, 1e-12
 
 
 class Node:
-    __slots__ = ("tag", "path", "noise", "blocks", "own", "links", "parent")
+    __slots__ = ("tag", "parent", "path", "box", "noise", "muted", "labelled", "titled", "story", "link", "size", "outer")
 
-    def __init__(self, tag: str, path: str, noise: bool, parent: "Node | None") -> None:
-        self.tag, self.path, self.noise, self.parent = tag, path, noise, parent
-        self.blocks: list[tuple[int, str]] = []
-        self.own = self.links = 0
+    def __init__(self, tag: str, parent: "Node | None", path: int) -> None:
+        self.tag, self.parent, self.path = tag, parent, path
+        self.noise = self.muted = self.story = self.link = False
+        if parent is not None:
+            self.noise, self.muted, self.story, self.link = parent.noise, parent.muted, parent.story, parent.link
+        self.labelled, self.titled, self.size = False, tag == "main", 0
+        # The next block element around it.
+        self.outer: Node | None = parent if parent is None or parent.parent is None or parent.tag in BLOCKS else parent.outer
+        self.box: Node | None = self if tag in CONTAINERS else parent and parent.box
 
 
 class Page(HTMLParser):
-    """One pass over the page: text blocks in order, each with the containers it lies in."""
+    """One pass over the page: text blocks in order, each with the element it lies in."""
 
     CDATA_CONTENT_ELEMENTS = ("script", "style")
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.root = Node("", "", False, None)
-        self.stack = [self.root]
-        self.blocks: list[tuple[str, Node, int]] = []  # text, innermost element, characters in links
+        self.kinds: dict[tuple[int, str], int] = {}  # a path is its parent's number and its last step
+        self.steps: list[tuple[int, str]] = [(0, "")]
+        self.root = Node("", None, 0)
+        self.nodes, self.stack, self.at = [self.root], [self.root], self.root
+        self.blocks: list[tuple[str, Node, int]] = []  # text, innermost block element, characters in links
         self.text: list[str] = []
         self.linked = 0
-        self.at = self.root
 
     def flush(self) -> None:
-        t = _SPACE.sub(" ", "".join(self.text)).strip()
+        t = _SPACE.sub(" ", "".join(self.text)).strip(" ")
         if t and not self.at.noise:
             self.blocks.append((t, self.at, self.linked))
         self.text, self.linked = [], 0
 
-    def block_of(self) -> Node:
-        return next(n for n in reversed(self.stack) if n.tag not in FORMATTING)
+    def step(self, parent: int, kind: str) -> int:
+        n = self.kinds.setdefault((parent, kind), len(self.steps))
+        if n == len(self.steps):
+            self.steps.append((parent, kind))
+        return n
+
+    def path_of(self, n: int) -> str:
+        out = []
+        while n:
+            n, kind = self.steps[n]
+            out.append(kind)
+        return "/" + "/".join(reversed(out))
+
+    def number_of(self, path: str) -> int | None:
+        n = 0
+        for kind in path[1:].split("/"):
+            if (n := self.kinds.get((n, kind))) is None:
+                return None
+        return n
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in VOID:
             if tag == "hr":
                 self.flush()
-            elif tag == "br":
+            elif tag == "br" and not self.stack[-1].muted:
                 self.text.append(" ")
             return
-        block = tag in BLOCKS or tag in DROPPED
+        block = tag in BLOCKS
         if block:
-            self.flush()
-            self.close(lambda n: n.tag in CLOSED_BY_BLOCK, lambda n: n.tag in CONTAINERS or n.tag in ("li", "blockquote"))
+            if not self.stack[-1].muted:
+                self.flush()
+            self.close(lambda n: n.tag == "p", lambda n: n.tag in CONTAINERS or n.tag in ("li", "blockquote"))
             if tag == "li":
                 self.close(lambda n: n.tag == "li", lambda n: n.tag in ("ul", "ol", "menu"))
-        known = dict(attrs)
+            if tag in ENDS:
+                self.close(lambda n: n.tag in ENDS[tag], lambda n: n.tag in CONTAINERS)
+            elif tag not in DROPPED:
+                self.close(lambda n: n.tag == "head", lambda n: n.tag in CONTAINERS)
+        known, top = dict(attrs), self.stack[-1]
+        node = top
+        if block:
+            kind = re.sub(r"\d+", "", ".".join([tag, *sorted(str(known.get("class") or "").lower().replace("/", "|").split())]))
+            node = Node(tag, top, self.step(top.path, kind))
+        else:
+            node = Node(tag, top, top.path)
+        node.story |= tag in ("article", "main")
+        node.link |= tag == "a"
+        node.muted |= tag in MUTED
         label = " ".join(str(known.get(k) or "") for k in ("class", "id"))
-        top = self.stack[-1]
-        noise = top.noise or tag in DROPPED and not (tag == "header" and any(n.tag == "article" for n in self.stack)) or "hidden" in known or known.get("aria-hidden") == "true" or str(known.get("role") or "").lower() in ROLES or bool(tag not in ("html", "body") and NOISE.search(label)) or bool(re.search(r"display\s*:\s*none", str(known.get("style") or "")))
-        kind = re.sub(r"\d+", "", ".".join([tag, *sorted(str(known.get("class") or "").lower().split())]))
-        self.stack.append(Node(tag, f"{top.path}/{kind}" if block else top.path, noise, top))
+        node.noise |= tag in DROPPED and not (tag == "header" and top.story) or "hidden" in known or known.get("aria-hidden") == "true" or str(known.get("role") or "").lower() in ROLES or bool(re.search(r"display\s*:\s*none", str(known.get("style") or "")))
+        if block and label != " " and tag not in ("html", "body", "main") and not (top.story and (tag in HEADINGS or tag == "p")):
+            words = re.split(r"[\s_-]+", label.lower())
+            node.labelled = any(w in NOISE and not (w == "header" and top.story) or w.startswith(NOISY) for w in words)
+        if tag == "h1":
+            up = node
+            while up is not None and not up.titled:
+                up.titled, up = True, up.parent
+        self.stack.append(node)
         if block:
-            self.at = self.stack[-1]
+            self.nodes.append(node)
+            self.at = node
 
     def close(self, what, until) -> None:
         for k in range(len(self.stack) - 1, 0, -1):
             if what(self.stack[k]):
                 del self.stack[k:]
-                self.at = self.block_of()
+                self.at = next(n for n in reversed(self.stack) if n.tag in BLOCKS or n is self.root)
                 return
             if until(self.stack[k]):
                 return
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in BLOCKS or tag in DROPPED:
+        if tag in BLOCKS and not self.stack[-1].muted:
             self.flush()
         if tag in FORMATTING:
             self.close(lambda n: n.tag == tag, lambda n: n.tag in BLOCKS and n.tag != "p")
         elif tag not in VOID:
-            self.close(lambda n: n.tag == tag, lambda n: n.tag in CONTAINERS and tag not in CONTAINERS and tag not in ("html",))
-        if tag in BLOCKS or tag in DROPPED:
-            self.at = self.block_of()
+            self.close(lambda n: n.tag == tag, lambda n: n.tag in CONTAINERS and tag not in CONTAINERS and tag != "html")
 
     def handle_data(self, data: str) -> None:
-        self.text.append(data)
-        if any(n.tag == "a" for n in self.stack):
-            self.linked += len(data)
+        top = self.stack[-1]
+        if not top.muted:
+            self.text.append(data)
+            self.linked += len(data) if top.link else 0
+
+    def finish(self) -> None:
+        """Ends the page and takes away the blocks below elements with a label of noise.  Such an
+        element stays where it holds the page's title and most of its text."""
+        self.flush()
+        for text, node, _ in self.blocks:
+            node.size += len(text)
+        for node in reversed(self.nodes[1:]):
+            node.outer.size += node.size
+        for node in self.nodes[1:]:
+            if node.labelled and not (node.titled and 2 * node.size > self.root.size):
+                node.noise = True
+            node.noise = node.noise or node.outer.noise
+        self.blocks = [b for b in self.blocks if not b[1].noise]
 
 
 def parse(html: str) -> Page:
@@ -119,34 +185,38 @@ def parse(html: str) -> Page:
     page.feed(html)
     # What a cut tag at the end leaves is markup, what a cut reference leaves is text.
     rest = page.rawdata
-    if rest and not rest.startswith("<") and "<" not in rest:
+    if rest and "<" not in rest:
         page.handle_data(unescape(rest))
     page.rawdata = ""
-    page.flush()
+    page.finish()
     return page
 
 
-def _score(page: Page) -> dict[str, float]:
-    """By generalised path: what its containers hold, nearer blocks counting more, links against."""
-    out: dict[str, float] = {}
+def _score(page: Page) -> dict[int, float]:
+    """By path: what its containers hold, nearer blocks counting more, links against."""
+    out: dict[int, float] = {}
     for text, node, linked in page.blocks:
-        worth, share = max(0, len(text) - 2 * linked), 1.0
-        while node is not None:
-            if node.tag in CONTAINERS or node.tag in ("main", "article"):
-                bonus = 1.5 if node.tag in ("article", "main") else 1.0
-                out[node.path] = out.get(node.path, 0.0) + worth * share * bonus
-                share *= 0.9
-            node = node.parent
+        worth, share, box = max(0, len(text) - 2 * linked), 1.0, node.box
+        while box is not None and share > LEAST:
+            out[box.path] = out.get(box.path, 0.0) + worth * share * (1.5 if box.tag in ("article", "main") else 1.0)
+            share, box = share * FADE, box.parent.box
     return out
 
 
 def best_path(page: Page) -> str | None:
     scores = _score(page)
-    return max(scores, key=lambda p: (scores[p], p)) if scores else None
+    if not scores:
+        return None
+    most = max(scores.values())
+    return max(page.path_of(n) for n, s in scores.items() if s == most)
 
 
 def below(page: Page, path: str) -> list[str]:
-    return [t for t, node, _ in page.blocks if node.path == path or node.path.startswith(path + "/")]
+    """The blocks that stand in or below elements of that path."""
+    inside, found = [False], page.number_of(path)
+    for n, (parent, _) in enumerate(page.steps[1:], 1):  # a step's parent stands before it
+        inside.append(inside[parent] or n == found)
+    return [t for t, node, _ in page.blocks if inside[node.path]]
 
 
 def _first(batches):
@@ -163,25 +233,27 @@ def _first(batches):
 def _again(batches):
     for b in batches:
         texts = []
-        for html, path, text in zip(b.column("html").to_pylist(), b.column("path").to_pylist(), b.column("text").to_pylist(), strict=True):
-            texts.append("\n".join(below(parse(html or ""), path)) or text)
+        for html, path, own in zip(*(b.column(c).to_pylist() for c in ("html", "path", "own")), strict=True):
+            page = parse(html or "")
+            texts.append("\n".join(below(page, path) or below(page, own)))
         yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
 def _hosted(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host.alias("host"), F.xxhash64("page_id", "url", "html").alias("key"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    return rows.withColumn("host", host).withColumn("key", identity("page_id", "url", "html"))
 
 
 def own_texts(pages: DataFrame) -> DataFrame:
     """key, page_id, url, host, own (the page's best path), text (what stands below it)."""
-    return _hosted(pages).select("key", "page_id", "url", "host", "html").mapInArrow(_first, "key long, page_id long, url string, host string, own string, text string")
+    return _hosted(pages).select("key", "page_id", "url", "host", "html").mapInArrow(_first, "key string, page_id long, url string, host string, own string, text string")
 
 
 def host_paths(own: DataFrame) -> DataFrame:
     """The winning path of each host: of, path.  A page's vote counts once; ties go to the path
-    with more text (10,000 characters of a page at most), then to the one that sorts first."""
-    sums = own.where("own is not null").groupBy("host", "own").agg(F.count("*").alias("n"), F.sum(F.least(F.length("text"), F.lit(10_000))).alias("w"))
+    with more text, then to the one that sorts first."""
+    sums = own.where("own is not null").groupBy("host", "own").agg(F.count("*").alias("n"), F.sum("size").alias("w"))
     return sums.groupBy("host").agg(F.min_by("own", F.struct(-F.col("n"), -F.col("w"), "own")).alias("path")).select(F.col("host").alias("of"), "path")
 
 
@@ -194,10 +266,10 @@ def extract(pages: DataFrame) -> DataFrame:
     get equal texts; other columns are ignored.
     """
     own = staged(own_texts(pages), "html-own")
-    voted = own.join(host_paths(own), F.col("host") == F.col("of"), "left")
-    agreed = F.col("own").isNull() | F.col("own").eqNullSafe(F.col("path"))
-    other = staged(voted.where(~agreed).select("key", "path", "text").dropDuplicates(["key"]), "html-other")
-    rows = matching(_hosted(pages).select("key", "page_id", "url", "html"), other.select("key"), "key").join(other, "key")
-    again = rows.select("page_id", "url", "html", "path", "text").mapInArrow(_again, "page_id long, url string, text string")
-    out = voted.where(agreed).select("page_id", "url", "text").unionByName(again)
+    light = own.select("key", "host", "own", F.length("text").alias("size"))
+    voted = light.join(host_paths(light), F.col("host") == F.col("of"))
+    other = staged(voted.where("own <> path").select("key", "path", "own").dropDuplicates(["key"]), "html-other")
+    again = matching(_hosted(pages).select("key", "page_id", "url", "html"), other, "key", "inner")
+    again = again.select("page_id", "url", "html", "path", "own").mapInArrow(_again, "page_id long, url string, text string")
+    out = matching(own, other.select("key"), "key", "left_anti").select("page_id", "url", "text").unionByName(again)
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
