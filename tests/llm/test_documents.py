@@ -210,6 +210,31 @@ def test_signatures_lose_no_pair():
         assert np.array_equal(x, y) or len(np.intersect1d(a, c)) or meet
 
 
+def test_bitmap_filter_loses_no_pair():
+    rng = np.random.default_rng(26)
+    for n in (1, 5, 40, 300, 3000):
+        x = rng.integers(0, 1 << 62, n).astype(np.uint64)
+        for drop in {0, n // 8, n // 4}:
+            y = np.concatenate([x[drop:], rng.integers(0, 1 << 62, drop // 2).astype(np.uint64)])
+            differ = int(np.bitwise_count((jaccard.cells(x) ^ jaccard.cells(y)).view(np.uint64)).sum())
+            assert differ <= len(np.setxor1d(x, y))
+    far = [int(np.bitwise_count((jaccard.cells(x) ^ jaccard.cells(rng.integers(0, 1 << 62, 150).astype(np.uint64))).view(np.uint64)).sum()) for x in rng.integers(0, 1 << 62, (50, 150)).astype(np.uint64)]
+    assert 175 * min(far) > 25 * 300
+
+
+def test_jaccard_of_a_large_group(frame, monkeypatch):
+    """400 near copies of one text and 150 texts that share a passage: no join grows with the square."""
+    rng, rows = random.Random(27), collections.Counter()
+    monkeypatch.setattr(jaccard, "PAIR_BYTES", 5_000)
+    keep = jaccard.staged
+    monkeypatch.setattr(jaccard, "staged", lambda df, name: rows.update({name: (out := keep(df, name)).count()}) or out)
+    base, passage = words(rng, 120, 5000), words(rng, 60, 5000)
+    texts = [edited(rng, base, rng.choice([0.01, 0.03, 0.05])) for _ in range(400)] + [passage + " " + words(rng, 40, 5000) for _ in range(150)] + [base] * 100
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.clusters(frame(texts)).collect()}
+    assert got == brute_components(list(enumerate(texts)))
+    assert all(n <= 20 * len(texts) for name, n in rows.items() if name in ("jaccard-single", "jaccard-candidates", "jaccard-first", "jaccard-second", "jaccard-links"))
+
+
 def test_jaccard_on_odd_tables(odd, empty):
     got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.clusters(odd).collect()}
     assert {(1, 0, 1), (2, 0, 2), (3, 0, 3), (None, 0, None), (5, 2, 5), (8, 2, 5), (7, 7919, 6)} <= got

@@ -10,14 +10,14 @@ two shared ones only if k - 1 exceeds the mismatches there, and pairs within sub
 indexed.  Whichever set's prefix ends first in the global order, what it shares lies in both
 prefixes, so no pair is lost.  Candidates are verified on the whole sets.
 
-Equal sets are one node from the start.  Rare signatures have fewer than ``frequent`` nodes and
-give all their pairs.  A pair signature may be hot: its nodes are first compared with two pivots
-only; components are formed; and only signatures that still join several components give further
-pairs, each between nodes not yet connected.  No group's pairs are ever enumerated as a whole.
+Equal sets are one node from the start.  A rare signature of up to FREQUENT nodes gives all their
+pairs.  Any other signature may be hot: its nodes are first compared with two pivots only;
+components are formed; and only signatures that still join several components give further pairs,
+each between nodes not yet connected.  Before texts are read, every pair must pass a bitmap filter
+(Sandes et al. 2017): the parities of a set's hashes in BITS cells differ in no more cells than
+the sets differ in shingles, so what differs in more cells than a link allows is no link.
 """
 
-from functools import lru_cache
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -33,6 +33,9 @@ SHINGLE, PERCENT = 5, 75
 #: Least document frequency of a frequent shingle; doubled until MAX_FREQUENT shingles (8 bytes each, broadcast) suffice.
 FREQUENT, MAX_FREQUENT = 32, 1_000_000
 PER_SUBCLASS = 4
+#: Cells of the bitmap filter, in long columns; bytes of the texts of one group of pairs to verify.
+BITS, PAIR_BYTES = 512, 24 << 20
+CELLS = [f"c{i}" for i in range(BITS // 64)]
 
 
 class Shingles:
@@ -54,11 +57,23 @@ def _rows(b: pa.RecordBatch):
     return b.column("text").cast(pa.binary()).to_pylist()
 
 
+def cells(s: np.ndarray) -> np.ndarray:
+    """The parities of the numbers of shingles in each of BITS cells, as longs."""
+    at = (mix(s ^ np.uint64(0x2F)) % np.uint64(BITS)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
+_NODES = "doc_id long, key long, n long, bytes long, node long, " + ", ".join(f"{c} long" for c in CELLS)
+
+
 def _nodes(batches):
-    make = Shingles()
+    make, empty = Shingles(), np.zeros(len(CELLS), np.int64)
     for b in batches:
-        sets = [make(t) for t in _rows(b)]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())], names=["doc_id", "key", "n", "node"])
+        texts = _rows(b)
+        sets = [make(t) for t in texts]
+        drawn = np.array([cells(s) if len(s) else empty for s in sets], np.int64).reshape(-1, len(CELLS)).T
+        cols = [pa.array([len(s) for s in sets], pa.int64()), pa.array([len(t or b"") for t in texts], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), *cols, *(pa.array(c) for c in drawn)], names=["doc_id", "key", "n", "bytes", "node", *CELLS])
 
 
 #: Shingles that a map task gathers before it passes them on.
@@ -151,22 +166,32 @@ def signatures(s: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return mix(rare ^ np.uint64(0x5151)), pairs_, np.arange(len(pairs_)) >= own
 
 
-def _signed(common, buckets: int):
-    def run(batches):
+_PACKED = "bucket int, sigs binary, nodes binary, sizes binary, frequent binary, low binary"
+
+
+def _signatures(rows: DataFrame, common, short: int, buckets: int) -> DataFrame:
+    """Packed rows of signatures: single ones by bucket, pair signatures in bucket -1."""
+
+    def send(batches):
         known = common.value
         for sets in _distinct_sets(batches):
             single, pair = [], []
             for node, s in sets.items():
-                bucket, short = _short(s, buckets)
-                t = short.astype(np.int64) * buckets + bucket
+                bucket, token = _short(s, short)
+                t = token.astype(np.int64) * short + bucket
                 at = np.minimum(np.searchsorted(known, t), max(len(known) - 1, 0))
                 marks = known[at] == t if len(known) else np.zeros(len(s), bool)
                 a, b, low = signatures(s, marks)
                 single.append((a, np.full(len(a), node, np.int64), np.full(len(a), len(s), np.int32)))
                 pair.append((b, np.full(len(b), node, np.int64), np.full(len(b), len(s), np.int32), np.full(len(b), int(marks.sum()), np.int32), low))
-            yield [np.concatenate(x) for x in zip(*single, strict=True)], [np.concatenate(x) for x in zip(*pair, strict=True)]
+            h, k, n = (np.concatenate(x) for x in zip(*single, strict=True))
+            out = [(*r, b"", b"") for r in _split((h % np.uint64(buckets)).astype(np.int32), h, k, n)]
+            h, k, n, f, low = (np.concatenate(x) for x in zip(*pair, strict=True))
+            out += [(-1, *(x[i : i + PAIR_ROWS].tobytes() for x in (h, k, n, f, low))) for i in range(0, len(h), PAIR_ROWS)]
+            cols = list(zip(*out, strict=True)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["bucket", "sigs", "nodes", "sizes", "frequent", "low"])
 
-    return run
+    return staged(rows.mapInArrow(send, _PACKED), "jaccard-signatures")
 
 
 def compatible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -182,39 +207,47 @@ def _counted(rows: np.ndarray) -> np.ndarray:
     return np.column_stack([rows[at, :2], np.add.reduceat(rows[:, 2], at)])
 
 
-def _single_pairs(rows: DataFrame, common, short: int, size: int) -> DataFrame:
-    """a < b, shared: nodes whose sizes allow a link and how many rare signatures they share (by bucket)."""
-    buckets = max(8, int(size / 5.5 / 2 / PER_BUCKET) + 1)
-
-    def send(batches):
-        for (h, k, n), _ in _signed(common, short)(batches):
-            got = list(zip(*_split((h % np.uint64(buckets)).astype(np.int32), h, k, n), strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(got[0], pa.int32()), *(pa.array(x, pa.binary()) for x in got[1:])], names=["bucket", "hashes", "keys", "sizes"])
+def _single_pairs(packed: DataFrame) -> DataFrame:
+    """a < b, shared: nodes whose sizes allow a link and how many rare signatures they share (by
+    bucket); of signatures with more than FREQUENT nodes instead rows (a: signature, b: node, shared: size, hot)."""
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        h, k, n = _join(pdf["hashes"], np.uint64), _join(pdf["keys"], np.int64), _join(pdf["sizes"], np.int32)
+        h, k, n = _join(pdf["sigs"], np.uint64), _join(pdf["nodes"], np.int64), _join(pdf["sizes"], np.int32)
         order = np.lexsort((k, h))
-        order = order[repeats(h[order])]
         h, k, n = h[order], k[order], n[order]
+        new = np.concatenate([[True], (h[1:] != h[:-1]) | (k[1:] != k[:-1])])  # a node is sent once by each task
+        h, k, n = h[new], k[new], n[new]
+        new = repeats(h)
+        h, k, n = h[new], k[new], n[new]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
+        many = np.repeat(np.diff(np.append(first, len(h))) > FREQUENT, np.diff(np.append(first, len(h))))
+        hot = np.stack([h[many].view(np.int64), k[many], n[many].astype(np.int64)], 1)
+        h, k, n = h[~many], k[~many], n[~many]
         found = np.empty((0, 3), np.int64)
-        for d in range(1, len(h)):
+        for d in range(1, FREQUENT):
             same = h[d:] == h[:-d]
             if not same.any():
                 break
-            ok = same & (k[d:] != k[:-d]) & compatible(n[d:], n[:-d])
+            ok = same & compatible(n[d:], n[:-d])
             found = _counted(np.concatenate([found, np.stack([k[:-d][ok], k[d:][ok], np.ones(int(ok.sum()), np.int64)], 1)]))
-        return pd.DataFrame(found, columns=["a", "b", "shared"])
+        out = pd.DataFrame(np.concatenate([found, hot]), columns=["a", "b", "shared"])
+        out["hot"] = np.arange(len(out)) >= len(found)
+        return out
 
-    sent = rows.mapInArrow(send, "bucket int, hashes binary, keys binary, sizes binary")
-    return sent.groupBy("bucket").applyInPandas(meet, "a long, b long, shared long")
+    return packed.where("bucket >= 0").groupBy("bucket").applyInPandas(meet, "a long, b long, shared long, hot boolean")
 
 
-def _pair_signatures(rows: DataFrame, common, short: int) -> DataFrame:
-    def send(batches):
-        for _, (h, k, n, f, low) in _signed(common, short)(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(k), pa.array(n), pa.array(f), pa.array(low)], names=["sig", "node", "n", "f", "low"])
+#: Pair signatures in one packed row.
+PAIR_ROWS = 50_000
+
 
-    return rows.mapInArrow(send, "sig long, node long, n int, f int, low boolean")
+def _pair_signatures(packed: DataFrame) -> DataFrame:
+    def unpack(batches):
+        for b in batches:
+            cols = [np.frombuffer(b"".join(b.column(c).to_pylist()), t) for c, t in zip(("sigs", "nodes", "sizes", "frequent", "low"), (np.int64, np.int64, np.int32, np.int32, bool), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["sig", "node", "n", "f", "low"])
+
+    return packed.where("bucket = -1").mapInArrow(unpack, "sig long, node long, n int, f int, low boolean")
 
 
 #: Sets with pair signatures index all their rare shingles singly.  So two of them that meet in pair
@@ -223,26 +256,46 @@ def _pair_signatures(rows: DataFrame, common, short: int) -> DataFrame:
 _FIT = f"{100 + PERCENT}L * least(f, g) >= {PERCENT}L * (n + m)"
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold.  Texts travel, which are shorter than sets."""
-    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    keys = staged(nodes.join(needed, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key")), "jaccard-needed")
-    keys = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
-    texts = rows.join(keys, "key").select("node", "text").groupBy("node").agg(F.first("text").alias("text"))
-
-    def verify(batches):
-        make = lru_cache(256)(Shingles())  # a pivot's pairs come together
-        for b in batches:
-            ok = []
-            for p, q in zip(*(b.column(c).cast(pa.binary()).to_pylist() for c in ("text_a", "text_b")), strict=True):
-                p, q = make(p), make(q)
-                both = np.sort(np.concatenate([p, q]))
-                shared = int((both[1:] == both[:-1]).sum())
-                ok.append(100 * shared >= PERCENT * (len(both) - shared))
-            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    met = pairs.select("a", "b").join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return met.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a long, b long")
+def _differ(a: str, b: str) -> str:
+    """Whether two rows' cells and sizes (columns named by these patterns) allow a link: sets of sizes n
+    and m that link differ in (100 - PERCENT) / (100 + PERCENT) of n + m shingles at most."""
+    cells_ = " + ".join(f"bit_count({a.format(c)} ^ {b.format(c)})" for c in CELLS)
+    return f"{100 + PERCENT}L * ({cells_}) <= {100 - PERCENT}L * ({a.format('n')} + {b.format('n')})"
+
+
+def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b, ...) that pass the bitmap filter, with ``bytes`` of their texts."""
+    of = lambda c: classes.select(*(F.col(x).alias(f"{x}_{c}") for x in ("node", "n", "bytes", *CELLS)))
+    both = pairs.join(of("a"), F.col("a") == F.col("node_a")).join(of("b"), F.col("b") == F.col("node_b")).where(_differ("{}_a", "{}_b"))
+    return both.select(*pairs.columns, (F.col("bytes_a") + F.col("bytes_b")).alias("bytes"))
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets reach the threshold.  Pairs are dealt to groups of PAIR_BYTES of
+    texts at most (but for a single pair's), each of which gets a text once."""
+    groups = int((pairs.agg(F.sum("bytes")).first()[0] or 0) // PAIR_BYTES) + 1
+    dealt = pairs.select("a", "b", F.pmod(F.xxhash64("a", "b"), F.lit(groups)).cast("int").alias("grp"))
+    needed = dealt.select("grp", F.col("a").alias("node")).unionByName(dealt.select("grp", F.col("b").alias("node"))).distinct()
+    needed = staged(classes.select("node", "key", "copies").join(needed, "node"), "jaccard-needed")
+    wanted = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
+    texts = rows.join(wanted, "key").select("grp", "node", "copies", "text")
+    if needed.where("copies > 1").limit(1).count():  # rows that repeat id and text: one of them is sent
+        texts = texts.where("copies = 1").unionByName(texts.where("copies > 1").groupBy("grp", "node").agg(F.lit(1).cast("long").alias("copies"), F.first("text").alias("text")))
+    sent = texts.select("grp", F.col("node").alias("a"), F.col("node").alias("b"), F.col("text").cast("binary").alias("text")).unionByName(dealt.select("grp", "a", "b", F.lit(None).cast("binary").alias("text")))
+
+    def verify(pdf: pd.DataFrame) -> pd.DataFrame:
+        make = Shingles()
+        ab, held = pdf[["a", "b"]].to_numpy(), pdf["text"].notna().to_numpy()
+        sets = {node: make(t) for node, t in zip(ab[held, 0].tolist(), pdf["text"].to_numpy()[held], strict=True)}
+        ab = ab[~held]
+        ok = np.zeros(len(ab), bool)
+        for i, (a, b) in enumerate(ab.tolist()):
+            both = np.sort(np.concatenate([sets[a], sets[b]]))
+            shared = int((both[1:] == both[:-1]).sum())
+            ok[i] = 100 * shared >= PERCENT * (len(both) - shared)
+        return pd.DataFrame(ab[ok], columns=["a", "b"])
+
+    return sent.groupBy("grp").applyInPandas(verify, "a long, b long")
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -256,46 +309,54 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents with their node (doc_id, key, n, node; null for empty sets), and the links (a, b)
     found between nodes: enough of them to connect every two documents that links connect."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row_key().alias("key"))
-    nodes = staged(rows.mapInArrow(_nodes, "doc_id long, key long, n long, node long"), "jaccard-nodes")
+    nodes = staged(rows.mapInArrow(_nodes, _NODES), "jaccard-nodes")
+    least = {x: F.min(x).alias(x) for x in ("n", "bytes", *CELLS)}
+    keyed = nodes.where("node is not null").groupBy("node", "key").agg(F.count("*").alias("copies"), *least.values())
+    classes = staged(keyed.groupBy("node").agg(*least.values(), F.min(F.struct("key", "copies")).alias("k")).select("node", *least, "k.key", "k.copies"), "jaccard-classes")
     texts, size, sc = rows.select("text"), text_bytes(rows), docs.sparkSession.sparkContext
     found, short = frequencies(texts, size)
     found = staged(found, "jaccard-frequent")
     steps = {r.p: r.n for r in found.groupBy(F.floor(F.log2("df")).alias("p")).agg(F.count("*").alias("n")).collect()}
-    least = FREQUENT
-    while sum(n for p, n in steps.items() if 2**p >= least) > MAX_FREQUENT:
-        least *= 2
-    tokens = np.sort(np.array([r.token for r in found.where(F.col("df") >= least).select("token").collect()], np.int64))
-    common = sc.broadcast(tokens)
-    pairs = _single_pairs(texts, common, short, size)
-    shared = staged(_pair_signatures(texts, common, short).distinct(), "jaccard-pair-signatures")
+    bound = FREQUENT
+    while sum(n for p, n in steps.items() if 2**p >= bound) > MAX_FREQUENT:
+        bound *= 2
+    tokens = np.sort(np.array([r.token for r in found.where(F.col("df") >= bound).select("token").collect()], np.int64))
+    packed = _signatures(texts, sc.broadcast(tokens), short, max(8, int(size / 5.5 / 2 / PER_BUCKET) + 1))
+    single = staged(_single_pairs(packed), "jaccard-single")
+    hot = single.where("hot").select(F.col("a").alias("sig"), F.col("b").alias("node"), *(F.col("shared").cast("int").alias(c) for c in "nf"), F.lit(False).alias("low"))
+    shared = staged(_pair_signatures(packed).unionByName(hot).distinct(), "jaccard-pair-signatures")
     # Two pivots: the node with the largest share of frequent shingles, which an original has among
     # its edited copies, and one by hash, which differs from signature to signature.
     member, central = F.struct("node", "n", "f", "low"), F.struct(~F.col("low"), F.col("f") / F.col("n"), F.col("node"))
     pivots = shared.groupBy("sig").agg(F.array_distinct(F.array(F.max_by(member, central), F.min_by(member, F.struct("low", F.xxhash64("sig", "node"))))).alias("ps"), F.count("*").alias("c")).where("c > 1")
     pivots = pivots.select("sig", F.explode("ps").alias("p")).where("not p.low").select("sig", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"), F.col("p.f").alias("g"))
     starred = shared.join(pivots, "sig").where(f"node <> pivot and {_FIT}").groupBy(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).agg(F.count("*").alias("shared"))
-    tried = staged(pairs.unionByName(starred).groupBy("a", "b").agg(F.sum("shared").alias("shared")), "jaccard-candidates")
-    linked = _connected(tried, rows, nodes, None)
+    tried = single.where("not hot").drop("hot").unionByName(starred).groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+    tried = staged(_plausible(tried, classes), "jaccard-candidates")
+    linked = _connected(tried, rows, classes, None)
     roots = staged(components(linked), "jaccard-roots")
-    # What shares a pair signature but no component, and was not compared yet.
+    # What shares a pair signature but no component, was not compared yet and passes the bitmap filter.
     placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     torn = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
-    torn = staged(placed.join(torn, "sig", "left_semi"), "jaccard-torn")
-    other = torn.select("sig", F.col("node").alias("node2"), F.col("root").alias("root2"), F.col("n").alias("m"), F.col("f").alias("g"), F.col("low").alias("low2"))
-    rest = torn.join(other, "sig").where(f"node < node2 and root <> root2 and not (low and low2) and {_FIT}").groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("shared")).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    rest = staged(rest, "jaccard-candidates")
-    return nodes, _connected(rest, rows, nodes, linked) if rest.limit(1).count() else linked
+    torn = placed.join(torn, "sig", "left_semi").join(classes.select("node", "bytes", *CELLS), "node")
+    torn = staged(torn.select("sig", "node", "root", "n", "f", "low", "bytes", *CELLS), "jaccard-torn")
+    other = torn.select("sig", F.col("node").alias("node2"), F.col("root").alias("root2"), F.col("n").alias("m"), F.col("f").alias("g"), F.col("low").alias("low2"), F.col("bytes").alias("bytes2"), *(F.col(c).alias(f"{c}_2") for c in CELLS))
+    met = torn.join(other, "sig").where(f"node < node2 and root <> root2 and not (low and low2) and {_FIT} and {_differ('{}', '{}_2').replace('n_2', 'm')}")
+    rest = met.groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("shared"), F.min(F.col("bytes") + F.col("bytes2")).alias("bytes"))
+    rest = staged(rest.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-candidates")
+    return nodes, _connected(rest, rows, classes, linked) if rest.limit(1).count() else linked
 
 
-def _connected(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, known: DataFrame | None) -> DataFrame:
+def _connected(pairs: DataFrame, rows: DataFrame, classes: DataFrame, known: DataFrame | None) -> DataFrame:
     """known links and those among pairs that connect more: each node is compared with the one it
     shares most with, and then only pairs that are still in different components."""
-    best = staged(pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b"), "jaccard-first")
-    linked = staged(_verified(best, rows, nodes), "jaccard-links")
+    best = pairs.groupBy("b").agg(F.max_by(F.struct("a", "bytes"), F.struct("shared", "a")).alias("p")).select("p.a", "b", "p.bytes")
+    best = staged(best, "jaccard-first")
+    linked = staged(_verified(best, rows, classes), "jaccard-links")
     linked = linked if known is None else known.unionByName(linked)
     roots = staged(components(linked), "jaccard-roots")
-    later = staged(_apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), roots), "jaccard-second")
-    return linked.unionByName(staged(_verified(later, rows, nodes), "jaccard-links"))
+    later = staged(_apart(pairs.select("a", "b", "bytes").join(best.select("a", "b"), ["a", "b"], "left_anti"), roots), "jaccard-second")
+    return linked.unionByName(staged(_verified(later, rows, classes), "jaccard-links"))
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
