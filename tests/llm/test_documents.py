@@ -218,6 +218,11 @@ def test_bitmap_filter_loses_no_pair():
             y = np.concatenate([x[drop:], rng.integers(0, 1 << 62, drop // 2).astype(np.uint64)])
             differ = int(np.bitwise_count((jaccard.cells(x) ^ jaccard.cells(y)).view(np.uint64)).sum())
             assert differ <= len(np.setxor1d(x, y))
+            link = 100 * len(np.intersect1d(x, y)) >= 75 * len(np.union1d(x, y))
+            if min(len(x), len(y)) > jaccard.BITS // 2 and link:
+                assert jaccard.may_link(len(x), len(y), jaccard.fine_cells(x), jaccard.fine_cells(y))
+    x, y = rng.integers(0, 1 << 62, (2, 5000)).astype(np.uint64)
+    assert not jaccard.may_link(5000, 3000, jaccard.fine_cells(x), jaccard.fine_cells(np.append(x[:2000], y[:1000])))
     far = [int(np.bitwise_count((jaccard.cells(x) ^ jaccard.cells(rng.integers(0, 1 << 62, 150).astype(np.uint64))).view(np.uint64)).sum()) for x in rng.integers(0, 1 << 62, (50, 150)).astype(np.uint64)]
     assert 175 * min(far) > 25 * 300
 

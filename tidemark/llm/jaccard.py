@@ -14,7 +14,7 @@ Equal sets are one node from the start.  A rare signature of up to FREQUENT node
 pairs.  Any other signature may be hot: its nodes are first compared with two pivots only;
 components are formed; and only signatures that still join several components give further pairs,
 each between nodes not yet connected.  Before texts are read, every pair must pass a bitmap filter
-(Sandes et al. 2017): the parities of a set's hashes in BITS cells differ in no more cells than
+(after Sandes et al. 2017): the parities of a set's hashes in BITS cells differ in no more cells than
 the sets differ in shingles, so what differs in more cells than a link allows is no link.
 """
 
@@ -33,7 +33,8 @@ SHINGLE, PERCENT = 5, 75
 #: Least document frequency of a frequent shingle; doubled until MAX_FREQUENT shingles (8 bytes each, broadcast) suffice.
 FREQUENT, MAX_FREQUENT = 32, 1_000_000
 PER_SUBCLASS = 4
-#: Cells of the bitmap filter, in long columns; bytes of the texts of one group of pairs to verify.
+#: Cells of the bitmap filter, in long columns; sets of over BITS / 2 shingles have a second, finer
+#: bitmap of two cells a shingle or more.  Bytes of the texts of one group of pairs to verify.
 BITS, PAIR_BYTES = 512, 24 << 20
 CELLS = [f"c{i}" for i in range(BITS // 64)]
 
@@ -57,13 +58,28 @@ def _rows(b: pa.RecordBatch):
     return b.column("text").cast(pa.binary()).to_pylist()
 
 
-def cells(s: np.ndarray) -> np.ndarray:
-    """The parities of the numbers of shingles in each of BITS cells, as longs."""
-    at = (mix(s ^ np.uint64(0x2F)) % np.uint64(BITS)).astype(np.int64)
-    return np.packbits((np.bincount(at, minlength=BITS) & 1).astype(np.uint8)).view(np.int64)
+def cells(s: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """The parities of the numbers of shingles in each of ``bits`` cells (a power of two), as longs.
+    The first half of twice as many cells, xor the second, is the same."""
+    at = (mix(s ^ np.uint64(0x2F)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).view(np.int64)
 
 
-_NODES = "doc_id long, key long, n long, bytes long, node long, " + ", ".join(f"{c} long" for c in CELLS)
+def fine_cells(s: np.ndarray) -> bytes | None:
+    return None if 2 * len(s) <= BITS else cells(s, 1 << (2 * len(s) - 1).bit_length()).tobytes()
+
+
+def may_link(n: int, m: int, x: bytes, y: bytes) -> bool:
+    """Whether fine cells of sets of n and m shingles allow a link."""
+    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(p) > len(q):
+        p = p[: len(p) // 2] ^ p[len(p) // 2 :]
+    while len(q) > len(p):
+        q = q[: len(q) // 2] ^ q[len(q) // 2 :]
+    return (100 + PERCENT) * int(np.bitwise_count(p ^ q).sum()) <= (100 - PERCENT) * (n + m)
+
+
+_NODES = "doc_id long, key long, n long, bytes long, node long, fine binary, " + ", ".join(f"{c} long" for c in CELLS)
 
 
 def _nodes(batches):
@@ -72,8 +88,8 @@ def _nodes(batches):
         texts = _rows(b)
         sets = [make(t) for t in texts]
         drawn = np.array([cells(s) if len(s) else empty for s in sets], np.int64).reshape(-1, len(CELLS)).T
-        cols = [pa.array([len(s) for s in sets], pa.int64()), pa.array([len(t or b"") for t in texts], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), *cols, *(pa.array(c) for c in drawn)], names=["doc_id", "key", "n", "bytes", "node", *CELLS])
+        cols = [pa.array([len(s) for s in sets], pa.int64()), pa.array([len(t or b"") for t in texts], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([fine_cells(s) for s in sets], pa.binary())]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), *cols, *(pa.array(c) for c in drawn)], names=["doc_id", "key", "n", "bytes", "node", "fine", *CELLS])
 
 
 #: Shingles that a map task gathers before it passes them on.
@@ -263,18 +279,36 @@ def _differ(a: str, b: str) -> str:
     return f"{100 + PERCENT}L * ({cells_}) <= {100 - PERCENT}L * ({a.format('n')} + {b.format('n')})"
 
 
-def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b, ...) that pass the bitmap filter, with ``bytes`` of their texts."""
+def _plausible(pairs: DataFrame, classes: DataFrame, fine: DataFrame) -> DataFrame:
+    """The pairs (a, b, shared) that pass the bitmap filter, with ``bytes`` of their texts."""
     of = lambda c: classes.select(*(F.col(x).alias(f"{x}_{c}") for x in ("node", "n", "bytes", *CELLS)))
     both = pairs.join(of("a"), F.col("a") == F.col("node_a")).join(of("b"), F.col("b") == F.col("node_b")).where(_differ("{}_a", "{}_b"))
-    return both.select(*pairs.columns, (F.col("bytes_a") + F.col("bytes_b")).alias("bytes"))
+    both = both.select("a", "b", "shared", (F.col("bytes_a") + F.col("bytes_b")).alias("bytes"), F.col("n_a").alias("n"), F.col("n_b").alias("m"))
+    return _finer(staged(both, "jaccard-coarse"), fine)
+
+
+def _finer(pairs: DataFrame, fine: DataFrame) -> DataFrame:
+    """Of pairs (a, b, shared, bytes, n, m) those that pass the finer bitmaps, where both sets have one."""
+
+    def check(batches):
+        for b in batches:
+            ok = [may_link(*r) for r in zip(*(b.column(c).to_pylist() for c in ("n", "m", "x", "y")), strict=True)]
+            yield b.select(["a", "b", "shared", "bytes"]).filter(pa.array(ok, pa.bool_()))
+
+    large = F.least("n", "m") * 2 > BITS
+    of = lambda c, out: fine.select(F.col("node").alias(c), F.col("fine").alias(out))
+    met = pairs.where(large).join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "shared", "bytes", "n", "m", "x", "y")
+    return pairs.where(~large).select("a", "b", "shared", "bytes").unionByName(met.mapInArrow(check, "a long, b long, shared long, bytes long"))
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold.  Pairs are dealt to groups of PAIR_BYTES of
-    texts at most (but for a single pair's), each of which gets a text once."""
-    groups = int((pairs.agg(F.sum("bytes")).first()[0] or 0) // PAIR_BYTES) + 1
-    dealt = pairs.select("a", "b", F.pmod(F.xxhash64("a", "b"), F.lit(groups)).cast("int").alias("grp"))
+    """The pairs (a, b) whose sets reach the threshold.  A node's pairs are dealt to as many groups
+    as PAIR_BYTES of texts make, and each group gets a text once."""
+    total = F.sum("bytes")
+    groups = int((pairs.agg(total).first()[0] or 0) // PAIR_BYTES) + 1
+    spread = pairs.groupBy("a").agg(F.ceil(total / PAIR_BYTES).alias("parts"))
+    dealt = pairs.join(spread, "a").select("a", "b", F.pmod(F.xxhash64("a", F.pmod(F.xxhash64("b"), "parts")), F.lit(groups)).cast("int").alias("grp"))
+    dealt = staged(dealt, "jaccard-dealt")
     needed = dealt.select("grp", F.col("a").alias("node")).unionByName(dealt.select("grp", F.col("b").alias("node"))).distinct()
     needed = staged(classes.select("node", "key", "copies").join(needed, "node"), "jaccard-needed")
     wanted = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
@@ -313,6 +347,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     least = {x: F.min(x).alias(x) for x in ("n", "bytes", *CELLS)}
     keyed = nodes.where("node is not null").groupBy("node", "key").agg(F.count("*").alias("copies"), *least.values())
     classes = staged(keyed.groupBy("node").agg(*least.values(), F.min(F.struct("key", "copies")).alias("k")).select("node", *least, "k.key", "k.copies"), "jaccard-classes")
+    fine = staged(nodes.where("fine is not null").groupBy("node").agg(F.first("fine").alias("fine")), "jaccard-cells")
     texts, size, sc = rows.select("text"), text_bytes(rows), docs.sparkSession.sparkContext
     found, short = frequencies(texts, size)
     found = staged(found, "jaccard-frequent")
@@ -332,7 +367,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     pivots = pivots.select("sig", F.explode("ps").alias("p")).where("not p.low").select("sig", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"), F.col("p.f").alias("g"))
     starred = shared.join(pivots, "sig").where(f"node <> pivot and {_FIT}").groupBy(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).agg(F.count("*").alias("shared"))
     tried = single.where("not hot").drop("hot").unionByName(starred).groupBy("a", "b").agg(F.sum("shared").alias("shared"))
-    tried = staged(_plausible(tried, classes), "jaccard-candidates")
+    tried = staged(_plausible(tried, classes, fine), "jaccard-candidates")
     linked = _connected(tried, rows, classes, None)
     roots = staged(components(linked), "jaccard-roots")
     # What shares a pair signature but no component, was not compared yet and passes the bitmap filter.
@@ -342,8 +377,9 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     torn = staged(torn.select("sig", "node", "root", "n", "f", "low", "bytes", *CELLS), "jaccard-torn")
     other = torn.select("sig", F.col("node").alias("node2"), F.col("root").alias("root2"), F.col("n").alias("m"), F.col("f").alias("g"), F.col("low").alias("low2"), F.col("bytes").alias("bytes2"), *(F.col(c).alias(f"{c}_2") for c in CELLS))
     met = torn.join(other, "sig").where(f"node < node2 and root <> root2 and not (low and low2) and {_FIT} and {_differ('{}', '{}_2').replace('n_2', 'm')}")
-    rest = met.groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("shared"), F.min(F.col("bytes") + F.col("bytes2")).alias("bytes"))
-    rest = staged(rest.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-candidates")
+    rest = met.groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("shared"), F.min(F.col("bytes") + F.col("bytes2")).alias("bytes"), F.min(F.col("n").cast("long")).alias("n"), F.min(F.col("m").cast("long")).alias("m"))
+    rest = _finer(staged(rest.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-coarse"), fine)
+    rest = staged(rest, "jaccard-candidates")
     return nodes, _connected(rest, rows, classes, linked) if rest.limit(1).count() else linked
 
 
