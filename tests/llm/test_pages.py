@@ -110,11 +110,11 @@ def test_round_trip(spark, tmp_path, compress):
 
 @pytest.mark.parametrize("compress", [True, False])
 def test_salvage(compress):
-    make = lambda i: warc.record(i, None, b"payload %d" % i, warc.digest(b"payload %d" % i), None, False)
+    make = lambda i: warc.record(i, None, b"payload %d" % i * 99, warc.digest(b"payload %d" % i * 99), None, False)
     parts = [warc._member(make(i)) if compress else make(i) for i in range(5)]
     whole = list(warc.salvage(b"".join(parts)))
     assert [r["page_id"] for _, r, _, _ in whole] == [0, 1, 2, 3, 4]
-    for damage in (lambda b: b[:-9] + b"\0\0\0" + b[-6:], lambda b: b[:40], lambda b: b"junk", lambda b: b[3:]):
+    for damage in (lambda b: b[:30] + b"\0\0\0" + b[33:], lambda b: b[:40], lambda b: b"junk", lambda b: b[3:]):
         broken = damage(parts[2])
         data = b"".join([*parts[:2], broken, *parts[3:]])
         got = list(warc.salvage(data))
@@ -125,6 +125,35 @@ def test_salvage(compress):
     assert list(warc.salvage(b"")) == [] and len(list(warc.salvage(b"\x1f\x8b\x08 nothing"))) == 1
 
 
+def test_salvage_inside_members():
+    make = lambda i: warc.record(i, None, b"%d" % i * 20_000, warc.digest(b"%d" % i * 20_000), None, False)
+    ids = lambda data: [r["page_id"] for _, r, _, _ in warc.salvage(data) if r]
+    bad = b"WARC/1.1\r\nbroken header\r\n\r\n"
+    data = warc._member(make(1) + bad + make(2) + make(3)) + warc._member(make(4))
+    assert ids(data) == [1, 2, 3, 4]
+    gaps = [(a, e, why) for a, r, e, why in warc.salvage(data) if r is None]
+    assert len(gaps) == 1 and gaps[0][2].startswith(f"inflated bytes {len(make(1))} to {len(make(1) + bad)}:")
+    rng = random.Random(8)
+    noise = warc.record(7, None, (x := rng.randbytes(90_000)), warc.digest(x), None, False)
+    cut = warc._member(make(5) + noise)[:-30_000]  # what came before the cut is kept
+    assert ids(cut + warc._member(make(6))) == [5, 6]
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 4_000)
+    monkeypatch.setattr(warc, "CLASSES", (100, 1_000))
+    rng = random.Random(3)
+    rows = [(i, None, "".join(rng.choices("abcdefgh", k=rng.choice([0, 90, 100, 101, 900, 5_000, 40_000]))), i, "x") for i in range(120)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, rank int, payload string").repartition(2)
+    warc.write(df, f"file:{tmp_path}/w")
+    found = warc.read(spark, f"file:{tmp_path}/w").collect()
+    assert {r.page_id: r.payload_bytes for r in found} == {i: len(h) for i, _, h, _, _ in rows}
+    by = {}
+    for r in found:
+        by.setdefault(r.file, []).append(r.payload_bytes)
+    assert all(sum(b) <= 4_000 or len(b) == 1 for b in by.values())
+
+
 def test_small_payloads_are_never_revisits(spark, tmp_path):
     df = spark.createDataFrame([(1, None, "ab"), (2, None, "ab"), (3, None, "abcdef"), (4, None, "abcdef"), (4, None, "abcdef")], "page_id long, url string, html string")
     warc.write(df, f"file:{tmp_path}/w", least=4)

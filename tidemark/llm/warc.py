@@ -3,10 +3,13 @@
 write() lets Spark's text sink write the archives: a row is one gzip member that holds one record,
 and the line separator is an empty gzip member, which every reader of multi-member gzip passes
 over.  So files commit as any Spark output does, on any file system, and survive lost executors.
+Pages are written by classes of size, each with so many records a file that no file exceeds
+FILE_BYTES of payloads, but for single pages that are larger.
 
 read() checks version line, header, lengths, CRC and digests of every record.  Where a check
 fails it searches for the next gzip member that inflates, or in plain files for the next version
 line, whose record passes, reads on from there and logs the bytes between as a quarantined gap.
+The same search runs over what a member inflates to, and over what a bad member gave before it broke.
 """
 
 import base64
@@ -18,9 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import shared_dir, staged
 
-RECORDS_PER_FILE = 2_000
+#: Payload bytes of a file at most; upper bounds of the classes of size (beyond the last, a file a page).
+FILE_BYTES = 32 << 20
+CLASSES = (16 << 10, 256 << 10, 4 << 20)
+#: Bytes that are inflated at once: what a broken member gave up to there is searched.
+STEP = 4 << 10
 _EMPTY = zlib.compressobj(9, zlib.DEFLATED, 31)
 #: Twenty bytes, with the header field for the time zero: a gzip member of no content.
 EMPTY_MEMBER = _EMPTY.compress(b"") + _EMPTY.flush()
@@ -78,20 +85,28 @@ def _records(compress: bool):
 
 
 def write(pages: DataFrame, path: str, compress: bool = True, least: int = 0) -> None:
-    """Writes a record for each row of pages (page_id, url, html) below ``path``.
+    """Writes a record for each row of pages (page_id, url, html) into folders below ``path``.
 
     Of rows with equal payloads of at least ``least`` bytes, that with the largest page_id is
     written as response, the rest as revisits of it; smaller payloads are all responses.  Null html
     is an empty payload; a null page_id is smaller than all others; rows that repeat payload and
     largest page_id are all responses; a null url has no target line; other columns are ignored.
     """
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).mapInArrow(_digests, "page_id long, url string, payload binary, digest string")
+    light = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    size = F.coalesce(F.octet_length("html"), F.lit(0))
+    rank = sum((F.when(size > most, 1).otherwise(0) for most in CLASSES), F.lit(0))
+    digests = lambda df: df.mapInArrow(_digests, "page_id long, url string, payload binary, digest string")
     # Digests without payloads find the groups; sums are combined before they are dealt out.
-    groups = rows.where(F.length("payload") >= least).groupBy("digest").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select(F.col("digest").alias("of"), "first")
-    known = rows.join(groups, F.col("digest") == F.col("of"), "left").withColumn("revisit", F.col("of").isNotNull() & (F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))) & (F.length("payload") >= least))
-    out = known.select("page_id", "url", "payload", "digest", "first", "revisit").mapInArrow(_records(compress), "record binary")
+    groups = digests(light.where(size >= least)).groupBy("digest").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select(F.col("digest").alias("of"), "first")
+    groups = staged(groups, "warc-groups")
     sep = EMPTY_MEMBER.decode("latin-1") if compress else END.decode()
-    out.select(F.col("record").cast("string").alias("value")).write.option("lineSep", sep).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    found = {r.rank for r in light.select(rank.alias("rank")).distinct().collect()}  # len(CLASSES) + 1 rows at most
+    for k in sorted(found) or [0]:
+        rows = digests(light.where(rank == k))
+        known = rows.join(groups, F.col("digest") == F.col("of"), "left").withColumn("revisit", F.col("of").isNotNull() & (F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))) & (F.length("payload") >= least))
+        out = known.select("page_id", "url", "payload", "digest", "first", "revisit").mapInArrow(_records(compress), "record binary")
+        most = FILE_BYTES // CLASSES[k] if k < len(CLASSES) else 1
+        out.select(F.col("record").cast("string").alias("value")).write.option("lineSep", sep).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", most).text(f"{path}/class-{k}")
 
 
 class _Bad(ValueError):
@@ -131,49 +146,75 @@ def parse(data: bytes, at: int = 0, exact: bool = True) -> tuple[dict, int]:
     return {"page_id": _page(head.get(b"warc-record-id", "")), "url": head.get(b"warc-target-uri"), "record_type": kind, "refers_to": _page(head.get(b"warc-refers-to", "")), "payload_bytes": len(payload) if kind == "response" or not told else int(told[1]), "payload_digest": known or digest(payload), "payload": payload if kind == "response" else None}, stop
 
 
-def _inflate(data: bytes, at: int) -> tuple[bytes, int]:
-    d = zlib.decompressobj(31)
+def _inflate(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """What the gzip member at ``at`` inflates to, its end, and why it broke; broken, it ends where it began."""
+    d, out, to = zlib.decompressobj(31), [], at
     try:
-        out = d.decompress(memoryview(data)[at:])
+        while not d.eof and to < len(data):
+            out.append(d.decompress(data[to : to + STEP]))
+            to += STEP
     except zlib.error as e:
-        raise _Bad(f"gzip: {e}"[:80]) from None
+        return b"".join(out), at, f"gzip: {e}"[:80]
     if not d.eof:
-        raise _Bad("gzip member cut short")
-    return out, len(data) - len(d.unused_data)
+        return b"".join(out), at, "gzip member cut short"
+    return b"".join(out), min(to, len(data)) - len(d.unused_data), None
 
 
-def _next(data: bytes, at: int) -> tuple[dict | None, int]:
-    """The record at ``at``, or None for an empty member, and where the next begins."""
+_LINE, _BEGIN = re.compile(re.escape(VERSION)), re.compile(b"|".join(map(re.escape, (MAGIC, VERSION))))
+
+
+def _sound(data: bytes, at: int) -> bool:
+    """Whether a member that inflates, or a record that passes, begins at ``at``."""
     if data.startswith(MAGIC, at):
-        raw, stop = _inflate(data, at)
-        return (parse(raw)[0] if raw else None), stop
-    return parse(data, at, exact=False)
+        return _inflate(data, at)[2] is None
+    try:
+        return parse(data, at, exact=False)[1] > at
+    except _Bad:
+        return False
 
 
-def salvage(data: bytes):
-    """Yields (offset, record, None, None) and, for quarantined bytes, (offset, None, end, reason)."""
+def _next(data: bytes, at: int, what: re.Pattern) -> int:
+    """Where after ``at`` the next sound record or member begins."""
+    return next((m.start() for m in what.finditer(data, at + 1) if _sound(data, m.start())), len(data))
+
+
+def _plain(data: bytes):
+    """salvage() of what a member inflates to."""
     at = 0
     while at < len(data):
         try:
-            found, stop = _next(data, at)
-            if found is not None:
-                yield at, found, None, None
-            at = stop
+            found, to = parse(data, at, exact=False)
+            yield at, found, None, None
         except _Bad as e:
-            start, reason, to = at, str(e), at + 1
-            while True:
-                near = [x for x in (data.find(MAGIC, to), data.find(VERSION, to)) if x >= 0]
-                if not near:
-                    to = len(data)
-                    break
-                to = min(near)
-                try:
-                    _next(data, to)
-                    break
-                except _Bad:
-                    to += 1
-            yield start, None, to, reason
-            at = to
+            to = _next(data, at, _LINE)
+            yield at, None, to, str(e)
+        at = to
+
+
+def salvage(data: bytes):
+    """Yields (offset, record, None, None) and, for quarantined bytes, (offset, None, end, reason).
+    Records of a member have its offset; a gap inside a member spans the member, and its reason
+    says which of the inflated bytes are meant."""
+    at = 0
+    while at < len(data):
+        why = None
+        if data.startswith(MAGIC, at):
+            raw, to, why = _inflate(data, at)
+            for a, found, e, inner in _plain(raw):
+                if found is not None:
+                    yield at, found, None, None
+                elif why is None:
+                    yield at, None, to, f"inflated bytes {a} to {e}: {inner}"
+        else:
+            try:
+                found, to = parse(data, at, exact=False)
+                yield at, found, None, None
+            except _Bad as e:
+                why = str(e)
+        if why is not None:
+            to = _next(data, at, _BEGIN)
+            yield at, None, to, why
+        at = to
 
 
 def _read(batches):
@@ -194,7 +235,8 @@ def _read(batches):
 def read(spark: SparkSession, path: str) -> DataFrame:
     """All records and gaps of the archives below ``path`` (columns RECORDS): a gap has null
     record columns, its first byte in ``offset``, the byte after it in ``gap_end`` and the failed
-    check in ``reason``.  Files are read whole by one task each; write() bounds their size."""
+    check in ``reason``.  A task holds one file; write() bounds their bytes, and Spark refuses files
+    of 2 GB and more with an error."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content").mapInArrow(_read, RECORDS)
 
 
