@@ -44,11 +44,22 @@ def test_asof_before_the_first_is_null(spark):
     assert [r.price for r in got] == [None, 100.0, 100 + (14 % 13) * 0.5]
 
 
-def test_nearest_rank(spark):
-    from tidemark.functions.semantics import nearest_rank
+def test_nearest_ranks(spark):
+    from tidemark.functions.semantics import nearest_ranks
 
-    r = spark.range(1, 11).agg(nearest_rank(F.col("id"), 0.5).alias("a"), nearest_rank(F.col("id"), 0.95).alias("b")).first()
-    assert (r.a, r.b) == (6, 10)
+    df = spark.range(1, 11).select(F.lit("a").alias("g"), F.col("id").alias("x"), F.when(F.col("id") > 5, F.lit(None)).otherwise(F.lit(7.0)).alias("y"))
+    got = nearest_ranks(df.unionByName(df.where("false")), ("g",), {"x": "x", "y": "y"}, {"P50": 0.5, "P95": 0.95}).first()
+    assert got.asDict() == {"g": "a", "xP50": 6, "xP95": 10, "xMax": 10, "yP50": 7.0, "yP95": 7.0, "yMax": 7.0, "cnt": 10}
+    plan = nearest_ranks(df, ("g",), {"x": "x"}, {"P50": 0.5})._jdf.queryExecution().toString()
+    assert "collect_list" not in plan
+
+
+def test_events_between_runs_one_way(spark):
+    at = dt.datetime(2024, 1, 1)
+    events = spark.createDataFrame([("A", at - dt.timedelta(seconds=1), 1), ("A", at, 2), ("A", at + dt.timedelta(seconds=1), 3), ("A", at + dt.timedelta(days=1), 4), ("C", at, 5)], "sym string, at timestamp_ntz, n int")
+    out = relational.events_between(trades(spark), events, "at")
+    assert sorted((r.n, r.tradeId) for r in out.collect()) == [(1, 0), (2, 0), (3, 2)]
+    assert "unboundedfollowing" not in out._jdf.queryExecution().toString().lower().replace(" ", "")
 
 
 def test_formats(spark):

@@ -6,7 +6,7 @@ neither partitioning nor retries change a bit.  Percentiles are nearest rank wit
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -28,10 +28,22 @@ def trade_sign(maker: Column) -> Column:
     return F.when(maker, -1).otherwise(1)
 
 
-def nearest_rank(x: Column, p: float) -> Column:
-    """Aggregate: the value at clamp(round(p (n - 1))) of the sorted values."""
-    s = F.array_sort(F.collect_list(x))
-    return F.get(s, F.floor(F.lit(p) * (F.size(s) - 1) + 0.5).cast("int"))
+def nearest_ranks(rows: DataFrame, by: tuple[str, ...], columns: dict[str, str], ranks: dict[str, float]) -> DataFrame:
+    """By group, for each column (named by a prefix) the values at clamp(round(p (n - 1))) of its
+    sorted values (suffixes name the p) and the maximum (suffix Max), and cnt, the rows.
+
+    Equal values are counted before they meet, and what is sorted is a group's different values;
+    nulls do not count.  Values pass as doubles."""
+    kinds = {k: rows.schema[c].dataType for k, c in columns.items()}
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("of"), F.col(c).cast("double").alias("v")) for k, c in columns.items())))
+    counted = rows.select(*by, each.alias("x")).groupBy(*by, F.col("x.of").alias("of"), F.col("x.v").alias("v")).agg(F.count("*").alias("rows"))
+    group = Window.partitionBy(*by, "of")
+    n = F.when(F.col("v").isNotNull(), F.col("rows")).otherwise(0)
+    placed = counted.withColumn("upto", F.sum(n).over(group.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))).withColumn("all", F.sum(n).over(group))
+    at = lambda k, p: F.min(F.when((F.col("of") == k) & (F.col("upto") > F.floor(F.lit(p) * (F.col("all") - 1) + 0.5)), F.col("v"))).cast(kinds[k])
+    first = next(iter(columns))
+    out = [x for k in columns for x in (*(at(k, p).alias(f"{k}{s}") for s, p in ranks.items()), F.max(F.when(F.col("of") == k, F.col("v"))).cast(kinds[k]).alias(f"{k}Max"))]
+    return placed.groupBy(*by).agg(*out, F.sum(F.when(F.col("of") == first, F.col("rows")).otherwise(0)).alias("cnt"))
 
 
 def last_n(w: WindowSpec, n: int) -> WindowSpec:
@@ -61,6 +73,12 @@ def format_duration(seconds: Column) -> Column:
     )
 
 
+def format_ago(seconds: Column) -> Column:
+    s = seconds.cast("long")
+    of = lambda n, unit: F.concat(n.cast("long").cast("string"), F.lit(f"{unit} ago"))
+    return F.when(s.isNull(), "--").when(s < 60, of(s, "s")).when(s < 3600, of(F.floor(s / 60), "m")).otherwise(of(F.floor(s / 3600), "h"))
+
+
 def format_count(n: Column) -> Column:
     return F.when(n.isNull(), "--").when(n >= 1_000_000, F.format_string("%.2fM", n / 1e6)).when(n >= 1_000, F.format_string("%.1fK", n / 1e3)).otherwise(n.cast("string"))
 

@@ -9,6 +9,9 @@ from ..functions.semantics import dib_threshold, div, drb_threshold, exact_sum,
 from .kernels import adaptive_bars, fixed_bars
 from .scan import ordered_scan
 
+#: The open bar after each tick, and the state that a warm-up hands on.
+OPEN = "bn long, theta double, tib long, bib long, dib double"
+STATE = ("et", "pb", "ed", "th", "anchor", "anchorprice", "bn", "theta", "tib", "bib", "dib")
 TICKS = "sym string, time timestamp_ntz, tradeId long, price double, qty double, bt int, dvol double, sd double"
 
 
@@ -31,7 +34,7 @@ def ohlcv(numbered: DataFrame, theta: str = "sum", by: tuple[str, ...] = ("sym",
 
 def fixed(trades_ticks: DataFrame, kind: str, threshold: float) -> DataFrame:
     """Completed bars of a constant threshold; the unfinished last bar and an empty bar 0 are left out."""
-    numbered = ordered_scan(trades_ticks, ["sym"], ["tradeId"], fixed_bars(kind, threshold), f"{TICKS}, bn long")
+    numbered = ordered_scan(trades_ticks, ["sym"], ["tradeId"], fixed_bars(kind, threshold), f"{TICKS}, {OPEN}")
     last = F.max("bn").over(Window.partitionBy("sym"))
     return ohlcv(numbered).withColumn("last", last).where("bn < last").drop("last")
 
@@ -52,29 +55,51 @@ def warmup(trades_ticks: DataFrame, kind: str, target: float = 200.0) -> tuple[D
     state = calibrate(trades_ticks, kind, target)
 
     def scanned(state: DataFrame) -> DataFrame:
-        return ordered_scan(trades_ticks.join(F.broadcast(state.select("sym", "th")), "sym").select(*trades_ticks.columns, "th"), ["sym"], ["tradeId"], fixed_bars(kind), f"{TICKS}, th double, bn long")
+        return ordered_scan(trades_ticks.join(state.select("sym", "th"), "sym").select(*trades_ticks.columns, "th"), ["sym"], ["tradeId"], fixed_bars(kind), f"{TICKS}, th double, {OPEN}")
 
     if kind == "rwdib":
-        bars = scanned(state).groupBy("sym").agg(F.max("bn").alias("made"))
-        state = state.join(bars, "sym").withColumn("th", F.col("th") * F.sqrt(F.greatest("made", F.lit(1)) / F.lit(float(target)))).withColumn("anchor", F.col("th"))
-        final = scanned(state)
-        count = final.groupBy("sym").agg(F.max("bn").alias("bars"))
-        state = state.drop("made").join(count, "sym").withColumn("et", F.col("n") / F.greatest("bars", F.lit(1))).drop("bars")
-    else:
-        final = scanned(state)
+        made = scanned(state).groupBy("sym").agg(F.max("bn").alias("made"))
+        state = state.join(made, "sym").withColumn("th", F.col("th") * F.sqrt(F.greatest("made", F.lit(1)) / F.lit(float(target)))).withColumn("anchor", F.col("th")).drop("made")
+    final = scanned(state)
+    left = final.groupBy("sym").agg(F.max_by(F.struct("bn", "theta", "tib", "bib", "dib"), "tradeId").alias("o")).select("sym", "o.*")
+    state = state.join(left, "sym")
+    if kind == "rwdib":
+        state = state.withColumn("et", F.col("n") / F.greatest("bn", F.lit(1))).withColumns({c: F.lit(0.0) for c in ("pb", "ed")}).withColumn("bib", F.lit(0).cast("long"))
     last = F.max("bn").over(Window.partitionBy("sym"))
     bars = ohlcv(final).withColumn("last", last).where("bn < last").drop("last")
-    return bars.join(F.broadcast(state.select("sym", "et", "pb", "ed")), "sym").withColumn("warmup", F.lit(True)), state
+    return bars.join(state.select("sym", "et", "pb", "ed"), "sym").withColumn("warmup", F.lit(True)), state
 
 
 def adaptive(trades_ticks: DataFrame, state: DataFrame, kind: str, span: int = 20) -> DataFrame:
-    """Bars with adaptive thresholds from a warm-up's state, over any number of days in one scan;
-    the state carries over midnight, and the bar that is open at the end is not given."""
-    start = state.select("sym", "et", "pb", "ed", "th", "sigma", "anchor")
-    fed = trades_ticks.join(F.broadcast(start), "sym").select(*trades_ticks.columns, "et", "pb", "ed", "th", "sigma", "anchor")
-    numbered = ordered_scan(fed, ["sym"], ["tradeId"], adaptive_bars(kind, span), f"{TICKS}, et double, pb double, ed double, sigma double, anchor double, bn long, th double, theta double")
-    last = F.max("bn").over(Window.partitionBy("sym"))
-    return ohlcv(numbered, "last").withColumn("last", last).where("bn < last").drop("last").withColumn("warmup", F.lit(False))
+    """Bars with adaptive thresholds from a warm-up's state, day by day in one scan.
+
+    The scan's state carries over midnight.  A bar belongs to the day on which it closes and holds
+    that day's ticks only; one that is open at the end is not given.  et, pb and ed are those of the
+    day's end (rwdib has only et), th is the threshold in force.  For rwdib the anchor of each day is
+    the warm-up's, scaled by the day's mean price over the warm-up's.
+    """
+    start = state.select("sym", *STATE)
+    dated = trades_ticks.withColumn("date", F.to_date("time"))
+    fed = dated.join(start, "sym")
+    if kind == "rwdib":
+        prices = dated.groupBy(F.col("sym").alias("s"), F.col("date").alias("d")).agg(div(exact_sum(F.col("price")), F.count("*")).alias("mean"))
+        fed = fed.join(prices, (F.col("sym") == F.col("s")) & (F.col("date") == F.col("d"))).withColumn("anchor", F.col("anchor") * div(F.col("mean"), F.col("anchorprice")))
+    fed = fed.select(*trades_ticks.columns, "date", *(c for c in STATE if c != "anchorprice"))
+    numbered = ordered_scan(fed, ["sym"], ["tradeId"], adaptive_bars(kind, span), f"{TICKS}, date date, et double, pb double, ed double, th double, anchor double, {OPEN}")
+    ends = numbered.groupBy(F.col("sym").alias("s"), F.col("date").alias("d")).agg(F.max_by(F.struct("et", "pb", "ed"), "tradeId").alias("e"))
+    if kind == "rwdib":
+        ends = ends.withColumn("e", F.struct(F.col("e.et").alias("et"), F.lit(0.0).alias("pb"), F.lit(0.0).alias("ed")))
+    # A bar's rows of earlier days fall out: by (sym, bn, date) the part of the last day, if that closed the bar.
+    parts = ohlcv(numbered.drop("et", "pb", "ed", "anchor", "tib", "bib", "dib"), "last", ("sym", "bn", "date")).where(F.abs("theta") >= F.col("th"))
+    return parts.join(ends, (F.col("sym") == F.col("s")) & (F.col("date") == F.col("d"))).select(*(c for c in parts.columns if c != "date"), "e.*", F.lit(False).alias("warmup"))
+
+
+def run(trades_ticks: DataFrame, kind: str, warmup_date, first, last, target: float = 200.0, span: int = 20) -> DataFrame:
+    """The warm-up day's bars and the adaptive bars of the days first .. last."""
+    day = F.to_date("time")
+    made, state = warmup(trades_ticks.where(day == F.lit(warmup_date).cast("date")), kind, target)
+    days = adaptive(trades_ticks.where(day.between(F.lit(first).cast("date"), F.lit(last).cast("date"))), state, kind, span)
+    return made.unionByName(days)
 
 
 def clean(bars: DataFrame, per_symbol: bool = True) -> DataFrame:
@@ -84,5 +109,16 @@ def clean(bars: DataFrame, per_symbol: bool = True) -> DataFrame:
 
 
 def stats(bars: DataFrame) -> DataFrame:
-    """By symbol and phase: bars, average ticks, first, last and largest threshold, and whether it exploded."""
-    return bars.groupBy("sym", "warmup").agg(F.count("*").alias("n"), div(F.sum("ticks").cast("double"), F.count("*")).alias("avgTicks"), F.min_by("th", "bn").alias("th0"), F.max_by("th", "bn").alias("th1"), (F.max("th") > 10 * F.min_by("th", "bn")).alias("exploded"))
+    """By symbol and phase: bars, average ticks and threshold, bounds of pb, first, last and largest
+    threshold, and whether it exploded."""
+    mean = lambda c: div(exact_sum(F.col(c)), F.count("*"))
+    return bars.groupBy("sym", "warmup").agg(
+        F.count("*").alias("n"), mean("ticks").alias("avgTicks"), mean("th").alias("avgTh"), F.min("pb").alias("minPb"), F.max("pb").alias("maxPb"),
+        F.min_by("th", "bn").alias("th0"), F.max_by("th", "bn").alias("th1"), F.max("th").alias("thMax"), (F.max("th") > 10 * F.min_by("th", "bn")).alias("exploded"),
+    )
+
+
+def evolution(bars: DataFrame) -> DataFrame:
+    """By symbol how the threshold went: bars, the first and the last, and the change in percent."""
+    first, last = F.min_by("th", "bn"), F.max_by("th", "bn")
+    return bars.groupBy("sym").agg(F.count("*").alias("n"), first.alias("th0"), last.alias("th1"), (100 * div(last - first, first)).alias("pct"))

@@ -7,8 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.semantics import div, filled, moving_average, round_half
+from .kernels import macd, rsi
+from .scan import Kernel, chained, ordered_scan
 
 Feature = Callable[[WindowSpec, int], Column]
 REGISTRY: dict[str, Feature] = {}
@@ -43,11 +46,25 @@ feature("thetaNorm")(lambda w, n: div(F.col("theta"), F.col("dqty")))
 feature("buyPct")(lambda w, n: div(F.col("bqty"), F.col("bqty") + F.col("sqty")))
 
 
+#: Features that are recurrences: the kernels of one ordered scan, and the columns that each adds.
+SCANS: dict[str, tuple[Callable[[], Kernel], tuple[str, ...]]] = {"rsi": (rsi, ("rsi",)), **dict.fromkeys(("macd", "macdSignal", "macdHist"), (macd, ("macd", "macdSignal", "macdHist")))}
+
+
+def names() -> list[str]:
+    return [*REGISTRY, *SCANS]
+
+
 def build(bars: DataFrame, features: list[str], n: int = 10) -> DataFrame:
-    """sym, bn, barstart, close and the named features, each symbol by itself."""
+    """sym, bn, barstart, close and the named features, each symbol by itself.  RSI (14) and MACD
+    (12, 26, 9) have fixed lengths, as n is that of the window features."""
+    kernels = dict.fromkeys(SCANS[f] for f in features if f in SCANS)
+    if kernels:
+        made = [c for _, columns in kernels for c in columns]
+        schema = T.StructType([*(f for f in bars.schema.fields if f.name not in made), *(T.StructField(c, T.DoubleType()) for c in made)])
+        bars = ordered_scan(bars.drop(*made), ["sym"], ["bn"], chained(*(make() for make, _ in kernels)), schema)
     w = Window.partitionBy("sym").orderBy("bn")
     base = bars.withColumns({"ret": _ret(w), "ratio": div(F.col("close"), F.lag("close", n).over(w))})
-    return base.select("sym", "bn", "barstart", "close", *(REGISTRY[f](w, n).alias(f) for f in features))
+    return base.select("sym", "bn", "barstart", "close", *((F.col(f) if f in SCANS else REGISTRY[f](w, n)).alias(f) for f in features))
 
 
 def triple_barrier(bars: DataFrame, upper: float = 2.0, lower: float = 1.0, horizon: int = 50) -> DataFrame:
@@ -80,3 +97,8 @@ def label_summary(labels: DataFrame) -> DataFrame:
     kept = labels.where(~F.col("reason").isin("noSigma", "noFuture"))
     pct = lambda c: (100.0 * F.count_if(c) / F.count("*"))
     return kept.groupBy("sym").agg(F.count("*").alias("n"), pct(F.col("label") == 1).alias("upPct"), pct(F.col("label") == -1).alias("dnPct"), pct(F.col("reason") == "sameBar").alias("sameBarPct"), pct(F.col("reason") == "vertical").alias("verticalPct"))
+
+
+def label_reasons(labels: DataFrame) -> DataFrame:
+    """By symbol and reason how many labels, those without a verdict included."""
+    return labels.groupBy("sym", "reason").agg(F.count("*").alias("n"))

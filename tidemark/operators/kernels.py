@@ -45,18 +45,16 @@ def rsi(column: str = "close", n: int = 14, variant: str = "bars") -> Kernel:
     row; that of the signal variant counts neither.  Null until n rows went before, or without losses."""
 
     def run(state: State, pdf: pd.DataFrame):
-        s = dict(state or {"i": 0, "last": None, "gains": [], "losses": [], "g": None, "l": None})
-        s["gains"], s["losses"], out = list(s["gains"]), list(s["losses"]), []
+        s, out = dict(state or {"i": 0, "last": None, "gains": 0.0, "losses": 0.0, "g": None, "l": None}), []
         for x in pdf[column].to_numpy(float).tolist():
             d = None if s["last"] is None else x - s["last"]
             gain = (0.0 if variant == "bars" else None) if d is None else max(d, 0.0)
             loss = None if d is None else max(-d, 0.0)
             s["last"] = x
             if s["i"] <= n:
-                s["gains"] += [gain] if gain is not None else []
-                s["losses"] += [loss] if loss is not None else []
+                s["gains"], s["losses"] = s["gains"] + (gain or 0.0), s["losses"] + (loss or 0.0)
                 if s["i"] == n:
-                    s["g"], s["l"] = sum(s["gains"]) / len(s["gains"]), sum(s["losses"]) / len(s["losses"])
+                    s["g"], s["l"] = s["gains"] / (n + 1 if variant == "bars" else n), s["losses"] / n
             else:
                 s["g"], s["l"] = (gain + s["g"] * (n - 1)) / n, (loss + s["l"] * (n - 1)) / n
             s["i"] += 1
@@ -157,39 +155,49 @@ def sampled_volatility(sample_s: float = 30, window_s: float = 3600, least: int
 
 
 def fixed_bars(kind: str, threshold: float | None = None) -> Kernel:
-    """Bar numbers under a constant threshold (or the column ``th``), of ticks with signed dollars sd.
+    """Bar numbers under a constant threshold (or the column ``th``), of ticks with signed dollars sd,
+    and the open bar's theta, tib (ticks), bib (buys) and dib (dollars) after each tick.
 
     dib and rwdib add sd up; drb starts again when the sign changes, zero counting as not positive.
-    The tick that reaches the threshold opens the next bar.  Within a bar the sum is one cumsum.
+    The tick that reaches the threshold opens the next bar, whose counts begin after it.  Within a
+    bar the sums are one cumsum each, which adds in order.
     """
 
     def run(state: State, pdf: pd.DataFrame):
-        theta, bn = (state or {}).get("theta", 0.0), (state or {}).get("bn", 0)
-        sd, out = pdf["sd"].to_numpy(float), np.empty(len(pdf), np.int64)
+        theta, bn, tib, bib, dib = ((state or {}).get(k, 0) for k in ("theta", "bn", "tib", "bib", "dib"))
+        sd, buy, dollars = pdf["sd"].to_numpy(float), (pdf["bt"] > 0).to_numpy(np.int64), pdf["dvol"].to_numpy(float)
         th = float(pdf["th"].iloc[0]) if threshold is None else threshold
-        if kind == "drb":
-            for i, x in enumerate(sd.tolist()):
-                theta = theta + x if (x > 0) == (theta > 0) else x
-                if abs(theta) >= th:
-                    bn, theta = bn + 1, 0.0
-                out[i] = bn
-        else:
-            at = 0
-            while at < len(sd):
-                step = 256
-                while True:  # search a growing piece for the tick that closes
-                    run_ = np.cumsum(np.concatenate([[theta], sd[at : at + step]]))[1:]
-                    hit = np.flatnonzero(np.abs(run_) >= th)
-                    if len(hit) or at + step >= len(sd):
-                        break
-                    step *= 4
-                if not len(hit):
-                    out[at:], theta, at = bn, float(run_[-1]), len(sd)
+        out = {"bn": np.empty(len(sd), np.int64), "theta": np.zeros(len(sd)), "tib": np.zeros(len(sd), np.int64), "bib": np.zeros(len(sd), np.int64), "dib": np.zeros(len(sd))}
+        on = lambda first, values: np.cumsum(np.concatenate([[first], values]))[1:]
+        at = 0
+        while at < len(sd):
+            step = 256
+            while True:  # search a growing piece for the tick that closes
+                piece = sd[at : at + step]
+                if kind == "drb":
+                    run_, last = np.empty(len(piece)), theta
+                    for i, x in enumerate(piece.tolist()):
+                        run_[i] = last = last + x if (x > 0) == (last > 0) else x
+                        if abs(last) >= th:
+                            run_ = run_[: i + 1]
+                            break
                 else:
-                    end = at + int(hit[0])
-                    out[at:end], bn, theta = bn, bn + 1, 0.0
-                    out[end], at = bn, end + 1
-        return pdf.assign(bn=out), {"theta": theta, "bn": bn}
+                    run_ = on(theta, piece)
+                hit = np.flatnonzero(np.abs(run_) >= th)
+                if len(hit) or at + step >= len(sd):
+                    break
+                step *= 4
+            end = at + int(hit[0]) if len(hit) else len(sd)
+            if end > at:
+                out["bn"][at:end], out["theta"][at:end], out["tib"][at:end] = bn, run_[: end - at], np.arange(tib + 1, tib + 1 + end - at)
+                out["bib"][at:end], out["dib"][at:end] = on(bib, buy[at:end]), on(dib, dollars[at:end])
+                theta, tib, bib, dib = (out[k][end - 1].item() for k in ("theta", "tib", "bib", "dib"))
+            if len(hit):
+                bn, theta, tib, bib, dib = bn + 1, 0.0, 0, 0, 0.0
+                out["bn"][end] = bn
+                end += 1
+            at = end
+        return pdf.assign(**out), {"theta": theta, "bn": bn, "tib": tib, "bib": bib, "dib": dib}
 
     return run
 
@@ -197,35 +205,35 @@ def fixed_bars(kind: str, threshold: float | None = None) -> Kernel:
 def adaptive_bars(kind: str, span: int = 20, kappa: float = 0.02) -> Kernel:
     """Bars whose threshold follows the bars so far; the tick that reaches it closes its own bar.
 
-    The first row's columns et, pb, ed, th, sigma and anchor start the state.  At a close, dib and
-    drb update et (ticks), pb (share of buys) and ed (dollars a tick) by EWMA and set the threshold
-    anew; rwdib updates et and pulls the threshold towards the anchor.
+    The first row's columns et, pb, ed and th start the state, and theta, bn, tib, bib and dib where
+    there are any (the bar that a warm-up left open); the anchor is that of each row, as it may change by day.  At a close, dib and drb update et (ticks), pb (share of buys) and
+    ed (dollars a tick) by EWMA and set the threshold anew; rwdib updates et and pulls the threshold
+    towards the anchor.  Rows get bn, th (in force) and theta, and et, pb, ed as they are after it.
     """
     alpha = 2 / (span + 1)
+    mean = lambda old, new: alpha * new + (1 - alpha) * old
 
     def run(state: State, pdf: pd.DataFrame):
         if state is None:
-            state = {k: float(pdf[k].iloc[0]) for k in ("et", "pb", "ed", "th", "sigma", "anchor")} | {"theta": 0.0, "bn": 0, "tib": 0, "bib": 0, "dib": 0.0}
-        s, bn, th, theta = dict(state), [], [], []
-        for sd, buy, dollars in zip(pdf["sd"].tolist(), (pdf["bt"] > 0).tolist(), pdf["dvol"].tolist(), strict=True):
-            flip = kind == "drb" and (sd > 0) != (s["theta"] > 0)
-            s["theta"] = sd if flip else s["theta"] + sd
-            s["tib"], s["bib"], s["dib"] = s["tib"] + 1, s["bib"] + buy, s["dib"] + dollars
-            bn.append(s["bn"])
-            th.append(s["th"])
-            theta.append(s["theta"])
-            if abs(s["theta"]) >= s["th"]:
-                mean = lambda old, new: alpha * new + (1 - alpha) * old
-                et = mean(s["et"], s["tib"])
+            state = {k: float(pdf[k].iloc[0]) for k in ("et", "pb", "ed", "th")} | {k: pdf[k].iloc[0].item() if k in pdf else 0 for k in ("theta", "bn", "tib", "bib", "dib")}
+        et, pb, ed, th, theta, bn, tib, bib, dib = (state[k] for k in ("et", "pb", "ed", "th", "theta", "bn", "tib", "bib", "dib"))
+        out = []
+        for sd, buy, dollars, anchor in zip(pdf["sd"].tolist(), (pdf["bt"] > 0).tolist(), pdf["dvol"].tolist(), pdf["anchor"].tolist(), strict=True):
+            theta = sd if kind == "drb" and (sd > 0) != (theta > 0) else theta + sd
+            tib, bib, dib = tib + 1, bib + buy, dib + dollars
+            row = (bn, th, theta)
+            if abs(theta) >= th:
+                now = mean(et, tib)
                 if kind == "rwdib":
-                    raw = s["th"] * math.sqrt(et / s["et"])
-                    s["th"] = raw + kappa * (s["anchor"] - raw)
+                    raw = th * math.sqrt(now / et)
+                    th = raw + kappa * (anchor - raw)
                 else:
-                    s["pb"], s["ed"] = mean(s["pb"], s["bib"] / s["tib"]), mean(s["ed"], s["dib"] / s["tib"])
-                    s["th"] = et * s["ed"] * (abs(2 * s["pb"] - 1) if kind == "dib" else max(s["pb"], 1 - s["pb"]))
-                s |= {"et": et, "theta": 0.0, "bn": s["bn"] + 1, "tib": 0, "bib": 0, "dib": 0.0}
-        out = pdf.drop(columns=["th"], errors="ignore").assign(bn=bn, th=th, theta=theta)
-        return out, s
+                    pb, ed = mean(pb, bib / tib), mean(ed, dib / tib)
+                    th = now * ed * (abs(2 * pb - 1) if kind == "dib" else max(pb, 1 - pb))
+                et, theta, bn, tib, bib, dib = now, 0.0, bn + 1, 0, 0, 0.0
+            out.append((*row, et, pb, ed))
+        cols = dict(zip(("bn", "th", "theta", "et", "pb", "ed"), zip(*out, strict=True), strict=True))
+        return pdf.assign(**cols), {"et": et, "pb": pb, "ed": ed, "th": th, "theta": theta, "bn": bn, "tib": tib, "bib": bib, "dib": dib}
 
     return run
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.semantics import div, exact_sum, nearest_rank, round_half
+from ..functions.semantics import div, exact_sum, nearest_ranks, round_half
 
 
 def trade_summary(trades: DataFrame, order: str = "tradeId") -> DataFrame:
@@ -62,8 +62,8 @@ def price_series(trades: DataFrame, interval: str, order: str = "tradeId") -> Da
 
 def latency_percentiles(rows: DataFrame, parse: str, send: str, interval: str, by: tuple[str, ...] = ("sym",)) -> DataFrame:
     """Nearest-rank p50 and p95 and the maximum of two latency columns by event-time bucket."""
-    per = lambda c, n: (nearest_rank(F.col(c), 0.5).alias(f"{n}P50"), nearest_rank(F.col(c), 0.95).alias(f"{n}P95"), F.max(c).alias(f"{n}Max"))
-    return rows.groupBy(*by, F.window("time", interval).start.alias("bucket")).agg(*per(parse, "parse"), *per(send, "send"), F.count("*").alias("cnt"))
+    at = rows.withColumn("bucket", F.window("time", interval).start)
+    return nearest_ranks(at, (*by, "bucket"), {"parse": parse, "send": send}, {"P50": 0.5, "P95": 0.95})
 
 
 def last_row(df: DataFrame, by: tuple[str, ...], order: str) -> DataFrame:
@@ -96,11 +96,11 @@ def asof(left: DataFrame, right: DataFrame, on: str, left_time: str, right_time:
 
 def events_between(trades: DataFrame, events: DataFrame, event_time: str, order: str = "tradeId") -> DataFrame:
     """Each event with the first trade of its symbol at or after it: the events in (previous trade,
-    trade], by the same interleaving as asof()."""
+    trade].  Both sides are interleaved latest first, so that one running window carries the trade."""
     a = trades.select(F.col("sym"), F.col("time").alias("t"), F.lit(1).alias("kind"), F.col(order).alias("o"), F.lit(None).cast(_struct(events)).alias("event"))
     b = events.select("sym", F.col(event_time).alias("t"), F.lit(0).alias("kind"), F.lit(None).cast(trades.schema[order].dataType).alias("o"), F.struct(*events.columns).alias("event"))
-    w = Window.partitionBy("sym").orderBy("t", "kind", "o").rowsBetween(0, Window.unboundedFollowing)
-    return a.unionByName(b).withColumn(order, F.first("o", ignorenulls=True).over(w)).where(f"kind = 0 and {order} is not null").select("event.*", order)
+    w = Window.partitionBy("sym").orderBy(F.desc("t"), F.desc("kind"), F.desc("o")).rowsBetween(Window.unboundedPreceding, 0)
+    return a.unionByName(b).withColumn(order, F.last("o", ignorenulls=True).over(w)).where(f"kind = 0 and {order} is not null").select("event.*", order)
 
 
 def _struct(df: DataFrame):
@@ -157,6 +157,43 @@ def row_counts(rows: DataFrame, dates: DataFrame | None = None, by: tuple[str, .
     return counts if dates is None else dates.join(counts, "date", "left").withColumn("rows", F.coalesce("rows", F.lit(0).cast("long")))
 
 
+def retained(df: DataFrame, now, minutes: float, column: str = "time") -> DataFrame:
+    """What a retention of that many minutes leaves of a table: rows not before the cutoff.  Stored
+    tables drop whole dates instead (sources.archives.clean_logs)."""
+    kind = df.schema[column].dataType
+    return df.where(F.col(column) >= F.lit(now).cast(kind) - F.make_dt_interval(mins=F.lit(minutes).cast("int")))
+
+
+def stamped(order: tuple[str, ...], **tables: DataFrame) -> DataFrame:
+    """The rows of several tables under one global sequence number tpSeqNo, from 1 in the given
+    order (its first column a time): side (the table's name), the order columns, tpSeqNo.  Rows are
+    numbered by minute and the minutes' counts run through, so no task sees all rows.  Health rows
+    do not belong here."""
+    rows = None
+    for name, t in tables.items():
+        part = t.select(F.lit(name).alias("side"), *order)
+        rows = part if rows is None else rows.unionByName(part)
+    numbered = rows.withColumn("minute", F.date_trunc("minute", order[0]))
+    before = numbered.groupBy("minute").agg(F.count("*").alias("n"))
+    before = before.select(F.col("minute").alias("of"), (F.sum("n").over(Window.orderBy("minute")) - F.col("n")).alias("before"))
+    within = F.row_number().over(Window.partitionBy("minute").orderBy(*order, "side"))
+    return numbered.withColumn("nth", within).join(before, F.col("minute").eqNullSafe(F.col("of"))).select("side", *order, (F.col("before") + F.col("nth")).alias("tpSeqNo"))
+
+
+def unsubscribed(symbols: DataFrame, subscribed: DataFrame) -> DataFrame:
+    """Set difference: symbols (one column) that are not subscribed."""
+    return symbols.distinct().exceptAll(subscribed.distinct())
+
+
+def online_bar_stats(online: DataFrame, kind: str) -> DataFrame:
+    """By symbol of online imbalance (dib) or run (drb) bars: bars, average ticks and dollars, and of
+    dib the average duration in seconds and share bought, of drb the bars by direction."""
+    mean = lambda c: div(exact_sum(c), F.count("*"))
+    ms = F.unix_millis(F.col("barend").cast("timestamp")) - F.unix_millis(F.col("barstart").cast("timestamp"))
+    more = {"dib": [(mean(ms) / 1000).alias("avgDurationSec"), mean(F.col("buyPct")).alias("avgBuyPct")], "drb": [F.count_if(F.col("direction") == 1).alias("buyRuns"), F.count_if(F.col("direction") == -1).alias("sellRuns")]}[kind]
+    return online.where(F.col("kind") == kind).groupBy("sym").agg(F.count("*").alias("bars"), mean(F.col("ticks")).alias("avgTicks"), mean(F.col("dollars")).alias("avgDollarVol"), *more)
+
+
 def bars_per_day(bars: DataFrame) -> DataFrame:
     return bars.groupBy("sym", F.to_date("barend").cast("string").alias("date")).agg(F.count("*").alias("n"), div(F.sum("ticks").cast("double"), F.count("*")).alias("avgTicks"))
 

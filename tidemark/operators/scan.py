@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 State = dict | None
 Kernel = Callable[[State, pd.DataFrame], tuple[pd.DataFrame, dict]]
@@ -25,7 +26,19 @@ def _runs(pdf: pd.DataFrame, keys: list[str]) -> Iterator[tuple[tuple, pd.DataFr
             yield tuple(part[keys].iloc[0]), part.reset_index(drop=True)
 
 
-def ordered_scan(df: DataFrame, keys: list[str], order: list[str], kernel: Kernel, schema: str) -> DataFrame:
+def chained(*kernels: Kernel) -> Kernel:
+    """Several kernels over the same rows in one scan, each adding its columns."""
+
+    def run(state: State, pdf: pd.DataFrame):
+        states = (state or {}).get("each") or [None] * len(kernels)
+        for i, kernel in enumerate(kernels):
+            pdf, states[i] = kernel(states[i], pdf)
+        return pdf, {"each": states}
+
+    return run
+
+
+def ordered_scan(df: DataFrame, keys: list[str], order: list[str], kernel: Kernel, schema: StructType | str) -> DataFrame:
     """The kernel's rows for each key, in order within the key.  ``order`` must be total."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -1,0 +1,6 @@
+"""Registered queries: summaries and joins (queries), bars, labels and live analytics (research)."""
+
+from . import queries, research
+from .registry import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL", "queries", "research"]

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.semantics import exact_sum
 from ..operators import bars as B
 from ..operators import features as X
 from ..operators import kernels as K
@@ -15,10 +12,7 @@ from ..operators import relational as R
 from ..operators.scan import ordered_scan
 from ..operators.signals import rsi_signal
 from ..sources import adapters as A
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
+from .registry import query
 
 # Views that the SQL of several queries begins with.
 _TRADES = """t AS (SELECT ts AS time, event_type AS sym, event_id AS tradeId, value AS price, (k + 1)::DOUBLE AS qty, k % 2 = 1 AS buyerIsMaker
@@ -37,16 +31,6 @@ b AS (SELECT sym, bn, min(time) AS barstart, max(time) AS barend, arg_min(price,
 bars AS (SELECT * FROM b QUALIFY bn < max(bn) OVER (PARTITION BY sym))"""
 
 
-def query(sql: str | None = None):
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 @query(f"WITH RECURSIVE {_TRADES} SELECT sym, count(*) AS trades, sum(qty) AS volume, sum((price * qty)::{_DEC})::DOUBLE AS dollarVol, min(price) AS minPrice, max(price) AS maxPrice, arg_max(price, tradeId) AS lastPrice, min(time) AS firstTime, max(time) AS lastTime FROM t GROUP BY sym")
 def trade_summary(spark, d):
     return R.trade_summary(A.trades(spark, d))
@@ -65,14 +49,14 @@ def last_n_trades(spark, d):
 @query(f"WITH {_TRADES}, b AS (SELECT min(time) + INTERVAL 3 DAY AS lo, min(time) + INTERVAL 7 DAY AS hi FROM t) SELECT t.* FROM t, b WHERE time BETWEEN lo AND hi AND sym = 'click'")
 def trade_range(spark, d):
     t = A.trades(spark, d)
-    lo, hi = t.agg(F.expr("min(time) + interval 3 days"), F.expr("min(time) + interval 7 days")).first()
-    return R.in_range(t, lo, hi, "click")
+    after = lambda days: t.agg(F.expr(f"min(time) + interval {days} days")).scalar()
+    return R.in_range(t, after(3), after(7), "click")
 
 
 @query(f"WITH {_TRADES} SELECT * FROM t WHERE time > (SELECT max(time) FROM t) - INTERVAL 2880 MINUTE")
 def trades_since(spark, d):
     t = A.trades(spark, d)
-    return R.since(t, t.agg(F.max("time")).first()[0], 2880)
+    return R.since(t, t.agg(F.max("time")).scalar(), 2880)
 
 
 @query(f"WITH {_TRADES} SELECT sym, sum((price * qty)::{_DEC})::DOUBLE / sum(qty) AS vwap, arg_max(price, tradeId) AS lastPrice, sum(qty) AS volume, count(*) AS trades FROM t GROUP BY sym")
@@ -173,13 +157,13 @@ def subscription_filter(spark, d):
     return Subscription(where="price * qty >= 50 and sym in ('click', 'view')", columns=["sym", "tradeId", "price * qty as notional"]).apply(A.trades(spark, d))
 
 
-def _bars(spark, d):
+def fixed_dib(spark, d):
     return B.fixed(B.ticks(A.trades(spark, d)), "dib", 20_000.0)
 
 
 @query(f"WITH RECURSIVE {_DIB} SELECT * FROM bars")
 def bars_dib_fixed(spark, d):
-    return _bars(spark, d)
+    return fixed_dib(spark, d)
 
 
 @query(
@@ -189,13 +173,14 @@ SELECT sym, bn, barstart, close, CASE WHEN prev10 IS NULL THEN NULL ELSE close /
  CASE WHEN high = low THEN 0.5 ELSE (close - low) / (high - low) END::DOUBLE AS closePosition, theta / dqty AS thetaNorm, bqty / (bqty + sqty) AS buyPct FROM x"""
 )
 def features_exact(spark, d):
-    return X.build(_bars(spark, d), ["momentum", "hlRange", "tradeImbalance", "duration", "tradeIntensity", "closePosition", "thetaNorm", "buyPct"])
+    return X.build(fixed_dib(spark, d), ["momentum", "hlRange", "tradeImbalance", "duration", "tradeIntensity", "closePosition", "thetaNorm", "buyPct"])
 
 
 @query()
 def features_windowed(spark, d):
-    """The features with logarithms or means over several rows, whose last bits differ between engines."""
-    return X.build(_bars(spark, d), ["logReturn", "meanReversion", "realizedVol", "parkinson", "vpin"])
+    """The features with logarithms or means over several rows."""
+    names = ["logReturn", "meanReversion", "realizedVol", "parkinson", "vpin"]
+    return _rounded(X.build(fixed_dib(spark, d), names), *names)
 
 
 @query(
@@ -214,32 +199,37 @@ e AS (SELECT sym, bn, i, close AS f, close AS w, 0.0::DOUBLE AS g FROM z WHERE i
 SELECT sym, bn, f - w AS macd, g AS macdSignal, (f - w) - g AS macdHist FROM e"""
 )
 def macd(spark, d):
-    return ordered_scan(_bars(spark, d).select("sym", "bn", "close"), ["sym"], ["bn"], K.macd(), "sym string, bn long, close double, macd double, macdSignal double, macdHist double").drop("close")
+    return ordered_scan(fixed_dib(spark, d).select("sym", "bn", "close"), ["sym"], ["bn"], K.macd(), "sym string, bn long, close double, macd double, macdSignal double, macdHist double").drop("close")
 
 
 @query()
 def rsi_bars(spark, d):
-    return ordered_scan(_bars(spark, d).select("sym", "bn", "close"), ["sym"], ["bn"], K.rsi(), "sym string, bn long, close double, rsi double")
+    return ordered_scan(fixed_dib(spark, d).select("sym", "bn", "close"), ["sym"], ["bn"], K.rsi(), "sym string, bn long, close double, rsi double")
 
 
-def _labelled(spark, d):
-    bars = ordered_scan(_bars(spark, d).select("sym", "bn", "high", "low", "close"), ["sym"], ["bn"], K.label_sigma(), "sym string, bn long, high double, low double, close double, sigma double")
+def labelled(spark, d):
+    bars = ordered_scan(fixed_dib(spark, d).select("sym", "bn", "high", "low", "close"), ["sym"], ["bn"], K.label_sigma(), "sym string, bn long, high double, low double, close double, sigma double")
     return X.triple_barrier(bars, horizon=10)
 
 
+def _rounded(df, *columns, places=9):
+    """Logarithms differ in their last bits between engines."""
+    return df.withColumns({c: F.round(c, places) for c in columns})
+
+
 @query()
 def triple_barrier(spark, d):
-    return _labelled(spark, d)
+    return _rounded(labelled(spark, d), "sigma", "upperPx", "lowerPx", "retAtTouch")
 
 
 @query()
 def label_summary(spark, d):
-    return X.label_summary(_labelled(spark, d))
+    return X.label_summary(labelled(spark, d))
 
 
 @query()
 def label_distribution(spark, d):
-    return X.label_distribution(_labelled(spark, d))
+    return X.label_distribution(labelled(spark, d))
 
 
 def _sequence(spark, d):
@@ -268,12 +258,12 @@ r AS (SELECT sym, tradeId, i, CASE WHEN abs(sd) >= 5000 THEN 0.0::DOUBLE ELSE sd
 SELECT sym, tradeId, bn FROM r"""
 )
 def drb_numbers(spark, d):
-    return ordered_scan(B.ticks(A.trades(spark, d)), ["sym"], ["tradeId"], K.fixed_bars("drb", 5_000.0), f"{B.TICKS}, bn long").select("sym", "tradeId", "bn")
+    return ordered_scan(B.ticks(A.trades(spark, d)), ["sym"], ["tradeId"], K.fixed_bars("drb", 5_000.0), f"{B.TICKS}, {B.OPEN}").select("sym", "tradeId", "bn")
 
 
 @query(f"WITH RECURSIVE {_DIB} SELECT sym, CAST(CAST(barend AS DATE) AS VARCHAR) AS date, count(*) AS n, sum(ticks)::DOUBLE / count(*) AS avgTicks FROM bars GROUP BY 1, 2")
 def bars_per_day(spark, d):
-    return R.bars_per_day(_bars(spark, d))
+    return R.bars_per_day(fixed_dib(spark, d))
 
 
 @query(f"WITH {_TRADES}, {_FUNDING} SELECT sym, fundingTime, CASE WHEN sym = 'click' THEN fundingRate + 1 ELSE fundingRate END AS fundingRate FROM fr")
@@ -296,7 +286,8 @@ def position_stats(spark, d):
 
 @query()
 def bar_stats(spark, d):
-    return B.stats(adaptive_bars(spark, d).where("kind = 'rwdib'"))
+    first, rest = halves(B.ticks(A.trades(spark, d)))
+    return B.stats(B.adaptive(rest, B.warmup(first, "rwdib", 60.0)[1], "rwdib"))
 
 
 @query()
@@ -309,12 +300,17 @@ def warmup_bars(spark, d):
 @query()
 def adaptive_bars(spark, d):
     t = B.ticks(A.trades(spark, d))
-    cut = t.agg(F.expr("min(time) + interval 5 days")).first()[0]
-    first, rest = t.where(F.col("time") < F.lit(cut)), t.where(F.col("time") >= F.lit(cut))
+    first, rest = halves(t)
     out = [B.adaptive(rest, B.warmup(first, kind, 60.0)[1], kind).withColumn("kind", F.lit(kind)) for kind in ("dib", "drb", "rwdib")]
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
+def halves(ticks):
+    """A warm-up of five days, and what comes after it."""
+    cut = ticks.agg(F.expr("date_trunc('day', min(time)) + interval 5 days").cast("timestamp_ntz")).scalar()
+    return ticks.where(F.col("time") < cut), ticks.where(F.col("time") >= cut)
+
+
 @query()
 def online_bars(spark, d):
     return ordered_scan(A.trades(spark, d), ["sym"], ["tradeId"], K.online_bars(20_000.0), K.ONLINE_SCHEMA)
@@ -329,7 +325,7 @@ def order_book_imbalance(spark, d):
 
 @query()
 def realized_volatility(spark, d):
-    return ordered_scan(A.trades(spark, d).select("sym", "time", "tradeId", "price"), ["sym"], ["tradeId"], K.sampled_volatility(3600, 3 * 86400, 10, 24, 3600), "sym string, time timestamp_ntz, annualizedVol double, samples long, isValid boolean")
+    return _rounded(ordered_scan(A.trades(spark, d).select("sym", "time", "tradeId", "price"), ["sym"], ["tradeId"], K.sampled_volatility(3600, 3 * 86400, 10, 24, 3600), "sym string, time timestamp_ntz, annualizedVol double, samples long, isValid boolean"), "annualizedVol", places=6)
 
 
 @query()

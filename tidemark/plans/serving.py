@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.relational import keep_latest, since, spread_mid
+from ..functions.semantics import exact_sum
+from ..operators.relational import keep_latest, price_series, since, spread_mid
 
 # Implied volatilities in percent, and the returns needed before a volatility is valid.
 IMPLIED = {"BTCUSDT": 45.0, "ETHUSDT": 65.0, "SOLUSDT": 67.0}
@@ -18,6 +19,22 @@ def order_book(quotes: DataFrame, sym: str | None = None, order: str = "fhSeqNo"
     return spread_mid(keep_latest(q, ("sym",), order))
 
 
+def latest(table: DataFrame, order: str, sym: str | None = None) -> DataFrame:
+    """Each symbol's latest row, or one symbol's."""
+    return keep_latest(table.where(F.col("sym") == sym) if sym else table, ("sym",), order)
+
+
+def pnl_history(trades: DataFrame, interval: str, order: str = "tradeId") -> DataFrame:
+    """bucket, pnl: what one unit of each symbol, bought at its first price, is up by bucket."""
+    first = trades.groupBy("sym").agg(F.min_by("price", order).alias("first"))
+    return price_series(trades, interval, order).join(first, "sym").groupBy("bucket").agg(exact_sum(F.col("price") - F.col("first")).alias("pnl"))
+
+
+def prices(trades: DataFrame, order: str = "tradeId") -> DataFrame:
+    """sym, price: the last of each symbol."""
+    return trades.groupBy("sym").agg(F.max_by("price", order).alias("price"))
+
+
 def latest_volatility(history: DataFrame) -> DataFrame:
     return keep_latest(history, ("sym",), "time")
 
@@ -34,8 +51,8 @@ def history(table: DataFrame, now, minutes: float, sym: str | None = None) -> Da
 
 def get_volatility(volatility: DataFrame, symbol: str | None = None) -> dict:
     """The read-only tool: the latest volatilities, of one symbol (in any case) or of all."""
-    rows = latest_volatility(volatility).orderBy("sym").limit(1000).collect()
-    found = [r for r in rows if symbol is None or r.sym.upper() == symbol.upper()]
+    wanted = volatility if symbol is None else volatility.where(F.upper("sym") == symbol.upper())
+    found = latest_volatility(wanted).orderBy("sym").collect()  # a row for each symbol
     if not found:
         return {"data": [], "note": "no data yet: volatility is warming up" if symbol is None else f"no data for {symbol.upper()}"}
     data = [{"symbol": r.sym, "volatility": r.annualizedVol, "samples": r.samples, "valid": r.isValid} for r in found]

@@ -38,3 +38,9 @@ def funding(spark: SparkSession, sf_dir: str, hours: int = 8) -> DataFrame:
     span = t.groupBy("sym").agg(F.date_trunc("day", F.min("time")).cast("timestamp_ntz").alias("lo"), F.max("time").alias("hi"))
     at = span.select("sym", F.explode(F.sequence("lo", "hi", F.expr(f"interval {hours} hours"))).alias("fundingTime"))
     return at.withColumn("fundingRate", ((F.hour("fundingTime") + F.length("sym")) % 7 - 3) / F.lit(10000.0))
+
+
+def health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Health rows of handlers, one for each event."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return e.select(F.col("event_type").alias("handler"), F.col("ts").alias("time"), F.col("event_id").alias("msgsPublished"), (1 + F.col("event_id") % 977).alias("uptimeSec"), (F.col("ts") - F.expr("interval 3 seconds")).alias("lastMsgTimeUtc"))
