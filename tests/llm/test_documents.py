@@ -93,6 +93,66 @@ def test_quality_keeps_long_clean_documents(frame):
     assert got[150].kept and sum(got[i].kept for i in range(150)) >= 149
 
 
+def brute_kept(x, n, failed):
+    """The whole method on exact rows of one group: concentration, reweighting, one-sided length."""
+    floor, quantile = np.diag(quality.FLOOR), quality.chi2_quantile
+    distances = lambda e, cov: np.einsum("ij,jk,ik->i", e, np.linalg.inv(cov), e)
+    best = None
+    for mean, cov in ((x.mean(0), np.cov(x.T, bias=True) + floor), (np.median(x, 0), np.diag(((np.quantile(x, 0.75, 0) - np.quantile(x, 0.25, 0)) / 1.349) ** 2) + floor)):
+        for _ in range(30):
+            near = x[np.argsort(distances(x - mean, cov), kind="stable")[: int(quality.SUBSET * len(x))]]
+            mean, cov = near.mean(0), np.cov(near.T, bias=True) + floor
+        if best is None or np.linalg.slogdet(cov)[1] < best[0]:
+            best = (np.linalg.slogdet(cov)[1], mean, cov)
+    _, mean, cov = best
+    d = distances(x - mean, cov)
+    near = x[d <= quantile(0.975, 5) * np.median(d) / quantile(0.5, 5)]
+    mean, cov = near.mean(0), np.cov(near.T, bias=True) + floor
+    scale, e, p = max(1, np.median(distances(x - mean, cov)) / quantile(0.5, 5)), x - mean, np.linalg.inv(cov)
+    e[:, 0] = np.minimum(e[:, 0], np.maximum(0, -(e[:, 1:] @ p[1:, 0]) / p[0, 0]))
+    return distances(e, cov) / scale, ~failed & (distances(e, cov) / scale <= quantile(quality.CUTOFF, 5))
+
+
+def test_quality_verdicts_against_brute_force(frame):
+    rng = random.Random(23)
+    texts = [words(rng, rng.randrange(60, 300), 3000) for _ in range(220)] + [" ".join(w + "#" * (i % 4) for w in words(rng, 120, 3000).split()) for i in range(30)] + [words(rng, 40, 3000)] * 10
+    texts += ["\n".join([words(rng, 8, 3000)] * k + [words(rng, 8, 3000) for _ in range(20)]) for k in range(1, 20)]
+    got = sorted(quality.verdicts(frame(texts, source=lambda i: "s")).collect())
+    st = np.array([brute_statistics(t) for t in texts], float)
+    n, lines, chars, symbols, dup, repeated = st.T
+    x = np.stack([np.log1p(n), np.log((chars + 1) / (n + 1)), np.log1p(200 * symbols / chars), np.log1p(20 * dup / (lines + quality.PRIOR_LINES)), np.log1p(20 * repeated / n)], 1)
+    distance_, kept = brute_kept(np.round(x * quality.UNIT) / quality.UNIT, n, (n < 50) | (100 * repeated > 50 * n))
+    cutoff = quality.chi2_quantile(quality.CUTOFF, 5)
+    clear = np.abs(np.log(distance_ / cutoff)) > 0.35  # binning moves distances a little
+    assert clear.mean() > 0.9 and all(r.kept == k for r, k, c in zip(got, kept, clear, strict=True) if c)
+
+
+@pytest.mark.parametrize("spoil", [
+    lambda rng, t: " ".join(w * 9 for w in t.split()),
+    lambda rng, t: " ".join(w + "|" for w in t.split()),
+    lambda rng, t: "\n".join([t] + [x for k in range(12) for x in [words(rng, 9, 3000)] * 6]),
+    lambda rng, t: t + " " + " ".join(words(rng, 30, 3000).split() * 3),
+    lambda rng, t: " ".join(t.split()[:51]),
+])
+def test_each_statistic_alone_can_reject(frame, spoil):
+    rng = random.Random(24)
+    texts = [words(rng, rng.randrange(900, 1100), 3000) for _ in range(200)]
+    bad = [spoil(rng, t) for t in texts[:5]]
+    got = {r.doc_id: r for r in quality.verdicts(frame(texts + bad, source=lambda i: "s")).collect()}
+    assert sum(got[i].kept for i in range(200)) >= 198
+    assert not any(got[i].kept for i in range(200, 205))
+
+
+def test_equal_rows_of_different_sources_have_their_own_verdicts(frame, spark):
+    rng = random.Random(25)
+    plain, symbols = [words(rng, 120, 3000) for _ in range(80)], [" ".join(w + "|" for w in words(rng, 120, 3000).split()) for _ in range(80)]
+    docs = frame(plain + symbols, source=lambda i: "a" if i < 80 else "b")
+    odd_one = docs.where("doc_id = 100")
+    docs = docs.unionByName(odd_one.withColumn("source", F.lit("a")))
+    kept = {(r.doc_id, r.source) for r in quality.reject(docs).collect()}
+    assert (100, "b") in kept and (100, "a") not in kept
+
+
 def test_quality_on_odd_tables(odd, empty):
     got = quality.verdicts(odd).collect()
     assert len(got) == odd.count() and {r.base_failed for r in got if r.n_words < 50} == {True}
@@ -130,6 +190,43 @@ def test_mixture(frame):
     assert all(sums[r.doc_id] == r.taken for r in got)
 
 
+def test_mixture_against_slots_one_by_one(spark, frame):
+    """Every slot followed by hand: its block by the permutation, the block's words to their documents."""
+    from tidemark.llm.permutation import permuted
+
+    rng = random.Random(33)
+    docs = frame([words(rng, rng.randrange(1, 700)) for _ in range(60)], source=lambda i: ["a", "b", "c", None][i % 4])
+    placed, sources = mixing._plan(docs, 11)
+    slots = mixing._slots(docs, sources, 11).collect()
+    assert collections.Counter(r.sid for r in slots) == {s["sid"]: s["quota"] for s in sources if s["quota"]}
+    assert all(sorted(r.slot for r in slots if r.sid == s["sid"]) == list(range(s["quota"])) for s in sources)
+    cells = [(s["sid"], p, i, s["blocks"]) for s in sources for p in range(2) for i in range(s["blocks"])]
+    block = {(r.sid, r.p, r.i): r.b for r in spark.createDataFrame(cells, "sid int, p long, i long, n long").withColumnRenamed("p", "pass").select("sid", F.col("pass").alias("p"), "i", permuted("i", "n", "11, sid, pass").alias("b")).collect()}
+    words_of = {}
+    for r in placed.collect():
+        for k in range(r["size"]):
+            words_of[r.sid, r.start + k] = r.doc_id
+    blocks, taken = {s["sid"]: s["blocks"] for s in sources}, collections.Counter()
+    for r in slots:
+        b = block[r.sid, r.slot // blocks[r.sid], r.slot % blocks[r.sid]]
+        for w in range(b * mixing.BLOCK, (b + 1) * mixing.BLOCK):
+            if (r.sid, w) in words_of:
+                taken[words_of[r.sid, w]] += 1
+    assert {r.doc_id: r.taken for r in mixing.mixture(docs).collect() if r.taken} == taken
+
+
+def test_mix_tells_sources_of_equal_rows_apart(frame):
+    rng = random.Random(34)
+    docs = frame([words(rng, 200) for _ in range(30)], source=lambda i: "ab"[i % 2])
+    both = docs.unionByName(docs.where("doc_id = 4").withColumn("source", F.lit("b"))).unionByName(docs.where("doc_id = 5"))
+    want, got = collections.Counter(), collections.Counter()
+    for r in mixing.mixture(both).collect():
+        want[r.doc_id, r.source] += r.taken
+    for r in mixing.mix(both).collect():
+        got[r.doc_id, r.source] += len(r.text.split())
+    assert got == +want
+
+
 def test_mixture_on_odd_tables(odd, empty):
     got = mixing.mixture(odd).collect()
     assert len(got) == odd.count() and all(r.taken == 0 for r in got if r["size"] == 0)
@@ -303,6 +400,32 @@ def test_shards(frame, n, monkeypatch):
     assert sharding.shard(docs, 10).columns == [c for c in docs.columns if c != "shard"] + ["shard", "slot"]
 
 
+def test_pieces_follow_the_drawn_matrix(frame, monkeypatch):
+    """Partition by partition, as many rows go to each shard as the matrix says."""
+    monkeypatch.setattr(sharding, "ROWS_PER_PART", 30)
+    rng, drawn = random.Random(35), []
+    matrix = sharding.matrix
+    monkeypatch.setattr(sharding, "matrix", lambda *a: drawn.append(matrix(*a)) or drawn[-1])
+    docs = frame([words(rng, 5) for _ in range(200)])
+    out = sharding.shard(docs, 6, seed=3).drop("part", "row_key").withColumn("row_key", sharding.row_key()).withColumn("part", F.pmod(F.xxhash64("row_key", F.lit(3)), F.lit(7)).cast("int"))
+    assert {(r.part, r.shard): r["count"] for r in out.groupBy("part", "shard").count().collect()} == {(r.part, r.shard): r.n for r in drawn[0].collect()}
+
+
+def test_the_deck_is_uniform(spark):
+    """Over many keys each place gets each label equally often, and a part's count of a label is hypergeometric."""
+    from math import comb
+
+    from tidemark.llm.permutation import permuted
+
+    keys, n, shards = 4000, 12, 3
+    deck = spark.range(keys * n).select(F.expr(f"id div {n}").alias("k"), F.expr(f"id % {n}").alias("at"), F.floor(permuted(f"id % {n}", f"{n}L", f"id div {n}") * shards / n).alias("label"))
+    got = deck.groupBy("at", "label").count().collect()
+    assert len(got) == n * shards and all(abs(r["count"] - keys / shards) < 5 * (keys / shards) ** 0.5 for r in got)
+    first = collections.Counter(r.c for r in deck.where("at < 5").groupBy("k").agg(F.count_if(F.col("label") == 0).alias("c")).collect())
+    law = [comb(4, c) * comb(8, 5 - c) / comb(12, 5) for c in range(5)]
+    assert sum((first[c] - keys * p) ** 2 / (keys * p) for c, p in enumerate(law)) < 18.5  # chi square of 4 degrees, 0.1 %
+
+
 def test_matrix_has_its_margins(spark):
     sizes = spark.createDataFrame([(0, 50), (1, 7), (2, 44)], "part int, rows long")
     m = sharding.matrix(sizes, 101, 4, 1).collect()
@@ -367,6 +490,31 @@ def test_language_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_predictions_against_plain_convolution(spark):
+    rng, letters = random.Random(36), {"xx": "aeioumn", "yy": "stkrzöü"}
+    make = lambda lang, n: " ".join("".join(rng.choice(letters[lang]) for _ in range(4)) for _ in range(n))
+    data = [(i, make(lang, rng.randrange(1, 60)), lang) for i in range(60) for lang in [list(letters)[i % 2]]] + [(70, "², ½ Ⅷ 12", "xx"), (71, "ª", "xx")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    net = langid.train(docs)
+    got = {r.doc_id: r for r in langid.identify(docs).collect()}
+
+    def brute(text):
+        total = np.zeros(len(net.languages))
+        for x in langid.cut(text.encode()):
+            e, pooled = net.p["embed"][x], []
+            for k in langid.WIDTHS:
+                z = [sum(e[i + j] @ net.p[f"w{k}"][j * langid.EMBED : (j + 1) * langid.EMBED] for j in range(k)) + net.p[f"b{k}"] for i in range(len(x) - k + 1)]
+                pooled.append(np.maximum(np.max(z, 0), 0))
+            s = np.exp(np.concatenate(pooled) @ net.p["out"] + net.p["bias"])
+            total += s / s.sum()
+        return total / len(langid.cut(text.encode()))
+
+    for i, text, _ in data[:60]:
+        p = brute(text)
+        assert got[i].lang_pred == net.languages[int(p.argmax())] and got[i].score == pytest.approx(p.max(), abs=1e-4)
+    assert got[70].lang_pred == "und" and got[71].lang_pred != "und"
+
+
 def test_language_without_labels(spark, odd, empty):
     assert {r.lang_pred for r in langid.identify(odd.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
     assert langid.identify(empty).count() == 0
@@ -408,7 +556,7 @@ def test_leaks(spark, frame):
         if kind == 2:  # far beyond it
             item = item[: len(item) // 2]
         texts.append(words(rng, 50, 5000) + "\n" + " ".join(item).upper() + "!!! " + words(rng, 30, 5000))
-    benchmark = spark.createDataFrame([*enumerate(items), (98, None), (99, "too short")], "item_id long, text string")
+    benchmark = spark.createDataFrame([*enumerate(items), (98, None), (99, "nowhere found")], "item_id long, text string")
     docs = frame(texts)
     got = {(r.doc_id, r.item_id) for r in decontaminate.leaked_documents(docs, benchmark).collect()}
     assert got <= expected and len(got) >= 0.95 * len(expected)
@@ -436,6 +584,52 @@ def test_leaks_of_short_items_among_long_ones(monkeypatch, most):
     assert found >= (0.95 if most > 4 else 1) * tried
 
 
+def test_every_length_class_reaches_the_recall():
+    rng = np.random.default_rng(14)
+    draw = lambda n: rng.integers(1 << 63, (1 << 64) - 1, n, dtype=np.uint64)
+    items = [draw(n) for n in [*range(1, 21), *range(1, 21), *range(1, 21), 30, 45, 60, 100, 150]]
+    index = decontaminate.build(items)
+    assert min(decontaminate.planted_recall(index, seed=77).values()) >= 0.9
+    tried, found = collections.Counter(), collections.Counter()
+    for i, item in enumerate(items):
+        for _ in range(10):
+            w, n = item.tolist(), len(item)
+            for _ in range(n * decontaminate.EDIT_PERCENT // 100):
+                at, kind = int(rng.integers(len(w))), int(rng.integers(3))
+                w[at : at + (kind != 1)] = draw(1).tolist() if kind != 2 else []
+            got = decontaminate._matches(index, np.concatenate([draw(15), np.array(w, np.uint64), draw(15), np.zeros(1, np.uint64)]))
+            tried[n] += 1
+            found[n] += any(j == i for _, j, *_ in got)
+    assert all(found[n] >= 0.9 * tried[n] for n in tried if n >= decontaminate.WALKED) and all(found[n] == tried[n] for n in tried if n < decontaminate.WALKED)
+    assert sum(found.values()) >= 0.97 * sum(tried.values())
+
+
+def test_leaks_against_all_windows(spark, frame):
+    """Short texts, small vocabulary: what is found is within the bound, and hardly any pair is missed."""
+    rng = random.Random(15)
+    items = [words(rng, n, 60) for n in [1, 2, 3, 5, 6, 7, 8, 9, 10, 12, 14, 16, 20, 24]]
+    texts = [words(rng, rng.randrange(0, 30), 60) + " " + edited(rng, items[i % 14], rng.choice([0, 0.05, 0.1])) + " " + words(rng, 5, 60) for i in range(56)]
+    docs, benchmark = frame(texts), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    expected = {}
+    for i, t in enumerate(texts):
+        w = t.split()
+        for j, item in enumerate(items):
+            x = item.split()
+            best = min(distance(x, w[a:b]) for a in range(len(w)) for b in range(max(a, a + len(x) - 3), min(len(w), a + len(x) + 3) + 1))
+            if best <= len(x) * decontaminate.EDIT_PERCENT // 100:
+                expected[i, j] = best
+    got = {(r.doc_id, r.item_id): r.distance for r in decontaminate.leaked_documents(docs, benchmark).collect()}
+    assert got.items() <= expected.items() and len(got) >= 0.95 * len(expected)
+
+
+def test_blocks_of_items(spark, frame, monkeypatch):
+    rng = random.Random(16)
+    items = [words(rng, 20, 5000) for _ in range(30)]
+    monkeypatch.setattr(decontaminate, "ITEMS", 7)
+    docs, benchmark = frame([words(rng, 9, 5000) + " " + x for x in items]), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaked_documents(docs, benchmark).collect()} == {(i, i) for i in range(30)}
+
+
 def test_leaks_on_odd_tables(spark, odd, empty):
     benchmark = spark.createDataFrame([(1, "one two three four five six seven eight nine ten"), (None, None)], "item_id long, text string")
     assert decontaminate.leaked_documents(odd, benchmark).count() == 0

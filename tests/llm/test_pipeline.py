@@ -48,3 +48,27 @@ def test_run(spark, tmp_path):
     sizes = [sum(r.shard == s for r in got) for s in range(corpus_pipeline.SHARDS)]
     assert max(sizes) - min(sizes) <= 1 and sum(sizes) == 45
     assert all(sorted(r.slot for r in got if r.shard == s) == list(range(n)) for s, n in enumerate(sizes))
+
+
+def test_run_on_odd_and_empty_tables(spark, odd, empty, tmp_path):
+    """Nulls in every column, repeated rows, long texts, clashing names, no rows at all."""
+    spark.createDataFrame([(None, None), (1, "one two three four five six seven eight nine ten")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for stage_docs in (odd, empty):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            assert stage(spark, stage_docs, str(tmp_path)).columns == stage_docs.columns, name
+    empty.write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_a_hot_group_of_copies(spark, frame, tmp_path):
+    """A third of all rows are one text, in two sources: one row of it stays and the mix takes it at most twice."""
+    rng = random.Random(9)
+    texts = [words(rng, 150, 5000) for _ in range(40)] + [words(rng, 150, 5000)] * 20
+    frame(texts, source=lambda i: f"s{i % 2}").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in got} <= set(range(41)) and len({r.doc_id for r in got}) >= 39
+    taken: dict[int, int] = {}
+    for r in got:
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + len(r.text.split())
+    assert max(taken.values()) <= 300

@@ -7,6 +7,7 @@ row for every operator here and get the same result; rows that share only the id
 
 from __future__ import annotations
 
+import re
 import uuid
 
 import numpy as np
@@ -19,19 +20,30 @@ BROADCAST_ROWS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; an own one only where the session names none."""
+    """The folder that all executors share.  Only a local session, whose tasks run on this machine,
+    may do without the setting."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = f"file:/tmp/checkpoints/{spark.sparkContext.applicationId}"
     return found.rstrip("/")
 
 
+_leaving: set[str] = set()
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes a table into the shared folder and reads it again: its lineage is cut, and a lost
-    executor costs no recomputation of what stands before it."""
+    executor costs no recomputation of what stands before it.  Staged tables go as the driver ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/staged-{spark.sparkContext.applicationId}"
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if folder not in _leaving:
+        _leaving.add(folder)
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,12 +7,17 @@ between their embeddings.  A repetition samples SAMPLED steps of a walk; where a
 with an item in all of them the pair is a candidate.  Items are embedded from many offsets and
 every other pair of repetitions samples short reaches, so that any few words left alone between two
 edits can agree.  Repetitions are added until planted edits of the items are found at the target
-recall in every length class; the items of classes that stay below it are searched exactly, by the
-one of EDITS + 1 pieces that no edit touches.  Candidates are verified by exact word edit distance
+recall in every length class; the items of classes that stay below it, and all too short to walk,
+are searched exactly, by the one of EDITS + 1 pieces that no edit touches.  Candidates are verified by exact word edit distance
 against the best-placed window.
 
+Windows are embedded piece by piece: a walk from each offset of an item, and from each word of a
+text, reaches at most STEPS words, since a walk over a whole window of many words would meet as many
+edits as the bound allows and agree in nothing.
+
 Scale.  Documents are read once per block of items (ITEMS in a block, so the broadcast tables are
-bounded); nothing is shuffled, and all windows of a text are tried.
+bounded, and a block's go before the next one's come); nothing is shuffled, and all windows of a
+text are tried.
 """
 
 import numpy as np
@@ -22,8 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import Windows, distinct, fresh, hash_words, matching, mix, row_key, staged
 
-#: A window of n words is a leak within n * EDIT_PERCENT // 100 word edits; shorter items than MIN_WORDS are not searched.
-EDIT_PERCENT, MIN_WORDS = 15, 8
+#: A window of n words is a leak within n * EDIT_PERCENT // 100 word edits; items of fewer words than WALKED are searched exactly.
+EDIT_PERCENT, WALKED = 15, 8
 WALKS, STEPS, SAMPLED, MOST_REPETITIONS, RECALL = 2, 24, 6, 24, 0.95
 #: Steps of a short reach (about five words); offsets of an item, about; planted edits of a length class at least.
 REACH, OFFSETS, PLANTED = 10, 24, 200
@@ -102,9 +107,9 @@ class Index:
 
     def __init__(self, items: list[np.ndarray], repetitions: int, exactly: frozenset[int] = frozenset()) -> None:
         self.items = items
-        searched = [i for i, w in enumerate(items) if len(w) >= MIN_WORDS]
-        walked = [i for i in searched if length_class(len(items[i])) not in exactly]
-        self.samplings = Samplings(repetitions if walked else 0, min((len(items[i]) for i in walked), default=MIN_WORDS))
+        searched = [i for i, w in enumerate(items) if len(w)]
+        walked = [i for i in searched if len(items[i]) >= WALKED and length_class(len(items[i])) not in exactly]
+        self.samplings = Samplings(repetitions if walked else 0, min((len(items[i]) for i in walked), default=WALKED))
         # The items in a row, a 0 after each, and of each place its item and its offset in it.
         ended = np.concatenate([np.append(items[i], np.uint64(0)) for i in walked] or [np.zeros(1, np.uint64)])
         sizes = np.array([len(items[i]) for i in walked], np.int64)
@@ -214,7 +219,7 @@ def planted_recall(index: Index, seed: int = 3, copies: int = 4) -> dict[int, fl
     rng, found, all_ = np.random.default_rng(seed), {}, {}
     by: dict[int, list[int]] = {}
     for i, w in enumerate(index.items):
-        if len(w) >= MIN_WORDS:
+        if len(w) >= WALKED:
             by.setdefault(length_class(len(w)), []).append(i)
     foreign = lambda n: rng.integers(1, 1 << 62, n).tolist()
 
@@ -267,7 +272,7 @@ def _find(shared, ids: list):
             texts = b.column("text").cast(pa.binary()).to_pylist()
             for i, (key, t) in enumerate(zip(b.column("key").to_pylist(), texts, strict=True)):
                 ws = words(t)
-                if len(ws) >= MIN_WORDS - MIN_WORDS * EDIT_PERCENT // 100:
+                if len(ws):
                     held.append(np.append(ws, np.uint64(0)))
                     keys.append(key)
                     size += len(ws)
@@ -285,8 +290,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     text) that a document holds within the edit bound, with its best window.
 
     Word positions count words with a letter, digit or non-ASCII character.  Null or blank texts on
-    either side and items of fewer than MIN_WORDS words match nothing; items with equal ids or
-    texts match each by itself; a null item_id is reported as null; other columns are ignored.
+    either side match nothing; an item of fewer than seven words matches where its words stand in
+    order (leave out of ``benchmark`` what is too short to tell anything); items with equal ids or texts
+    match each by itself; a null item_id is reported as null; other columns are ignored.
     """
     sc = docs.sparkSession.sparkContext
     rows = docs.select(row_key().alias("key"), F.col("text").cast("string").alias("text"))
@@ -296,14 +302,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for block in range(blocks):  # a stated query set against all rows, in blocks of bounded size
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
         index = build([words(r.text.encode() if r.text else None) for r in mine])
-        found = rows.mapInArrow(_find(sc.broadcast(index), [r.item_id for r in mine]), MATCHES)
+        shared = sc.broadcast(index)
+        found = staged(rows.mapInArrow(_find(shared, [r.item_id for r in mine]), MATCHES), "leaks")
+        shared.destroy()
         out = found if out is None else out.unionByName(found)
     return out
 
 
 def leaked_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """leaks() with doc_id in place of the key: one row for each (document, item)."""
-    found = staged(leaks(docs, benchmark), "leaks")
+    found = leaks(docs, benchmark)
     keys = found.select("key").distinct()
     named = matching(docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key")), keys, "key").distinct()
     return found.join(named, "key").select("doc_id", "item_id", "from_word", "n_words", "distance")

@@ -339,9 +339,9 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return both.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(*pairs.columns)
 
 
-def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents with their node (doc_id, key, n, node; null for empty sets), and the links (a, b)
-    found between nodes: enough of them to connect every two documents that links connect."""
+def linked_nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents with their node (doc_id, key, n, node; null for empty sets), and of all nodes that
+    link with another the component (node, root)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row_key().alias("key"))
     nodes = staged(rows.mapInArrow(_nodes, _NODES), "jaccard-nodes")
     least = {x: F.min(x).alias(x) for x in ("n", "bytes", *CELLS)}
@@ -368,8 +368,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     starred = shared.join(pivots, "sig").where(f"node <> pivot and {_FIT}").groupBy(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).agg(F.count("*").alias("shared"))
     tried = single.where("not hot").drop("hot").unionByName(starred).groupBy("a", "b").agg(F.sum("shared").alias("shared"))
     tried = staged(_plausible(tried, classes, fine), "jaccard-candidates")
-    linked = _connected(tried, rows, classes, None)
-    roots = staged(components(linked), "jaccard-roots")
+    roots = _connected(tried, rows, classes, None)
     # What shares a pair signature but no component, was not compared yet and passes the bitmap filter.
     placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     torn = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
@@ -380,25 +379,28 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rest = met.groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("shared"), F.min(F.col("bytes") + F.col("bytes2")).alias("bytes"), F.min(F.col("n").cast("long")).alias("n"), F.min(F.col("m").cast("long")).alias("m"))
     rest = _finer(staged(rest.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-coarse"), fine)
     rest = staged(rest, "jaccard-candidates")
-    return nodes, _connected(rest, rows, classes, linked) if rest.limit(1).count() else linked
+    return nodes, _connected(rest, rows, classes, roots) if rest.limit(1).count() else roots
 
 
-def _connected(pairs: DataFrame, rows: DataFrame, classes: DataFrame, known: DataFrame | None) -> DataFrame:
-    """known links and those among pairs that connect more: each node is compared with the one it
-    shares most with, and then only pairs that are still in different components."""
+def _connected(pairs: DataFrame, rows: DataFrame, classes: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """node, root of the components that the links among pairs make of the components so far: each
+    node is compared with the one it shares most with, and then only pairs that are still apart."""
     best = pairs.groupBy("b").agg(F.max_by(F.struct("a", "bytes"), F.struct("shared", "a")).alias("p")).select("p.a", "b", "p.bytes")
     best = staged(best, "jaccard-first")
-    linked = staged(_verified(best, rows, classes), "jaccard-links")
-    linked = linked if known is None else known.unionByName(linked)
-    roots = staged(components(linked), "jaccard-roots")
+    roots = _joined(staged(_verified(best, rows, classes), "jaccard-links"), roots)
     later = staged(_apart(pairs.select("a", "b", "bytes").join(best.select("a", "b"), ["a", "b"], "left_anti"), roots), "jaccard-second")
-    return linked.unionByName(staged(_verified(later, rows, classes), "jaccard-links"))
+    return _joined(staged(_verified(later, rows, classes), "jaccard-links"), roots)
+
+
+def _joined(linked: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The components of the links and of the components so far, each of these a star around its root."""
+    links_ = linked if roots is None else linked.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    return staged(components(links_), "jaccard-roots") if roots is None or linked.limit(1).count() else roots
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
     """doc_id, key, n, grp (the component's node; null for empty sets), component."""
-    nodes, linked = links(docs)
-    roots = components(linked)
+    nodes, roots = linked_nodes(docs)
     classes = nodes.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     placed = staged(classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "jaccard-classes")
     least = placed.groupBy("root").agg(F.min("least").alias("component"), F.sum("copies").alias("members")).where("members > 1")

@@ -24,7 +24,7 @@ from .common import matching, row_key
 PER_LANGUAGE, PER_DOCUMENT = 300, 4
 WINDOW, EMBED, WIDTHS, FILTERS = 64, 10, (2, 3, 4), 16
 EPOCHS, BATCH, RATE = 5, 64, 4e-3
-_LETTER = re.compile(r"[^\W\d_]")
+_ASCII_LETTER = re.compile(rb"[A-Za-z]")
 
 
 class Network:
@@ -127,7 +127,8 @@ def cut(raw: bytes) -> np.ndarray:
 
 
 def has_letter(raw: bytes | None) -> bool:
-    return raw is not None and _LETTER.search(raw.decode("utf-8", "replace")) is not None
+    """Whether a character of Unicode's letter categories is in the text; \\p{L} means the same in train()."""
+    return raw is not None and (_ASCII_LETTER.search(raw) is not None or any(map(str.isalpha, raw.decode("utf-8", "replace"))))
 
 
 def held_out(doc_id: str = "doc_id"):

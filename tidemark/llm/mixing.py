@@ -8,7 +8,8 @@ block's index.  Draws beyond a source's quota are dealt on, slot by slot, to sou
 theirs, so that sources meet their targets to a block and no block is taken more than twice.
 
 Scale.  Documents are placed within their source by two-level running sums (no window over a whole
-source).  Only the table of sources, of MAX_SOURCES rows at most, passes through the driver.
+source).  Only the table of sources, of MAX_SOURCES rows at most, passes through the driver; a shard's
+draw looks each of its slots up in the sources' running shares, so its cost grows with the slots.
 """
 
 import math
@@ -19,14 +20,15 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 from pyspark.sql.window import Window
 
-from .common import fresh, row_key, running, staged
+from .common import fresh, matching, row_key, running, staged
 from .permutation import permuted
 
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: Words of a block, slots of an output shard; sources beyond MAX_SOURCES raise an error.
-BLOCK, SLOTS, MAX_SOURCES = 128, 512, 200_000
+BLOCK, SLOTS, MAX_SOURCES = 128, 512, 1_000_000
 ROWS_PER_BUCKET = 20_000
 #: Slots that a task should permute.
 SLOTS_PER_TASK = 50_000
@@ -47,6 +49,11 @@ def targets(sizes: list[int], weights: list[float], total: float, most: float =
     return out
 
 
+def _key() -> F.Column:
+    """What decides a row's place: rows equal in id and text lie elsewhere if their source differs."""
+    return F.xxhash64(row_key(), F.col("source").cast("string"), F.col("source").isNull())
+
+
 def _sizes(batches):
     for b in batches:
         n = [len(t.split()) if t else 0 for t in b.column("text").cast(pa.binary()).to_pylist()]
@@ -55,7 +62,7 @@ def _sizes(batches):
 
 def _plan(docs: DataFrame, seed: int) -> tuple[DataFrame, list[dict]]:
     """Documents with their source's number, target and their place (words before) in it; sources."""
-    light = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
+    light = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), _key().alias("row_key"), F.col("text").cast("string").alias("text"))
     light = staged(light.mapInArrow(_sizes, "doc_id long, source string, row_key long, size long"), "mix-sizes")
     found = light.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs")).limit(MAX_SOURCES + 1).collect()
     if len(found) > MAX_SOURCES:
@@ -79,14 +86,15 @@ def _slots(docs: DataFrame, sources: list[dict], seed: int) -> DataFrame:
     spark = docs.sparkSession
     quota = np.array([s["quota"] for s in sources], np.int64)
     total = int(quota.sum())
-    shards = -(-total // SLOTS)
+    shards, upto = -(-total // SLOTS), np.cumsum(quota)
 
     def draw(frames):
         for f in frames:
             for shard in f["id"]:
-                n = np.random.default_rng([seed, int(shard)]).multinomial(min(SLOTS, total - int(shard) * SLOTS), quota / total)
-                at = np.flatnonzero(n)
-                yield pd.DataFrame({"shard": np.int64(shard), "sid": at.astype(np.int32), "n": n[at]})
+                # Independent slots are counted: the multinomial distribution of the quotas.
+                slots = np.random.default_rng([seed, int(shard)]).integers(total, size=min(SLOTS, total - int(shard) * SLOTS))
+                at, n = np.unique(np.searchsorted(upto, slots, side="right"), return_counts=True)
+                yield pd.DataFrame({"shard": np.int64(shard), "sid": at.astype(np.int32), "n": n})
 
     drawn = staged(spark.range(shards).mapInPandas(draw, "shard long, sid int, n long"), "mix-draws")
     drawn = running(drawn, "sid", F.floor(F.col("shard") / ROWS_PER_BUCKET), [F.col("shard")], F.col("n"), "first")
@@ -160,12 +168,20 @@ def cut(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def mix(docs: DataFrame) -> DataFrame:
     """docs as the mix takes them: for each document a row for each pass that takes words of it,
-    text cut to those words, n_chars (if docs has it) counted anew, all other columns as they were."""
+    text cut to those words, n_chars (if docs has it) counted anew, all other columns as they were.
+    Odd rows are as in mixture(); rows that repeat id, text and source share their places among
+    them by their other columns."""
     key, nth, spans, go = (fresh(docs, x) for x in ("key_", "nth_", "spans_", "pass_"))
     places, pieces = takes(docs)
     runs = pieces.groupBy("sid", "start", "pass").agg(F.array_sort(F.collect_list(F.struct("from", "to"))).alias(spans))
     plan = places.where("size > 0").withColumn(nth, F.row_number().over(Window.partitionBy("row_key").orderBy("sid", "start"))).join(runs, ["sid", "start"]).select(F.col("row_key").alias(key), nth, F.col("pass").alias(go), spans)
-    rows = docs.withColumn(key, row_key()).withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0)))).join(plan, [key, nth])
+    twice = staged(places.groupBy("row_key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("row_key").alias(key)), "mix-repeated")
+    keyed, first = docs.withColumn(key, _key()), F.lit(1)
+    rows = matching(keyed, twice, key, "left_anti").withColumn(nth, first)
+    if twice.limit(1).count():
+        order = F.xxhash64(*(c.name for c in docs.schema.fields if not isinstance(c.dataType, (MapType, VariantType))))
+        rows = rows.unionByName(matching(keyed, twice, key).withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(order))))
+    rows = rows.join(plan, [key, nth])
     names = docs.columns
 
     def slices(batches):

@@ -22,4 +22,4 @@ def permuted(index: str, n: str, key: str) -> Column:
     once = f"aggregate(sequence(1, {ROUNDS}), named_struct('l', s.v div {b}, 'r', s.v % {b}), (p, k) -> named_struct('l', {left}, 'r', {right}), p -> p.l * {b} + p.r)"
     step = f"if(s.done, s, aggregate(array({once}), s, (o, v) -> named_struct('v', v, 'done', v < {n})))"
     start = f"named_struct('v', cast({index} as bigint), 'done', false)"
-    return F.expr(f"aggregate(sequence(1, {STEPS}), {start}, (s, i) -> {step}, s -> s.v)")
+    return F.expr(f"aggregate(sequence(1, {STEPS}), {start}, (s, i) -> {step}, s -> if(s.done, s.v, cast(raise_error('a walk of the permutation did not end') as bigint)))")

@@ -9,7 +9,9 @@ counts on one side only: a document is measured as of the best length up to its
 Scale.  The text is read once.  A concentration step is one join of the statistics with the
 groups' estimates and one aggregation by (group, start, distance bin): sums are combined before
 the shuffle, a hot group is at most BINS rows per task, and no group meets in one task.  The
-vectors are rounded to 1/256, so all sums are exact integers and reruns agree in every bit.
+vectors are rounded to 1/256, so all sums are exact integers and reruns agree in every bit.  Distances
+are binned by 1/64 of their logarithm, so a step takes the nearest share to a bin: the last bin
+counts in part, by weight.
 """
 
 import math
@@ -27,8 +29,11 @@ STATS = "n_words long, n_lines long, word_chars long, n_symbols long, n_dup_line
 #: Names of the transformed statistics, in the order of the vectors.
 VECTOR = ("log_words", "log_word_length", "log_symbol_rate", "log_dup_line_rate", "log_repeat_rate")
 DIM, UNIT, BINS = len(VECTOR), 256, 640
-#: Variance added to each statistic: a source in which nearly all documents have the same value must not reject the rest.
-FLOOR = (0.3**2, 0.1**2, 0.6**2, 0.8**2, 0.6**2)
+#: Variance added to each statistic: a source in which nearly all documents have the same value must
+#: not reject the rest, and yet each statistic alone must be able to pass the cutoff.
+FLOOR = (0.3**2, 0.1**2, 0.4**2, 0.35**2, 0.35**2)
+#: Lines added to a document's when its share of repeated lines is taken: of few lines one says little.
+PRIOR_LINES = 4
 MIN_ROWS, SUBSET, STEPS = 60, 0.75, 4
 CUTOFF = 0.9999
 #: Groups whose estimates (some 400 bytes each) may be broadcast; beyond it the join shuffles.
@@ -81,9 +86,14 @@ def _statistics(batches):
         yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "row_key", "lang", "source")), *(pa.array(c) for c in cols)], names=["doc_id", "row_key", "lang", "source", "n_words", "n_lines", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
 
 
+def _key() -> F.Column:
+    """What decides a verdict: rows equal in id and text differ in it if language or source differ."""
+    return F.xxhash64(row_key(), "lang", "source", F.col("lang").isNull(), F.col("source").isNull())
+
+
 def statistics(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, row_key, lang, source and the base statistics."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), "lang", "source", F.col("text").cast("string").alias("text"))
+    """One row per document: doc_id, row_key (of id, text, lang and source), lang, source and the base statistics."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key().alias("row_key"), "lang", "source", F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(_statistics, f"doc_id long, row_key long, lang string, source string, {STATS}")
 
 
@@ -93,7 +103,7 @@ def _vector() -> list[F.Column]:
         F.log1p(words),
         F.log((F.col("word_chars") + 1) / (words + 1)),
         F.log1p(200 * rate("n_symbols", "word_chars")),
-        F.log1p(20 * rate("n_dup_lines", "n_lines")),
+        F.log1p(20 * F.col("n_dup_lines") / (F.col("n_lines") + PRIOR_LINES)),
         F.log1p(20 * rate("n_repeat_words", "n_words")),
     )
     return [F.round(x * UNIT).cast("long") for x in raw]
@@ -214,9 +224,9 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
 
 def reject(docs: DataFrame) -> DataFrame:
-    """docs without the rows that verdicts() rejects, with all columns of docs."""
+    """docs without the rows that verdicts() rejects, with all columns of docs.  Odd rows are as there."""
     from .common import matching
 
     key = fresh(docs, "row_key_")
     bad = staged(verdicts(docs).where("not kept").select(F.col("row_key").alias(key)).distinct(), "quality-rejected")
-    return matching(docs.withColumn(key, row_key()), bad, key, "left_anti").drop(key)
+    return matching(docs.withColumn(key, _key()), bad, key, "left_anti").drop(key)

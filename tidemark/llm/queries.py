@@ -102,6 +102,36 @@ def op10_cgk_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+_WORDS = "string_split_regex(trim({}, E' \\t\\n\\x0B\\f\\r'), '[\\x20\\x09-\\x0D]+')"
+#: Links by joining shingles, and the least id of a component by spreading it until nothing changes.
+OP5_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT doc_id, CASE WHEN t IS NULL OR NOT regexp_matches(t, '[^\\x20\\x09-\\x0D]') THEN [] ELSE {_WORDS.format('t')} END AS ws FROM d),
+u AS (SELECT doc_id, ws, unnest(range(1, greatest(2, len(ws) - 3))) AS i FROM w WHERE len(ws) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS g FROM u),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+k AS (SELECT doc_id, n, md5(string_agg(g, chr(10) ORDER BY g)) AS same FROM s JOIN n USING (doc_id) GROUP BY doc_id, n),
+c AS (SELECT same, min(doc_id) AS rep, any_value(n) AS n FROM k GROUP BY same),
+cs AS (SELECT s.doc_id, s.g, c.n FROM s JOIN c ON c.rep = s.doc_id),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM cs a JOIN cs b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n) GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT rep AS v, rep AS root FROM c UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.v WHERE r.root < e.b),
+m AS (SELECT v, min(root) AS root FROM r GROUP BY v)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.root, w.doc_id) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN k ON k.doc_id = w.doc_id LEFT JOIN c ON c.same = k.same LEFT JOIN m ON m.v = c.rep
+"""
+
+OP6_SQL = f"""
+WITH w AS (SELECT doc_id, CASE WHEN text IS NULL OR NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN [] ELSE {_WORDS.format('text')} END AS ws FROM documents),
+p AS (SELECT doc_id, unnest(range(1, greatest(1, len(ws) - 33))) AS i, ws FROM w WHERE len(ws) >= 35),
+h AS (SELECT doc_id, i, array_to_string(ws[i : i + 34], ' ') AS win FROM p),
+g AS (SELECT doc_id, i FROM h QUALIFY count(*) OVER (PARTITION BY win) > 1),
+x AS (SELECT DISTINCT doc_id, i + k AS at FROM g, range(35) r(k)),
+o AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS at, ws FROM w),
+f AS (SELECT o.doc_id, count(*) FILTER (WHERE x.at IS NOT NULL) AS n_removed, coalesce(string_agg(o.ws[o.at], ' ' ORDER BY o.at) FILTER (WHERE x.at IS NULL), '') AS kept FROM o LEFT JOIN x ON x.doc_id = o.doc_id AND x.at = o.at GROUP BY o.doc_id)
+SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, coalesce(f.n_removed, 0) AS n_removed, sha256(coalesce(f.kept, '')) AS kept_sha256 FROM w LEFT JOIN f ON f.doc_id = w.doc_id
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_mcd, op2_mix_blocks, op3_line_dedup, op4_warc_salvage, op5_jaccard_prefixes, op6_substring_levels, op7_hypergeometric_shards, op8_byte_cnn, op9_host_paths, op10_cgk_leaks)}
 
-ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op4_warc_salvage": OP4_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op4_warc_salvage": OP4_SQL, "op5_jaccard_prefixes": OP5_SQL, "op6_substring_levels": OP6_SQL}
