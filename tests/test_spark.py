@@ -214,3 +214,96 @@ def test_logs(spark, tmp_path):
     assert [(r.date, r.files, r.state) for r in archives.logs(store, path).orderBy("date").collect()] == [("2024-01-01", 1, "ok"), ("2024-01-08", 1, "corrupt"), ("2024-01-09", 1, "ok")]
     assert archives.clean_logs(store, path, dt.date(2024, 1, 10)) == ["2024-01-01"]
     assert archives.logs(store, path).count() == 2
+
+
+def test_config():
+    from tidemark.sources import config
+
+    c = config.load('{"symbols": ["btcusdt"], "market": {"stream_suffix": "@aggTrade"}, "other": 1}')
+    assert c.symbols == ["btcusdt"] and c.market.stream_suffix == "@aggTrade" and c.tickerplant.port == 5010 and c.reconnect.max_backoff_ms == 8000
+    with pytest.raises(TypeError):
+        config.load('{"tickerplant": {"port": "x"}}')
+
+
+def test_pages_end_or_raise(spark):
+    book = [{"symbol": "A", "fundingRate": "0.1", "fundingTime": i, "markPrice": "5"} for i in range(25)]
+    fetch = lambda s, ms: [r for r in book if r["fundingTime"] >= ms][:10]
+    assert len(archives.pages(lambda ms: fetch("A", ms), 0, 10)) == 25
+    with pytest.raises(RuntimeError, match="go on from 20"):
+        archives.pages(lambda ms: fetch("A", ms), 0, 10, most=2)
+    stored = spark.createDataFrame([("A", dt.datetime(1970, 1, 1, 0, 0, 0, 20_000), 0.1, 5.0)], "sym string, fundingTime timestamp, fundingRate double, markPrice double")
+    assert archives.fetch_new(stored, ["A"], fetch, spark).count() == 5
+    assert archives.fetch_new(None, ["A"], lambda s, ms: [], spark).count() == 0
+
+
+def test_store_sizes_and_logs(spark, tmp_path):
+    store = archives.Store(spark, f"file:{tmp_path}")
+    archives.write_dates(trades(spark).withColumn("exchTradeTs", F.col("time").cast("timestamp")), store.root, "t")
+    size = store.sizes("t").first()
+    assert store.date_range("t") == ("2024-01-01", "2024-01-01") and size.compressedMB > 0 and size.logicalMB > 0 and size.ratio > 0
+    assert [r.state for r in archives.logs(store, f"{store.root}/t").collect()] == ["ok"]
+    part = tmp_path / "t" / "date=2024-01-01"
+    (part / "part-zz.parquet").write_bytes(b"PAR1 not a file PAR1")
+    assert [(r.files > 1, r.state) for r in archives.logs(store, f"{store.root}/t").collect()] == [(True, "corrupt")]
+
+
+def test_missing_operators(spark):
+    t = trades(spark)
+    assert relational.retained(t, "2024-01-01 00:01:39", 1).count() == 61
+    got = relational.stamped(("time", "tradeId"), a=t, b=t.where("tradeId < 5")).orderBy("tpSeqNo").collect()
+    assert [r.tpSeqNo for r in got] == list(range(1, 106)) and [r.side for r in got[:4]] == ["a", "b", "a", "b"]
+    assert [r.sym for r in relational.unsubscribed(t.select("sym"), t.where("sym = 'A'").select("sym")).collect()] == ["B"]
+
+
+def test_features_of_scans(spark):
+    bars = spark.createDataFrame([("A", i, dt.datetime(2024, 1, 1), 100.0 + i % 7) for i in range(40)], "sym string, bn long, barstart timestamp_ntz, close double")
+    got = features.build(bars, ["rsi", "macdHist", "macd"]).orderBy("bn").collect()
+    assert got[0].rsi is None and 0 < got[-1].rsi < 100 and got[0].macd == 0.0 and set(features.names()) >= {"rsi", "macd", "macdSignal", "macdHist", "vpin"}
+
+
+def test_adaptive_days(spark):
+    """Two days at different price levels: the anchor follows the price, a bar holds the ticks of the day it closes on."""
+    from tidemark.operators import bars
+
+    at = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    rows = [(at[d] + dt.timedelta(seconds=60 * i), "A", 1000 * d + i, (100.0, 100.0, 200.0)[d], 1.0 + (i * 7 % 5), i % 3 == 0) for d in range(3) for i in range(400)]
+    t = bars.ticks(spark.createDataFrame(rows, T))
+    got = bars.run(t, "rwdib", "2024-01-01", "2024-01-02", "2024-01-03", 40.0)
+    days = {r.d: r for r in got.where("not warmup").groupBy(F.to_date("barend").alias("d")).agg(F.max("th").alias("th"), F.count("*").alias("n"), F.countDistinct("et").alias("ets"), F.max(F.datediff("barend", "barstart")).alias("over")).collect()}
+    assert days[at[2].date()].th > 1.2 * days[at[1].date()].th and all(r.ets == 1 and r.over == 0 for r in days.values())
+    assert got.columns == bars.warmup(t, "rwdib")[0].select(*got.columns).columns
+    cleaned = bars.clean(got).orderBy("bn").collect()
+    assert [r.bn for r in cleaned] == list(range(1, len(cleaned) + 1))
+
+
+def test_strategy_callbacks(spark):
+    from tidemark.operators import backtest
+
+    class Buyer:
+        def init(self):
+            return {"seen": [], "bought": False}
+
+        def on_trade(self, state, sym, price, position):
+            return (state, []) if state["bought"] else (state | {"bought": True}, [("buy", 1.0)])
+
+        def on_fill(self, state, fill):
+            return state | {"seen": [*state["seen"], ("fill", fill["qty"])]}
+
+        def on_funding(self, state, event):
+            return state | {"seen": [*state["seen"], ("funding", event["rate"])]}
+
+        def on_timer(self, state, time):
+            return state, [("flatten", 0.0, "A")] if ("funding", 0.5) in state["seen"] else []
+
+    account = backtest.Account(Buyer(), None, 100_000.0, True, pd.Timedelta(seconds=10))
+    start = pd.Timestamp("2024-01-01")
+    row = lambda s, **k: {"run": "x", "ord": s, "time": start + pd.Timedelta(seconds=s), "sym": "A", "kind": 1, "price": 100.0, "rate": None, "mark": None} | k
+    for r in (row(0), row(5), row(12, kind=0, rate=0.5, mark=100.0), row(15), row(31)):
+        account.on_event(r)
+    assert account.state["seen"] == [("fill", 1.0), ("funding", 0.5), ("fill", -1.0)]
+    flat = [x for x in account.out if x[4] == "fill"][-1]
+    assert flat[2] == start + pd.Timedelta(seconds=20) and flat[5] == -1.0
+    assert isinstance(backtest.load_strategy("tidemark.operators.backtest:Momentum", {"fast": 3}), backtest.Momentum)
+    assert backtest.parse_arguments(["-sym", "BTCUSDT", "-fast", "5", "-x", "1.0", "-y", "z"]) == ({"sym": "BTCUSDT"}, {"fast": 5, "x": 1.0, "y": "z"})
+    with pytest.raises(ValueError, match="missing"):
+        backtest.parse_arguments(["-fast"])

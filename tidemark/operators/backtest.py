@@ -8,6 +8,8 @@ policy actions; report() sums it up.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import timedelta
+from importlib import import_module
 from typing import Protocol
 
 import pandas as pd
@@ -23,13 +25,60 @@ AUDIT = "run string, ord long, time timestamp_ntz, sym string, event string, qty
 
 
 class Strategy(Protocol):
-    """on_trade returns the state and intents (action, qty) with action buy, sell or flatten."""
+    """on_trade returns the state and intents (action, qty) with action buy, sell or flatten.
+
+    A strategy may also have on_fill(state, fill) and on_funding(state, event), which return the
+    state, and on_timer(state, time), which returns the state and intents (action, qty, sym); fill
+    and event are dicts.
+    """
 
     def init(self) -> dict: ...
 
     def on_trade(self, state: dict, sym: str, price: float, position: float) -> tuple[dict, list[tuple[str, float]]]: ...
 
 
+def load_strategy(name: str, parameters: dict | None = None) -> Strategy:
+    """``package.module:Class`` made with the parameters; init and on_trade must be there."""
+    module, _, cls = name.partition(":")
+    strategy = getattr(import_module(module), cls)(**(parameters or {}))
+    for needed in ("init", "on_trade"):
+        if not callable(getattr(strategy, needed, None)):
+            raise TypeError(f"{name} has no {needed}")
+    return strategy
+
+
+def inferred(value: str) -> int | float | str:
+    """A word of a command line as a long if it reads back unchanged, else a float, else itself."""
+    try:
+        if str(int(value)) == value:
+            return int(value)
+    except ValueError:
+        pass
+    try:
+        return float(value)
+    except ValueError:
+        return value
+
+
+#: Flags of the runner; all others are the strategy's parameters.
+RUNNER_FLAGS = {"-strategy": "strategy", "-ns": "namespace", "-sym": "sym", "-start": "start", "-end": "end", "-table": "table", "-hdb": "hdb"}
+
+
+def parse_arguments(args: list[str]) -> tuple[dict[str, str], dict[str, int | float | str]]:
+    """(the runner's options, the strategy's parameters) of ``-flag value`` pairs."""
+    runner, parameters = {}, {}
+    for i in range(0, len(args), 2):
+        if i + 1 >= len(args):
+            raise ValueError(f"missing value for {args[i]}")
+        if not args[i].startswith("-"):
+            raise ValueError(f"unexpected argument (no leading dash): {args[i]}")
+        if args[i] in RUNNER_FLAGS:
+            runner[RUNNER_FLAGS[args[i]]] = args[i + 1]
+        else:
+            parameters[args[i][1:]] = inferred(args[i + 1])
+    return runner, parameters
+
+
 @dataclass(frozen=True)
 class Momentum:
     """Long or flat by the crossing of two EMAs, from the 2 slow-th trade of a symbol on."""
@@ -114,6 +163,8 @@ class Account:
     caps: dict[str, float] | None
     initial: float
     stop_loss: bool = True
+    every: pd.Timedelta | None = None
+    timer: pd.Timestamp | None = None
     book: dict[str, Position] = field(default_factory=dict)
     state: dict | None = None
     killed: bool = False
@@ -134,8 +185,46 @@ class Account:
         paid = fee(abs(signed) * price)
         p.fill(signed, price, paid)
         self.note(r, "fill", signed, price, paid, reason or action)
+        self.call("on_fill", {"sym": r["sym"], "qty": signed, "price": price, "fee": paid, "source": reason or "strategy"})
+
+    def call(self, name: str, event: dict) -> None:
+        if hasattr(self.strategy, name):
+            self.state = getattr(self.strategy, name)(self.state, event)
+
+    def policies(self, r: dict) -> None:
+        """The kill switch over all positions, once, or else the stop-loss of the row's."""
+        p = self.book[r["sym"]]
+        equity = self.initial + sum(x.net for x in self.book.values())
+        if not self.killed and 1 - equity / self.initial >= KILL_AT:
+            self.killed = True
+            for sym, x in self.book.items():
+                if x.qty:
+                    self.trade(r | {"sym": sym, "price": x.mark}, "flatten", 0.0, "killSwitch")
+        elif self.stop_loss and p.qty and p.unrealized <= -STOP_AT * abs(p.qty) * p.cost:
+            self.trade(r, "flatten", 0.0, "stopLoss")
+
+    def tick(self, r: dict) -> None:
+        """The timers that are due before the row's time, each at its own."""
+        if self.every is None:
+            return
+        if self.timer is None:
+            self.timer = r["time"] + self.every
+        while self.timer < r["time"]:
+            at = r | {"time": self.timer}
+            self.timer += self.every
+            if hasattr(self.strategy, "on_timer"):
+                self.state, intents = self.strategy.on_timer(self.state, at["time"])
+                for action, qty, sym in intents:
+                    if sym in self.book and self.book[sym].mark:
+                        self.trade(at | {"sym": sym, "price": self.book[sym].mark}, action, qty)
+            for sym, p in list(self.book.items()):
+                if p.mark:
+                    self.policies(at | {"sym": sym, "price": p.mark})
 
     def on_event(self, r: dict) -> None:
+        if self.state is None:
+            self.state = self.strategy.init()
+        self.tick(r)
         p = self.book.setdefault(r["sym"], Position())
         if r["kind"] == 0:
             mark = r["mark"] if r["mark"] == r["mark"] and r["mark"] is not None else p.mark
@@ -143,32 +232,27 @@ class Account:
             p.funding += paid
             if p.qty:
                 self.note(r, "funding", p.qty, mark, paid, "")
+            self.call("on_funding", {"sym": r["sym"], "time": r["time"], "rate": r["rate"], "mark": mark, "paid": paid})
             return
         p.mark = r["price"]
-        self.state, intents = self.strategy.on_trade(self.strategy.init() if self.state is None else self.state, r["sym"], r["price"], p.qty)
+        self.state, intents = self.strategy.on_trade(self.state, r["sym"], r["price"], p.qty)
         for action, qty in intents:
             self.trade(r, action, qty)
-        equity = self.initial + sum(x.net for x in self.book.values())
-        if not self.killed and 1 - equity / self.initial >= KILL_AT:
-            self.killed = True
-            for sym, x in self.book.items():
-                if x.qty:
-                    self.trade(r | {"sym": sym, "price": x.mark}, "flatten", 0.0, "killSwitch")
-        elif self.stop_loss and p.qty and p.unrealized <= -STOP_AT * abs(p.qty) * p.cost:
-            self.trade(r, "flatten", 0.0, "stopLoss")
+        self.policies(r)
 
 
-def run(trades: DataFrame, funding: DataFrame, strategies: dict[str, Strategy], caps: dict[str, float] | None = None, initial: float = 100_000.0, compat: bool = False) -> DataFrame:
+def run(trades: DataFrame, funding: DataFrame, strategies: dict[str, Strategy], caps: dict[str, float] | None = None, initial: float = 100_000.0, compat: bool = False, timer: timedelta | None = None) -> DataFrame:
     """The audit (AUDIT) of each named strategy over trades (time, sym, tradeId, price) and funding
     (sym, fundingTime, fundingRate, markPrice; null marks stand for the last price).
 
     Funding that falls between two trades comes before the second, at its own time.  Without caps
     every symbol may be traded freely.  compat switches the stop-loss off, which the reference's
-    own code never fires.
+    own code never fires.  With ``timer``, on_timer and the policies also run at that cadence of
+    the stream's own time, from the first event on and in order with funding.
     """
 
     def kernel(state: State, pdf: pd.DataFrame):
-        account = (state or {}).get("account") or Account(strategies[pdf["run"].iloc[0]], caps, initial, not compat)
+        account = (state or {}).get("account") or Account(strategies[pdf["run"].iloc[0]], caps, initial, not compat, None if timer is None else pd.Timedelta(timer))
         account.out = []
         for r in pdf.to_dict("records"):
             account.on_event(r)

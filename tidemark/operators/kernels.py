@@ -165,7 +165,8 @@ def fixed_bars(kind: str, threshold: float | None = None) -> Kernel:
 
     def run(state: State, pdf: pd.DataFrame):
         theta, bn, tib, bib, dib = ((state or {}).get(k, 0) for k in ("theta", "bn", "tib", "bib", "dib"))
-        sd, buy, dollars = pdf["sd"].to_numpy(float), (pdf["bt"] > 0).to_numpy(np.int64), pdf["dvol"].to_numpy(float)
+        sd = pdf["sd"].to_numpy(float)
+        buy, dollars = (sd > 0).astype(np.int64), np.abs(sd)
         th = float(pdf["th"].iloc[0]) if threshold is None else threshold
         out = {"bn": np.empty(len(sd), np.int64), "theta": np.zeros(len(sd)), "tib": np.zeros(len(sd), np.int64), "bib": np.zeros(len(sd), np.int64), "dib": np.zeros(len(sd))}
         on = lambda first, values: np.cumsum(np.concatenate([[first], values]))[1:]

@@ -9,9 +9,11 @@ import io
 import zipfile
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from datetime import date, timedelta
+from datetime import UTC, date, datetime, timedelta
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +69,16 @@ def write_dates(df: DataFrame, root: str, table: str, ts: str = "exchTradeTs", o
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("date").parquet(f"{root}/{table}")
 
 
+def _footers(batches):
+    for b in batches:
+        rows = []
+        for content in b.column("content"):
+            meta = pq.ParquetFile(pa.BufferReader(content.as_buffer())).metadata
+            rows.append((len(content.as_buffer()), sum(meta.row_group(k).total_byte_size for k in range(meta.num_row_groups))))
+        packed, whole = zip(*rows, strict=True) if rows else ((), ())
+        yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(packed, pa.int64()), pa.array(whole, pa.int64())], names=["path", "compressed", "logical"])
+
+
 class Store:
     """The date-partitioned tables below a root."""
 
@@ -104,10 +116,18 @@ class Store:
     def row_counts(self, table: str, by_symbol: bool = False) -> DataFrame:
         return self.load(table).groupBy("date", *(["sym"] if by_symbol else [])).agg(F.count("*").alias("rows"))
 
+    def date_range(self, table: str) -> tuple[str, str] | None:
+        """The first and the last date."""
+        dates = self.dates(table)
+        return (dates[0], dates[-1]) if dates else None
+
     def sizes(self, table: str) -> DataFrame:
-        """By date the compressed megabytes of its files."""
-        rows = [(d, sum(s.getLen() for s in self._statuses(f"{self.root}/{table}/date={d}")) / 1e6) for d in self.dates(table)]
-        return self.spark.createDataFrame(rows, "date string, compressedMB double")
+        """By date the megabytes of its files and of what their columns hold before compression, from
+        the files' footers, and the ratio of both."""
+        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{self.root}/{table}/date=*")
+        sized = files.select("path", "content").mapInArrow(_footers, "path string, compressed long, logical long")
+        sums = sized.groupBy(F.regexp_extract("path", "date=([^/]*)", 1).alias("date")).agg((F.sum("compressed") / 1e6).alias("compressedMB"), (F.sum("logical") / 1e6).alias("logicalMB"))
+        return sums.withColumn("ratio", F.try_divide("logicalMB", "compressedMB"))
 
     def _statuses(self, path: str):
         fs, p = self._fs(path)
@@ -133,6 +153,7 @@ class LoadSummary:
     loaded: list[date] = field(default_factory=list)
     skipped: list[date] = field(default_factory=list)
     failed: list[date] = field(default_factory=list)
+    reasons: dict[date, str] = field(default_factory=dict)
     rows: int = 0
 
     @property
@@ -154,8 +175,9 @@ def load_range(store: Store, table: str, first: date, last: date, source: Callab
                 write_dates(df, store.root, table, order=order)
                 out.loaded.append(day)
                 out.rows += store.load(table, day, day).count()
-            except Exception:  # any source's failure counts as the date's
+            except Exception as e:  # any source's failure counts as the date's
                 out.failed.append(day)
+                out.reasons[day] = f"{type(e).__name__}: {e}"[:500]
         day += timedelta(days=1)
     return out
 
@@ -167,13 +189,29 @@ def pages(fetch: Callable[[int], list[dict]], since_ms: int, limit: int = 1000,
         got = fetch(since_ms)
         out += got
         if len(got) < limit:
-            break
+            return out
         since_ms = got[-1]["fundingTime"] + 1
-    return out
+    raise RuntimeError(f"more than {most} pages; go on from {since_ms}")
+
+
+def fetch_new(stored: DataFrame | None, symbols: list[str], fetch: Callable[[str, int], list[dict]], spark: SparkSession, first: str = "2019-01-01") -> DataFrame:
+    """stored with what each symbol has after its last record (from ``first`` on without any); fetch
+    gives the records of a symbol from a time in milliseconds on, a page at a time."""
+    start = int(datetime.fromisoformat(first).replace(tzinfo=UTC).timestamp() * 1000)
+    since = {} if stored is None else {r.sym: r.ms for r in stored.groupBy("sym").agg((F.unix_millis(F.max("fundingTime").cast("timestamp")) + 1).alias("ms")).collect()}
+    got = [r for s in symbols for r in pages(lambda ms, s=s: fetch(s, ms), since.get(s, start))]
+    rows = spark.createDataFrame([(r["symbol"], str(r["fundingRate"]), int(r["fundingTime"]), str(r["markPrice"])) for r in got], _FUNDING_JSON)
+    return merge_funding(stored, _shaped(rows))
+
+
+_FUNDING_JSON = "symbol string, fundingRate string, fundingTime long, markPrice string"
 
 
 def funding_json(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.schema("symbol string, fundingRate string, fundingTime long, markPrice string").option("multiLine", True).json(path)
+    return _shaped(spark.read.schema(_FUNDING_JSON).option("multiLine", True).json(path))
+
+
+def _shaped(raw: DataFrame) -> DataFrame:
     return raw.select(F.col("symbol").alias("sym"), F.timestamp_millis("fundingTime").alias("fundingTime"), F.col("fundingRate").try_cast("double").alias("fundingRate"), F.col("markPrice").try_cast("double").alias("markPrice"))
 
 
@@ -216,17 +254,33 @@ def recover_orphans(store: Store, spool: str, table: str, today: str) -> list[st
 
 
 def logs(store: Store, path: str) -> DataFrame:
-    """By date of a durable log below path: files, megabytes and whether every file can be read."""
-    rows = []
+    """By date of a durable log below path: files, megabytes and whether every file can be read,
+    which tasks find out file by file."""
+    rows, kind = [], "date string, files long, megabytes double"
     for day in (d.removeprefix("date=") for d in store.listed(path, "date=")):
         files = [s for s in store._statuses(f"{path}/date={day}") if s.getPath().getName().endswith(".parquet")]
-        try:
-            store.spark.read.parquet(f"{path}/date={day}").limit(1).collect()
-            state = "ok"
-        except Exception:  # whatever keeps the files from being read
-            state = "corrupt"
-        rows.append((day, len(files), sum(s.getLen() for s in files) / 1e6, state))
-    return store.spark.createDataFrame(rows, "date string, files long, megabytes double, state string")
+        rows.append((day, len(files), sum(s.getLen() for s in files) / 1e6))
+    days = store.spark.createDataFrame(rows, kind)
+    if not rows:
+        return days.withColumn("state", F.lit("ok"))
+    found = store.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{path}/date=*").select("path", "content").mapInArrow(_verify, "path string, ok boolean")
+    states = found.groupBy(F.regexp_extract("path", "date=([^/]*)", 1).alias("of")).agg(F.bool_and("ok").alias("ok"))
+    return days.join(states, F.col("date") == F.col("of"), "left").select("date", "files", "megabytes", F.when(F.coalesce("ok", F.lit(True)), "ok").otherwise("corrupt").alias("state"))
+
+
+def _verify(batches):
+    """Whether all row groups of each Parquet file can be read, a row group at a time."""
+    for b in batches:
+        ok = []
+        for content in b.column("content"):
+            try:
+                f = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
+                for k in range(f.num_row_groups):
+                    f.read_row_group(k)
+                ok.append(True)
+            except (pa.ArrowException, OSError):
+                ok.append(False)
+        yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(ok, pa.bool_())], names=["path", "ok"])
 
 
 def clean_logs(store: Store, path: str, today: date, keep_days: int = 7) -> list[str]:
