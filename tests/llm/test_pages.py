@@ -104,7 +104,7 @@ def test_round_trip(spark, tmp_path, compress):
     assert (got[12].refers_to, got[13].record_type) == (13, "response")
     assert got[14].url == "odd%0Aurl"
     if compress:
-        names = [p for p in (tmp_path / "w").iterdir() if p.name.startswith("part-")]
+        names = list((tmp_path / "w").rglob("part-*"))
         assert sum(gzip.decompress(p.read_bytes()).count(b"WARC/1.1\r\n") for p in names) == df.count()
 
 

@@ -109,6 +109,9 @@ def write(pages: DataFrame, path: str, compress: bool = True, least: int = 0) ->
         out.select(F.col("record").cast("string").alias("value")).write.option("lineSep", sep).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", most).text(f"{path}/class-{k}")
 
 
+_CONTROL = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
+
+
 class _Bad(ValueError):
     pass
 
@@ -120,6 +123,8 @@ def parse(data: bytes, at: int = 0, exact: bool = True) -> tuple[dict, int]:
     end = data.find(END, at)
     if end < 0:
         raise _Bad("header not ended")
+    if _CONTROL.search(data, at, end):
+        raise _Bad("control byte in the header")
     head = {}
     for line in data[at:end].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
