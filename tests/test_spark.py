@@ -307,3 +307,81 @@ def test_strategy_callbacks(spark):
     assert backtest.parse_arguments(["-sym", "BTCUSDT", "-fast", "5", "-x", "1.0", "-y", "z"]) == ({"sym": "BTCUSDT"}, {"fast": 5, "x": 1.0, "y": "z"})
     with pytest.raises(ValueError, match="missing"):
         backtest.parse_arguments(["-fast"])
+
+
+# One regression test for each trap of the reference that a rule here decides.
+
+
+def test_trap_equity_subtracts_funding():
+    from tidemark.operators.backtest import Position
+
+    assert Position(qty=1.0, cost=100.0, fees=2.0, funding=3.0, mark=110.0).net == 5.0
+
+
+def test_trap_full_reduction_keeps_the_cost_and_marks_at_the_fill():
+    from tidemark.operators.backtest import Position
+
+    p = Position()
+    p.fill(2.0, 100.0, 0.0)
+    p.fill(-2.0, 120.0, 0.0)
+    assert (p.qty, p.cost, p.realized, p.mark) == (0.0, 100.0, 40.0, 120.0)
+    p.fill(1.0, 90.0, 0.0)
+    assert p.cost == 90.0
+
+
+def test_trap_cap_binds_the_projected_position():
+    from tidemark.operators.backtest import pretrade
+
+    assert pretrade("buy", 5.0, -1.0, 1.0, False) == (2.0, "") and pretrade("sell", 5.0, 0.5, 1.0, False) == (-1.5, "")
+    assert pretrade("buy", 0.1, 1.0, 1.0, False) == (0.0, "atCap") and pretrade("sell", 0.5, 1.0, None, False) == (0.0, "unknownSymbol")
+    assert pretrade("flatten", 0.0, 1.0, None, True) == (-1.0, "") and pretrade("buy", 1.0, 0.0, 1.0, True) == (0.0, "killSwitch")
+
+
+def test_trap_funding_before_the_first_trade_finds_no_position(spark):
+    from tidemark.operators import backtest
+
+    at = dt.datetime(2024, 1, 1)
+    funding = spark.createDataFrame([("A", at - dt.timedelta(hours=1), 0.01, None)], "sym string, fundingTime timestamp_ntz, fundingRate double, markPrice double")
+    got = backtest.run(trades(spark), funding, {"m": backtest.Momentum(2, 3)}, by_symbol=True)
+    assert got.where("event = 'funding'").count() == 0
+
+
+def test_trap_invalid_quotes_count_unless_asked(spark):
+    rows = [("A", 1, 10.0, 12.0, True), ("A", 2, 0.0, 0.0, False)]
+    q = spark.createDataFrame(rows, "sym string, fhSeqNo long, bidPrice1 double, askPrice1 double, isValid boolean").withColumn("time", F.lit(dt.datetime(2024, 1, 1)))
+    assert relational.quote_summary(q).first().avgSpread == 1.0 and relational.quote_summary(q, valid_only=True).first().avgSpread == 2.0
+
+
+def test_trap_event_time_buckets(spark):
+    t = trades(spark, 20)
+    got = relational.latency_percentiles(t, "qty", "price", "5 seconds").groupBy("bucket").agg(F.sum("cnt").alias("n")).orderBy("bucket").collect()
+    assert [r.n for r in got] == [5, 5, 5, 5] and got[0].bucket.replace(tzinfo=None) == dt.datetime(2024, 1, 1)
+
+
+def test_trap_zero_sigma_touches_at_once(spark):
+    rows = [("A", i, 100.0 + 0.5, 100.0 - 0.5, 100.0, 0.0) for i in range(3)]
+    bars = spark.createDataFrame(rows, "sym string, bn long, high double, low double, close double, sigma double")
+    assert [r.reason for r in features.triple_barrier(bars, horizon=2).orderBy("bn").collect()] == ["sameBar", "sameBar", "noFuture"]
+
+
+def test_trap_small_trades_go_before_anything_is_counted(spark):
+    from tidemark.operators import bars
+
+    t = bars.ticks(trades(spark), 150.0)
+    assert t.count() == trades(spark).where("price * qty >= 150").count() and bars.calibrate(t, "dib", 10.0).agg(F.sum("n")).first()[0] == t.count()
+
+
+def test_trap_restart_of_the_router(spark):
+    """A stream that starts again from its checkpoint writes each row once, whatever its numbers do."""
+    seq = pd.DataFrame({"seq": [5000, 5001, 1, 2, 2]})
+    out, _ = kernels.sequence_check()(None, seq)
+    assert out["action"].tolist() == ["accept", "accept", "accept", "accept", "drop_duplicate"] and out["restarted"].tolist() == [False, False, True, False, False]
+
+
+def test_thinned_history_and_half_open_days(spark):
+    t = trades(spark)
+    got = ordered_scan(t, ["sym"], ["tradeId"], kernels.thinned(10), T)
+    assert {r.sym: r.n for r in got.groupBy("sym").agg(F.count("*").alias("n")).collect()} == {"A": 10, "B": 10}
+    assert relational.on_days(t, "2023-12-31", "2024-01-01").count() == 100 and relational.on_days(t, "2023-12-30", "2023-12-31").count() == 0
+    log, health = pipelines.routed(t.select("*", F.when(F.col("tradeId") < 3, "health").otherwise("trade").alias("table")))
+    assert (log.count(), health.count()) == (97, 3)

@@ -241,14 +241,16 @@ class Account:
         self.policies(r)
 
 
-def run(trades: DataFrame, funding: DataFrame, strategies: dict[str, Strategy], caps: dict[str, float] | None = None, initial: float = 100_000.0, compat: bool = False, timer: timedelta | None = None) -> DataFrame:
+def run(trades: DataFrame, funding: DataFrame, strategies: dict[str, Strategy], caps: dict[str, float] | None = None, initial: float = 100_000.0, compat: bool = False, timer: timedelta | None = None, by_symbol: bool = False) -> DataFrame:
     """The audit (AUDIT) of each named strategy over trades (time, sym, tradeId, price) and funding
     (sym, fundingTime, fundingRate, markPrice; null marks stand for the last price).
 
     Funding that falls between two trades comes before the second, at its own time.  Without caps
     every symbol may be traded freely.  compat switches the stop-loss off, which the reference's
     own code never fires.  With ``timer``, on_timer and the policies also run at that cadence of
-    the stream's own time, from the first event on and in order with funding.
+    the stream's own time, from the first event on and in order with funding.  by_symbol gives each
+    symbol an account of its own, and so a task of its own: for strategies and policies that look at
+    one symbol only.
     """
 
     def kernel(state: State, pdf: pd.DataFrame):
@@ -262,7 +264,7 @@ def run(trades: DataFrame, funding: DataFrame, strategies: dict[str, Strategy],
     events = trades.select(F.col("time").cast("timestamp_ntz").alias("time"), F.lit(1).alias("kind"), "sym", F.col("tradeId").alias("ord"), "price", none.alias("rate"), none.alias("mark"))
     events = events.unionByName(funding.select(F.col("fundingTime").cast("timestamp_ntz").alias("time"), F.lit(0).alias("kind"), "sym", F.lit(-1).cast("long").alias("ord"), none.alias("price"), F.col("fundingRate").alias("rate"), F.col("markPrice").alias("mark")))
     runs = events.withColumn("run", F.explode(F.array(*map(F.lit, strategies))))
-    return ordered_scan(runs, ["run"], ["time", "kind", "sym", "ord"], kernel, AUDIT)
+    return ordered_scan(runs, ["run", "sym"] if by_symbol else ["run"], ["time", "kind", "sym", "ord"], kernel, AUDIT)
 
 
 def report(audit: DataFrame, initial: float = 100_000.0) -> DataFrame:

@@ -125,6 +125,19 @@ def imbalance(alpha: float = 0.05, compat: bool = False) -> Kernel:
     return run
 
 
+def thinned(every_s: float, column: str = "time") -> Kernel:
+    """Rows at least every_s after the last one kept; the first is kept."""
+
+    def run(state: State, pdf: pd.DataFrame):
+        last, keep = (state or {}).get("last"), []
+        for t in (pdf[column].astype("datetime64[us]").astype("int64") / 1e6).tolist():
+            keep.append(last is None or t - last >= every_s)
+            last = t if keep[-1] else last
+        return pdf[keep], {"last": last}
+
+    return run
+
+
 def sampled_volatility(sample_s: float = 30, window_s: float = 3600, least: int = 10, valid: int = 120, every_s: float = 5) -> Kernel:
     """Realized volatility from returns between trades at least sample_s apart, over window_s; a row
     at least every_s after the one before it."""

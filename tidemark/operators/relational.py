@@ -38,6 +38,13 @@ def in_range(df: DataFrame, lo, hi, sym: str | None = None, column: str = "time"
     return out.where(F.col("sym") == sym) if sym else out
 
 
+def on_days(df: DataFrame, first, last, column: str = "time") -> DataFrame:
+    """The half-open range from the start of the first day to the end of the last: column >= first and < last + 1 day."""
+    kind = df.schema[column].dataType
+    at = lambda d, days: (F.lit(d).cast("date") + F.expr(f"interval {days} days")).cast(kind)
+    return df.where((F.col(column) >= at(first, 0)) & (F.col(column) < at(last, 1)))
+
+
 def since(df: DataFrame, now, minutes: float, column: str = "time") -> DataFrame:
     """column > now - minutes; now is given, so results can be repeated."""
     return df.where(F.col(column) > F.lit(now).cast(df.schema[column].dataType) - F.make_dt_interval(mins=F.lit(minutes).cast("int")))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..operators import bars as B
 from ..operators import features as X
+from ..operators import kernels as K
 from ..operators import relational as R
+from ..operators.scan import ordered_scan
 from ..sources import adapters as A
 from . import queries as Q
 from . import serving
@@ -262,3 +264,32 @@ def latest_imbalance(spark, d):
 def pnl_stats(spark, d):
     """Statistics of the daily P&L of one unit of each symbol, bought at its first price."""
     return R.range_stats(serving.pnl_history(A.trades(spark, d), "1 day"), "pnl")
+
+
+@query(f"WITH {_TRADES} SELECT * FROM t WHERE time >= (SELECT date_trunc('day', min(time)) FROM t) + INTERVAL 2 DAY AND time < (SELECT date_trunc('day', min(time)) FROM t) + INTERVAL 5 DAY")
+def trades_on_days(spark, d):
+    t = A.trades(spark, d)
+    day = lambda n: t.agg(F.date_add(F.to_date(F.min("time")), n)).scalar()
+    return R.on_days(t, day(2), day(4))
+
+
+@query(f"""WITH RECURSIVE {_OBI}, o AS (SELECT e.*, epoch_us(v.ts) AS us FROM e JOIN events v ON v.event_id = e.fhSeqNo),
+h AS (SELECT sym, fhSeqNo, i, raw, smooth, us AS last, true AS kept FROM o WHERE i = 1 UNION ALL
+  SELECT o.sym, o.fhSeqNo, o.i, o.raw, o.smooth, CASE WHEN o.us - h.last >= 7200000000 THEN o.us ELSE h.last END, o.us - h.last >= 7200000000 FROM h JOIN o ON o.sym = h.sym AND o.i = h.i + 1)
+SELECT sym, fhSeqNo, raw AS rawOBI, smooth AS smoothOBI FROM h WHERE kept""")
+def imbalance_history(spark, d):
+    """The imbalance at least two hours after the row before it."""
+    times = A.quotes(spark, d).select("fhSeqNo", "time")
+    rows = Q.order_book_imbalance(spark, d).join(times, "fhSeqNo").select("sym", "time", "fhSeqNo", "rawOBI", "smoothOBI")
+    return ordered_scan(rows, ["sym"], ["fhSeqNo"], K.thinned(7200), "sym string, time timestamp_ntz, fhSeqNo long, rawOBI double, smoothOBI double").drop("time")
+
+
+@query(f"WITH {_TRADES}, {_FUNDING} SELECT t.sym, count(*) AS n, max(price) AS high FROM t WHERE qty > 5 AND sym IN (SELECT sym FROM fr) GROUP BY t.sym HAVING count(*) > 1")
+def adhoc_sql(spark, d):
+    serving.register_views(spark, d)
+    return spark.sql("select t.sym, count(*) as n, max(price) as high from trades t where qty > 5 and sym in (select sym from funding) group by t.sym having count(*) > 1")
+
+
+@query(f"WITH RECURSIVE {_RSI} SELECT ri.sym, ri.bn, bars.close, ri.rsi FROM ri JOIN bars ON bars.sym = ri.sym AND bars.bn = ri.bn WHERE rsi IS NOT NULL")
+def rsi_without_nulls(spark, d):
+    return R.drop_null(Q.rsi_bars(spark, d), ["rsi"])

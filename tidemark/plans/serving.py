@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.semantics import exact_sum
 from ..operators.relational import keep_latest, price_series, since, spread_mid
+from ..sources.adapters import funding, health, positions, quotes, trades
 
 # Implied volatilities in percent, and the returns needed before a volatility is valid.
 IMPLIED = {"BTCUSDT": 45.0, "ETHUSDT": 65.0, "SOLUSDT": 67.0}
 TARGET = 120
 
 
-def order_book(quotes: DataFrame, sym: str | None = None, order: str = "fhSeqNo") -> DataFrame:
+def order_book(rows: DataFrame, sym: str | None = None, order: str = "fhSeqNo") -> DataFrame:
     """Each symbol's latest quote with spread and mid."""
-    q = quotes.where(F.col("sym") == sym) if sym else quotes
+    q = rows.where(F.col("sym") == sym) if sym else rows
     return spread_mid(keep_latest(q, ("sym",), order))
 
 
@@ -24,15 +25,15 @@ def latest(table: DataFrame, order: str, sym: str | None = None) -> DataFrame:
     return keep_latest(table.where(F.col("sym") == sym) if sym else table, ("sym",), order)
 
 
-def pnl_history(trades: DataFrame, interval: str, order: str = "tradeId") -> DataFrame:
+def pnl_history(rows: DataFrame, interval: str, order: str = "tradeId") -> DataFrame:
     """bucket, pnl: what one unit of each symbol, bought at its first price, is up by bucket."""
-    first = trades.groupBy("sym").agg(F.min_by("price", order).alias("first"))
-    return price_series(trades, interval, order).join(first, "sym").groupBy("bucket").agg(exact_sum(F.col("price") - F.col("first")).alias("pnl"))
+    first = rows.groupBy("sym").agg(F.min_by("price", order).alias("first"))
+    return price_series(rows, interval, order).join(first, "sym").groupBy("bucket").agg(exact_sum(F.col("price") - F.col("first")).alias("pnl"))
 
 
-def prices(trades: DataFrame, order: str = "tradeId") -> DataFrame:
+def prices(rows: DataFrame, order: str = "tradeId") -> DataFrame:
     """sym, price: the last of each symbol."""
-    return trades.groupBy("sym").agg(F.max_by("price", order).alias("price"))
+    return rows.groupBy("sym").agg(F.max_by("price", order).alias("price"))
 
 
 def latest_volatility(history: DataFrame) -> DataFrame:
@@ -57,3 +58,11 @@ def get_volatility(volatility: DataFrame, symbol: str | None = None) -> dict:
         return {"data": [], "note": "no data yet: volatility is warming up" if symbol is None else f"no data for {symbol.upper()}"}
     data = [{"symbol": r.sym, "volatility": r.annualizedVol, "samples": r.samples, "valid": r.isValid} for r in found]
     return {"data": data, "note": f"annualised realized volatility in percent; valid from {TARGET} samples on"}
+
+
+def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Temporary views trades, quotes, positions, funding and health for queries in plain SQL."""
+    tables = {"trades": trades, "quotes": quotes, "positions": positions, "funding": funding, "health": health}
+    for name, make in tables.items():
+        make(spark, sf_dir).createOrReplaceTempView(name)
+    return list(tables)

@@ -182,6 +182,15 @@ def load_range(store: Store, table: str, first: date, last: date, source: Callab
     return out
 
 
+def load_date(store: Store, table: str, day: date, source: Callable[[date], DataFrame | None], order: tuple[str, ...] = ()) -> int:
+    """Loads one date, replacing it; gives its rows and raises what keeps it from being loaded."""
+    df = source(day)
+    if df is None:
+        raise FileNotFoundError(str(day))
+    write_dates(df, store.root, table, order=order)
+    return store.load(table, day, day).count()
+
+
 def pages(fetch: Callable[[int], list[dict]], since_ms: int, limit: int = 1000, most: int = 50) -> list[dict]:
     """All records from since_ms on of a paginated source: the cursor is the last time plus 1 ms."""
     out: list[dict] = []

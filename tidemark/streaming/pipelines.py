@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,7 +55,19 @@ def fan_out(stream: DataFrame, sinks: dict[str, Callable[[DataFrame, int], None]
     return (w.trigger(processingTime=every) if every else w.trigger(availableNow=True)).start()
 
 
-def health(query: StreamingQuery, handler: str) -> dict:
-    """The health row of a running query from its last progress."""
-    p = query.lastProgress or {}
-    return {"handler": handler, "connState": "connected" if query.isActive else "disconnected", "status": "ok" if query.isActive and query.exception() is None else "degraded", "msgsReceived": int(p.get("numInputRows") or 0), "batch": int(p.get("batchId") or 0)}
+def health(query: StreamingQuery, handler: str, started: datetime, symbols: int = 0) -> dict:
+    """The health row (schemas.HEALTH) of a query from its progress: messages are rows read and
+    written so far as progress is kept, times those of the batches that had any."""
+    seen = query.recentProgress
+    last = lambda n: max((p["timestamp"] for p in seen if (p.get(n) if n in p else p["sink"].get(n) or 0) > 0), default=None)
+    at = datetime.now(UTC)
+    return {
+        "time": at, "handler": handler, "startTimeUtc": started, "uptimeSec": int((at - started).total_seconds()),
+        "msgsReceived": sum(int(p.get("numInputRows") or 0) for p in seen), "msgsPublished": sum(max(0, int(p["sink"].get("numOutputRows") or 0)) for p in seen),
+        "lastMsgTimeUtc": last("numInputRows"), "lastPubTimeUtc": last("numOutputRows"), "connState": "connected" if query.isActive else "degraded" if query.exception() else "disconnected", "symbolCount": symbols,
+    }
+
+
+def routed(stream: DataFrame, table: str = "table") -> tuple[DataFrame, DataFrame]:
+    """(rows for the sequence check and the log, health rows, which pass both by)."""
+    return stream.where(F.col(table) != "health"), stream.where(F.col(table) == "health")
