@@ -31,6 +31,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _leaving: set[str] = set()
+#: Bytes of the rows that a Python worker gets at once while a table is staged, however long texts are.
+BATCH_BYTES, _BATCH = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -39,7 +41,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/staged-{spark.sparkContext.applicationId}"
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
     if folder not in _leaving:
         _leaving.add(folder)
         p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
@@ -106,14 +113,15 @@ def powers(n: int, base: int = _ODD) -> np.ndarray:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BYTES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+_BYTES, _OTHERS = np.random.default_rng(20).integers(1, 1 << 63, (2, 256), dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 _BASE = 0xD1342543DE82EF95
 _powers = {"up": powers(1 << 12, _BASE), "down": powers(1 << 12, pow(_BASE, -1, 1 << 64))}
 
 
-def hash_words(raw: bytes | None) -> np.ndarray:
+def hash_words(raw: bytes | None, second: bool = False) -> np.ndarray:
     """The 64-bit hashes of the words of a text, words being what stands between ASCII white space:
-    a polynomial over random values of the bytes, for all words by one running sum."""
+    a polynomial over random values of the bytes, for all words by one running sum.  ``second``
+    gives hashes over other random values."""
     b = np.frombuffer(raw or b"", np.uint8)
     n = len(b)
     if n > len(_powers["up"]):
@@ -123,7 +131,7 @@ def hash_words(raw: bytes | None) -> np.ndarray:
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
     run = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTES[b] * _powers["up"][:n], dtype=np.uint64, out=run[1:])
+    np.cumsum((_OTHERS if second else _BYTES)[b] * _powers["up"][:n], dtype=np.uint64, out=run[1:])
     return mix((run[ends] - run[starts]) * _powers["down"][starts])
 
 

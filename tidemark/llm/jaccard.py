@@ -98,9 +98,8 @@ FLUSH = 800_000
 
 def _distinct_sets(batches):
     """Sets, once per flush for equal ones."""
-    make = Shingles()
+    make, out, held = Shingles(), {}, 0
     for b in batches:
-        out, held = {}, 0
         for t in _rows(b):
             s = make(t)
             if len(s) and (node := node_of(s)) not in out:
@@ -109,8 +108,8 @@ def _distinct_sets(batches):
                 if held >= FLUSH:
                     yield out
                     out, held = {}, 0
-        if out:
-            yield out
+    if out:
+        yield out
 
 
 def _short(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,7 +1,7 @@
 """Finding repeated hashes with packed exchanges.
 
-A map task gathers the (hash, row key, position) triples of a batch of rows, drops all but one of
-a hash's triples within the batch (the others are known to repeat at once) and sends one row of
+A map task gathers the (hash, row key, position) triples of a batch of rows, with a second hash to
+check the first by where false repeats must not be, drops all but one of a hash's triples within the flush (the others are known to repeat at once) and sends one row of
 packed arrays to each hash bucket.  A bucket so gets at most one triple per hash and batch, however
 hot a hash is, sorts them in numpy and sends the triples of repeated hashes on to buckets of row
 keys, where positions are put together per row.  Spark partitions, shuffles and retries all of it.
@@ -21,9 +21,10 @@ from .common import distinct
 
 #: Triples that a bucket should hold, some 20 bytes each.
 PER_BUCKET = 1_000_000
-_ROW = "bucket int, hashes binary, keys binary, places binary"
-#: Gives, for the rows of a batch, their hashes, keys and positions (uint64, int64, int32).
-Emit = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]
+_ROW = "bucket int, hashes binary, keys binary, places binary, checks binary"
+#: Gives of batches of rows their hashes, keys, positions (uint64, int64, int32) and second hashes
+#: (uint64, or none at all: then equal hashes are repeats), as many at once as a flush should have.
+Emit = Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]
 
 
 def repeats(order: np.ndarray) -> np.ndarray:
@@ -49,25 +50,38 @@ def _split(bucket: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple]:
 
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["bucket", "hashes", "keys", "places"])
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["bucket", "hashes", "keys", "places", "checks"])
+
+
+def _sorted(h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal (hash, second hash) stand together, and which of them equal the one before."""
+    order = np.lexsort((g, h)) if len(g) else np.argsort(h, kind="stable")
+    again = np.zeros(len(h), bool)
+    again[1:] = h[order][1:] == h[order][:-1]
+    if len(g):
+        again[1:] &= g[order][1:] == g[order][:-1]
+    return order, again
+
+
+def _several(again: np.ndarray) -> np.ndarray:
+    """Whether a neighbour on either side is equal."""
+    return again | np.append(again[1:], False)
 
 
 def _send(emit: Emit, buckets: int):
     def run(batches):
-        for b in batches:
-            for h, k, p in emit(b):
-                order = np.argsort(h, kind="stable")
-                h, k, p = h[order], k[order], p[order]
-                known = repeats(h)
-                first = np.ones(len(h), bool)
-                first[1:] = h[1:] != h[:-1]
-                # One triple of a hash is sent; one that is known to repeat needs no answer (-1).
-                sent = np.where(known, np.int32(-1), p)
-                rows = list(_split((h[first] % np.uint64(buckets)).astype(np.int32), h[first], k[first], sent[first]))
-                # The batch's own findings pass through whichever buckets.
-                rows += [(r, b"", kk, pp) for r, kk, pp in _split((k[known].view(np.uint64) % np.uint64(buckets)).astype(np.int32), k[known], p[known])]
-                yield _table(rows)
+        for h, k, p, g in emit(batches):
+            order, again = _sorted(h, g)
+            known, first = _several(again), ~again
+            h, k, p, g = h[order], k[order], p[order], g[order] if len(g) else g
+            # One triple of a hash is sent; one that is known to repeat needs no answer (-1).
+            sent = np.where(known, np.int32(-1), p)
+            rows = list(_split((h[first] % np.uint64(buckets)).astype(np.int32), h[first], k[first], sent[first], *([g[first]] if len(g) else [])))
+            rows = rows if len(g) else [(*r, b"") for r in rows]
+            # The flush's own findings pass through whichever buckets.
+            rows += [(r, b"", kk, pp, b"") for r, kk, pp in _split((k[known].view(np.uint64) % np.uint64(buckets)).astype(np.int32), k[known], p[known])]
+            yield _table(rows)
 
     return run
 
@@ -77,12 +91,12 @@ def _find(buckets: int):
         own = pdf[pdf["hashes"].str.len() == 0]
         pdf = pdf[pdf["hashes"].str.len() > 0]
         join = lambda s, t: np.frombuffer(b"".join(s), t)
-        h, k, p = join(pdf["hashes"], np.uint64), join(pdf["keys"], np.int64), join(pdf["places"], np.int32)
-        order = np.argsort(h, kind="stable")
-        found = order[repeats(h[order])]
+        h, k, p, g = join(pdf["hashes"], np.uint64), join(pdf["keys"], np.int64), join(pdf["places"], np.int32), join(pdf["checks"], np.uint64)
+        order, again = _sorted(h, g)
+        found = order[_several(again)]
         found = found[p[found] >= 0]
         k, p = np.concatenate([k[found], join(own["keys"], np.int64)]), np.concatenate([p[found], join(own["places"], np.int32)])
-        return pd.DataFrame([(r, b"", kk, pp) for r, kk, pp in _split((k.view(np.uint64) % np.uint64(buckets)).astype(np.int32), k, p)], columns=["bucket", "hashes", "keys", "places"])
+        return pd.DataFrame([(r, b"", kk, pp, b"") for r, kk, pp in _split((k.view(np.uint64) % np.uint64(buckets)).astype(np.int32), k, p)], columns=["bucket", "hashes", "keys", "places", "checks"])
 
     return run
 

@@ -1,15 +1,17 @@
 """Substring dedup by level-wise doubling.
 
-A level looks for windows of some length that repeat anywhere; only windows made of repeated
-windows are extended to twice the length and tried again.  For windows of WORDS words the levels
-are half of WORDS, then WORDS; longest() goes on doubling until no candidates survive.
+A level looks for windows of some length that repeat anywhere; only windows whose part repeats at one
+level are extended to twice the length at the next, until the length of WORDS words is reached (9,
+18, 35) or no candidates survive.  longest() goes on doubling from there until none survive.
 
-At the first level not every window needs to travel: of each WORDS-window the half-window of least
-hash stands for it (winnowing; Schleimer et al. 2003), so that equal windows choose equal halves.
-The second level hashes just the windows whose half repeats.
+Not every window needs to travel: of each WORDS-window the shortest part of least hash stands for it
+(winnowing; Schleimer et al. 2003), and the parts of the next lengths begin where it begins, or as
+late as they fit, so that equal windows choose equal parts at every level.
 
-Scale.  Both levels use packed exchanges (packed.py): a hot passage gives a bucket one entry per
-batch of rows.  Texts travel only for documents with repeats.
+Repeats at the last level are equal in two independent 64-bit hashes of words and windows.
+
+Scale.  All levels use packed exchanges (packed.py): a hot passage gives a bucket one entry per batch
+of rows.  Texts travel only for documents with repeats at the level before.
 """
 
 import hashlib
@@ -23,8 +25,8 @@ from .common import Windows, distinct, hash_words, matching, row_key, staged
 from .packed import repeated_places, text_bytes
 
 WORDS = 35
-#: Words of one flush of a map task.
-FLUSH = 3_000_000
+#: Windows of one flush of a map task.
+FLUSH = 1_000_000
 
 
 def chosen(halves: np.ndarray, span: int) -> np.ndarray:
@@ -48,52 +50,58 @@ def _texts(b: pa.RecordBatch) -> list:
 def _flushing(emit):
     """Gathers what emit(row) gives until it is enough for one flush."""
 
-    def run(b: pa.RecordBatch):
-        hs, ks, ps, held = [], [], [], 0
-        for h, key, p in emit(b):
-            if len(h):
-                hs.append(h)
-                ks.append(np.full(len(h), key, np.int64))
-                ps.append(p.astype(np.int32))
-                held += len(h)
-                if held >= FLUSH:
-                    yield np.concatenate(hs), np.concatenate(ks), np.concatenate(ps)
-                    hs, ks, ps, held = [], [], [], 0
-        if hs:
-            yield np.concatenate(hs), np.concatenate(ks), np.concatenate(ps)
+    def run(batches):
+        got, held = [], 0
+        for b in batches:
+            for h, key, p, g in emit(b):
+                if len(h):
+                    got.append((h, np.full(len(h), key, np.int64), p.astype(np.int32), g))
+                    held += len(h)
+                    if held >= FLUSH:
+                        yield tuple(map(np.concatenate, zip(*got, strict=True)))
+                        got, held = [], 0
+        if got:
+            yield tuple(map(np.concatenate, zip(*got, strict=True)))
 
     return run
 
 
-def _first_level(words: int):
-    half = -(-words // 2)
-    state: dict = {}
+_NO_CHECKS = np.empty(0, np.uint64)
 
-    def emit(b: pa.RecordBatch):
-        hashes = state.setdefault("windows", Windows())
-        for key, t in zip(b.column("key").to_pylist(), _texts(b), strict=True):
-            w = hash_words(t)
-            if len(w) >= words:
-                h = hashes(w, half)
-                at = distinct(chosen(h, words - half + 1))
-                yield h[at], key, at
 
-    return _flushing(emit)
+def lengths(words: int, least: int = 8) -> list[int]:
+    """The levels: words halved, halves rounded up, as long as ``least`` words are left."""
+    out = [words]
+    while -(-out[0] // 2) >= least:
+        out.insert(0, -(-out[0] // 2))
+    return out
+
 
+def _part(at: np.ndarray, words: int, length: int) -> np.ndarray:
+    """Where the windows' parts of ``length`` words begin, given where their shortest parts do."""
+    return np.minimum(at, np.arange(len(at)) + words - length)
 
-def _second_level(words: int):
-    half = -(-words // 2)
+
+def _level(words: int, length: int, before: int | None, shortest: int):
+    """Hashes of the parts of ``length`` words of those windows whose part at the level before repeats."""
     state: dict = {}
 
     def emit(b: pa.RecordBatch):
         hashes = state.setdefault("windows", Windows())
-        for key, t, places in zip(b.column("key").to_pylist(), _texts(b), b.column("places").to_pylist(), strict=True):
+        places = b.column("places").to_pylist() if before else [None] * b.num_rows
+        for key, t, known in zip(b.column("key").to_pylist(), _texts(b), places, strict=True):
             w = hash_words(t)
-            halves = hashes(w, half)
-            known = np.zeros(len(halves), bool)
-            known[np.frombuffer(places, np.int32)] = True
-            at = np.flatnonzero(known[chosen(halves, words - half + 1)])
-            yield hashes(w, words)[at], key, at
+            if len(w) < words:
+                continue
+            at = chosen(hashes(w, shortest), words - shortest + 1)
+            part = _part(at, words, length)
+            if before:
+                repeated = np.zeros(len(w), bool)
+                repeated[np.frombuffer(known, np.int32)] = True
+                part = part[repeated[_part(at, words, before)]]
+            part = distinct(part)
+            h = hashes(w, length)[part]
+            yield h, key, part, hashes(hash_words(t, second=True), length)[part] if length == words else _NO_CHECKS
 
     return _flushing(emit)
 
@@ -110,7 +118,7 @@ def _doubled(words: int):
                 known = np.zeros(len(w) + 1, bool)
                 known[np.frombuffer(places, np.int32)] = True
                 at = np.flatnonzero(known[:n] & known[words : words + n])
-                yield hashes(w, 2 * words)[at], key, at
+                yield hashes(w, 2 * words)[at], key, at, hashes(hash_words(t, second=True), 2 * words)[at]
 
     return _flushing(emit)
 
@@ -125,10 +133,14 @@ def _with(rows: DataFrame, places: DataFrame) -> DataFrame:
 
 def repeated_windows(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """key (row_key), places: the starts of the windows of ``words`` words that start elsewhere too."""
-    rows = _keyed(docs)
+    rows, levels, places = _keyed(docs), lengths(words), None
     size = text_bytes(rows)
-    halves = staged(repeated_places(rows, _first_level(words), size / 40), "substring-halves")
-    return staged(repeated_places(_with(rows, halves), _second_level(words), size / 20), "substring-windows")
+    for before, length in zip([None, *levels], levels, strict=False):
+        known = rows if before is None else _with(rows, places)
+        # A word has some six bytes; winnowing keeps about two of the windows that it chooses from.
+        triples = size / 12 if length == words else size / 3 / (words - levels[0] + 2)
+        places = staged(repeated_places(known, _level(words, length, before, levels[0]), triples), f"substring-{length}")
+    return places
 
 
 def longest(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -171,8 +183,8 @@ def dedup(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_words, n_removed, kept (the words left,
     joined by a space), kept_sha256.
 
-    Words are what stands between ASCII white space, compared byte for byte.  All occurrences of a
-    repeated window go, the first too.  Null text has no words; texts of fewer than ``words`` words
+    Words are what stands between ASCII white space; windows are equal if two independent 64-bit
+    hashes of their words are.  All occurrences of a repeated window go, the first too.  Null text has no words; texts of fewer than ``words`` words
     keep all; repeated rows are documents of their own, so each repeats the other; other columns
     are ignored.
     """
