@@ -196,8 +196,8 @@ def online_bar_stats(online: DataFrame, kind: str) -> DataFrame:
     """By symbol of online imbalance (dib) or run (drb) bars: bars, average ticks and dollars, and of
     dib the average duration in seconds and share bought, of drb the bars by direction."""
     mean = lambda c: div(exact_sum(c), F.count("*"))
-    ms = F.unix_millis(F.col("barend").cast("timestamp")) - F.unix_millis(F.col("barstart").cast("timestamp"))
-    more = {"dib": [(mean(ms) / 1000).alias("avgDurationSec"), mean(F.col("buyPct")).alias("avgBuyPct")], "drb": [F.count_if(F.col("direction") == 1).alias("buyRuns"), F.count_if(F.col("direction") == -1).alias("sellRuns")]}[kind]
+    micros = F.unix_micros(F.col("barend").cast("timestamp")) - F.unix_micros(F.col("barstart").cast("timestamp"))
+    more = {"dib": [(mean(micros) / 1e6).alias("avgDurationSec"), mean(F.col("buyPct")).alias("avgBuyPct")], "drb": [F.count_if(F.col("direction") == 1).alias("buyRuns"), F.count_if(F.col("direction") == -1).alias("sellRuns")]}[kind]
     return online.where(F.col("kind") == kind).groupBy("sym").agg(F.count("*").alias("bars"), mean(F.col("ticks")).alias("avgTicks"), mean(F.col("dollars")).alias("avgDollarVol"), *more)
 
 

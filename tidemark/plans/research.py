@@ -132,7 +132,7 @@ SQL["position_flips"] = f"WITH RECURSIVE {_ONLINE}, {_FLIPS} SELECT * FROM fl"
 SQL["position_stats"] = f"WITH RECURSIVE {_ONLINE}, {_FLIPS} SELECT sym, count(*) AS changes, count(*) FILTER (WHERE position = 1) AS longs, count(*) FILTER (WHERE position = -1) AS shorts, arg_max(position, bn) AS lastPosition, arg_max(price, bn) AS lastPrice, arg_max(time, bn) AS lastTime FROM fl GROUP BY sym"
 
 
-@query(f"WITH RECURSIVE {_ONLINE} SELECT sym, count(*) AS bars, sum(ticks::{_DEC})::DOUBLE / count(*) AS avgTicks, sum(dollars::{_DEC})::DOUBLE / count(*) AS avgDollarVol, sum(epoch_ms(barend) - epoch_ms(barstart))::DOUBLE / count(*) / 1000 AS avgDurationSec, sum(buyPct::{_DEC})::DOUBLE / count(*) AS avgBuyPct FROM ol WHERE kind = 'dib' GROUP BY sym")
+@query(f"WITH RECURSIVE {_ONLINE} SELECT sym, count(*) AS bars, sum(ticks::{_DEC})::DOUBLE / count(*) AS avgTicks, sum(dollars::{_DEC})::DOUBLE / count(*) AS avgDollarVol, sum(epoch_us(barend) - epoch_us(barstart))::DOUBLE / count(*) / 1000000.0::DOUBLE AS avgDurationSec, sum(buyPct::{_DEC})::DOUBLE / count(*) AS avgBuyPct FROM ol WHERE kind = 'dib' GROUP BY sym")
 def online_dib_stats(spark, d):
     return R.online_bar_stats(Q.online_bars(spark, d), "dib")
 
