@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.semantics import dib_threshold, div, drb_threshold, exact_sum, rw_threshold, trade_sign
@@ -21,14 +21,15 @@ def ticks(trades: DataFrame, min_dollars: float = 50.0) -> DataFrame:
     return t.select("sym", F.col("time").cast("timestamp_ntz").alias("time"), "tradeId", "price", "qty", F.col("bt").cast("int").alias("bt"), "dvol", (F.col("bt") * F.col("dvol")).alias("sd"))
 
 
-def ohlcv(numbered: DataFrame, theta: str = "sum", by: tuple[str, ...] = ("sym", "bn")) -> DataFrame:
-    """One row per bar of numbered ticks; theta is the sum of signed dollars or the last scan value."""
+def ohlcv(numbered: DataFrame, theta: str = "sum", by: tuple[str, ...] = ("sym", "bn"), *more: Column) -> DataFrame:
+    """One row per bar of numbered ticks, with ``more`` aggregates; theta is the sum of signed dollars
+    or the last scan value."""
     of = lambda c, sign: exact_sum(F.when(F.col("bt") == sign, F.col(c)).otherwise(0.0))
     qty, dollars = exact_sum(F.col("qty")), exact_sum(F.col("dvol"))
     return numbered.groupBy(*by).agg(
         F.min("time").alias("barstart"), F.max("time").alias("barend"), F.min_by("price", "tradeId").alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", "tradeId").alias("close"),
         qty.alias("qty"), dollars.alias("dqty"), F.count("*").alias("ticks"), F.count_if(F.col("bt") > 0).alias("buys"), of("qty", 1).alias("bqty"), of("qty", -1).alias("sqty"), div(dollars, qty).alias("vwap"),
-        (exact_sum(F.col("sd")) if theta == "sum" else F.max_by("theta", "tradeId")).alias("theta"), *([F.max_by("th", "tradeId").alias("th")] if "th" in numbered.columns else []),
+        (exact_sum(F.col("sd")) if theta == "sum" else F.max_by("theta", "tradeId")).alias("theta"), *([F.max_by("th", "tradeId").alias("th")] if "th" in numbered.columns else []), *more,
     )
 
 
@@ -60,13 +61,14 @@ def warmup(trades_ticks: DataFrame, kind: str, target: float = 200.0) -> tuple[D
     if kind == "rwdib":
         made = scanned(state).groupBy("sym").agg(F.max("bn").alias("made"))
         state = state.join(made, "sym").withColumn("th", F.col("th") * F.sqrt(F.greatest("made", F.lit(1)) / F.lit(float(target)))).withColumn("anchor", F.col("th")).drop("made")
-    final = scanned(state)
-    left = final.groupBy("sym").agg(F.max_by(F.struct("bn", "theta", "tib", "bib", "dib"), "tradeId").alias("o")).select("sym", "o.*")
-    state = state.join(left, "sym")
+    # A row a symbol and a row a bar, kept so that bars and state share the scans.
+    state = state.persist()
+    parts = ohlcv(scanned(state), "sum", ("sym", "bn"), F.max_by(F.struct("theta", "tib", "bib", "dib"), "tradeId").alias("open_")).persist()
+    state = state.join(parts.groupBy("sym").agg(F.max("bn").alias("bn"), F.max_by("open_", "bn").alias("o")).select("sym", "bn", "o.*"), "sym")
     if kind == "rwdib":
         state = state.withColumn("et", F.col("n") / F.greatest("bn", F.lit(1))).withColumns({c: F.lit(0.0) for c in ("pb", "ed")}).withColumn("bib", F.lit(0).cast("long"))
     last = F.max("bn").over(Window.partitionBy("sym"))
-    bars = ohlcv(final).withColumn("last", last).where("bn < last").drop("last")
+    bars = parts.drop("open_").withColumn("last", last).where("bn < last").drop("last")
     return bars.join(state.select("sym", "et", "pb", "ed"), "sym").withColumn("warmup", F.lit(True)), state
 
 
@@ -86,12 +88,13 @@ def adaptive(trades_ticks: DataFrame, state: DataFrame, kind: str, span: int = 2
         fed = fed.join(prices, (F.col("sym") == F.col("s")) & (F.col("date") == F.col("d"))).withColumn("anchor", F.col("anchor") * div(F.col("mean"), F.col("anchorprice")))
     fed = fed.select(*trades_ticks.columns, "date", *(c for c in STATE if c != "anchorprice"))
     numbered = ordered_scan(fed, ["sym"], ["tradeId"], adaptive_bars(kind, span), f"{TICKS}, date date, et double, pb double, ed double, th double, anchor double, {OPEN}")
-    ends = numbered.groupBy(F.col("sym").alias("s"), F.col("date").alias("d")).agg(F.max_by(F.struct("et", "pb", "ed"), "tradeId").alias("e"))
-    if kind == "rwdib":
-        ends = ends.withColumn("e", F.struct(F.col("e.et").alias("et"), F.lit(0.0).alias("pb"), F.lit(0.0).alias("ed")))
-    # A bar's rows of earlier days fall out: by (sym, bn, date) the part of the last day, if that closed the bar.
-    parts = ohlcv(numbered.drop("et", "pb", "ed", "anchor", "tib", "bib", "dib"), "last", ("sym", "bn", "date")).where(F.abs("theta") >= F.col("th"))
-    return parts.join(ends, (F.col("sym") == F.col("s")) & (F.col("date") == F.col("d"))).select(*(c for c in parts.columns if c != "date"), "e.*", F.lit(False).alias("warmup"))
+    # A bar's ticks of earlier days fall out: by (sym, bn, date) the part of the last day, if that closed
+    # the bar.  The day's last part, closed or not, has the day's last et, pb and ed.
+    parts = ohlcv(numbered.drop("anchor", "tib", "bib", "dib"), "last", ("sym", "bn", "date"), F.max_by(F.struct("et", "pb", "ed"), "tradeId").alias("e"))
+    parts = parts.withColumn("e", F.max_by("e", "bn").over(Window.partitionBy("sym", "date"))).where(F.abs("theta") >= F.col("th"))
+    et, zero = F.col("e.et"), F.lit(0.0)
+    pb, ed = (zero, zero) if kind == "rwdib" else (F.col("e.pb"), F.col("e.ed"))
+    return parts.withColumns({"et": et, "pb": pb, "ed": ed, "warmup": F.lit(False)}).drop("e", "date")
 
 
 def run(trades_ticks: DataFrame, kind: str, warmup_date, first, last, target: float = 200.0, span: int = 20) -> DataFrame:
