@@ -13,12 +13,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for each document.  Null text is empty and fails the base rules; null lang and source are
+    values of their own; repeated rows get equal verdicts; an empty table gives none."""
     from .quality import verdicts
 
     return verdicts(_table(spark, sf_dir, "documents")).drop("row_key")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines kept after later occurrences of repeated three-line windows are gone.  Null text has no lines and
+    a null hash; a row that repeats id and text is one document with its repetition."""
     from .linededup import dedup
 
     out = dedup(_table(spark, sf_dir, "documents"))
@@ -26,6 +30,8 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mix_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of each document.  Null text has size 0 and is never taken; the null source
+    comes last; repeated rows are placed one by one; an empty table gives none."""
     from .mixing import mixture
 
     return mixture(_table(spark, sf_dir, "documents")).drop("source")
@@ -47,6 +53,8 @@ FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id
 
 
 def op4_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives written of all pages give back.  Null html is an empty payload; of equal payloads the
+    largest page_id is response, and null ids are smaller than all others."""
     from .warc import round_trip
 
     return round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -67,36 +75,47 @@ FROM q
 
 
 def op9_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page.  Null html has the empty text; a null url is of the host of no name; repeated
+    rows get equal texts."""
     from .html import extract
 
     return extract(_table(spark, sf_dir, "pages"))
 
 
 def op5_jaccard_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of each document under near-duplicate links.  Null and blank texts have no shingles and are
+    their own component; repeated rows are copies of each other."""
     from .jaccard import clusters
 
     return clusters(_table(spark, sf_dir, "documents"))
 
 
 def op6_substring_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without its repeated 35-word windows.  Null text has no words; repeated rows
+    repeat each other."""
     from .substring import dedup
 
     return dedup(_table(spark, sf_dir, "documents")).drop("kept")
 
 
 def op7_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard and slot of each document.  Null text is empty; repeated rows share their places in any order."""
     from .sharding import placed
 
     return placed(_table(spark, sf_dir, "documents"), shards=40)
 
 
 def op8_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of each document.  Null text and texts without a letter are und; a null doc_id is
+    never held out; without labels all are und."""
     from .langid import identify
 
     return identify(_table(spark, sf_dir, "documents"))
 
 
 def op10_cgk_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each (document, benchmark item) within the edit bound.  Null texts match nothing; rows that repeat
+    id and text give one row."""
     from .decontaminate import leaked_documents
 
     return leaked_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
