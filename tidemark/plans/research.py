@@ -17,8 +17,9 @@ from .queries import _DEC, _DIB, _FUNDING, _QUOTES, _TRADES
 from .registry import SQL, query
 
 _TARGET, _SPAN = 60.0, 20
+_EARLY = "time < (SELECT date_trunc('day', min(time)) + INTERVAL 5 DAY FROM k0)"
 _TICKS = f"""{_TRADES}, k0 AS (SELECT sym, time, tradeId, price, qty, price * qty AS dvol, CASE WHEN buyerIsMaker THEN -1 ELSE 1 END AS bt FROM t WHERE price * qty >= 50),
-k1 AS (SELECT *, bt * dvol AS sd, CAST(time AS DATE) AS day, time < (SELECT date_trunc('day', min(time)) + INTERVAL 5 DAY FROM k0) AS warm FROM k0),
+k1 AS (SELECT *, bt * dvol AS sd, CAST(time AS DATE) AS day, {_EARLY} AS warm FROM k0),
 k AS (SELECT *, row_number() OVER (PARTITION BY sym, warm ORDER BY tradeId) AS i FROM k1)"""
 _HIT = "CASE WHEN hit THEN {} ELSE {} END"
 _STEP = {"dib": "r.theta + k.sd", "rwdib": "r.theta + k.sd", "drb": "CASE WHEN (k.sd > 0) = (r.theta > 0) THEN r.theta + k.sd ELSE k.sd END"}
@@ -94,6 +95,10 @@ def _register(kind: str) -> None:
 for _kind in ("dib", "drb", "rwdib"):
     _register(_kind)
 
+# warmup_bars takes all days as one warm-up.
+for _name, _views, _view, _is in (("warmup_bars", _warm, "wb", "true"), ("adaptive_bars", _adaptive, "ab", _EARLY)):
+    SQL[_name] = " UNION ALL BY NAME ".join(f"SELECT *, '{k}' AS kind FROM (WITH RECURSIVE {_views(k)} SELECT * FROM {_view})" for k in ("dib", "drb", "rwdib")).replace(_EARLY, _is)
+
 SQL["bar_stats"] = f"WITH RECURSIVE {_adaptive('rwdib')} SELECT sym, warmup, count(*) AS n, sum(ticks::{_DEC})::DOUBLE / count(*) AS avgTicks, sum(th::{_DEC})::DOUBLE / count(*) AS avgTh, min(pb) AS minPb, max(pb) AS maxPb, arg_min(th, bn) AS th0, arg_max(th, bn) AS th1, max(th) AS thMax, max(th) > 10 * arg_min(th, bn) AS exploded FROM ab GROUP BY sym, warmup"
 
 
