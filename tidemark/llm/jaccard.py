@@ -222,9 +222,10 @@ def _counted(rows: np.ndarray) -> np.ndarray:
     return np.column_stack([rows[at, :2], np.add.reduceat(rows[:, 2], at)])
 
 
-def _single_pairs(packed: DataFrame) -> DataFrame:
-    """a < b, shared: nodes whose sizes allow a link and how many rare signatures they share (by
-    bucket); of signatures with more than FREQUENT nodes instead rows (a: signature, b: node, shared: size, hot)."""
+def _single_pairs(packed: DataFrame, buckets: int) -> DataFrame:
+    """a < b, shared: nodes whose sizes allow a link and how many rare signatures they share; of
+    signatures with more than FREQUENT nodes instead rows (a: signature, b: node, shared: size, hot).
+    A pair may meet in many buckets: what they find travels packed, and becomes one row."""
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         h, k, n = _join(pdf["sigs"], np.uint64), _join(pdf["nodes"], np.int64), _join(pdf["sizes"], np.int32)
@@ -245,11 +246,19 @@ def _single_pairs(packed: DataFrame) -> DataFrame:
                 break
             ok = same & compatible(n[d:], n[:-d])
             found = _counted(np.concatenate([found, np.stack([k[:-d][ok], k[d:][ok], np.ones(int(ok.sum()), np.int64)], 1)]))
-        out = pd.DataFrame(np.concatenate([found, hot]), columns=["a", "b", "shared"])
-        out["hot"] = np.arange(len(out)) >= len(found)
-        return out
+        to = lambda rows: (rows[:, 0].view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+        out = [(*r, is_hot) for rows, is_hot in ((found, False), (hot, True)) for r in _split(to(rows), *rows.T)]
+        return pd.DataFrame(out, columns=["bucket", "a", "b", "shared", "hot"])
 
-    return packed.where("bucket >= 0").groupBy("bucket").applyInPandas(meet, "a long, b long, shared long, hot boolean")
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        for is_hot, part in pdf.groupby("hot"):
+            rows = np.column_stack([_join(part[c], np.int64) for c in ("a", "b", "shared")])
+            parts.append(pd.DataFrame(rows if is_hot else _counted(rows), columns=["a", "b", "shared"]).assign(hot=bool(is_hot)))
+        return pd.concat(parts)
+
+    met = packed.where("bucket >= 0").groupBy("bucket").applyInPandas(meet, "bucket int, a binary, b binary, shared binary, hot boolean")
+    return met.groupBy("bucket").applyInPandas(merge, "a long, b long, shared long, hot boolean")
 
 
 #: Pair signatures in one packed row.
@@ -355,8 +364,9 @@ def linked_nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     while sum(n for p, n in steps.items() if 2**p >= bound) > MAX_FREQUENT:
         bound *= 2
     tokens = np.sort(np.array([r.token for r in found.where(F.col("df") >= bound).select("token").collect()], np.int64))
-    packed = _signatures(texts, sc.broadcast(tokens), short, max(8, int(size / 5.5 / 2 / PER_BUCKET) + 1))
-    single = staged(_single_pairs(packed), "jaccard-single")
+    buckets = max(8, int(size / 5.5 / 2 / PER_BUCKET) + 1)
+    packed = _signatures(texts, sc.broadcast(tokens), short, buckets)
+    single = staged(_single_pairs(packed, buckets), "jaccard-single")
     hot = single.where("hot").select(F.col("a").alias("sig"), F.col("b").alias("node"), *(F.col("shared").cast("int").alias(c) for c in "nf"), F.lit(False).alias("low"))
     shared = staged(_pair_signatures(packed).unionByName(hot).distinct(), "jaccard-pair-signatures")
     # Two pivots: the node with the largest share of frequent shingles, which an original has among
