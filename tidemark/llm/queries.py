@@ -1,4 +1,4 @@
-"""The queries of the ten operators, op<N>_<name>(spark, sf_dir), and their DuckDB SQL."""
+"""The queries of the operators, op<N>_<name>(spark, sf_dir), and their DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -121,6 +121,28 @@ def op10_cgk_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_phrase_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of each language.  Null text has no words, null lang is und, repeated rows count each time."""
+    from .phrases import collocations
+
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_resample_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weight of each document towards the benchmark, and the rank of those drawn.  Null text has no features; a
+    null id draws its noise as the empty string; repeated rows have rows of their own."""
+    from .resampling import drawn
+
+    return drawn(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_piece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's pieces and what they decode to.  Null text is empty and has the end id only."""
+    from .pieces import digests
+
+    return digests(_table(spark, sf_dir, "documents"))
+
+
 _WORDS = "string_split_regex(trim({}, E' \\t\\n\\x0B\\f\\r'), '[\\x20\\x09-\\x0D]+')"
 #: Links by joining shingles, and the least id of a component by spreading it until nothing changes.
 OP5_SQL = f"""
@@ -151,6 +173,41 @@ f AS (SELECT o.doc_id, count(*) FILTER (WHERE x.at IS NOT NULL) AS n_removed, co
 SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, coalesce(f.n_removed, 0) AS n_removed, sha256(coalesce(f.kept, '')) AS kept_sha256 FROM w LEFT JOIN f ON f.doc_id = w.doc_id
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_mcd, op2_mix_blocks, op3_line_dedup, op4_warc_salvage, op5_jaccard_prefixes, op6_substring_levels, op7_hypergeometric_shards, op8_byte_cnn, op9_host_paths, op10_cgk_leaks)}
+#: Every cut of every candidate, with 128-bit integers.
+OP11_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws))::HUGEINT AS n FROM w GROUP BY lang),
+g AS (SELECT lang, array_to_string(ws[i : i + m - 1], ' ') AS phrase, m FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM w, range(1, 6) r(m) WHERE len(ws) >= m)),
+f AS (SELECT lang, phrase, m, count(*)::HUGEINT AS f FROM g GROUP BY lang, phrase, m HAVING count(*) >= 100),
+s AS (SELECT *, string_split(phrase, ' ') AS ws FROM f),
+o AS (SELECT lang, phrase, max(f) AS longer FROM (SELECT lang, unnest([array_to_string(ws[1 : m - 1], ' '), array_to_string(ws[2 : m], ' ')]) AS phrase, f FROM s WHERE m > 2) GROUP BY lang, phrase),
+c AS (SELECT s.*, unnest(range(1, s.m)) AS k FROM s LEFT JOIN o ON o.lang = s.lang AND o.phrase = s.phrase WHERE s.m > 1 AND (o.longer IS NULL OR o.longer < s.f)),
+x AS (SELECT c.lang, c.phrase, c.k, c.f AS a, l.f AS l, r.f AS r, n.n, (1000 * c.f * n.n) // (l.f * r.f) AS score FROM c JOIN n ON n.lang = c.lang JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1 : c.k], ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[c.k + 1 : c.m], ' ')),
+b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER v AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM b
+WINDOW v AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER v <= 2000
+"""
+
+#: CRC32 over the bytes of each different word; the table of 256 entries follows from the polynomial.
+OP12_SQL = r"""
+WITH tb AS (SELECT list(list_reduce([v::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY v) AS tab FROM range(256) r(v)),
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+q AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+e AS (SELECT doc_id, unnest(ws) AS word FROM w),
+v AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM e UNION SELECT word FROM q)),
+c AS (SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1]))) % 10000 AS bucket FROM v, tb),
+s AS (SELECT bucket, count(*) AS s FROM e JOIN c USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM q JOIN c USING (word) GROUP BY bucket),
+z AS (SELECT (SELECT count(*) FROM e) AS ss, (SELECT count(*) FROM q) AS tt),
+g AS (SELECT b AS bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (ss + 10000)::DOUBLE) / ((coalesce(s, 0) + 1)::DOUBLE * (tt + 10000)::DOUBLE)))::BIGINT AS gain FROM range(10000) r(b) LEFT JOIN s ON s.bucket = b LEFT JOIN t ON t.bucket = b, z),
+d AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM e JOIN c USING (word) JOIN g USING (bucket) GROUP BY doc_id),
+a AS (SELECT w.doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || w.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM w LEFT JOIN d ON d.doc_id = w.doc_id),
+k AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM a WHERE n_features >= 20)
+SELECT a.*, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM a LEFT JOIN k ON k.doc_id = a.doc_id
+"""
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_mcd, op2_mix_blocks, op3_line_dedup, op4_warc_salvage, op5_jaccard_prefixes, op6_substring_levels, op7_hypergeometric_shards, op8_byte_cnn, op9_host_paths, op10_cgk_leaks, op11_phrase_suffixes, op12_resample_chunks, op13_piece_chunks)}
 
-ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op4_warc_salvage": OP4_SQL, "op5_jaccard_prefixes": OP5_SQL, "op6_substring_levels": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op4_warc_salvage": OP4_SQL, "op5_jaccard_prefixes": OP5_SQL, "op6_substring_levels": OP6_SQL, "op11_phrase_suffixes": OP11_SQL, "op12_resample_chunks": OP12_SQL}
