@@ -5,10 +5,11 @@ their piece) are sorted by prefix doubling, and neighbours' common prefixes (LCP
 suffixes into intervals: an interval of common prefix m is an m-gram with its count.  Spark merges the
 shards' counts by key.
 
-Two passes over the texts.  The first counts words and pairs by 64-bit hashes; those in reach of the
-least count are marked in a bitmap of fixed size.  The second counts n-grams of marked words and
-pairs only, by their exact text: an n-gram is at most as frequent as the pairs in it, so none in reach
-is passed over, and a false mark only costs work.
+Three passes over the texts, level by level.  The first counts words and pairs by 64-bit hashes, the
+second triples of two frequent pairs; those in reach of the least count are marked in a bitmap of
+fixed size.  The third counts n-grams whose words, pairs and triples are all marked by their exact
+text: an n-gram is at most as frequent as what it holds, so none in reach is passed over, and a false
+mark only costs work.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from .packed import PER_BUCKET, _split, text_bytes
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Words of one suffix array, bytes of text that are hashed at once, and bits of the bitmap of marks.
-SHARD_WORDS, HASH_BYTES, MARKS = 1_500_000, 1 << 20, 1 << 25
+SHARD_WORDS, HASH_BYTES, MARKS = 800_000, 1 << 20, 1 << 25
 
 #: A-Z become a-z; what ends a piece becomes \n, a tab a space.
 _TABLE = bytearray(range(256))
@@ -65,9 +66,23 @@ class Shard:
     def __len__(self) -> int:
         return len(self.starts)
 
-    def pairs(self) -> np.ndarray:
-        """A hash for each word and the next; without meaning at a piece's last word."""
-        return mix(self.hashes * _PAIR + np.append(self.hashes[1:], np.uint64(0)))
+    def grams(self, m: int) -> np.ndarray:
+        """A hash of the m words from each word on; without meaning where fewer are left of the piece."""
+        out, n = self.hashes, len(self)
+        for d in range(1, m):
+            out = mix(out * _PAIR + np.concatenate([self.hashes[d:], np.zeros(min(d, n), np.uint64)]))
+        return out
+
+    def reach(self, bits: np.ndarray, known: int, longest: int) -> np.ndarray:
+        """How many words from each word on, ``longest`` at most, are such that all runs of up to ``known`` of
+        them are marked."""
+        marked = [(self.rest >= m) & _marked(bits, self.grams(m)) for m in range(1, known + 1)]
+        out, alive = marked[0].astype(np.int64), marked[0]
+        for m in range(2, longest + 1):
+            d = max(0, m - known)
+            alive = alive & np.concatenate([marked[min(m, known) - 1][d:], np.zeros(min(d, len(self)), bool)])
+            out += alive
+        return out
 
     def phrase(self, at: int, m: int) -> bytes:
         out = self.raw[self.starts[at] : self.ends[at + m - 1]]
@@ -144,16 +159,20 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
         yield Shard(texts, langs)
 
 
-def frequent_hashes(rows: DataFrame, least: int, size: int) -> DataFrame:
-    """The hashes of words and pairs that occur ``least`` times, with their counts."""
+def frequent_hashes(rows: DataFrame, least: int, size: int, sizes: tuple[int, ...], bits=None) -> DataFrame:
+    """The hashes of n-grams of the given sizes that occur ``least`` times, with their counts; with a bitmap
+    (broadcast) only of those whose runs of one word less are marked."""
     buckets = max(8, int(size / 6 / PER_BUCKET) + 1)
 
     def count(batches):
         for s in _shards(batches):
             if not len(s):
                 continue
-            order, lcp = suffix_array(_dense(s.hashes), s.rest, 2)
-            found = [(h[at], n) for m, h in ((1, s.hashes), (2, s.pairs())) for at, n in [intervals(order, lcp, s.rest, m)]]
+            order, lcp = suffix_array(_dense(s.hashes), s.rest, sizes[-1])
+            reach = s.rest if bits is None else s.reach(bits.value, sizes[0] - 1, sizes[-1])
+            found = [(s.grams(m)[at], n) for m in sizes for at, n in [intervals(order, lcp, reach, m)]]
+            if not sum(len(h) for h, _ in found):
+                continue
             h, n = np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]).astype(np.uint32)
             out = list(zip(*_split((h % np.uint64(buckets)).astype(np.int32), h, n), strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], names=["bucket", "hashes", "counts"])
@@ -189,19 +208,18 @@ def ngram_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) ->
     Null lang is ``und``; null text has no words; repeated rows count as often as they stand there; other
     columns are ignored; an empty table gives none."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    found = staged(frequent_hashes(rows, least, text_bytes(rows)), "phrases-frequent")
-    bits = docs.sparkSession.sparkContext.broadcast(marks(found))
+    size, sc = text_bytes(rows), docs.sparkSession.sparkContext
+    found = staged(frequent_hashes(rows, least, size, (1, 2)), "phrases-frequent")
+    if longest > 2:
+        pairs = sc.broadcast(marks(found))
+        found = found.unionByName(staged(frequent_hashes(rows, least, size, (3,), pairs), "phrases-triples"))
+    bits = sc.broadcast(marks(found))
 
     def count(batches):
         for s in _shards(batches):
             out = [(lang, "", 0, n) for lang, n in _per_lang(s)]
             if len(s):
-                linked = (s.rest > 1) & _marked(bits.value, s.pairs())
-                reach, alive = _marked(bits.value, s.hashes).astype(np.int64), linked.copy()
-                for d in range(1, longest):
-                    reach += alive & (reach == d)
-                    alive[: len(s) - d] &= linked[d:]
-                    alive[len(s) - d :] = False
+                reach = s.reach(bits.value, min(longest, 3), longest)
                 order, lcp = suffix_array(_dense(s.hashes), s.rest, longest)
                 for m in range(1, longest + 1):
                     at, n = intervals(order, lcp, reach, m)
