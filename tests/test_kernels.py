@@ -116,4 +116,111 @@ def test_online_bars_close_and_restart():
     pdf = pd.DataFrame({"sym": "x", "time": pd.Timestamp(0), "price": [10.0, 11.0, 12.0, 11.0], "qty": 100.0, "buyerIsMaker": False})
     out, state = K.online_bars(2000.0)(None, pdf)
     assert out["kind"].tolist() == ["dib"] and out["close"].tolist() == [11.0] and out["position"].tolist() == [1]
-    assert state["th"] == pytest.approx(0.02 * 2100 + 0.98 * 2000) and state["bar"]["n"] == 2
+    assert state["th"] == pytest.approx(0.02 * 2100 + 0.98 * 2000) and state["n"] == 2
+
+
+def plain_adaptive(kind, pdf, start):
+    """Closes of the tick-by-tick kernel: (bn, th, theta, et, pb, ed) and the place."""
+    out, state = K.adaptive_bars(kind)(None, pdf.assign(**start))
+    hit = out["theta"].abs() >= out["th"]
+    return [(*r, i) for r, i in zip(out.loc[hit, ["bn", "th", "theta", "et", "pb", "ed"]].itertuples(index=False, name=None), np.flatnonzero(hit), strict=True)], state
+
+
+@pytest.mark.parametrize("kind", ["dib", "drb", "rwdib"])
+@pytest.mark.parametrize("th", [40.0, 400.0, 20_000.0])
+@pytest.mark.parametrize("cuts", [(), (1, 2, 700), (400,)])
+def test_searched_bars_equal_the_scan(kind, th, cuts):
+    import json
+
+    rng = np.random.default_rng(int(th) + len(cuts))
+    n = 1500
+    sd = np.round(rng.normal(0, 60, n), 2) * np.where(rng.random(n) < 0.02, 50, 1)
+    sd[200:900] = np.abs(sd[200:900])  # one long run
+    pdf = pd.DataFrame({"sd": sd, "bt": np.where(sd > 0, 1, -1), "dvol": np.abs(sd), "anchor": th * (1 + np.arange(n) / n)})
+    start = {"et": 9.0, "pb": 0.55, "ed": 40.0, "th": th, "theta": 3.25, "bn": 4, "tib": 2, "bib": 1, "dib": 8.5}
+    want, _ = plain_adaptive(kind, pdf, start)
+    fed = pdf.assign(sym="x", tradeId=np.arange(n), day=1, start=None)
+    fed = pd.concat([fed.iloc[:1].assign(start=json.dumps(start)), fed], ignore_index=True)
+    state, got, kernel = None, [], K.bar_marks(kind, 20)
+    for a, b in zip([0, *(c + 1 for c in cuts)], [*(c + 1 for c in cuts), n + 1], strict=True):
+        out, state = kernel(state, fed.iloc[a:b].reset_index(drop=True))
+        state = json.loads(json.dumps(state))
+        got += out[out["closed"].astype(bool)][["bn", "th", "theta", "et", "pb", "ed", "tradeId"]].itertuples(index=False, name=None)
+    assert got == want and len(got) > 0
+
+
+@pytest.mark.parametrize("kind", ["dib", "drb"])
+@pytest.mark.parametrize("th", [1.0, 90.0, 5000.0])
+def test_searched_fixed_bars_equal_the_scan(kind, th):
+    rng = np.random.default_rng(3)
+    sd = np.round(rng.normal(5, 60, 2000), 2)
+    want = K.fixed_bars(kind, th)(None, pd.DataFrame({"sd": sd}))[0]
+    fed = pd.DataFrame({"sym": "x", "tradeId": np.arange(-1, 2000), "day": 1, "sd": [0.0, *sd], "start": [f'{{"th": {th}}}', *[None] * 2000]})
+    out, _ = K.bar_marks(kind)(None, fed)
+    closed = out["closed"].astype(bool)
+    assert np.flatnonzero(np.diff(want["bn"], prepend=0)).tolist() == out.loc[closed, "tradeId"].tolist()
+    assert tuple(out.loc[~closed, ["bn", "theta", "tib", "bib", "dib"]].iloc[-1]) == tuple(want[["bn", "theta", "tib", "bib", "dib"]].iloc[-1])
+
+
+def plain_online(rows, first, floor=1000.0, ratio=0.2):
+    """Live bars tick by tick."""
+    th, position, bn, last, bt, out = first, 0, 0, None, 1, []
+    bar = None
+    for t, p, q in rows:
+        bt = bt if last is None or p == last else 1 if p > last else -1
+        last, usd = p, p * q
+        bar = bar or {"start": t, "open": p, "high": p, "low": p, "n": 0, "theta": 0.0, "run": 0.0, "up": 1, "vol": 0.0, "usd": 0.0, "bought": 0.0}
+        bar |= {"high": max(bar["high"], p), "low": min(bar["low"], p), "n": bar["n"] + 1, "theta": bar["theta"] + bt * usd, "run": (bar["run"] if bt == bar["up"] else 0.0) + usd, "up": bt, "vol": bar["vol"] + q, "usd": bar["usd"] + usd, "bought": bar["bought"] + (usd if bt > 0 else 0.0)}
+        lim = max(th, floor)
+        kind = "dib" if abs(bar["theta"]) >= lim else "drb" if bar["run"] >= lim else None
+        if kind:
+            pct = 100 * bar["bought"] / bar["usd"]
+            if kind == "dib":
+                position = 1 if pct > 65 else -1 if pct < 35 else position
+                share = abs(bar["theta"]) / bar["usd"]
+                th = 0.02 * (bar["usd"] * share) + 0.98 * th
+            out.append((kind, bn, bar["start"], t, bar["open"], bar["high"], bar["low"], p, bar["n"], bar["vol"], bar["usd"], pct, bar["theta"], bar["run"], bar["up"], lim, position))
+            bn, bar = bn + 1, {"start": t, "open": p, "high": p, "low": p, "n": 0, "theta": 0.0, "run": 0.0, "up": 1, "vol": 0.0, "usd": 0.0, "bought": 0.0}
+    return out
+
+
+@pytest.mark.parametrize("first", [300.0, 9000.0, 120_000.0])
+def test_searched_online_bars_equal_the_scan(first):
+    import json
+
+    rng = np.random.default_rng(9)
+    n = 3000
+    price = 100 + np.round(rng.normal(0, 0.02, n).cumsum(), 2)
+    price[500:1400] = 100 + np.arange(900) * 0.01
+    qty = np.round(rng.exponential(3, n), 3) + 0.001
+    pdf = pd.DataFrame({"sym": "x", "time": pd.to_datetime(np.arange(n), unit="s"), "price": price, "qty": qty, "buyerIsMaker": False})
+    state, got, kernel = None, [], K.online_bars(first)
+    for a, b in ((0, 1), (1, 777), (777, 777), (777, n)):
+        out, state = kernel(state, pdf.iloc[a:b].reset_index(drop=True))
+        state = json.loads(json.dumps(state))
+        got += out.drop(columns="sym").itertuples(index=False, name=None)
+    assert got == plain_online(zip(pdf["time"], price.tolist(), qty.tolist(), strict=True), first) and got
+
+
+def test_sliding_volatility_is_linear_and_resumes():
+    import json
+
+    rng = np.random.default_rng(2)
+    n = 4000
+    pdf = pd.DataFrame({"sym": "x", "time": pd.to_datetime(rng.integers(1, 40, n).cumsum(), unit="s"), "price": 100 * np.exp(rng.normal(0, 1e-3, n).cumsum())})
+    t, p = pdf["time"].astype("int64").to_numpy() // 10 ** (9 if "ns" in str(pdf["time"].dtype) else 0), pdf["price"].to_numpy()
+    last, kept, want = 0, [], []
+    for i in range(1, n):
+        if t[i] - t[last] >= 30:
+            kept.append((t[i], np.log(p[i] / p[last])))
+            last = i
+            inside = [r for at, r in kept if at > t[i] - 3600]
+            if len(inside) >= 10:
+                want.append((pdf["time"][i], 100 * np.sqrt(31_536_000 / 30) * np.std(inside), len(inside), len(inside) >= 120))
+    state, got, kernel = None, [], K.sampled_volatility()
+    for a, b in ((0, 1), (1, 900), (900, n)):
+        out, state = kernel(state, pdf.iloc[a:b].reset_index(drop=True))
+        state = json.loads(json.dumps(state))
+        got += out.drop(columns="sym").itertuples(index=False, name=None)
+    assert [(a, c, d) for a, _, c, d in got] == [(a, c, d) for a, _, c, d in want]
+    assert np.allclose([r[1] for r in got], [r[1] for r in want], rtol=1e-9)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.semantics import dib_threshold, div, drb_threshold, exact_sum, rw_threshold, trade_sign
-from .kernels import adaptive_bars, fixed_bars
-from .scan import ordered_scan
+from .carry import bucket, carried
+from .kernels import MARKS, bar_marks
+from .scan import kept, ordered_scan
 
 #: The open bar after each tick, and the state that a warm-up hands on.
 OPEN = "bn long, theta double, tib long, bib long, dib double"
@@ -21,23 +22,55 @@ def ticks(trades: DataFrame, min_dollars: float = 50.0) -> DataFrame:
     return t.select("sym", F.col("time").cast("timestamp_ntz").alias("time"), "tradeId", "price", "qty", F.col("bt").cast("int").alias("bt"), "dvol", (F.col("bt") * F.col("dvol")).alias("sd"))
 
 
-def ohlcv(numbered: DataFrame, theta: str = "sum", by: tuple[str, ...] = ("sym", "bn"), *more: Column) -> DataFrame:
-    """One row per bar of numbered ticks, with ``more`` aggregates; theta is the sum of signed dollars
-    or the last scan value."""
+def ohlcv(numbered: DataFrame) -> DataFrame:
+    """One row per bar (sym, bn) of numbered ticks; theta is the sum of signed dollars."""
     of = lambda c, sign: exact_sum(F.when(F.col("bt") == sign, F.col(c)).otherwise(0.0))
     qty, dollars = exact_sum(F.col("qty")), exact_sum(F.col("dvol"))
-    return numbered.groupBy(*by).agg(
+    return numbered.groupBy("sym", "bn").agg(
         F.min("time").alias("barstart"), F.max("time").alias("barend"), F.min_by("price", "tradeId").alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", "tradeId").alias("close"),
         qty.alias("qty"), dollars.alias("dqty"), F.count("*").alias("ticks"), F.count_if(F.col("bt") > 0).alias("buys"), of("qty", 1).alias("bqty"), of("qty", -1).alias("sqty"), div(dollars, qty).alias("vwap"),
-        (exact_sum(F.col("sd")) if theta == "sum" else F.max_by("theta", "tradeId")).alias("theta"), *([F.max_by("th", "tradeId").alias("th")] if "th" in numbered.columns else []), *more,
+        exact_sum(F.col("sd")).alias("theta"),
     )
 
 
+#: Lower than every trade id: the place of the row that starts a symbol's scan.
+_FIRST = -(1 << 63)
+
+
+def marks(trades_ticks: DataFrame, start: DataFrame, kind: str, span: int | None = None, anchors: DataFrame | None = None) -> DataFrame:
+    """kernels.bar_marks over each symbol's ticks, from the row of ``start`` (sym, th, ...) of the symbol, of
+    which ticks there must be one; anchors (sym, date, anchor) by day.  A tick sends its id, day and
+    signed dollars only, and what comes back is a row a bar, kept for those who read it twice."""
+    day = F.unix_date(F.to_date("time"))
+    fed = trades_ticks.select("sym", "tradeId", day.alias("day"), "sd", F.to_date("time").alias("date_"), F.lit(None).cast("string").alias("start"))
+    more = "anchor double, " if anchors is not None else ""
+    if anchors is not None:
+        fed = fed.join(anchors.select(F.col("sym").alias("s_"), F.col("date").alias("d_"), "anchor"), (F.col("sym") == F.col("s_")) & (F.col("date_") == F.col("d_")))
+    fed = fed.drop("date_", "s_", "d_")
+    known = F.to_json(F.struct(*(c for c in start.columns if c != "sym")))
+    first = start.select("sym", F.lit(_FIRST).cast("long").alias("tradeId"), F.lit(0).alias("day"), F.lit(0.0).alias("sd"), known.alias("start"))
+    fed = fed.join(start.select("sym"), "sym", "left_semi").unionByName(first, allowMissingColumns=bool(more))
+    return kept(ordered_scan(fed, ["sym"], ["tradeId"], bar_marks(kind, span), MARKS))
+
+
+def numbered(trades_ticks: DataFrame, found: DataFrame, opens: bool, width: int | None = None) -> DataFrame:
+    """The ticks with ``bn``.  Marks either open a bar (ticks before the first are bar 0) or close one (``closed_on``
+    is the day of the close; ticks after the last have null).  They are carried over the ticks in
+    buckets of ids, so one symbol's ticks are dealt to many tasks."""
+    closes = found.where("closed").select("sym", "tradeId", F.struct("bn", "day").alias("mark_"), F.lit(1).alias("is_"))
+    both = trades_ticks.withColumns({"is_": F.lit(0)}).unionByName(closes, allowMissingColumns=True)
+    order = ["tradeId", "is_"] if not opens else ["tradeId", "not_"]
+    both = both.withColumn("not_", 1 - F.col("is_"))
+    out = carried(both, ["sym"], bucket(both, "tradeId", width), order, "mark_", "mark_", backwards=not opens).where("is_ = 0").drop("is_", "not_")
+    bn = F.coalesce("mark_.bn", F.lit(0).cast("long")) if opens else F.col("mark_.bn")
+    return out.withColumns({"bn": bn, "closed_on": F.col("mark_.day")}).drop("mark_")
+
+
 def fixed(trades_ticks: DataFrame, kind: str, threshold: float) -> DataFrame:
     """Completed bars of a constant threshold; the unfinished last bar and an empty bar 0 are left out."""
-    numbered = ordered_scan(trades_ticks, ["sym"], ["tradeId"], fixed_bars(kind, threshold), f"{TICKS}, {OPEN}")
+    start = trades_ticks.select("sym").distinct().withColumn("th", F.lit(float(threshold)))
     last = F.max("bn").over(Window.partitionBy("sym"))
-    return ohlcv(numbered).withColumn("last", last).where("bn < last").drop("last")
+    return ohlcv(numbered(trades_ticks, marks(trades_ticks, start, kind), opens=True)).withColumn("last", last).where("bn < last").drop("last")
 
 
 def calibrate(trades_ticks: DataFrame, kind: str, target: float) -> DataFrame:
@@ -54,22 +87,22 @@ def warmup(trades_ticks: DataFrame, kind: str, target: float = 200.0) -> tuple[D
     """(bars, state) of a warm-up day.  For rwdib a first pass counts the bars and corrects the
     threshold by the square root of bars over target before the second."""
     state = calibrate(trades_ticks, kind, target)
-
-    def scanned(state: DataFrame) -> DataFrame:
-        return ordered_scan(trades_ticks.join(state.select("sym", "th"), "sym").select(*trades_ticks.columns, "th"), ["sym"], ["tradeId"], fixed_bars(kind), f"{TICKS}, th double, {OPEN}")
-
     if kind == "rwdib":
-        made = scanned(state).groupBy("sym").agg(F.max("bn").alias("made"))
+        made = _opened(marks(trades_ticks, state.select("sym", "th"), kind)).select("sym", F.col("bn").alias("made"))
         state = state.join(made, "sym").withColumn("th", F.col("th") * F.sqrt(F.greatest("made", F.lit(1)) / F.lit(float(target)))).withColumn("anchor", F.col("th")).drop("made")
-    # A row a symbol and a row a bar, kept so that bars and state share the scans.
-    state = state.persist()
-    parts = ohlcv(scanned(state), "sum", ("sym", "bn"), F.max_by(F.struct("theta", "tib", "bib", "dib"), "tradeId").alias("open_")).persist()
-    state = state.join(parts.groupBy("sym").agg(F.max("bn").alias("bn"), F.max_by("open_", "bn").alias("o")).select("sym", "bn", "o.*"), "sym")
+    state = kept(state)
+    found = marks(trades_ticks, state.select("sym", "th"), kind)
+    parts = ohlcv(numbered(trades_ticks, found, opens=True))
+    state = state.join(_opened(found).select("sym", "bn", "theta", "tib", "bib", "dib"), "sym")
     if kind == "rwdib":
         state = state.withColumn("et", F.col("n") / F.greatest("bn", F.lit(1))).withColumns({c: F.lit(0.0) for c in ("pb", "ed")}).withColumn("bib", F.lit(0).cast("long"))
-    last = F.max("bn").over(Window.partitionBy("sym"))
-    bars = parts.drop("open_").withColumn("last", last).where("bn < last").drop("last")
-    return bars.join(state.select("sym", "et", "pb", "ed"), "sym").withColumn("warmup", F.lit(True)), state
+    last = state.select("sym", "et", "pb", "ed", "th", F.col("bn").alias("last"))
+    return parts.join(last, "sym").where("bn < last").drop("last").withColumn("warmup", F.lit(True)), state
+
+
+def _opened(found: DataFrame) -> DataFrame:
+    """By symbol the bar that the scan leaves open: bn, th, theta, tib, bib, dib, et, pb, ed."""
+    return found.where("not closed").groupBy("sym").agg(F.max_by(F.struct("bn", "th", "theta", "tib", "bib", "dib", "et", "pb", "ed"), "tradeId").alias("o")).select("sym", "o.*")
 
 
 def adaptive(trades_ticks: DataFrame, state: DataFrame, kind: str, span: int = 20) -> DataFrame:
@@ -80,21 +113,26 @@ def adaptive(trades_ticks: DataFrame, state: DataFrame, kind: str, span: int = 2
     day's end (rwdib has only et), th is the threshold in force.  For rwdib the anchor of each day is
     the warm-up's, scaled by the day's mean price over the warm-up's.
     """
-    start = state.select("sym", *STATE)
-    dated = trades_ticks.withColumn("date", F.to_date("time"))
-    fed = dated.join(start, "sym")
+    return closed_bars(trades_ticks, adaptive_marks(trades_ticks, state, kind, span), kind)
+
+
+def adaptive_marks(trades_ticks: DataFrame, state: DataFrame, kind: str, span: int = 20) -> DataFrame:
+    """The closes of adaptive bars and what is open at the end (see kernels.bar_marks)."""
+    anchors = None
     if kind == "rwdib":
-        prices = dated.groupBy(F.col("sym").alias("s"), F.col("date").alias("d")).agg(div(exact_sum(F.col("price")), F.count("*")).alias("mean"))
-        fed = fed.join(prices, (F.col("sym") == F.col("s")) & (F.col("date") == F.col("d"))).withColumn("anchor", F.col("anchor") * div(F.col("mean"), F.col("anchorprice")))
-    fed = fed.select(*trades_ticks.columns, "date", *(c for c in STATE if c != "anchorprice"))
-    numbered = ordered_scan(fed, ["sym"], ["tradeId"], adaptive_bars(kind, span), f"{TICKS}, date date, et double, pb double, ed double, th double, anchor double, {OPEN}")
-    # A bar's ticks of earlier days fall out: by (sym, bn, date) the part of the last day, if that closed
-    # the bar.  The day's last part, closed or not, has the day's last et, pb and ed.
-    parts = ohlcv(numbered.drop("anchor", "tib", "bib", "dib"), "last", ("sym", "bn", "date"), F.max_by(F.struct("et", "pb", "ed"), "tradeId").alias("e"))
-    parts = parts.withColumn("e", F.max_by("e", "bn").over(Window.partitionBy("sym", "date"))).where(F.abs("theta") >= F.col("th"))
-    et, zero = F.col("e.et"), F.lit(0.0)
+        prices = trades_ticks.groupBy("sym", F.to_date("time").alias("date")).agg(div(exact_sum(F.col("price")), F.count("*")).alias("mean"))
+        anchors = prices.join(state.select("sym", "anchor", "anchorprice"), "sym").select("sym", "date", (F.col("anchor") * div(F.col("mean"), F.col("anchorprice"))).alias("anchor"))
+    return marks(trades_ticks, state.select("sym", *(c for c in STATE if c not in ("anchor", "anchorprice"))), kind, span, anchors)
+
+
+def closed_bars(trades_ticks: DataFrame, found: DataFrame, kind: str) -> DataFrame:
+    """The bars that the marks close: of a bar its ticks of the day on which it closes."""
+    ends = found.where("closed").withColumn("e", F.max_by(F.struct("et", "pb", "ed"), "bn").over(Window.partitionBy("sym", "day")))
+    zero = F.lit(0.0)
     pb, ed = (zero, zero) if kind == "rwdib" else (F.col("e.pb"), F.col("e.ed"))
-    return parts.withColumns({"et": et, "pb": pb, "ed": ed, "warmup": F.lit(False)}).drop("e", "date")
+    ends = ends.select("sym", "bn", "th", "theta", F.col("e.et").alias("et"), pb.alias("pb"), ed.alias("ed"))
+    held = numbered(trades_ticks, found, opens=False).where(F.unix_date(F.to_date("time")) == F.col("closed_on")).drop("closed_on")
+    return ohlcv(held).drop("theta").join(ends, ["sym", "bn"]).withColumn("warmup", F.lit(False))
 
 
 def run(trades_ticks: DataFrame, kind: str, warmup_date, first, last, target: float = 200.0, span: int = 20) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import math
+from collections import deque
 
 import numpy as np
 import pandas as pd
@@ -140,28 +142,44 @@ def thinned(every_s: float, column: str = "time") -> Kernel:
 
 def sampled_volatility(sample_s: float = 30, window_s: float = 3600, least: int = 10, valid: int = 120, every_s: float = 5) -> Kernel:
     """Realized volatility from returns between trades at least sample_s apart, over window_s; a row
-    at least every_s after the one before it."""
-    year = 31_536_000
+    at least every_s after the one before it.
+
+    The window is a queue with the sums of its returns and of their squares, in whole units of 2^-52
+    and 2^-104: exact, so that what leaves takes away just what it brought."""
+    year, unit = 31_536_000, float(1 << 52)
 
     def run(state: State, pdf: pd.DataFrame):
         s = dict(state or {"t": None, "p": None, "returns": [], "inserted": None})
-        kept, out = list(s["returns"]), []
-        for sym, time, t, p in zip(pdf["sym"], pdf["time"], pdf["time"].astype("int64") // 1000 if pdf["time"].dtype.name.endswith("ns]") else pdf["time"].astype("int64"), pdf["price"].tolist(), strict=True):
-            t = t / 1e6
-            if s["t"] is None:
-                s["t"], s["p"] = t, p
-                continue
-            if t - s["t"] < sample_s:
-                continue
-            kept.append((t, math.log(p / s["p"])))
+        kept, out = deque((t, int(u)) for t, u in s["returns"]), []
+        one, two = sum(u for _, u in kept), sum(u * u for _, u in kept)
+        times = pdf["time"].astype("datetime64[us]").astype("int64").to_numpy() / 1e6
+        at = 0 if s["t"] is None and len(pdf) else -1
+        if at == 0:
+            s["t"], s["p"] = float(times[0]), float(pdf["price"].iloc[0])
+        prices, sym, stamps = pdf["price"].to_numpy(float), pdf["sym"].iloc[0] if len(pdf) else None, pdf["time"]
+        while True:
+            late = times[at + 1 : at + 257] - (s["t"] or 0) >= sample_s  # the next trade that is taken
+            while len(late) and not late.any():
+                at += len(late)
+                late = times[at + 1 : at + 4097] - s["t"] >= sample_s
+            if not len(late):
+                break
+            at += 1 + int(late.argmax())
+            t, p = float(times[at]), float(prices[at])
+            u = round(math.log(p / s["p"]) * unit)
+            kept.append((t, u))
+            one, two = one + u, two + u * u
             s["t"], s["p"] = t, p
-            kept = [x for x in kept if x[0] > t - window_s]
-            if len(kept) >= least:
-                vol = math.sqrt(year / sample_s) * float(np.std([x[1] for x in kept]))
+            while kept[0][0] <= t - window_s:
+                _, gone = kept.popleft()
+                one, two = one - gone, two - gone * gone
+            n = len(kept)
+            if n >= least:
+                vol = math.sqrt(year / sample_s) * math.sqrt((n * two - one * one) / (n * n)) / unit
                 if vol > 0 and (s["inserted"] is None or t - s["inserted"] >= every_s):
                     s["inserted"] = t
-                    out.append((sym, time, 100 * vol, len(kept), len(kept) >= valid))
-        s["returns"] = kept
+                    out.append((sym, stamps.iloc[at], 100 * vol, n, n >= valid))
+        s["returns"] = [(t, str(u)) for t, u in kept]
         return pd.DataFrame(out, columns=["sym", "time", "annualizedVol", "samples", "isValid"]), s
 
     return run
@@ -252,6 +270,120 @@ def adaptive_bars(kind: str, span: int = 20, kappa: float = 0.02) -> Kernel:
     return run
 
 
+class _Ticks:
+    """The signed dollars of a chunk, and the sums of runs of one sign (zero is not positive), each added up
+    in order from the run's first tick on."""
+
+    #: Ticks of a bar that are looked at one by one before whole pieces are.
+    FEW = 32
+
+    def __init__(self, sd: np.ndarray, kind: str) -> None:
+        self.sd, self.each, self.kind, self.n = sd, sd.tolist(), kind, len(sd)
+        if kind == "drb":
+            up = sd > 0
+            starts = np.flatnonzero(np.concatenate([[True], up[1:] != up[:-1]])) if len(sd) else np.empty(0, np.int64)
+            self.stops = np.append(starts[1:], len(sd))
+            self.runs = _run_sums(sd, starts, self.stops - starts)
+
+    def search(self, at: int, theta: float, th: float) -> tuple[int, float]:
+        """(place, theta) of the first tick from ``at`` on where theta, which is as given before it, reaches
+        the threshold, or (n, theta at the end).  Between two closes the threshold stands still."""
+        few = min(at + self.FEW, self.n)
+        for i in range(at, few):
+            x = self.each[i]
+            theta = x if self.kind == "drb" and (x > 0) != (theta > 0) else theta + x
+            if abs(theta) >= th:
+                return i, theta
+        at, step = few, 256
+        while at < self.n:
+            sums = self._sums(at, min(at + step, self.n), theta)
+            hit = np.abs(sums) >= th
+            if hit.any():
+                i = int(hit.argmax())
+                return at + i, float(sums[i])
+            theta, at, step = float(sums[-1]), at + len(sums), step * 4
+        return self.n, theta
+
+    def _sums(self, at: int, stop: int, theta: float) -> np.ndarray:
+        if self.kind != "drb":
+            return np.cumsum(np.concatenate([[theta], self.sd[at:stop]]))[1:]
+        out = self.runs[at:stop].copy()
+        run = min(int(self.stops[np.searchsorted(self.stops, at, "right")]), stop)
+        same = (self.sd[at] > 0) == (theta > 0)  # the run that ``at`` lies in began with the bar or before
+        out[: run - at] = np.cumsum(np.concatenate([[theta], self.sd[at:run]]))[1:] if same else np.cumsum(self.sd[at:run])
+        return out
+
+
+def _run_sums(x: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    out = x.astype(float)
+    for s, n in zip(starts[lengths > 64].tolist(), lengths[lengths > 64].tolist(), strict=True):
+        out[s : s + n] = np.cumsum(x[s : s + n])
+    s, n, d = starts[lengths <= 64], lengths[lengths <= 64], 1
+    while len(s := s[n > d]):
+        n = n[n > d]
+        out[s + d] = out[s + d - 1] + x[s + d]
+        d += 1
+    return out
+
+
+def _counted(sd: np.ndarray, tib: int, bib: int, dib: float) -> tuple[int, int, float]:
+    """Ticks, buys and dollars after further ticks; dollars are added in order."""
+    return tib + len(sd), bib + int(np.count_nonzero(sd > 0)), float(np.cumsum(np.concatenate([[dib], np.abs(sd)]))[-1])
+
+
+#: What the searches give: a row for each close (closed), and one for the bar that a chunk leaves open.
+MARKS = "sym string, bn long, tradeId long, day int, closed boolean, th double, theta double, et double, pb double, ed double, tib long, bib long, dib double"
+_MARKS = [c.split()[0] for c in MARKS.split(", ")]
+_OPEN = {"bn": 0, "theta": 0.0, "tib": 0, "bib": 0, "dib": 0.0, "et": 0.0, "pb": 0.0, "ed": 0.0}
+
+
+def bar_marks(kind: str, span: int | None = None, kappa: float = 0.02) -> Kernel:
+    """Where bars end, found by search in running sums instead of tick by tick (see fixed_bars and
+    adaptive_bars for the rules).
+
+    Rows: sym, tradeId, day, sd (signed dollars), start, and for rwdib with a span anchor.  The first row of
+    a symbol is no tick: its ``start`` is the JSON of the state (th, and what _OPEN names).  Without a span
+    the threshold is constant and the tick that reaches it opens the next bar, whose number its mark has;
+    with a span thresholds adapt and the tick closes its own bar.
+    """
+    alpha = 2 / ((span or 1) + 1)
+    mean = lambda old, new: alpha * new + (1 - alpha) * old
+
+    def run(state: State, pdf: pd.DataFrame):
+        if state is None:
+            state, pdf = _OPEN | {k: v for k, v in json.loads(pdf["start"].iloc[0]).items() if v is not None}, pdf.iloc[1:]
+        bn, theta, tib, bib, dib, et, pb, ed, th = (state[k] for k in (*_OPEN, "th"))
+        if not len(pdf):
+            return pd.DataFrame([], columns=_MARKS), state
+        sym, ticks, out = pdf["sym"].iloc[0], _Ticks(pdf["sd"].to_numpy(float), kind), []
+        ids, days, anchors = pdf["tradeId"].to_numpy(), pdf["day"].to_numpy(), pdf["anchor"].to_numpy(float) if "anchor" in pdf else None
+        at = 0
+        while at < ticks.n:
+            end, theta = ticks.search(at, theta, th)
+            if end < ticks.n and span is None:
+                bn, theta, tib, bib, dib = bn + 1, 0.0, 0, 0, 0.0
+                out.append((sym, bn, ids[end], days[end], True, th, theta, et, pb, ed, tib, bib, dib))
+            elif end < ticks.n:
+                tib, bib, dib = _counted(ticks.sd[at : end + 1], tib, bib, dib)
+                now, was = mean(et, tib), (th, theta)
+                if kind == "rwdib":
+                    raw = th * math.sqrt(now / et)
+                    th = raw + kappa * (float(anchors[end]) - raw)
+                else:
+                    pb, ed = mean(pb, bib / tib), mean(ed, dib / tib)
+                    th = now * ed * (abs(2 * pb - 1) if kind == "dib" else max(pb, 1 - pb))
+                et = now
+                out.append((sym, bn, ids[end], days[end], True, *was, et, pb, ed, tib, bib, dib))
+                bn, theta, tib, bib, dib = bn + 1, 0.0, 0, 0, 0.0
+            else:
+                tib, bib, dib = _counted(ticks.sd[at:], tib, bib, dib)
+            at = end + 1
+        out.append((sym, bn, ids[-1], days[-1], False, th, theta, et, pb, ed, tib, bib, dib))
+        return pd.DataFrame(out, columns=_MARKS), dict(zip((*_OPEN, "th"), (bn, theta, tib, bib, dib, et, pb, ed, th), strict=True))
+
+    return run
+
+
 _ONLINE = ["sym", "kind", "bn", "barstart", "barend", "open", "high", "low", "close", "ticks", "volume", "dollars", "buyPct", "theta", "maxRun", "direction", "threshold", "position"]
 ONLINE_SCHEMA = "sym string, kind string, bn long, barstart timestamp_ntz, barend timestamp_ntz, open double, high double, low double, close double, ticks long, volume double, dollars double, buyPct double, theta double, maxRun double, direction int, threshold double, position int"
 
@@ -263,35 +395,87 @@ def online_bars(first: float = 50_000.0, ratio: float = 0.2, floor: float = 1_00
     (EWMA of its imbalance) and the position: more than 65 % bought gives +1, less than 35 % -1.
     Signs come from the tick rule (flat keeps the last, the first is +1) or from buyerIsMaker."""
 
-    def opened(p: float, time) -> dict:
-        return {"start": time, "open": p, "high": p, "low": p, "n": 0, "theta": 0.0, "run": 0.0, "up": 1, "vol": 0.0, "usd": 0.0, "bought": 0.0}
-
     def run(state: State, pdf: pd.DataFrame):
-        s = dict(state or {"last": None, "bt": 1, "th": first, "ratio": ratio, "bn": 0, "position": 0, "bar": None})
-        out = []
-        for sym, time, p, q, maker in zip(pdf["sym"], pdf["time"], pdf["price"].tolist(), pdf["qty"].tolist(), pdf["buyerIsMaker"].tolist(), strict=True):
-            if sign == "maker":
-                s["bt"] = -1 if maker else 1
-            elif s["last"] is not None and p != s["last"]:
-                s["bt"] = 1 if p > s["last"] else -1
-            s["last"], usd, b = p, p * q, dict(s["bar"] or opened(p, time))
-            b |= {"high": max(b["high"], p), "low": min(b["low"], p), "n": b["n"] + 1, "vol": b["vol"] + q, "usd": b["usd"] + usd, "theta": b["theta"] + s["bt"] * usd, "bought": b["bought"] + (usd if s["bt"] > 0 else 0.0), "run": (b["run"] if s["bt"] == b["up"] else 0.0) + usd, "up": s["bt"]}
+        s, out = dict(state or {"last": None, "bt": 1, "th": first, "ratio": ratio, "bn": 0, "position": 0, "start": None, **_EMPTY}), []
+        if not len(pdf):
+            return pd.DataFrame(out, columns=_ONLINE), s
+        price, qty = pdf["price"].to_numpy(float), pdf["qty"].to_numpy(float)
+        times = pdf["time"].astype("datetime64[us]").astype("int64").to_numpy()
+        ticks = _Live(np.where(pdf["buyerIsMaker"].to_numpy(bool), -1, 1) if sign == "maker" else _tick_signs(price, s["last"], s["bt"]), price * qty)
+        if s["start"] is None:
+            s |= {"start": int(times[0]), "open": float(price[0]), "high": float(price[0]), "low": float(price[0])}
+        sym, at, after = pdf["sym"].iloc[0], 0, lambda first_, values: float(np.cumsum(np.concatenate([[first_], values]))[-1])
+        while at < ticks.n:
             th = max(s["th"], floor)
-            kind = "dib" if abs(b["theta"]) >= th else "drb" if b["run"] >= th else None
-            if kind:
-                pct = 100 * b["bought"] / b["usd"] if b["usd"] > 0 else 50.0
+            end, theta, run_ = ticks.search(at, s["theta"], s["run"], s["up"], th)
+            part = slice(at, min(end + 1, ticks.n))
+            usd = ticks.usd[part]
+            s |= {
+                "high": max(s["high"], float(price[part].max())), "low": min(s["low"], float(price[part].min())), "n": s["n"] + len(usd), "vol": after(s["vol"], qty[part]), "usd": after(s["usd"], usd),
+                "theta": theta, "run": run_, "up": int(ticks.bt[part][-1]), "bought": after(s["bought"], np.where(ticks.bt[part] > 0, usd, 0.0)),
+            }
+            if end < ticks.n:
+                kind, p, time = "dib" if abs(theta) >= th else "drb", float(price[end]), int(times[end])
+                pct = 100 * s["bought"] / s["usd"] if s["usd"] > 0 else 50.0
                 if kind == "dib":
                     s["position"] = 1 if pct > 65 else -1 if pct < 35 else s["position"]
-                    share = abs(b["theta"]) / b["usd"] if b["usd"] > 0 else s["ratio"]
-                    s["th"], s["ratio"] = 0.02 * (b["usd"] * share) + 0.98 * s["th"], 0.05 * share + 0.95 * s["ratio"]
-                out.append((sym, kind, s["bn"], b["start"], time, b["open"], b["high"], b["low"], p, b["n"], b["vol"], b["usd"], pct, b["theta"], b["run"], b["up"], th, s["position"]))
-                s["bn"], b = s["bn"] + 1, opened(p, time)
-            s["bar"] = b
-        return pd.DataFrame(out, columns=_ONLINE), s
+                    share = abs(theta) / s["usd"] if s["usd"] > 0 else s["ratio"]
+                    s["th"], s["ratio"] = 0.02 * (s["usd"] * share) + 0.98 * s["th"], 0.05 * share + 0.95 * s["ratio"]
+                out.append((sym, kind, s["bn"], s["start"], time, s["open"], s["high"], s["low"], p, s["n"], s["vol"], s["usd"], pct, theta, run_, s["up"], th, s["position"]))
+                s |= {"bn": s["bn"] + 1, "start": time, **_EMPTY, "open": p, "high": p, "low": p}
+            at = end + 1
+        s |= {"last": float(price[-1]), "bt": int(ticks.bt[-1])}
+        rows = pd.DataFrame(out, columns=_ONLINE)
+        return rows.assign(barstart=rows["barstart"].astype("datetime64[us]"), barend=rows["barend"].astype("datetime64[us]")), s
 
     return run
 
 
+#: The counts of a bar that no tick has reached yet.
+_EMPTY = {"open": 0.0, "high": 0.0, "low": 0.0, "n": 0, "theta": 0.0, "run": 0.0, "up": 1, "vol": 0.0, "usd": 0.0, "bought": 0.0}
+#: The state of online_bars; ``start`` in microseconds.
+ONLINE_STATE = "last double, bt int, th double, ratio double, bn long, position int, start long, open double, high double, low double, n long, theta double, run double, up int, vol double, usd double, bought double"
+
+
+def _tick_signs(price: np.ndarray, last: float | None, sign: int) -> np.ndarray:
+    """+1 after a rise and -1 after a fall of the price; without either the sign before."""
+    step = np.sign(np.diff(price, prepend=price[0] if last is None else last)).astype(np.int64)
+    moved = np.maximum.accumulate(np.where(step != 0, np.arange(len(step)), -1))
+    return np.where(moved >= 0, step[moved], sign)
+
+
+class _Live(_Ticks):
+    """Ticks whose bars close by the imbalance or by a run of one sign, whichever reaches the threshold."""
+
+    def __init__(self, bt: np.ndarray, usd: np.ndarray) -> None:
+        self.bt, self.usd, self.sd, self.kind, self.n = bt, usd, bt * usd, "dib", len(bt)
+        self.pairs = list(zip(bt.tolist(), usd.tolist(), strict=True))
+        starts = np.flatnonzero(np.concatenate([[True], bt[1:] != bt[:-1]]))
+        self.stops = np.append(starts[1:], self.n)
+        self.runs = _run_sums(usd, starts, self.stops - starts)
+
+    def search(self, at: int, theta: float, run: float, up: int, th: float) -> tuple[int, float, float]:
+        few = min(at + self.FEW, self.n)
+        for i in range(at, few):
+            b, x = self.pairs[i]
+            theta, run, up = theta + b * x, run + x if b == up else x, b
+            if abs(theta) >= th or run >= th:
+                return i, theta, run
+        at, step = few, 256
+        while at < self.n:
+            stop = min(at + step, self.n)
+            sums, runs = self._sums(at, stop, theta), self.runs[at:stop].copy()
+            end = min(int(self.stops[np.searchsorted(self.stops, at, "right")]), stop)
+            runs[: end - at] = np.cumsum(np.concatenate([[run if self.bt[at] == up else 0.0], self.usd[at:end]]))[1:]
+            hit = (np.abs(sums) >= th) | (runs >= th)
+            i = int(hit.argmax()) if hit.any() else stop - at - 1
+            theta, run, up = float(sums[i]), float(runs[i]), int(self.bt[at + i])
+            if hit[i]:
+                return at + i, theta, run
+            at, step = stop, step * 4
+        return self.n, theta, run
+
+
 _LEVELS = [f"{side}{what}{i}" for side in ("bid", "ask") for what in ("Price", "Qty") for i in range(1, 6)]
 BOOK_SCHEMA = "sym string, ord long, eventMs long, isValid boolean, " + ", ".join(f"{c} double" for c in _LEVELS)
 

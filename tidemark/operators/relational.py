@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.semantics import div, exact_sum, nearest_ranks, round_half
+from .carry import bucket, carried, running_sums
 
 
 def trade_summary(trades: DataFrame, order: str = "tradeId") -> DataFrame:
@@ -55,11 +56,13 @@ def vwap(trades: DataFrame, order: str = "tradeId") -> DataFrame:
     return trades.groupBy("sym").agg(div(notional, volume).alias("vwap"), F.max_by("price", order).alias("lastPrice"), volume.alias("volume"), F.count("*").alias("trades"))
 
 
-def vwap_running(trades: DataFrame, order: str = "tradeId", by: tuple[str, ...] = ("sym",)) -> DataFrame:
-    """The volume-weighted price up to each trade; by (sym, date) it starts anew each day."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    total = lambda c: F.sum(c.cast("decimal(28,6)")).over(w).cast("double")
-    return trades.withColumn("vwap", div(total(F.col("price") * F.col("qty")), total(F.col("qty"))))
+def vwap_running(trades: DataFrame, order: str = "tradeId", by: tuple[str, ...] = ("sym",), width: int | None = None) -> DataFrame:
+    """The volume-weighted price up to each trade; by (sym, date) it starts anew each day.  A symbol is
+    dealt to buckets of ``width`` of the order column."""
+    exact = lambda c: c.cast("decimal(28,6)")
+    sums = {"notional_": exact(F.col("price") * F.col("qty")), "volume_": exact(F.col("qty"))}
+    out = running_sums(trades, list(by), bucket(trades, order, width), [order], sums)
+    return out.withColumn("vwap", div(*(F.col(c).cast("double") for c in sums))).drop(*sums)
 
 
 def price_series(trades: DataFrame, interval: str, order: str = "tradeId") -> DataFrame:
@@ -88,26 +91,26 @@ def summary_join(vwaps: DataFrame, vols: DataFrame) -> DataFrame:
     return vwaps.join(vols, "sym", "left")
 
 
-def asof(left: DataFrame, right: DataFrame, on: str, left_time: str, right_time: str, value: str, order: str) -> DataFrame:
+def asof(left: DataFrame, right: DataFrame, on: str, left_time: str, right_time: str, value: str, order: str, width: int | None = None) -> DataFrame:
     """left with the last right value at or before its time, null before the first.
 
-    Both sides are interleaved and the value carried forward by one window: a sort-merge of their
-    sizes, with no nested loop.
+    Both sides are interleaved and the value carried forward within buckets of ``width`` seconds and
+    from bucket to bucket: a sort-merge of their sizes, with no nested loop and no task for a whole key.
     """
     cols = left.columns
     a = left.select(F.struct(*cols).alias("row"), F.col(on).alias("k"), F.col(left_time).alias("t"), F.lit(1).alias("kind"), F.lit(None).cast(right.schema[order].dataType).alias("o"), F.lit(None).cast(right.schema[value].dataType).alias("v"))
     b = right.select(F.lit(None).cast(a.schema["row"].dataType).alias("row"), F.col(on).alias("k"), F.col(right_time).alias("t"), F.lit(0).alias("kind"), F.col(order).alias("o"), F.col(value).alias("v"))
-    w = Window.partitionBy("k").orderBy("t", "kind", "o").rowsBetween(Window.unboundedPreceding, 0)
-    return a.unionByName(b).withColumn(value, F.last("v", ignorenulls=True).over(w)).where("kind = 1").select("row.*", value)
+    both = a.unionByName(b)
+    return carried(both, ["k"], bucket(both, "t", width), ["t", "kind", "o"], "v", value).where("kind = 1").select("row.*", value)
 
 
-def events_between(trades: DataFrame, events: DataFrame, event_time: str, order: str = "tradeId") -> DataFrame:
+def events_between(trades: DataFrame, events: DataFrame, event_time: str, order: str = "tradeId", width: int | None = None) -> DataFrame:
     """Each event with the first trade of its symbol at or after it: the events in (previous trade,
-    trade].  Both sides are interleaved latest first, so that one running window carries the trade."""
+    trade].  Both sides are interleaved and the trade carried backwards, as in asof()."""
     a = trades.select(F.col("sym"), F.col("time").alias("t"), F.lit(1).alias("kind"), F.col(order).alias("o"), F.lit(None).cast(_struct(events)).alias("event"))
     b = events.select("sym", F.col(event_time).alias("t"), F.lit(0).alias("kind"), F.lit(None).cast(trades.schema[order].dataType).alias("o"), F.struct(*events.columns).alias("event"))
-    w = Window.partitionBy("sym").orderBy(F.desc("t"), F.desc("kind"), F.desc("o")).rowsBetween(Window.unboundedPreceding, 0)
-    return a.unionByName(b).withColumn(order, F.last("o", ignorenulls=True).over(w)).where(f"kind = 0 and {order} is not null").select("event.*", order)
+    both = a.unionByName(b)
+    return carried(both, ["sym"], bucket(both, "t", width), ["t", "kind", "o"], "o", "next_", backwards=True).where("kind = 0 and next_ is not null").select("event.*", F.col("next_").alias(order))
 
 
 def _struct(df: DataFrame):

@@ -8,6 +8,7 @@ runs the same kernels over micro-batches, with the state in Spark's state store.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -19,8 +20,11 @@ Kernel = Callable[[State, pd.DataFrame], tuple[pd.DataFrame, dict]]
 
 
 def _runs(pdf: pd.DataFrame, keys: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
-    """Consecutive rows of equal keys."""
-    if len(pdf):
+    """Consecutive rows of equal keys; sorted rows whose ends agree are of one key."""
+    first, last = (tuple(pdf[keys].iloc[i]) for i in (0, -1)) if len(pdf) else (None, None)
+    if len(pdf) and first == last:
+        yield first, pdf
+    elif len(pdf):
         marks = (pdf[keys].fillna("\0") != pdf[keys].fillna("\0").shift()).any(axis=1).cumsum()
         for _, part in pdf.groupby(marks.to_numpy(), sort=False):
             yield tuple(part[keys].iloc[0]), part.reset_index(drop=True)
@@ -51,3 +55,14 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str], kernel: Kerne
                 yield out
 
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df, written to the checkpoint folder that all executors share (spark.checkpoint.dir) and read from
+    there: its scan runs once, and a lost executor costs no other.  For small results."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", f"file:/tmp/checkpoints/{sc.applicationId}"))
+    return df.checkpoint()
