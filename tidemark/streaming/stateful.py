@@ -1,14 +1,22 @@
-"""The ordered-scan kernels over streams: the same functions, state in Spark's state store."""
+"""The ordered-scan kernels over streams: the same functions, state in Spark's state store.
+
+stream_scan() keeps a key's state for good.  stream_days() keeps it by UTC day, in a map of the state
+store that can be read from outside, and drops a day when the watermark has passed its midnight.
+"""
 
 from __future__ import annotations
 
+import json
 import pickle
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from ..operators.kernels import ONLINE_STATE
 from ..operators.scan import Kernel
 
 
@@ -26,3 +34,71 @@ def stream_scan(stream: DataFrame, keys: list[str], order: list[str], kernel: Ke
             yield out
 
     return stream.groupBy(*keys).applyInPandasWithState(run, schema, "state binary", "append", GroupStateTimeout.NoTimeout)
+
+
+DAY_MS = 86_400_000
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class _Days(StatefulProcessor):
+    """A kernel whose state begins anew each UTC day.  Map state: day (days since 1970) to the state as JSON
+    and the ticks so far; a timer at each day's end removes the day."""
+
+    def __init__(self, kernel: Kernel, order: list[str], drop: list[str]) -> None:
+        self.kernel, self.order, self.gone = kernel, order, drop
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.days = handle.getMapState("days", "day long", "state string, ticks long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        got = [f for f in rows if len(f)]
+        if not got:
+            return
+        whole = pd.concat(got).sort_values(["day_", *self.order], kind="stable")
+        for day, part in whole.groupby("day_", sort=True):
+            place = (int(day),)
+            held = self.days.getValue(place) if self.days.containsKey(place) else None
+            out, state = self.kernel(json.loads(held[0]) if held else None, part.drop(columns=self.gone).reset_index(drop=True))
+            if held is None:
+                self.handle.registerTimer((place[0] + 1) * DAY_MS)
+            self.days.updateValue(place, (json.dumps(state, default=lambda x: x.item()), len(part) + (held[1] if held else 0)))
+            yield out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.days.removeKey((expiredTimerInfo.getExpiryTimeInMs() // DAY_MS - 1,))
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def stream_days(stream: DataFrame, keys: list[str], order: list[str], kernel: Kernel, schema: str, lateness: str = "10 minutes", time: str = "time") -> DataFrame:
+    """kernel over each key's rows of a stream, by UTC day.  Within a micro-batch rows are taken in ``order``.
+
+    A day's state goes when the watermark (``lateness`` behind the latest ``time``) has passed its midnight;
+    later rows of that day are dropped as late.  The kernel's state must be JSON.  Sets the session's
+    state store to RocksDB, which this needs.  The result is written in append mode."""
+    stream.sparkSession.conf.set(_PROVIDER, _ROCKSDB)
+    timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness)
+    timed = timed.withColumn("day_", F.floor(F.unix_millis(F.col(time)) / DAY_MS))
+    return timed.groupBy(*keys).transformWithStateInPandas(_Days(kernel, order, ["day_"]), schema, "Append", "EventTime")
+
+
+def day_states(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The key's columns, day, ticks and the state (JSON) that stream_days holds after its last batch, read
+    from the query's checkpoint; nothing runs in the query for it."""
+    raw = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "days").load()
+    return raw.select("key.*", F.date_from_unix_date(F.col("user_map_key.day").cast("int")).alias("day"), F.col("user_map_value.ticks").alias("ticks"), F.col("user_map_value.state").alias("state"))
+
+
+def online_status(spark: SparkSession, checkpoint: str, floor: float = 1_000.0) -> DataFrame:
+    """How far the open bars of online_bars under stream_days are: by key and day the ticks, dollars, imbalance,
+    threshold in force, longest run, both in percent of the threshold, position, and what adapts."""
+    s = day_states(spark, checkpoint).withColumn("s", F.from_json("state", ONLINE_STATE)).drop("state")
+    th = F.greatest("s.th", F.lit(floor))
+    return s.select(
+        *[c for c in s.columns if c != "s"], F.col("s.n").alias("barTicks"), F.col("s.usd").alias("dollarVol"), F.col("s.theta").alias("theta"), F.abs("s.theta").alias("thetaAbs"), th.alias("threshold"),
+        (100 * F.abs("s.theta") / th).alias("pctToBar"), F.col("s.run").alias("maxRun"), (100 * F.col("s.run") / th).alias("runPct"), F.col("s.position").alias("position"), F.col("s.ratio").alias("imbalRatio"),
+    )
