@@ -136,11 +136,11 @@ def test_searched_bars_equal_the_scan(kind, th, cuts):
     n = 1500
     sd = np.round(rng.normal(0, 60, n), 2) * np.where(rng.random(n) < 0.02, 50, 1)
     sd[200:900] = np.abs(sd[200:900])  # one long run
-    pdf = pd.DataFrame({"sd": sd, "bt": np.where(sd > 0, 1, -1), "dvol": np.abs(sd), "anchor": th * (1 + np.arange(n) / n)})
+    pdf = pd.DataFrame({"sd": sd, "bt": np.where(sd > 0, 1, -1), "dvol": np.abs(sd), "anchor": th * (1 + np.arange(n) // 500 / 3)})
     start = {"et": 9.0, "pb": 0.55, "ed": 40.0, "th": th, "theta": 3.25, "bn": 4, "tib": 2, "bib": 1, "dib": 8.5}
     want, _ = plain_adaptive(kind, pdf, start)
-    fed = pdf.assign(sym="x", tradeId=np.arange(n), day=1, start=None)
-    fed = pd.concat([fed.iloc[:1].assign(start=json.dumps(start)), fed], ignore_index=True)
+    fed = pdf.assign(sym="x", tradeId=np.arange(n), day=np.arange(n) // 500, start=None)
+    fed = pd.concat([fed.iloc[:1].assign(start=json.dumps(start | {"anchors": {str(d): th * (1 + d / 3) for d in range(3)}})), fed], ignore_index=True)
     state, got, kernel = None, [], K.bar_marks(kind, 20)
     for a, b in zip([0, *(c + 1 for c in cuts)], [*(c + 1 for c in cuts), n + 1], strict=True):
         out, state = kernel(state, fed.iloc[a:b].reset_index(drop=True))
@@ -157,6 +157,8 @@ def test_searched_fixed_bars_equal_the_scan(kind, th):
     want = K.fixed_bars(kind, th)(None, pd.DataFrame({"sd": sd}))[0]
     fed = pd.DataFrame({"sym": "x", "tradeId": np.arange(-1, 2000), "day": 1, "sd": [0.0, *sd], "start": [f'{{"th": {th}}}', *[None] * 2000]})
     out, _ = K.bar_marks(kind)(None, fed)
+    pd.testing.assert_frame_equal(K.bar_marks(kind, th=th)(None, fed.iloc[1:])[0], out)
+    assert not len(K.bar_marks(kind)(None, fed.iloc[1:])[0])  # no start, no bars
     closed = out["closed"].astype(bool)
     assert np.flatnonzero(np.diff(want["bn"], prepend=0)).tolist() == out.loc[closed, "tradeId"].tolist()
     assert tuple(out.loc[~closed, ["bn", "theta", "tib", "bib", "dib"]].iloc[-1]) == tuple(want[["bn", "theta", "tib", "bib", "dib"]].iloc[-1])
@@ -224,3 +226,41 @@ def test_sliding_volatility_is_linear_and_resumes():
         got += out.drop(columns="sym").itertuples(index=False, name=None)
     assert [(a, c, d) for a, _, c, d in got] == [(a, c, d) for a, _, c, d in want]
     assert np.allclose([r[1] for r in got], [r[1] for r in want], rtol=1e-9)
+
+
+def plain_barriers(rows, horizon):
+    out = []
+    for i, (bn, _, _, close, sigma, upper, lower) in enumerate(rows):
+        ahead = rows[i + 1 : i + 1 + horizon]
+        hit = next((r for r in ahead if sigma is not None and (r[1] >= upper or r[2] <= lower)), None)
+        last = (None, None) if sigma is None or not ahead else (hit[0], hit[3]) if hit else (ahead[-1][0], ahead[-1][3])
+        out.append((bn, hit and hit[0], bool(hit and hit[1] >= upper), bool(hit and hit[2] <= lower), *last))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("horizon", [1, 3, 40, 10_000])
+@pytest.mark.parametrize("wide", [0.0, 0.004, 0.05])
+def test_barriers_equal_a_plain_search(horizon, wide):
+    rng = np.random.default_rng(horizon)
+    n = 400
+    close = np.round(100 * np.exp(rng.normal(0, 0.004, n).cumsum()), 2)
+    high, low = close + rng.integers(0, 40, n) / 100, close - rng.integers(0, 40, n) / 100
+    sigma = np.where((np.arange(n) % 53 == 0), np.nan, wide)
+    pdf = pd.DataFrame({"sym": "x", "bn": np.arange(n) * 2, "high": high, "low": low, "close": close, "sigma": sigma, "upperPx": close * (1 + 2 * sigma), "lowerPx": close * (1 - sigma), "end": False})
+    rows = [(int(r.bn), r.high, r.low, r.close, None if np.isnan(r.sigma) else r.sigma, r.upperPx, r.lowerPx) for r in pdf.itertuples()]
+    pdf.loc[n - 1, "end"] = True
+    state, got, kernel = None, [], K.barriers(horizon)
+    for a, b in ((0, 1), (1, 250), (250, n)):
+        out, state = kernel(state, pdf.iloc[a:b].reset_index(drop=True))
+        none = lambda x: None if x is None or x is pd.NA or x != x else x
+        got += [(r.bn, none(r.hitBn), r.up, r.dn, none(r.lastBn), none(r.lastClose)) for r in out.itertuples()]
+    assert sorted(got) == plain_barriers(rows, horizon)
+    assert not state["wait"]
+
+
+def test_barriers_forget_what_is_decided():
+    n = 20_000
+    close = 1000.0 - np.arange(n) * 0.01  # upper prices are never touched
+    pdf = pd.DataFrame({"sym": "x", "bn": np.arange(n), "high": close, "low": close, "close": close, "sigma": 0.01, "upperPx": close * 1.02, "lowerPx": close * 0.5, "end": False})
+    _, state = K.barriers(100)(None, pdf)
+    assert len(state["wait"]) == 100 and len(state["up"]) + len(state["dn"]) < 1000

@@ -37,20 +37,16 @@ def ohlcv(numbered: DataFrame) -> DataFrame:
 _FIRST = -(1 << 63)
 
 
-def marks(trades_ticks: DataFrame, start: DataFrame, kind: str, span: int | None = None, anchors: DataFrame | None = None) -> DataFrame:
-    """kernels.bar_marks over each symbol's ticks, from the row of ``start`` (sym, th, ...) of the symbol, of
-    which ticks there must be one; anchors (sym, date, anchor) by day.  A tick sends its id, day and
-    signed dollars only, and what comes back is a row a bar, kept for those who read it twice."""
-    day = F.unix_date(F.to_date("time"))
-    fed = trades_ticks.select("sym", "tradeId", day.alias("day"), "sd", F.to_date("time").alias("date_"), F.lit(None).cast("string").alias("start"))
-    more = "anchor double, " if anchors is not None else ""
-    if anchors is not None:
-        fed = fed.join(anchors.select(F.col("sym").alias("s_"), F.col("date").alias("d_"), "anchor"), (F.col("sym") == F.col("s_")) & (F.col("date_") == F.col("d_")))
-    fed = fed.drop("date_", "s_", "d_")
+def marks(trades_ticks: DataFrame, start: DataFrame | float, kind: str, span: int | None = None) -> DataFrame:
+    """kernels.bar_marks over each symbol's ticks, from the row of ``start`` (sym, th, ...) of the symbol (those
+    without one are passed over) or from one threshold for all.  A tick sends its id, day and signed
+    dollars only, and what comes back is a row a bar."""
+    fed = trades_ticks.select("sym", "tradeId", F.unix_date(F.to_date("time")).alias("day"), "sd", F.lit(None).cast("string").alias("start"))
+    if isinstance(start, float):
+        return ordered_scan(fed, ["sym"], ["tradeId"], bar_marks(kind, span, start), MARKS)
     known = F.to_json(F.struct(*(c for c in start.columns if c != "sym")))
     first = start.select("sym", F.lit(_FIRST).cast("long").alias("tradeId"), F.lit(0).alias("day"), F.lit(0.0).alias("sd"), known.alias("start"))
-    fed = fed.join(start.select("sym"), "sym", "left_semi").unionByName(first, allowMissingColumns=bool(more))
-    return kept(ordered_scan(fed, ["sym"], ["tradeId"], bar_marks(kind, span), MARKS))
+    return ordered_scan(fed.unionByName(first), ["sym"], ["tradeId"], bar_marks(kind, span), MARKS)
 
 
 def numbered(trades_ticks: DataFrame, found: DataFrame, opens: bool, width: int | None = None) -> DataFrame:
@@ -68,9 +64,8 @@ def numbered(trades_ticks: DataFrame, found: DataFrame, opens: bool, width: int
 
 def fixed(trades_ticks: DataFrame, kind: str, threshold: float) -> DataFrame:
     """Completed bars of a constant threshold; the unfinished last bar and an empty bar 0 are left out."""
-    start = trades_ticks.select("sym").distinct().withColumn("th", F.lit(float(threshold)))
     last = F.max("bn").over(Window.partitionBy("sym"))
-    return ohlcv(numbered(trades_ticks, marks(trades_ticks, start, kind), opens=True)).withColumn("last", last).where("bn < last").drop("last")
+    return ohlcv(numbered(trades_ticks, kept(marks(trades_ticks, float(threshold), kind)), opens=True)).withColumn("last", last).where("bn < last").drop("last")
 
 
 def calibrate(trades_ticks: DataFrame, kind: str, target: float) -> DataFrame:
@@ -91,7 +86,7 @@ def warmup(trades_ticks: DataFrame, kind: str, target: float = 200.0) -> tuple[D
         made = _opened(marks(trades_ticks, state.select("sym", "th"), kind)).select("sym", F.col("bn").alias("made"))
         state = state.join(made, "sym").withColumn("th", F.col("th") * F.sqrt(F.greatest("made", F.lit(1)) / F.lit(float(target)))).withColumn("anchor", F.col("th")).drop("made")
     state = kept(state)
-    found = marks(trades_ticks, state.select("sym", "th"), kind)
+    found = kept(marks(trades_ticks, state.select("sym", "th"), kind))
     parts = ohlcv(numbered(trades_ticks, found, opens=True))
     state = state.join(_opened(found).select("sym", "bn", "theta", "tib", "bib", "dib"), "sym")
     if kind == "rwdib":
@@ -118,11 +113,12 @@ def adaptive(trades_ticks: DataFrame, state: DataFrame, kind: str, span: int = 2
 
 def adaptive_marks(trades_ticks: DataFrame, state: DataFrame, kind: str, span: int = 20) -> DataFrame:
     """The closes of adaptive bars and what is open at the end (see kernels.bar_marks)."""
-    anchors = None
+    start = state.select("sym", *(c for c in STATE if c not in ("anchor", "anchorprice")))
     if kind == "rwdib":
-        prices = trades_ticks.groupBy("sym", F.to_date("time").alias("date")).agg(div(exact_sum(F.col("price")), F.count("*")).alias("mean"))
-        anchors = prices.join(state.select("sym", "anchor", "anchorprice"), "sym").select("sym", "date", (F.col("anchor") * div(F.col("mean"), F.col("anchorprice"))).alias("anchor"))
-    return marks(trades_ticks, state.select("sym", *(c for c in STATE if c not in ("anchor", "anchorprice"))), kind, span, anchors)
+        prices = trades_ticks.groupBy("sym", F.unix_date(F.to_date("time")).alias("day")).agg(div(exact_sum(F.col("price")), F.count("*")).alias("mean"))
+        anchors = prices.join(state.select("sym", "anchor", "anchorprice"), "sym").groupBy("sym").agg(F.map_from_entries(F.collect_list(F.struct(F.col("day").cast("string"), F.col("anchor") * div(F.col("mean"), F.col("anchorprice"))))).alias("anchors"))
+        start = start.join(anchors, "sym", "left")
+    return kept(marks(trades_ticks, start, kind, span))
 
 
 def closed_bars(trades_ticks: DataFrame, found: DataFrame, kind: str) -> DataFrame:

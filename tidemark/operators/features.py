@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.semantics import div, filled, moving_average, round_half
-from .kernels import macd, rsi
+from .kernels import BARRIER_SCHEMA, barriers, macd, rsi
 from .scan import Kernel, chained, ordered_scan
 
 Feature = Callable[[WindowSpec, int], Column]
@@ -72,19 +72,16 @@ def triple_barrier(bars: DataFrame, upper: float = 2.0, lower: float = 1.0, hori
 
     The first of the next ``horizon`` bars that touches close (1 + upper sigma) or
     close (1 - lower sigma) decides; both in one bar give 0, none gives the sign at the last bar.
+    One ordered scan, whatever the horizon.
     """
-    w = Window.partitionBy("sym").orderBy("bn").rowsBetween(1, horizon)
-    ahead = F.collect_list(F.struct("bn", "high", "low", "close")).over(w)
-    b = bars.withColumn("ahead", ahead).withColumn("upperPx", F.col("close") * (1 + upper * F.col("sigma"))).withColumn("lowerPx", F.col("close") * (1 - lower * F.col("sigma")))
-    b = b.withColumn("hit", F.get(F.filter("ahead", lambda x: (x["high"] >= F.col("upperPx")) | (x["low"] <= F.col("lowerPx"))), F.lit(0)))
-    b = b.withColumn("end", F.try_element_at("ahead", F.lit(-1)))
-    up, dn = F.col("hit.high") >= F.col("upperPx"), F.col("hit.low") <= F.col("lowerPx")
-    reason = F.when(F.col("sigma").isNull(), "noSigma").when(F.size("ahead") == 0, "noFuture").when(F.col("hit").isNull(), "vertical").when(up & dn, "sameBar").when(up, "upper").otherwise("lower")
+    priced = bars.select("sym", "bn", "high", "low", "close", "sigma", (F.col("close") * (1 + upper * F.col("sigma"))).alias("upperPx"), (F.col("close") * (1 - lower * F.col("sigma"))).alias("lowerPx"), F.lead("bn").over(Window.partitionBy("sym").orderBy("bn")).isNull().alias("end"))
+    b = ordered_scan(priced, ["sym"], ["bn"], barriers(horizon), BARRIER_SCHEMA)
+    reason = F.when(F.col("sigma").isNull(), "noSigma").when(F.col("lastBn").isNull(), "noFuture").when(F.col("hitBn").isNull(), "vertical").when(F.col("up") & F.col("dn"), "sameBar").when(F.col("up"), "upper").otherwise("lower")
     b = b.withColumn("reason", reason)
-    drift = (F.col("end.close") - F.col("close")) / F.col("close")
+    drift = (F.col("lastClose") - F.col("close")) / F.col("close")
     of = lambda up_, dn_, same, vert: F.when(F.col("reason") == "upper", up_).when(F.col("reason") == "lower", dn_).when(F.col("reason") == "sameBar", same).when(F.col("reason") == "vertical", vert)
     return b.select(
-        "sym", "bn", "close", "sigma", F.when(F.col("reason").isin("noSigma", "noFuture"), F.lit(None)).otherwise(F.coalesce("hit.bn", "end.bn")).cast("long").alias("endBn"), "upperPx", "lowerPx",
+        "sym", "bn", "close", "sigma", F.coalesce("hitBn", "lastBn").alias("endBn"), "upperPx", "lowerPx",
         of(F.lit(1), F.lit(-1), F.lit(0), F.signum(drift).cast("int")).cast("long").alias("label"), of(upper * F.col("sigma"), -lower * F.col("sigma"), F.lit(0.0), drift).alias("retAtTouch"), "reason",
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import json
 import math
 from collections import deque
@@ -337,26 +338,30 @@ _MARKS = [c.split()[0] for c in MARKS.split(", ")]
 _OPEN = {"bn": 0, "theta": 0.0, "tib": 0, "bib": 0, "dib": 0.0, "et": 0.0, "pb": 0.0, "ed": 0.0}
 
 
-def bar_marks(kind: str, span: int | None = None, kappa: float = 0.02) -> Kernel:
+def bar_marks(kind: str, span: int | None = None, th: float | None = None, kappa: float = 0.02) -> Kernel:
     """Where bars end, found by search in running sums instead of tick by tick (see fixed_bars and
     adaptive_bars for the rules).
 
-    Rows: sym, tradeId, day, sd (signed dollars), start, and for rwdib with a span anchor.  The first row of
-    a symbol is no tick: its ``start`` is the JSON of the state (th, and what _OPEN names).  Without a span
-    the threshold is constant and the tick that reaches it opens the next bar, whose number its mark has;
-    with a span thresholds adapt and the tick closes its own bar.
+    Rows: sym, tradeId, day, sd (signed dollars), start.  The first row of a symbol is no tick: its ``start``
+    is the JSON of the state (th, what _OPEN names, and for rwdib with a span ``anchors`` by day); a symbol
+    without such a row is passed over.  With ``th`` all begin at this threshold, and no row is needed.
+    Without a span the threshold is constant and the tick that reaches it opens the next bar, whose
+    number its mark has; with a span thresholds adapt and the tick closes its own bar.
     """
     alpha = 2 / ((span or 1) + 1)
-    mean = lambda old, new: alpha * new + (1 - alpha) * old
+    mean, first = lambda old, new: alpha * new + (1 - alpha) * old, th
 
     def run(state: State, pdf: pd.DataFrame):
-        if state is None:
-            state, pdf = _OPEN | {k: v for k, v in json.loads(pdf["start"].iloc[0]).items() if v is not None}, pdf.iloc[1:]
-        bn, theta, tib, bib, dib, et, pb, ed, th = (state[k] for k in (*_OPEN, "th"))
-        if not len(pdf):
+        if state is None and first is not None:
+            state = _OPEN | {"th": first}
+        elif state is None:
+            start = json.loads(pdf["start"].iloc[0] or "{}")
+            state, pdf = _OPEN | {k: v for k, v in start.items() if v is not None}, pdf.iloc[1:]
+        if not len(pdf) or "th" not in state:
             return pd.DataFrame([], columns=_MARKS), state
+        bn, theta, tib, bib, dib, et, pb, ed, th = (state[k] for k in (*_OPEN, "th"))
         sym, ticks, out = pdf["sym"].iloc[0], _Ticks(pdf["sd"].to_numpy(float), kind), []
-        ids, days, anchors = pdf["tradeId"].to_numpy(), pdf["day"].to_numpy(), pdf["anchor"].to_numpy(float) if "anchor" in pdf else None
+        ids, days, anchors = pdf["tradeId"].to_numpy(), pdf["day"].to_numpy(), state.get("anchors") or {}
         at = 0
         while at < ticks.n:
             end, theta = ticks.search(at, theta, th)
@@ -368,7 +373,7 @@ def bar_marks(kind: str, span: int | None = None, kappa: float = 0.02) -> Kernel
                 now, was = mean(et, tib), (th, theta)
                 if kind == "rwdib":
                     raw = th * math.sqrt(now / et)
-                    th = raw + kappa * (float(anchors[end]) - raw)
+                    th = raw + kappa * (anchors[str(days[end])] - raw)
                 else:
                     pb, ed = mean(pb, bib / tib), mean(ed, dib / tib)
                     th = now * ed * (abs(2 * pb - 1) if kind == "dib" else max(pb, 1 - pb))
@@ -379,7 +384,7 @@ def bar_marks(kind: str, span: int | None = None, kappa: float = 0.02) -> Kernel
                 tib, bib, dib = _counted(ticks.sd[at:], tib, bib, dib)
             at = end + 1
         out.append((sym, bn, ids[-1], days[-1], False, th, theta, et, pb, ed, tib, bib, dib))
-        return pd.DataFrame(out, columns=_MARKS), dict(zip((*_OPEN, "th"), (bn, theta, tib, bib, dib, et, pb, ed, th), strict=True))
+        return pd.DataFrame(out, columns=_MARKS), state | dict(zip((*_OPEN, "th"), (bn, theta, tib, bib, dib, et, pb, ed, th), strict=True))
 
     return run
 
@@ -476,6 +481,52 @@ class _Live(_Ticks):
         return self.n, theta, run
 
 
+BARRIER_SCHEMA = "sym string, bn long, close double, sigma double, upperPx double, lowerPx double, hitBn long, up boolean, dn boolean, lastBn long, lastClose double"
+_BARRIERS = [c.split()[0] for c in BARRIER_SCHEMA.split(", ")]
+
+
+def barriers(horizon: int) -> Kernel:
+    """Which bar of the next ``horizon`` first touches a bar's upper or lower price.
+
+    Rows in order: sym, bn, high, low, close, sigma, upperPx, lowerPx, end, which marks the symbol's last bar.  Bars that wait stand in a heap by upper and one by lower price and in a queue by age, so a
+    bar costs the logarithm of the horizon and not the horizon.  A row is given when it is decided:
+    hitBn, up and dn of the touch, or null with the last bar that was seen; without a sigma at once."""
+
+    def run(state: State, pdf: pd.DataFrame):
+        s = state or {"i": 0, "up": [], "dn": [], "wait": {}, "first": 0}
+        up, dn, wait, out, i, first = s["up"], s["dn"], s["wait"], [], s["i"], s["first"]
+        sigmas = pdf["sigma"].isna().tolist()
+        cols = [pdf[c].tolist() for c in ("sym", "bn", "high", "low", "close", "sigma", "upperPx", "lowerPx", "end")]
+        for none, sym, bn, high, low, close, sigma, upper, lower, end in zip(sigmas, *cols, strict=True):
+            for heap, price in ((up, high), (dn, -low)):
+                while heap and heap[0][0] <= price:
+                    k = heapq.heappop(heap)[1]
+                    if (w := wait.pop(k, None)) is not None:
+                        out.append((*w, bn, high >= w[4], low <= w[5], bn, close))
+            while first < i and (first not in wait or first <= i - horizon):
+                if (w := wait.pop(first, None)) is not None:
+                    out.append((*w, None, False, False, bn, close))
+                first += 1
+            if none:
+                out.append((sym, bn, close, None, None, None, None, False, False, None, None))
+            else:
+                wait[i] = (sym, bn, close, sigma, upper, lower)
+                heapq.heappush(up, (upper, i))
+                heapq.heappush(dn, (-lower, i))
+                if len(up) + len(dn) > 4 * len(wait) + 64:  # what is decided leaves the heaps
+                    up, dn = ([x for x in h if x[1] in wait] for h in (up, dn))
+                    heapq.heapify(up)
+                    heapq.heapify(dn)
+            if end:
+                out += [(*w, None, False, False, *((bn, close) if k < i else (None, None))) for k, w in wait.items()]
+                wait.clear()
+            i += 1
+        rows = pd.DataFrame(out, columns=_BARRIERS)
+        return rows.astype({"hitBn": "Int64", "lastBn": "Int64"}), {"i": i, "up": up, "dn": dn, "wait": wait, "first": first}
+
+    return run
+
+
 _LEVELS = [f"{side}{what}{i}" for side in ("bid", "ask") for what in ("Price", "Qty") for i in range(1, 6)]
 BOOK_SCHEMA = "sym string, ord long, eventMs long, isValid boolean, " + ", ".join(f"{c} double" for c in _LEVELS)
 
