@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.semantics import dib_threshold, div, drb_threshold, exact_sum, rw_threshold, trade_sign
@@ -121,6 +121,26 @@ def adaptive_marks(trades_ticks: DataFrame, state: DataFrame, kind: str, span: i
     return kept(marks(trades_ticks, start, kind, span))
 
 
+def resumed(found: DataFrame, state: DataFrame) -> DataFrame:
+    """The state from which adaptive_marks goes on after the ticks that gave ``found``: what their last bar left
+    open, and the anchors of the state before.  Symbols without ticks keep theirs."""
+    now = _opened(found).withColumnRenamed("sym", "sym_")
+    keys = [c for c in STATE if c not in ("anchor", "anchorprice")]
+    both = state.select("sym", *STATE).join(now.select("sym_", *(F.col(c).alias(f"{c}_") for c in keys)), F.col("sym") == F.col("sym_"), "left")
+    return both.select("sym", *(F.coalesce(f"{c}_", c).alias(c) if c in keys else F.col(c) for c in STATE))
+
+
+def save(bars: DataFrame, state: DataFrame, path: str) -> None:
+    """Bars, by the date on which they end, and the state to go on from."""
+    bars.withColumn("date", F.to_date("barend")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(f"{path}/bars")
+    kept(state.select("sym", *STATE)).write.mode("overwrite").parquet(f"{path}/state")
+
+
+def load(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(bars, state) that save() wrote."""
+    return spark.read.parquet(f"{path}/bars").drop("date"), spark.read.parquet(f"{path}/state")
+
+
 def closed_bars(trades_ticks: DataFrame, found: DataFrame, kind: str) -> DataFrame:
     """The bars that the marks close: of a bar its ticks of the day on which it closes."""
     ends = found.where("closed").withColumn("e", F.max_by(F.struct("et", "pb", "ed"), "bn").over(Window.partitionBy("sym", "day")))

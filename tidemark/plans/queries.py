@@ -141,8 +141,10 @@ def keyed_upsert(spark, d):
 
 @query(f"WITH {_TRADES} SELECT * FROM t WHERE tradeId <= 5000 UNION ALL SELECT * FROM t WHERE tradeId > 5000")
 def merge_replay(spark, d):
+    """The live half holds rows of the replayed one, and every third of its rows twice."""
     t = A.trades(spark, d)
-    return R.merge_replay(t.where("tradeId <= 6000"), t.where("tradeId >= 4000"), 5000, "tradeId")
+    live = t.where("tradeId >= 4000")
+    return R.merge_replay(t.where("tradeId <= 6000"), live.unionByName(live.where("tradeId % 3 = 0")), 5000, "tradeId")
 
 
 @query(f"WITH {_TRADES}, {_POSITIONS} SELECT sym FROM t UNION SELECT sym FROM p")

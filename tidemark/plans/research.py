@@ -177,6 +177,26 @@ def label_reasons(spark, d):
     return X.label_reasons(Q.labelled(spark, d))
 
 
+#: The labels of adaptive bars: the same views over the bars of the adaptive days.
+_OF_ADAPTIVE = f"{_adaptive('rwdib')}, bars AS (SELECT * FROM ab){_LABELS.removeprefix(_DIB)}"
+
+
+def labelled_adaptive(spark, d):
+    first, rest = Q.halves(B.ticks(A.trades(spark, d)))
+    bars = B.adaptive(rest, B.warmup(first, "rwdib", _TARGET)[1], "rwdib").select("sym", "bn", "high", "low", "close")
+    return X.triple_barrier(ordered_scan(bars, ["sym"], ["bn"], K.label_sigma(), "sym string, bn long, high double, low double, close double, sigma double"), horizon=10)
+
+
+@query(f"WITH RECURSIVE {_OF_ADAPTIVE} SELECT sym, bn, close, endBn, label, reason, " + ", ".join(f"round({c}, {_PLACES}) AS {c}" for c in ("sigma", "upperPx", "lowerPx", "retAtTouch")) + " FROM labels_")
+def adaptive_labels(spark, d):
+    return Q._rounded(labelled_adaptive(spark, d), "sigma", "upperPx", "lowerPx", "retAtTouch")
+
+
+@query(f"WITH RECURSIVE {_OF_ADAPTIVE} SELECT sym, label, count(*) AS n, sum(endBn - bn)::DOUBLE / count(*) AS avgHorizon FROM labels_ {_KEPT} GROUP BY sym, label")
+def adaptive_label_distribution(spark, d):
+    return X.label_distribution(labelled_adaptive(spark, d))
+
+
 SQL["features_windowed"] = f"""WITH RECURSIVE {_DIB}, x AS (SELECT *, ln(close / lag(close) OVER v) AS r FROM bars WINDOW v AS (PARTITION BY sym ORDER BY bn))
 SELECT sym, bn, barstart, close, round(last_value(r IGNORE NULLS) OVER (v ROWS UNBOUNDED PRECEDING), {_PLACES}) AS logReturn, round((close - avg(close) OVER n) / avg(close) OVER n, {_PLACES}) AS meanReversion, round(sqrt(avg(r * r) OVER n), {_PLACES}) AS realizedVol,
  round(sqrt(avg(pow(ln(high / low), 2)) OVER n / (4 * ln(2))), {_PLACES}) AS parkinson, round(avg(abs(bqty - sqty)) OVER n / avg(bqty + sqty) OVER n, {_PLACES}) AS vpin FROM x WINDOW v AS (PARTITION BY sym ORDER BY bn), n AS (PARTITION BY sym ORDER BY bn ROWS 9 PRECEDING)"""

@@ -13,9 +13,11 @@ from datetime import UTC, date, datetime, timedelta
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..operators.relational import keep_latest
 from ..schemas import FUNDING
@@ -69,14 +71,25 @@ def write_dates(df: DataFrame, root: str, table: str, ts: str = "exchTradeTs", o
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("date").parquet(f"{root}/{table}")
 
 
+def _opened(path: str):
+    """A file by its URI, read by ranges."""
+    where, name = pafs.FileSystem.from_uri(path)
+    return where.open_input_file(name)
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """path, length of the Parquet files; Spark lists them and reads no content for it."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path", "length")
+
+
 def _footers(batches):
     for b in batches:
-        rows = []
-        for content in b.column("content"):
-            meta = pq.ParquetFile(pa.BufferReader(content.as_buffer())).metadata
-            rows.append((len(content.as_buffer()), sum(meta.row_group(k).total_byte_size for k in range(meta.num_row_groups))))
-        packed, whole = zip(*rows, strict=True) if rows else ((), ())
-        yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(packed, pa.int64()), pa.array(whole, pa.int64())], names=["path", "compressed", "logical"])
+        whole = []
+        for path in b.column("path").to_pylist():
+            with _opened(path) as f:
+                meta = pq.read_metadata(f)
+            whole.append(sum(meta.row_group(k).total_byte_size for k in range(meta.num_row_groups)))
+        yield pa.RecordBatch.from_arrays([b.column("path"), b.column("length"), pa.array(whole, pa.int64())], names=["path", "compressed", "logical"])
 
 
 class Store:
@@ -124,8 +137,7 @@ class Store:
     def sizes(self, table: str) -> DataFrame:
         """By date the megabytes of its files and of what their columns hold before compression, from
         the files' footers, and the ratio of both."""
-        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{self.root}/{table}/date=*")
-        sized = files.select("path", "content").mapInArrow(_footers, "path string, compressed long, logical long")
+        sized = _files(self.spark, f"{self.root}/{table}/date=*").mapInArrow(_footers, "path string, compressed long, logical long")
         sums = sized.groupBy(F.regexp_extract("path", "date=([^/]*)", 1).alias("date")).agg((F.sum("compressed") / 1e6).alias("compressedMB"), (F.sum("logical") / 1e6).alias("logicalMB"))
         return sums.withColumn("ratio", F.try_divide("logicalMB", "compressedMB"))
 
@@ -143,6 +155,11 @@ class Store:
         if not fs.rename(p, q):
             raise OSError(f"{source} could not be moved to {target}")
 
+    def touch(self, path: str) -> None:
+        """An empty file."""
+        fs, p = self._fs(path)
+        fs.create(p, True).close()
+
     def delete(self, path: str) -> None:
         fs, p = self._fs(path)
         fs.delete(p, True)
@@ -203,14 +220,53 @@ def pages(fetch: Callable[[int], list[dict]], since_ms: int, limit: int = 1000,
     raise RuntimeError(f"more than {most} pages; go on from {since_ms}")
 
 
+class _FundingReader(DataSourceReader):
+    def __init__(self, fetch: Callable[[str, int], list[dict]], since: dict[str, int], limit: int) -> None:
+        self.fetch, self.since, self.limit = fetch, since, limit
+
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(x) for x in sorted(self.since.items())]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        sym, at = partition.value
+        while True:
+            got = self.fetch(sym, at)
+            for r in got:
+                yield r["symbol"], str(r["fundingRate"]), int(r["fundingTime"]), str(r["markPrice"])
+            if len(got) < self.limit:
+                return
+            at = int(got[-1]["fundingTime"]) + 1
+
+
+def funding_pages(spark: SparkSession, fetch: Callable[[str, int], list[dict]], since: dict[str, int], limit: int = 1000) -> DataFrame:
+    """All records of each symbol from its time (ms) on, as a data source: a partition, so a task, for each
+    symbol, which follows the cursor (the last time plus 1 ms) page by page until one is short.  fetch
+    runs in the tasks; a lost one begins its symbol anew."""
+
+    class Pages(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return "funding_pages"
+
+        def schema(self) -> str:
+            return _FUNDING_JSON
+
+        def reader(self, schema) -> DataSourceReader:
+            return _FundingReader(fetch, since, limit)
+
+    spark.dataSource.register(Pages)
+    return _shaped(spark.read.format("funding_pages").load())
+
+
 def fetch_new(stored: DataFrame | None, symbols: list[str], fetch: Callable[[str, int], list[dict]], spark: SparkSession, first: str = "2019-01-01") -> DataFrame:
     """stored with what each symbol has after its last record (from ``first`` on without any); fetch
-    gives the records of a symbol from a time in milliseconds on, a page at a time."""
+    gives the records of a symbol from a time in milliseconds on, a page at a time.  Only a time for
+    each symbol passes through the driver."""
     start = int(datetime.fromisoformat(first).replace(tzinfo=UTC).timestamp() * 1000)
-    since = {} if stored is None else {r.sym: r.ms for r in stored.groupBy("sym").agg((F.unix_millis(F.max("fundingTime").cast("timestamp")) + 1).alias("ms")).collect()}
-    got = [r for s in symbols for r in pages(lambda ms, s=s: fetch(s, ms), since.get(s, start))]
-    rows = spark.createDataFrame([(r["symbol"], str(r["fundingRate"]), int(r["fundingTime"]), str(r["markPrice"])) for r in got], _FUNDING_JSON)
-    return merge_funding(stored, _shaped(rows))
+    since = dict.fromkeys(symbols, start)
+    if stored is not None:
+        since |= {r.sym: r.ms for r in stored.where(F.col("sym").isin(symbols)).groupBy("sym").agg((F.unix_millis(F.max("fundingTime").cast("timestamp")) + 1).alias("ms")).collect() if r.ms is not None}
+    return merge_funding(stored, funding_pages(spark, fetch, since))
 
 
 _FUNDING_JSON = "symbol string, fundingRate string, fundingTime long, markPrice string"
@@ -240,28 +296,62 @@ def watermarks(funding: DataFrame, first: str = "2019-01-01") -> DataFrame:
     return funding.groupBy("sym").agg(F.coalesce(F.max("fundingTime") + F.expr("interval 1 microsecond"), F.lit(first).cast("timestamp")).alias("since"))
 
 
+#: A file in a date that has come from the spool, until the spool's copy is gone.
+_MOVED = "_moved_from_spool"
+
+
 def end_of_day(store: Store, spool: str, table: str, day: str, order: str = "tpSeqNo") -> int:
     """Compacts spool/table/date=day into the store, sorted by symbol in arrival order: written
-    beside the target first, then moved; a day that is there already is refused."""
+    beside the target first, then moved; a day that is there already is refused.
+
+    What is moved holds a mark until the spool's copy is deleted, so a run that ended in between is
+    finished by the next one and not refused."""
     source, target = f"{spool}/{table}/date={day}", f"{store.root}/{table}/date={day}"
-    if store.exists(target):
+    if store.exists(target) and not store.exists(f"{target}/{_MOVED}"):
         raise FileExistsError(target)
-    rows, part = store.spark.read.parquet(source), f"{store.root}/_moving/{table}/date={day}"
-    rows.repartition("sym").sortWithinPartitions("sym", order).write.mode("overwrite").option("compression", "zstd").parquet(part)
-    store.move(part, target)
-    store.delete(source)
+    if not store.exists(target):
+        rows, part = store.spark.read.parquet(source), f"{store.root}/_moving/{table}/date={day}"
+        rows.repartition("sym").sortWithinPartitions("sym", order).write.mode("overwrite").option("compression", "zstd").parquet(part)
+        store.touch(f"{part}/{_MOVED}")
+        store.move(part, target)
+    if store.exists(source):
+        store.delete(source)
+    store.delete(f"{target}/{_MOVED}")
     return store.spark.read.parquet(target).count()
 
 
 def recover_orphans(store: Store, spool: str, table: str, today: str) -> list[str]:
-    """end_of_day() of all spooled days before today, oldest first, that the store lacks."""
+    """end_of_day() of all spooled days before today, oldest first, that the store lacks or has not
+    finished, and of moved days whose mark was left."""
+    target = lambda d: f"{store.root}/{table}/date={d}"
     days = [d.removeprefix("date=") for d in store.listed(f"{spool}/{table}", "date=")]
-    done = [d for d in days if d < today and not store.exists(f"{store.root}/{table}/date={d}")]
+    left = [d for d in store.dates(table) if store.exists(f"{target(d)}/{_MOVED}")]
+    done = sorted({d for d in days if d < today and not store.exists(target(d))} | {d for d in left if d < today})
     for d in done:
         end_of_day(store, spool, table, d)
     return done
 
 
+def retain(store: Store, table: str, now: datetime, minutes: float, column: str = "time") -> list[str]:
+    """Deletes what is older than ``minutes`` before now from a stored table and returns the dates it touched:
+    whole dates go, and the date of the cutoff is written anew beside its place and put there."""
+    cutoff, touched = now - timedelta(minutes=minutes), []
+    for d in store.dates(table):
+        path, part = f"{store.root}/{table}/date={d}", f"{store.root}/_moving/{table}/date={d}"
+        if date.fromisoformat(d) > cutoff.date():
+            continue
+        rows = store.spark.read.parquet(path)
+        kept = rows.where(F.col(column) >= F.lit(cutoff).cast(rows.schema[column].dataType))
+        if date.fromisoformat(d) == cutoff.date() and kept.limit(1).count():
+            kept.write.mode("overwrite").option("compression", "zstd").parquet(part)
+            store.delete(path)
+            store.move(part, path)
+        else:
+            store.delete(path)
+        touched.append(d)
+    return touched
+
+
 def logs(store: Store, path: str) -> DataFrame:
     """By date of a durable log below path: files, megabytes and whether every file can be read,
     which tasks find out file by file."""
@@ -272,7 +362,7 @@ def logs(store: Store, path: str) -> DataFrame:
     days = store.spark.createDataFrame(rows, kind)
     if not rows:
         return days.withColumn("state", F.lit("ok"))
-    found = store.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{path}/date=*").select("path", "content").mapInArrow(_verify, "path string, ok boolean")
+    found = _files(store.spark, f"{path}/date=*").mapInArrow(_verify, "path string, ok boolean")
     states = found.groupBy(F.regexp_extract("path", "date=([^/]*)", 1).alias("of")).agg(F.bool_and("ok").alias("ok"))
     return days.join(states, F.col("date") == F.col("of"), "left").select("date", "files", "megabytes", F.when(F.coalesce("ok", F.lit(True)), "ok").otherwise("corrupt").alias("state"))
 
@@ -281,11 +371,12 @@ def _verify(batches):
     """Whether all row groups of each Parquet file can be read, a row group at a time."""
     for b in batches:
         ok = []
-        for content in b.column("content"):
+        for path in b.column("path").to_pylist():
             try:
-                f = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
-                for k in range(f.num_row_groups):
-                    f.read_row_group(k)
+                with _opened(path) as file:
+                    f = pq.ParquetFile(file)
+                    for k in range(f.num_row_groups):
+                        f.read_row_group(k)
                 ok.append(True)
             except (pa.ArrowException, OSError):
                 ok.append(False)
