@@ -10,6 +10,11 @@ two shared ones only if k - 1 exceeds the mismatches there, and pairs within sub
 indexed.  Whichever set's prefix ends first in the global order, what it shares lies in both
 prefixes, so no pair is lost.  Candidates are verified on the whole sets.
 
+Of a pair the smaller set shares at least 6/7 of its own shingles, so for the smaller one a prefix of
+n - ceil(6/7 n) + 1 will do: it is marked ``index``, and a pair meets only where the smaller set's
+entry is marked (both, if they are equally large).  Pages that share a template but differ in more
+than a seventh therefore never meet in the template's shingles.
+
 Equal sets are one node from the start.  A rare signature of up to FREQUENT nodes gives all their
 pairs.  Any other signature may be hot: its nodes are first compared with two pivots only;
 components are formed; and only signatures that still join several components give further pairs,
@@ -150,16 +155,20 @@ def band(n: int) -> int:
     return int(np.log(n) / np.log(4 / 3) + 1e-9)
 
 
-def signatures(s: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a set (sorted hashes) with its frequent shingles marked: the single and the pair signatures,
-    and which of these are of the next band.  Sets within the ratio are of one band, or one is of the
-    band below the other's: a pair meets in the upper one's own band, never in two ``next`` ones."""
+def signatures(s: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of a set (sorted hashes) with its frequent shingles marked: the single signatures and which of them
+    are of the index prefix, the pair signatures, which of these are of the next band and which of the
+    index prefix.  Sets within the ratio are of one band, or one is of the band below the other's: a
+    pair meets in the upper one's own band, never in two ``next`` ones, where the lower one is the
+    smaller set."""
     n = len(s)
     need = n + (-PERCENT * n // 100) + 1  # n - ceil(0.75 n) + 1
+    index = n + (-2 * PERCENT * n // (100 + PERCENT)) + 1  # n - ceil(6/7 n) + 1
     rare = s[~common]
+    none = np.empty(0, bool)
     if len(rare) >= need:
-        return mix(rare[:need] ^ np.uint64(0x5151)), np.empty(0, np.uint64), np.empty(0, bool)
-    freq, pairs, own = s[common], [], 0
+        return mix(rare[:need] ^ np.uint64(0x5151)), np.arange(need) < index, np.empty(0, np.uint64), none, none
+    freq, pairs, marks, own = s[common], [], [], 0
     for b in (band(n), band(n) + 1):
         m = max(1, int((4 / 3) ** b / PER_SUBCLASS))
         sub = (mix(freq ^ np.uint64(0xABCD)) % np.uint64(m)).astype(np.int64)
@@ -167,21 +176,23 @@ def signatures(s: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarra
         first = np.ones(len(freq), bool)
         first[order[1:]] = sub[order[1:]] != sub[order[:-1]]
         weight = np.cumsum(~first)
-        end = int(np.searchsorted(weight, need - len(rare))) + 1
-        order = order[order < end]
+        upto = lambda want, weight=weight: int(np.searchsorted(weight, want - len(rare))) + 1 if want > len(rare) else 0
+        short = upto(index)
+        order = order[order < (upto(need) if b == band(n) else short)]
         t, g = freq[order], sub[order]
         for d in range(1, len(t)):
             same = g[d:] == g[:-d]
             if not same.any():
                 break
             pairs.append(mix(t[:-d][same] * np.uint64(0x9E3779B97F4A7C15) + (t[d:][same] ^ np.uint64(b))))
+            marks.append(np.maximum(order[:-d], order[d:])[same] < short)
         if b == band(n):
             own = sum(map(len, pairs))
-    pairs_ = np.concatenate(pairs) if pairs else np.empty(0, np.uint64)
-    return mix(rare ^ np.uint64(0x5151)), pairs_, np.arange(len(pairs_)) >= own
+    pairs_, marks_ = (np.concatenate(pairs), np.concatenate(marks)) if pairs else (np.empty(0, np.uint64), none)
+    return mix(rare ^ np.uint64(0x5151)), np.arange(len(rare)) < index, pairs_, np.arange(len(pairs_)) >= own, marks_
 
 
-_PACKED = "bucket int, sigs binary, nodes binary, sizes binary, frequent binary, low binary"
+_PACKED = "bucket int, sigs binary, nodes binary, sizes binary, indexed binary, frequent binary, low binary"
 
 
 def _signatures(rows: DataFrame, common, short: int, buckets: int) -> DataFrame:
@@ -196,15 +207,15 @@ def _signatures(rows: DataFrame, common, short: int, buckets: int) -> DataFrame:
                 t = token.astype(np.int64) * short + bucket
                 at = np.minimum(np.searchsorted(known, t), max(len(known) - 1, 0))
                 marks = known[at] == t if len(known) else np.zeros(len(s), bool)
-                a, b, low = signatures(s, marks)
-                single.append((a, np.full(len(a), node, np.int64), np.full(len(a), len(s), np.int32)))
-                pair.append((b, np.full(len(b), node, np.int64), np.full(len(b), len(s), np.int32), np.full(len(b), int(marks.sum()), np.int32), low))
-            h, k, n = (np.concatenate(x) for x in zip(*single, strict=True))
-            out = [(*r, b"", b"") for r in _split((h % np.uint64(buckets)).astype(np.int32), h, k, n)]
-            h, k, n, f, low = (np.concatenate(x) for x in zip(*pair, strict=True))
-            out += [(-1, *(x[i : i + PAIR_ROWS].tobytes() for x in (h, k, n, f, low))) for i in range(0, len(h), PAIR_ROWS)]
-            cols = list(zip(*out, strict=True)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["bucket", "sigs", "nodes", "sizes", "frequent", "low"])
+                a, i, b, low, j = signatures(s, marks)
+                single.append((a, np.full(len(a), node, np.int64), np.full(len(a), len(s), np.int32), i))
+                pair.append((b, np.full(len(b), node, np.int64), np.full(len(b), len(s), np.int32), j, np.full(len(b), int(marks.sum()), np.int32), low))
+            h, k, n, i = (np.concatenate(x) for x in zip(*single, strict=True))
+            out = [(*r, b"", b"") for r in _split((h % np.uint64(buckets)).astype(np.int32), h, k, n, i)]
+            cols = [np.concatenate(x) for x in zip(*pair, strict=True)]
+            out += [(-1, *(x[at : at + PAIR_ROWS].tobytes() for x in cols)) for at in range(0, len(cols[0]), PAIR_ROWS)]
+            cols = list(zip(*out, strict=True)) or [()] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["bucket", "sigs", "nodes", "sizes", "indexed", "frequent", "low"])
 
     return staged(rows.mapInArrow(send, _PACKED), "jaccard-signatures")
 
@@ -224,27 +235,28 @@ def _counted(rows: np.ndarray) -> np.ndarray:
 
 def _single_pairs(packed: DataFrame, buckets: int) -> DataFrame:
     """a < b, shared: nodes whose sizes allow a link and how many rare signatures they share; of
-    signatures with more than FREQUENT nodes instead rows (a: signature, b: node, shared: size, hot).
-    A pair may meet in many buckets: what they find travels packed, and becomes one row."""
+    signatures with more than FREQUENT nodes instead rows (a: signature, b: node, shared: twice the size,
+    and one more if of the index prefix, hot).  A pair may meet in many buckets: what they find travels
+    packed, and becomes one row."""
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        h, k, n = _join(pdf["sigs"], np.uint64), _join(pdf["nodes"], np.int64), _join(pdf["sizes"], np.int32)
-        order = np.lexsort((k, h))
-        h, k, n = h[order], k[order], n[order]
+        cols = [_join(pdf[c], t) for c, t in (("sigs", np.uint64), ("nodes", np.int64), ("sizes", np.int32), ("indexed", bool))]
+        order = np.lexsort((cols[1], cols[0]))
+        h, k, n, i = (c[order] for c in cols)
         new = np.concatenate([[True], (h[1:] != h[:-1]) | (k[1:] != k[:-1])])  # a node is sent once by each task
-        h, k, n = h[new], k[new], n[new]
+        h, k, n, i = (c[new] for c in (h, k, n, i))
         new = repeats(h)
-        h, k, n = h[new], k[new], n[new]
+        h, k, n, i = (c[new] for c in (h, k, n, i))
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
         many = np.repeat(np.diff(np.append(first, len(h))) > FREQUENT, np.diff(np.append(first, len(h))))
-        hot = np.stack([h[many].view(np.int64), k[many], n[many].astype(np.int64)], 1)
-        h, k, n = h[~many], k[~many], n[~many]
+        hot = np.stack([h[many].view(np.int64), k[many], 2 * n[many].astype(np.int64) + i[many]], 1)
+        h, k, n, i = (c[~many] for c in (h, k, n, i))
         found = np.empty((0, 3), np.int64)
         for d in range(1, FREQUENT):
             same = h[d:] == h[:-d]
             if not same.any():
                 break
-            ok = same & compatible(n[d:], n[:-d])
+            ok = same & compatible(n[d:], n[:-d]) & (i[:-d] | (n[d:] < n[:-d])) & (i[d:] | (n[:-d] < n[d:]))
             found = _counted(np.concatenate([found, np.stack([k[:-d][ok], k[d:][ok], np.ones(int(ok.sum()), np.int64)], 1)]))
         to = lambda rows: (rows[:, 0].view(np.uint64) % np.uint64(buckets)).astype(np.int32)
         out = [(*r, is_hot) for rows, is_hot in ((found, False), (hot, True)) for r in _split(to(rows), *rows.T)]
@@ -268,10 +280,10 @@ PAIR_ROWS = 50_000
 def _pair_signatures(packed: DataFrame) -> DataFrame:
     def unpack(batches):
         for b in batches:
-            cols = [np.frombuffer(b"".join(b.column(c).to_pylist()), t) for c, t in zip(("sigs", "nodes", "sizes", "frequent", "low"), (np.int64, np.int64, np.int32, np.int32, bool), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["sig", "node", "n", "f", "low"])
+            cols = [np.frombuffer(b"".join(b.column(c).to_pylist()), t) for c, t in zip(("sigs", "nodes", "sizes", "frequent", "low", "indexed"), (np.int64, np.int64, np.int32, np.int32, bool, bool), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["sig", "node", "n", "f", "low", "indexed"])
 
-    return packed.where("bucket = -1").mapInArrow(unpack, "sig long, node long, n int, f int, low boolean")
+    return packed.where("bucket = -1").mapInArrow(unpack, "sig long, node long, n int, f int, low boolean, indexed boolean")
 
 
 #: Sets with pair signatures index all their rare shingles singly.  So two of them that meet in pair
@@ -367,30 +379,37 @@ def linked_nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     buckets = max(8, int(size / 5.5 / 2 / PER_BUCKET) + 1)
     packed = _signatures(texts, sc.broadcast(tokens), short, buckets)
     single = staged(_single_pairs(packed, buckets), "jaccard-single")
-    hot = single.where("hot").select(F.col("a").alias("sig"), F.col("b").alias("node"), *(F.col("shared").cast("int").alias(c) for c in "nf"), F.lit(False).alias("low"))
+    size_ = F.expr("shared div 2").cast("int")
+    hot = single.where("hot").select(F.col("a").alias("sig"), F.col("b").alias("node"), size_.alias("n"), size_.alias("f"), F.lit(False).alias("low"), (F.col("shared") % 2 == 1).alias("indexed"))
     shared = staged(_pair_signatures(packed).unionByName(hot).distinct(), "jaccard-pair-signatures")
     # Two pivots: the node with the largest share of frequent shingles, which an original has among
     # its edited copies, and one by hash, which differs from signature to signature.
     member, central = F.struct("node", "n", "f", "low"), F.struct(~F.col("low"), F.col("f") / F.col("n"), F.col("node"))
-    pivots = shared.groupBy("sig").agg(F.array_distinct(F.array(F.max_by(member, central), F.min_by(member, F.struct("low", F.xxhash64("sig", "node"))))).alias("ps"), F.count("*").alias("c")).where("c > 1")
+    pivots = shared.groupBy("sig").agg(F.array_distinct(F.array(F.max_by(member, central), F.min_by(member, F.struct("low", F.xxhash64("sig", "node"))))).alias("ps"), F.count("*").alias("c"), F.max("indexed").alias("any")).where("c > 1 and any")
     pivots = pivots.select("sig", F.explode("ps").alias("p")).where("not p.low").select("sig", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"), F.col("p.f").alias("g"))
     starred = shared.join(pivots, "sig").where(f"node <> pivot and {_FIT}").groupBy(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).agg(F.count("*").alias("shared"))
     tried = single.where("not hot").drop("hot").unionByName(starred).groupBy("a", "b").agg(F.sum("shared").alias("shared"))
     tried = staged(_plausible(tried, classes, fine), "jaccard-candidates")
     roots = _connected(tried, rows, classes, None)
-    # What shares a pair signature but no component, was not compared yet and passes the bitmap filter.
-    placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    torn = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
-    torn = placed.join(torn, "sig", "left_semi").join(classes.select("node", "bytes", *CELLS), "node")
-    torn = staged(torn.select("sig", "node", "root", "n", "f", "low", "bytes", *CELLS), "jaccard-torn")
-    other = torn.select("sig", F.col("node").alias("node2"), F.col("root").alias("root2"), F.col("n").alias("m"), F.col("f").alias("g"), F.col("low").alias("low2"), F.col("bytes").alias("bytes2"), *(F.col(c).alias(f"{c}_2") for c in CELLS))
-    met = torn.join(other, "sig").where(f"node < node2 and root <> root2 and not (low and low2) and {_FIT} and {_differ('{}', '{}_2').replace('n_2', 'm')}")
-    rest = met.groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("shared"), F.min(F.col("bytes") + F.col("bytes2")).alias("bytes"), F.min(F.col("n").cast("long")).alias("n"), F.min(F.col("m").cast("long")).alias("m"))
+    # What shares a pair signature but no component, was not compared yet and passes the bitmap filter:
+    # entries of the index prefix meet those of larger sets.
+    torn = staged(_torn(shared, roots, classes), "jaccard-torn")
+    other = torn.select("sig", F.col("node").alias("node2"), F.col("root").alias("root2"), F.col("n").alias("m"), F.col("f").alias("g"), F.col("low").alias("low2"), F.col("indexed").alias("indexed2"), F.col("bytes").alias("bytes2"), *(F.col(c).alias(f"{c}_2") for c in CELLS))
+    met = torn.where("indexed").join(other, "sig").where(f"(n < m or n = m and indexed2 and node < node2) and root <> root2 and not (low and low2) and {_FIT} and {_differ('{}', '{}_2').replace('n_2', 'm')}")
+    rest = met.groupBy(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).agg(F.count("*").alias("shared"), F.min(F.col("bytes") + F.col("bytes2")).alias("bytes"), F.min(F.col("n").cast("long")).alias("n"), F.min(F.col("m").cast("long")).alias("m"))
     rest = _finer(staged(rest.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-coarse"), fine)
     rest = staged(rest, "jaccard-candidates")
     return nodes, _connected(rest, rows, classes, roots) if rest.limit(1).count() else roots
 
 
+def _torn(shared: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
+    """The entries of signatures that still join several components and have one of the index prefix."""
+    placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    torn = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("indexed").alias("any")).where("lo <> hi and any").select("sig")
+    torn = placed.join(torn, "sig", "left_semi").join(classes.select("node", "bytes", *CELLS), "node")
+    return torn.select("sig", "node", "root", "n", "f", "low", "indexed", "bytes", *CELLS)
+
+
 def _connected(pairs: DataFrame, rows: DataFrame, classes: DataFrame, roots: DataFrame | None) -> DataFrame:
     """node, root of the components that the links among pairs make of the components so far: each
     node is compared with the one it shares most with, and then only pairs that are still apart."""
