@@ -14,6 +14,7 @@ mark only costs work.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -215,20 +216,37 @@ def ngram_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) ->
         found = found.unionByName(staged(frequent_hashes(rows, least, size, (3,), pairs), "phrases-triples"))
     bits = sc.broadcast(marks(found))
 
+    buckets = max(8, int(size / 6 / PER_BUCKET) + 1)
+
     def count(batches):
         for s in _shards(batches):
-            out = [(lang, "", 0, n) for lang, n in _per_lang(s)]
+            out: dict[tuple[int, str], tuple[list[bytes], list[int]]] = {(0, lang): ([b""], [n]) for lang, n in _per_lang(s)}
             if len(s):
                 reach = s.reach(bits.value, min(longest, 3), longest)
                 order, lcp = suffix_array(_dense(s.hashes), s.rest, longest)
                 for m in range(1, longest + 1):
                     at, n = intervals(order, lcp, reach, m)
-                    out += [(s.langs[t], s.phrase(i, m), m, c) for i, t, c in zip(at.tolist(), s.text[at].tolist(), n.tolist(), strict=True)]
-            cols = list(zip(*out, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array([x or b"" for x in cols[1]], pa.binary()).cast(pa.string()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int64())], names=["lang", "phrase", "m", "n"])
+                    for i, t, c in zip(at.tolist(), s.text[at].tolist(), n.tolist(), strict=True):
+                        p = s.phrase(i, m)
+                        held = out.setdefault((zlib.crc32(p) % buckets, s.langs[t]), ([], []))
+                        held[0].append(p)
+                        held[1].append(c)
+            packed = [(k, lang, b"\n".join(p), np.array(c, np.int64).tobytes()) for (k, lang), (p, c) in out.items()]
+            cols = list(zip(*packed, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())], names=["bucket", "lang", "phrases", "counts"])
 
-    counted = rows.mapInArrow(count, "lang string, phrase string, m int, n long")
-    return staged(counted.groupBy("lang", "phrase", "m").agg(F.sum("n").alias("n")).where(f"m = 0 or n >= {least}"), "phrases-counts")
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        for lang, part in pdf.groupby("lang"):
+            n = pd.Series(np.frombuffer(b"".join(part["counts"]), np.int64)).groupby(np.array(b"\n".join(part["phrases"]).split(b"\n"), object), sort=False).sum()
+            n = n[(n >= least) | (n.index == b"")]
+            texts = [p.decode() for p in n.index]
+            parts.append(pd.DataFrame({"lang": lang, "phrase": texts, "m": [p.count(" ") + 1 if p else 0 for p in texts], "n": n.to_numpy()}))
+        return pd.concat(parts)
+
+    # A shard's phrases travel packed, by bucket of their hash and lang; no word holds a \n or a blank.
+    counted = rows.mapInArrow(count, "bucket int, lang string, phrases binary, counts binary").groupBy("bucket").applyInPandas(add, "lang string, phrase string, m int, n long")
+    return staged(counted, "phrases-counts")
 
 
 def _per_lang(s: Shard) -> list[tuple[str, int]]:
