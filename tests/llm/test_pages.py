@@ -32,11 +32,27 @@ def test_extraction():
     ("<p>one<select><option>no</p><p>two</p>", ["one", "two"]),
     ("<div>a&nbsp;b \t\n c</div>", ["a\u00a0b c"]),
     ("<main>" + "<div>" * 3000 + "deep", ["deep"]),
+    ("<h1>H</h1><p>beside every container</p>", ["H", "beside every container"]),
+    ("<h1>T</h1><div class='post has-comments'><p>long text of the post</p></div>", ["T", "long text of the post"]),
+    ("<div class='widget-content'><p>the text of a page builder</p></div><div class='widget'>no</div>", ["the text of a page builder"]),
+    ("<main><div class='hidden-gems'><p>gems that are easily missed</p></div></main>", ["gems that are easily missed"]),
+    ("<h1>T</h1><div class='content'><p>one two three</p><p>four five six</p></div><div class='cookie-banner'>We use cookies</div>", ["T", "one two three", "four five six"]),
+    ("<div class='post'><p>a post</p></div><div class='comments-area'><p>comments are longer than their post</p></div>", ["a post"]),
+    ("<div id='comments'><p>comments are longer than their post</p></div><div class='post'><h1>T</h1></div>", ["T"]),
 ])
 def test_what_counts_as_text(body, blocks):
-    for head in ("<head><title>t</title></head><body>", "<head><title>t</title><body>", ""):
-        page = html.parse(f"<html>{head}{body}")
+    for head in ("<html><head><title>t</title></head><body>", "<html><head><title>t</title><body>", "<html>", "<!doctype html><title>x</title>", ""):
+        page = html.parse(head + body)
         assert [t for t, _, _ in page.blocks] == blocks
+        assert html.below(page, html.best_path(page)) == blocks
+
+
+def test_headline_beside_the_container():
+    text = lambda body: (lambda p: html.below(p, html.best_path(p)))(html.parse(body))
+    long_ = "<div class='content'>" + "<p>a long text</p>" * 40 + "</div>"
+    assert text(f"<div class='page'><h1>T</h1>{long_}</div>")[:2] == ["T", "a long text"]
+    assert text(f"<div class='top'><h1>Site</h1></div>{long_}")[0] == "a long text"  # of another element
+    assert text(f"<div>{long_}<h1>T</h1></div>").count("T") <= 1
 
 
 def page_of(rng, i):
@@ -78,6 +94,31 @@ def test_hosts_agree_on_a_path(spark):
     assert got[9] == "short" and got[0].startswith("content")
 
 
+def plain_consensus(rows):
+    """extract() by loops over (page_id, url, html): votes by host, each page below its host's winner."""
+    own, votes, text = [], {}, {}
+    for _, url, h in rows:
+        page = html.parse(h)
+        path = html.best_path(page)
+        host = url.split("/")[2]
+        own.append((page, path, host))
+        if path is not None:
+            n, size = votes.setdefault(host, {}).get(path, (0, 0))
+            votes[host][path] = (n + 1, size + len("\n".join(html.below(page, path))))
+    for (i, _, _), (page, path, host) in zip(rows, own, strict=True):
+        won = min(votes.get(host, {}), key=lambda p: (*(-x for x in votes[host][p]), p), default=None)
+        text[i] = "\n".join((html.below(page, won) if won else []) or (html.below(page, path) if path else []))
+    return text
+
+
+def test_consensus_against_loops(spark):
+    rng = random.Random(12)
+    part = lambda: rng.choice(["<div class='{}'>{}</div>", "<article>{1}</article>", "<section class='{}'><div>{}</div></section>", "{1}"]).format(rng.choice(["a", "b1", "b2", "widget-content", "has-comments"]), "".join(f"<p>{'w ' * rng.randrange(1, 30)}</p>" for _ in range(rng.randrange(4))))
+    rows = [(i, f"http://h{rng.randrange(6)}.org/{i}", rng.choice(["<body>", "<html><body>", ""]) + "".join(part() for _ in range(rng.randrange(4)))) for i in range(240)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
+    assert got == plain_consensus(rows)
+
+
 def test_extract_on_odd_tables(spark):
     df = pages(spark)
     got = html.extract(df).collect()

@@ -3,7 +3,8 @@
 Each page's containers are scored by the text they hold outside boilerplate and links, a page
 votes for its best container's generalised path (tags with their classes, digits and order
 dropped), Spark sums the votes per host, and every page is extracted again below the winning path
-of its host; a page without that path falls back on its own best container.
+of its host; a page without that path falls back on its own best container.  The page itself is
+the outermost container, so that text outside every element is not lost.
 
 Scale.  A vote is a host, a path and a number: votes combine before they are dealt out.  Winners
 meet (key, host, path) rows by a join on the host, in which adaptive execution splits hot hosts;
@@ -39,24 +40,44 @@ ENDS = {
 # Words of class names and ids that label boilerplate, whole or as a beginning.
 NOISE = frozenset("ad ads banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright disqus discussion footer gdpr header hidden login masthead menu modal nav navbar navigation newsletter notice pager pagination popup related replies reply respond share sharing sidebar signup skip social subscribe tags toolbar widget".split())
 NOISY = ("advert", "promo", "sponsor")
+# Words that take a label back ("has-comments" labels an article), and those of readers' comments.
+WITHOUT = frozenset("has have is no not show with without".split())
+COMMENTS = frozenset("comment comments commentlist discussion disqus replies reply respond".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
-_SPACE = re.compile(r"[\x20\t-\r]+")
+_SPACE, _PART = re.compile(r"[\x20\t-\r]+"), re.compile(r"[_-]+")
 #: A container's share in text fades by this for each container between; what is below LEAST does not count.
 FADE, LEAST = 0.9, 1e-12
 
 
 class Node:
-    __slots__ = ("tag", "parent", "path", "box", "noise", "muted", "labelled", "titled", "story", "link", "size", "outer")
+    __slots__ = ("tag", "parent", "path", "box", "noise", "muted", "label", "titled", "story", "link", "size", "outer")
 
     def __init__(self, tag: str, parent: "Node | None", path: int) -> None:
         self.tag, self.parent, self.path = tag, parent, path
         self.noise = self.muted = self.story = self.link = False
         if parent is not None:
             self.noise, self.muted, self.story, self.link = parent.noise, parent.muted, parent.story, parent.link
-        self.labelled, self.titled, self.size = False, tag == "main", 0
+        self.label, self.titled, self.size = 0, tag == "main", 0
         # The next block element around it.
         self.outer: Node | None = parent if parent is None or parent.parent is None or parent.tag in BLOCKS else parent.outer
-        self.box: Node | None = self if tag in CONTAINERS else parent and parent.box
+        self.box: Node = self if parent is None or tag in CONTAINERS else parent.box
+
+
+#: How surely a label tells boilerplate: the whole of a class name or id does, a word in a longer one may.
+MAYBE, SURELY = 1, 2
+
+
+def labelled(label: str, story: bool) -> int:
+    """What the class names and the id of an element say; ``story``, whether it stands in an article."""
+    most = 0
+    for token in label.lower().split():
+        words = [w for w in _PART.split(token) if w]
+        if not words or words[0] in WITHOUT:
+            continue
+        told = {w for w in words if w in NOISE and not (w == "header" and story) or w.startswith(NOISY)}
+        if told:
+            most = max(most, SURELY if len(words) == 1 or told & COMMENTS else MAYBE)
+    return most
 
 
 class Page(HTMLParser):
@@ -95,7 +116,7 @@ class Page(HTMLParser):
 
     def number_of(self, path: str) -> int | None:
         n = 0
-        for kind in path[1:].split("/"):
+        for kind in path[1:].split("/") if path != "/" else ():
             if (n := self.kinds.get((n, kind))) is None:
                 return None
         return n
@@ -131,8 +152,7 @@ class Page(HTMLParser):
         label = " ".join(str(known.get(k) or "") for k in ("class", "id"))
         node.noise |= tag in DROPPED and not (tag == "header" and top.story) or "hidden" in known or known.get("aria-hidden") == "true" or str(known.get("role") or "").lower() in ROLES or bool(re.search(r"display\s*:\s*none", str(known.get("style") or "")))
         if block and label != " " and tag not in ("html", "body", "main") and not (top.story and (tag in HEADINGS or tag == "p")):
-            words = re.split(r"[\s_-]+", label.lower())
-            node.labelled = any(w in NOISE and not (w == "header" and top.story) or w.startswith(NOISY) for w in words)
+            node.label = labelled(label, top.story)
         if tag == "h1":
             up = node
             while up is not None and not up.titled:
@@ -167,17 +187,20 @@ class Page(HTMLParser):
 
     def finish(self) -> None:
         """Ends the page and takes away the blocks below elements with a label of noise.  Such an
-        element stays where it holds the page's title and most of its text."""
+        element stays where it holds most of the text and the page's title; if the label is a word
+        of a longer name, most of the text is enough."""
         self.flush()
-        for text, node, _ in self.blocks:
-            node.size += len(text)
-        for node in reversed(self.nodes[1:]):
-            node.outer.size += node.size
-        for node in self.nodes[1:]:
-            if node.labelled and not (node.titled and 2 * node.size > self.root.size):
-                node.noise = True
-            node.noise = node.noise or node.outer.noise
-        self.blocks = [b for b in self.blocks if not b[1].noise]
+        for label in (SURELY, MAYBE):
+            for node in self.nodes:
+                node.size = 0
+            for text, node, _ in self.blocks:
+                node.size += len(text)
+            for node in reversed(self.nodes[1:]):
+                node.outer.size += node.size
+            for node in self.nodes[1:]:
+                most = 2 * node.size > self.root.size
+                node.noise |= node.label == label and not (most and (node.titled or label == MAYBE)) or node.outer.noise
+            self.blocks = [b for b in self.blocks if not b[1].noise]
 
 
 def parse(html: str) -> Page:
@@ -199,7 +222,8 @@ def _score(page: Page) -> dict[int, float]:
         worth, share, box = max(0, len(text) - 2 * linked), 1.0, node.box
         while box is not None and share > LEAST:
             out[box.path] = out.get(box.path, 0.0) + worth * share * (1.5 if box.tag in ("article", "main") else 1.0)
-            share, box = share * FADE, box.parent.box
+            # A body is the page; what stands outside it is no part of what it holds.
+            share, box = share * FADE, box.parent.box if box.parent is not None and box.tag != "body" else None
     return out
 
 
@@ -212,11 +236,22 @@ def best_path(page: Page) -> str | None:
 
 
 def below(page: Page, path: str) -> list[str]:
-    """The blocks that stand in or below elements of that path."""
-    inside, found = [False], page.number_of(path)
+    """The blocks that stand in or below elements of that path.  Where the page's only h1 stands
+    before them, in an element around them, it is their headline and comes first."""
+    found = page.number_of(path)
+    inside = [found == 0]
     for n, (parent, _) in enumerate(page.steps[1:], 1):  # a step's parent stands before it
         inside.append(inside[parent] or n == found)
-    return [t for t, node, _ in page.blocks if inside[node.path]]
+    kept = [b for b in page.blocks if inside[b[1].path]]
+    titles = [b for b in page.blocks if b[1].tag == "h1"]
+    if kept and len({id(b[1]) for b in titles}) == 1 and not inside[titles[0][1].path]:
+        around, node = titles[0][1].parent.box, kept[0][1]
+        while node is not None and node is not around:
+            node = node.parent
+        first = next(i for i, b in enumerate(page.blocks) if b is kept[0])
+        if node is not None and any(b is titles[0] for b in page.blocks[:first]):
+            kept = [*titles, *kept]
+    return [t for t, _, _ in kept]
 
 
 def _first(batches):
