@@ -180,6 +180,53 @@ def test_salvage_inside_members():
     assert ids(cut + warc._member(make(6))) == [5, 6]
 
 
+def test_members_with_wrong_trailers():
+    make = lambda i: warc.record(i, None, b"payload %d " % i * 9, warc.digest(b"payload %d " % i * 9), None, False)
+    spoil = lambda b, k: b[:k] + bytes([b[k] ^ 0x55]) + b[len(b) + k + 1 :]
+    members = [warc._member(make(i)) for i in range(80)]
+    for k in (-8, -1):  # checksum, length
+        data = warc.EMPTY_MEMBER.join(spoil(m, k) if i != 40 else m for i, m in enumerate(members))
+        got = list(warc.salvage(data))
+        assert [r["page_id"] for _, r, _, _ in got if r] == list(range(80))
+        lost = [(a, e, why) for a, r, e, why in got if r is None]
+        assert len(lost) == 79 and all("checksum" in why for _, _, why in lost)
+        assert all(e - a == len(m) for (a, e, _), m in zip(lost, (m for i, m in enumerate(members) if i != 40), strict=True))
+    # A missing trailer ends the member where the next begins.
+    got = list(warc.salvage(members[0][:-8] + members[1] + members[2][:-8]))
+    assert [r["page_id"] for _, r, _, _ in got if r] == [0, 1, 2]
+
+
+def test_a_broken_stream_gives_all_before_the_fault():
+    rng = random.Random(2)
+    body = rng.randbytes(3_000)
+    first, second = (warc.record(i, None, x, warc.digest(x), None, False) for i, x in ((1, b"short"), (2, body)))
+    member = warc._member(first + second)
+    for at in (len(member) - 1_000, len(member) - 300):
+        broken = member[:at] + b"\xff" * 60 + member[at + 60 :]
+        got = list(warc.salvage(broken + warc._member(warc.record(3, None, b"x", warc.digest(b"x"), None, False))))
+        assert [r["page_id"] for _, r, _, _ in got if r] == [1, 3]
+    extra = b"\x1f\x8b\x08\x1e" + bytes(6) + b"\x03\x00abc" + b"name\0" + b"comment\0" + b"\0\0"
+    assert [r["page_id"] for _, r, _, _ in warc.salvage(extra + warc._member(first)[10:])] == [1]
+
+
+def test_runs_of_bad_members_are_gaps_of_their_own():
+    rng = random.Random(6)
+    members = [warc._member(warc.record(i, None, x, warc.digest(x), None, False)) for i in range(6) if (x := rng.randbytes(2_000))]
+    broken = [m[:900] + b"\xff" * 80 + m[980:] if i in (2, 3) else m for i, m in enumerate(members)]
+    got = list(warc.salvage(b"".join(broken)))
+    assert [r["page_id"] for _, r, _, _ in got if r] == [0, 1, 4, 5]
+    begin = len(members[0]) + len(members[1])
+    gaps = [(a, e) for a, r, e, _ in got if r is None]
+    assert gaps[0][0] == begin and gaps[-1][1] == begin + len(members[2]) + len(members[3]) and all(x[1] == y[0] for x, y in zip(gaps, gaps[1:], strict=False))
+
+
+def test_archives_go_with_the_stages(spark):
+    from tidemark.llm.common import scratch
+
+    name = warc.round_trip(pages(spark)).first().file
+    assert scratch(spark, "x").rsplit("/", 1)[0].removeprefix("file:") in name
+
+
 def test_files_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "FILE_BYTES", 4_000)
     monkeypatch.setattr(warc, "CLASSES", (100, 1_000))

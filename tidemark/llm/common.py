@@ -31,6 +31,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _leaving: set[str] = set()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder, of a folder that goes as the driver ends."""
+    folder = f"{shared_dir(spark)}/staged-{spark.sparkContext.applicationId}"
+    if folder not in _leaving:
+        _leaving.add(folder)
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 #: Bytes of the rows that a Python worker gets at once while a table is staged, however long texts are.
 BATCH_BYTES, _BATCH = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -39,18 +51,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes a table into the shared folder and reads it again: its lineage is cut, and a lost
     executor costs no recomputation of what stands before it.  Staged tables go as the driver ends."""
     spark = df.sparkSession
-    folder = f"{shared_dir(spark)}/staged-{spark.sparkContext.applicationId}"
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     before = spark.conf.get(_BATCH)
     spark.conf.set(_BATCH, str(BATCH_BYTES))
     try:
         df.write.parquet(path)
     finally:
         spark.conf.set(_BATCH, before)
-    if folder not in _leaving:
-        _leaving.add(folder)
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path)
 
 

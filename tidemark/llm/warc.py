@@ -9,24 +9,27 @@ FILE_BYTES of payloads, but for single pages that are larger.
 read() checks version line, header, lengths, CRC and digests of every record.  Where a check
 fails it searches for the next gzip member that inflates, or in plain files for the next version
 line, whose record passes, reads on from there and logs the bytes between as a quarantined gap.
-The same search runs over what a member inflates to, and over what a bad member gave before it broke.
+The same search runs over what a member inflates to, and over what a bad member gave before it
+broke, to the last byte.  A member whose deflate stream is whole but whose trailer is wrong ends
+where its trailer does, and its records count if their own digests hold.
 """
 
 import base64
 import hashlib
 import re
+import struct
 import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, staged
+from .common import scratch, staged
 
 #: Payload bytes of a file at most; upper bounds of the classes of size (beyond the last, a file a page).
 FILE_BYTES = 32 << 20
 CLASSES = (16 << 10, 256 << 10, 4 << 20)
-#: Bytes that are inflated at once: what a broken member gave up to there is searched.
+#: Bytes that are inflated at once; where a step breaks, its bytes are inflated one by one.
 STEP = 4 << 10
 _EMPTY = zlib.compressobj(9, zlib.DEFLATED, 31)
 #: Twenty bytes, with the header field for the time zero: a gzip member of no content.
@@ -151,27 +154,62 @@ def parse(data: bytes, at: int = 0, exact: bool = True) -> tuple[dict, int]:
     return {"page_id": _page(head.get(b"warc-record-id", "")), "url": head.get(b"warc-target-uri"), "record_type": kind, "refers_to": _page(head.get(b"warc-refers-to", "")), "payload_bytes": len(payload) if kind == "response" or not told else int(told[1]), "payload_digest": known or digest(payload), "payload": payload if kind == "response" else None}, stop
 
 
-def _inflate(data: bytes, at: int) -> tuple[bytes, int, str | None]:
-    """What the gzip member at ``at`` inflates to, its end, and why it broke; broken, it ends where it began."""
-    d, out, to = zlib.decompressobj(31), [], at
+def _body(data: bytes, at: int) -> int | None:
+    """Where the deflate stream of the gzip member at ``at`` begins."""
+    flags, to = (data[at + 3], at + 10) if at + 10 <= len(data) else (0xFF, at)
+    if flags & 0xE0:  # reserved
+        return None
+    if flags & 4:
+        to += 2 + int.from_bytes(data[to : to + 2], "little")
+    for text in (8, 16):  # name, comment
+        if flags & text:
+            to = data.find(b"\0", to) + 1
+            if not to:
+                return None
+    to += 2 if flags & 2 else 0
+    return to if to < len(data) else None
+
+
+def _inflate(data: bytes, at: int, rescue: bool = True) -> tuple[bytes, int, str | None]:
+    """What the gzip member at ``at`` inflates to, its end, and why it broke; a broken stream ends
+    where it began, a whole one with a wrong trailer behind its trailer.  Without ``rescue`` the
+    last step of a broken stream is left out."""
+    begin = to = _body(data, at)
+    if begin is None:
+        return b"", at, "gzip: bad header"
+    d, out, crc, n = zlib.decompressobj(-15), [], 0, 0
     try:
         while not d.eof and to < len(data):
             out.append(d.decompress(data[to : to + STEP]))
+            crc, n = zlib.crc32(out[-1], crc), n + len(out[-1])
             to += STEP
     except zlib.error as e:
+        if rescue:
+            again = zlib.decompressobj(-15)
+            again.decompress(data[begin:to])
+            try:
+                for k in range(to, min(to + STEP, len(data))):
+                    out.append(again.decompress(data[k : k + 1]))
+            except zlib.error:
+                pass
         return b"".join(out), at, f"gzip: {e}"[:80]
     if not d.eof:
         return b"".join(out), at, "gzip member cut short"
-    return b"".join(out), min(to, len(data)) - len(d.unused_data), None
+    end = min(to, len(data)) - len(d.unused_data) + 8
+    if end > len(data):
+        return b"".join(out), at, "gzip member cut short"
+    right = data[end - 8 : end] == struct.pack("<II", crc, n & 0xFFFFFFFF)
+    return b"".join(out), end, None if right else "gzip: wrong checksum or length"
 
 
 _LINE, _BEGIN = re.compile(re.escape(VERSION)), re.compile(b"|".join(map(re.escape, (MAGIC, VERSION))))
 
 
 def _sound(data: bytes, at: int) -> bool:
-    """Whether a member that inflates, or a record that passes, begins at ``at``."""
+    """Whether a member that inflates or gives a version line, or a record that passes, begins at ``at``."""
     if data.startswith(MAGIC, at):
-        return _inflate(data, at)[2] is None
+        raw, _, why = _inflate(data, at, rescue=False)
+        return why is None or raw.startswith(VERSION)
     try:
         return parse(data, at, exact=False)[1] > at
     except _Bad:
@@ -215,9 +253,11 @@ def salvage(data: bytes):
                 found, to = parse(data, at, exact=False)
                 yield at, found, None, None
             except _Bad as e:
-                why = str(e)
+                to, why = at, str(e)
         if why is not None:
-            to = _next(data, at, _BEGIN)
+            # A whole stream with a wrong trailer has an end, if something begins there.
+            if to == at or to < len(data) and not data.startswith((MAGIC, VERSION), to):
+                to = _next(data, at, _BEGIN)
             yield at, None, to, why
         at = to
 
@@ -252,9 +292,7 @@ def gaps(records: DataFrame) -> DataFrame:
 
 def round_trip(pages: DataFrame) -> DataFrame:
     """Writes pages as archives into the shared folder and returns what read() finds in them."""
-    import uuid
-
     spark = pages.sparkSession
-    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    path = scratch(spark, "warc")
     write(pages, path)
     return read(spark, path).where("reason is null").select("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "file", "offset")
