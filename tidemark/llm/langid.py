@@ -149,11 +149,13 @@ def _sampled(batches):
 
 def train(docs: DataFrame) -> Network | None:
     """Fits a network on the documents that are not held out, have a language and a letter: of
-    each language the PER_LANGUAGE with the least hashes, of each text up to PER_DOCUMENT windows."""
+    each language the PER_LANGUAGE with the least hashes, of each text up to PER_DOCUMENT windows.
+    Repeated rows count once."""
     rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), row_key().alias("key"), held_out().alias("out")).where("not out and lang is not null and text is not null and text rlike '\\\\p{L}'")
+    rows = rows.select("lang", "key", "text", F.xxhash64("lang", "key").alias("pick"))
     least = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    chosen = rows.select("lang", "key").withColumn("nth", F.row_number().over(least)).where(F.col("nth") <= PER_LANGUAGE).select("key").distinct()
-    sample = matching(rows.select("lang", "key", "text"), chosen, "key").mapInArrow(_sampled, "lang string, key long, window binary").orderBy("lang", "key", "window").collect()
+    chosen = rows.select("lang", "key", "pick").distinct().withColumn("nth", F.row_number().over(least)).where(F.col("nth") <= PER_LANGUAGE).select("pick")
+    sample = matching(rows, chosen, "pick").dropDuplicates(["pick"]).select("lang", "key", "text").mapInArrow(_sampled, "lang string, key long, window binary").orderBy("lang", "key", "window").collect()
     languages = sorted({r.lang for r in sample})
     if not languages:
         return None
