@@ -513,6 +513,17 @@ def test_language_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_sample_of_repeated_rows(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(langid.Network, "train", lambda self, x, y: taken.append((len(x), np.bincount(y).tolist())) or self)
+    once = [(i, f"text number {i} " * 40, "xx") for i in (1, 2, 4)]
+    many = spark.range(20_000).select(F.lit(3).cast("long").alias("doc_id"), F.lit("the same row " * 30).alias("text"), F.lit("yy").alias("lang"))
+    both = spark.createDataFrame([(3, "the same row " * 30, "xx")], many.schema)
+    langid.train(spark.createDataFrame([*once, *once], many.schema).unionByName(many).unionByName(both))
+    n = langid.PER_DOCUMENT
+    assert taken == [(len([1, 2, 4]) * n + 2 * n, [4 * n, n])]
+
+
 def test_predictions_against_plain_convolution(spark):
     rng, letters = random.Random(36), {"xx": "aeioumn", "yy": "stkrzöü"}
     make = lambda lang, n: " ".join("".join(rng.choice(letters[lang]) for _ in range(4)) for _ in range(n))
@@ -653,6 +664,25 @@ def test_blocks_of_items(spark, frame, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in decontaminate.leaked_documents(docs, benchmark).collect()} == {(i, i) for i in range(30)}
 
 
+def test_repeated_items(spark, frame):
+    """Equal texts under several ids are each found; a text stands in the index once, however often it repeats."""
+    rng = random.Random(18)
+    text, other = words(rng, 20, 5000), words(rng, 20, 5000)
+    docs = frame(["before " + text + " after", words(rng, 30, 5000), other])
+    many = spark.range(20_000).select((F.col("id") % 3).alias("item_id"), F.lit(text).alias("text"))
+    benchmark = many.unionByName(spark.createDataFrame([(7, other), (7, other), (None, other)], many.schema))
+    got = sorted((r.doc_id, -1 if r.item_id is None else r.item_id) for r in decontaminate.leaked_documents(docs, benchmark).collect())
+    assert got == [(0, 0), (0, 1), (0, 2), (2, -1), (2, 7)]
+
+
+def test_items_in_blocks_of_bytes(spark, frame, monkeypatch):
+    rng = random.Random(19)
+    items = [words(rng, 20, 5000) for _ in range(12)]
+    monkeypatch.setattr(decontaminate, "ITEM_BYTES", 400)
+    docs, benchmark = frame(items), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaked_documents(docs, benchmark).collect()} == {(i, i) for i in range(12)}
+
+
 def test_leaks_on_odd_tables(spark, odd, empty):
     benchmark = spark.createDataFrame([(1, "one two three four five six seven eight nine ten"), (None, None)], "item_id long, text string")
     assert decontaminate.leaked_documents(odd, benchmark).count() == 0

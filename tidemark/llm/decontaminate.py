@@ -15,9 +15,10 @@ Windows are embedded piece by piece: a walk from each offset of an item, and fro
 text, reaches at most STEPS words, since a walk over a whole window of many words would meet as many
 edits as the bound allows and agree in nothing.
 
-Scale.  Documents are read once per block of items (ITEMS in a block, so the broadcast tables are
-bounded, and a block's go before the next one's come); nothing is shuffled, and all windows of a
-text are tried.
+Scale.  Documents are read once per block of items (ITEMS different texts and ITEM_BYTES in a block,
+so the broadcast tables are bounded, and a block's go before the next one's come); no document is
+shuffled, and all windows of a text are tried.  What is found names an item by its text's hash; the
+ids that share the text are joined to it afterwards.
 """
 
 import numpy as np
@@ -32,12 +33,12 @@ EDIT_PERCENT, WALKED = 15, 8
 WALKS, STEPS, SAMPLED, MOST_REPETITIONS, RECALL = 2, 24, 6, 24, 0.95
 #: Steps of a short reach (about five words); offsets of an item, about; planted edits of a length class at least.
 REACH, OFFSETS, PLANTED = 10, 24, 200
-ITEMS = 20_000
+ITEMS, ITEM_BYTES = 20_000, 64 << 20
 #: Words of a chunk of windows, chosen to stay in a core's cache; bits of the first lookup.
 CHUNK, BITS = 1 << 16, 20
 _PUNCT = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _LOWER = bytes(range(256)).lower()
-MATCHES = "key long, item_id long, from_word long, n_words long, distance int"
+MATCHES = "key long, item long, from_word long, n_words long, distance int"
 
 
 def words(raw: bytes | None) -> np.ndarray:
@@ -280,7 +281,7 @@ def _find(shared, ids: list):
                     rows += [(keys[text], ids[item], at, n, d) for text, item, at, n, d in _matches(index, np.concatenate(held))]
                     held, keys, size = [], [], 0
             cols = list(zip(*rows, strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()), strict=True)], names=["key", "item_id", "from_word", "n_words", "distance"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()), strict=True)], names=["key", "item", "from_word", "n_words", "distance"])
 
     return run
 
@@ -292,21 +293,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Word positions count words with a letter, digit or non-ASCII character.  Null or blank texts on
     either side match nothing; an item of fewer than seven words matches where its words stand in
     order (leave out of ``benchmark`` what is too short to tell anything); items with equal ids or texts
-    match each by itself; a null item_id is reported as null; other columns are ignored.
+    match each by itself, rows equal in both are one item; a null item_id is reported as null; other
+    columns are ignored.
     """
     sc = docs.sparkSession.sparkContext
     rows = docs.select(row_key().alias("key"), F.col("text").cast("string").alias("text"))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    blocks = max(1, -(-items.count() // ITEMS))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    items = items.withColumn("of", F.xxhash64("text"))
+    texts = staged(items.select("of", "text").dropDuplicates(["of"]), "leaks-items")
+    size = texts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    blocks = max(1, -(-size.n // ITEMS), -(-size.bytes // ITEM_BYTES))
     out = None
     for block in range(blocks):  # a stated query set against all rows, in blocks of bounded size
-        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
-        index = build([words(r.text.encode() if r.text else None) for r in mine])
+        mine = texts.where(F.pmod(F.xxhash64("of"), F.lit(blocks)) == block).orderBy("of").collect()
+        index = build([words(r.text.encode()) for r in mine])
         shared = sc.broadcast(index)
-        found = staged(rows.mapInArrow(_find(shared, [r.item_id for r in mine]), MATCHES), "leaks")
+        found = staged(rows.mapInArrow(_find(shared, [r.of for r in mine]), MATCHES), "leaks")
         shared.destroy()
         out = found if out is None else out.unionByName(found)
-    return out
+    named = items.select("item_id", F.col("of").alias("item")).distinct()
+    return matching(out, named, "item", "inner").select("key", "item_id", "from_word", "n_words", "distance")
 
 
 def leaked_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
