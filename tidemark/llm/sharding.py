@@ -22,12 +22,14 @@ from .common import fresh, row_key, running
 from .permutation import permuted
 
 ROWS_PER_PART = 20_000
+#: Partitions whose places on the deck one window runs through.
+PARTS_PER_BUCKET = 1_000
 
 
 def matrix(sizes: DataFrame, n: int, shards: int, seed: int) -> DataFrame:
     """From (part, rows) the drawn communication matrix: part, shard, n."""
-    ends = sizes.withColumn("stop", F.sum("rows").over(Window.orderBy("part")))
-    deck = ends.select("part", F.explode(F.sequence(F.col("stop") - F.col("rows"), F.col("stop") - 1)).alias("place"))
+    begun = running(sizes.withColumn("deck", F.lit(0)), "deck", F.floor(F.col("part") / PARTS_PER_BUCKET), [F.col("part")], F.col("rows"), "begin")
+    deck = begun.select("part", F.explode(F.sequence(F.col("begin"), F.col("begin") + F.col("rows") - 1)).alias("place"))
     # Label s is on floor(pi * shards / n) = s, which the n places take equally often but for one.
     label = F.floor(permuted("place", f"{n}L", f"{seed}") * shards / F.lit(n)).cast("int")
     return deck.select("part", label.alias("shard")).groupBy("part", "shard").agg(F.count("*").alias("n"))
