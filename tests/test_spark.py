@@ -109,6 +109,38 @@ def test_archives(spark, tmp_path):
     assert (z.sym, z.aggTradeId, z.exchTradeTs, z.buyerIsMaker) == ("ETHUSDT", 5, dt.datetime(2026, 1, 14), True)
 
 
+def test_zip_members_are_read_apart(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "LINES", 7)
+    for day in range(3):
+        with zipfile.ZipFile(tmp_path / f"BTCUSDT-trades-2026-01-1{day}.zip", "w", [zipfile.ZIP_DEFLATED, zipfile.ZIP_STORED][day % 2]) as z:
+            z.mkdir("part")
+            z.writestr("empty.csv", "")
+            for k in range(2):
+                z.writestr(f"part/{k}.csv", "".join(f"{100 * day + 20 * k + i},1.5,2,3,{1768348800000000 + i},True,True\n" for i in range(20)))
+    members = archives.zip_members(spark, str(tmp_path / "*.zip")).collect()
+    assert sorted(m.member for m in members) == sorted(["empty.csv", "part/0.csv", "part/1.csv"] * 3) and {m.bytes for m in members if m.member == "empty.csv"} == {0}
+    got = archives.read_zip(spark, str(tmp_path / "*.zip"), "spot")
+    assert sorted(r.tradeId for r in got.select("tradeId").collect()) == sorted(100 * d + 20 * k + i for d in range(3) for k in range(2) for i in range(20))
+    assert got.rdd.getNumPartitions() == 6
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan  # Spark lists the archives and reads none whole
+
+
+def test_a_hot_symbols_day_has_many_files(spark, tmp_path):
+    df = spark.range(40_000).select(F.timestamp_seconds(F.lit(1768348800) + F.col("id")).alias("exchTradeTs"), F.lit("BTCUSDT").alias("sym"), "id").where("id < 36000")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        archives.write_dates(df, str(tmp_path), "trade")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = list((tmp_path / "trade").rglob("*.parquet"))
+    assert len(files) > 1
+    for f in files:
+        at = spark.read.parquet(str(f)).select("id").toPandas()["id"]
+        assert at.is_monotonic_increasing
+    assert spark.read.parquet(str(tmp_path / "trade")).count() == 36_000
+
+
 def test_range_loader_and_store(spark, tmp_path):
     store = archives.Store(spark, f"file:{tmp_path}/hdb")
     day = dt.date(2024, 1, 1)

@@ -5,7 +5,6 @@ All paths are Hadoop paths; files are listed and read by Spark only.
 
 from __future__ import annotations
 
-import io
 import zipfile
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -27,6 +26,9 @@ SPOT_CSV = "tradeId long, price double, qty double, quoteQty double, t long, mak
 AGG_CSV = "aggTradeId long, price double, qty double, firstTradeId long, lastTradeId long, t long, maker string"
 FILL_CSV = "tradeId long, price double, qty double, quoteQty double, t long, maker string"
 
+#: Lines of a member that are parsed at once; tasks that members are dealt to at most.
+LINES, TASKS = 50_000, 10_000
+
 
 def _symbol(path: Column) -> Column:
     return F.regexp_extract(path, r"([A-Z0-9]+)-[^/]*$", 1)
@@ -47,27 +49,45 @@ def shape(raw: DataFrame, kind: str) -> DataFrame:
     return raw.select(at.alias("exchTradeTs"), F.col("t").alias("exchTradeTimeMs"), "sym", *ids, "price", "qty", *quote, (F.lower("maker") == "true").alias("buyerIsMaker"))
 
 
+def zip_members(spark: SparkSession, path: str) -> DataFrame:
+    """path, member, bytes (inflated) of the files inside zip archives.  Spark lists the archives; of
+    each, tasks read the directory at its end by ranges."""
+
+    def listed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for name in f["path"]:
+                with _opened(name) as source, zipfile.ZipFile(source) as z:
+                    rows = [(name, m.filename, m.file_size) for m in z.infolist() if not m.is_dir()]
+                yield pd.DataFrame(rows, columns=["path", "member", "bytes"])
+
+    return spark.read.format("binaryFile").load(path).select("path").mapInPandas(listed, "path string, member string, bytes long")
+
+
 def read_zip(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """The CSV files inside zip archives, line by line in bounded batches; Spark reads the bytes."""
-    schema = {"spot": SPOT_CSV, "agg": AGG_CSV, "fills": FILL_CSV}[kind]
+    """The CSV files inside zip archives, each in a task of its own (TASKS tasks at most), which
+    reads its range of the archive and inflates it line by line in bounded batches: neither archive nor
+    member is ever held whole.  Empty members have no rows; the symbol is the archive's."""
+    schema, skip = {"spot": SPOT_CSV, "agg": AGG_CSV, "fills": FILL_CSV}[kind], kind != "spot"
     names = [c.split()[0] for c in schema.split(", ")]
 
     def lines(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            for name, content in zip(f["path"], f["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for member in z.namelist():
-                        for part in pd.read_csv(z.open(member), names=names, dtype=str, header=None if kind == "spot" else 0, chunksize=50_000):
-                            yield pd.DataFrame({"path": name, **{n: part[n] for n in names}})
-
-    raw = spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(lines, "path string, " + ", ".join(f"{n} string" for n in names))
+            for name, member in zip(f["path"], f["member"], strict=True):
+                with _opened(name) as source, zipfile.ZipFile(source) as z, z.open(member) as content:
+                    for part in pd.read_csv(content, names=names, dtype=str, header=0 if skip else None, chunksize=LINES):
+                        yield pd.DataFrame({"path": name, **{n: part[n] for n in names}})
+
+    members = zip_members(spark, path).where("bytes > 0").select("path", "member")
+    dealt = members.repartition(max(1, min(TASKS, members.count())))
+    raw = dealt.mapInPandas(lines, "path string, " + ", ".join(f"{n} string" for n in names))
     typed = raw.select(_symbol(F.col("path")).alias("sym"), *(F.col(c.split()[0]).cast(c.split()[1]).alias(c.split()[0]) for c in schema.split(", ")))
     return shape(typed, kind)
 
 
 def write_dates(df: DataFrame, root: str, table: str, ts: str = "exchTradeTs", order: tuple[str, ...] = ()) -> None:
-    """Into root/table/date=..., sorted by symbol within files; dates that df has are replaced."""
-    out = df.withColumn("date", F.to_date(ts)).repartition("date", "sym").sortWithinPartitions("date", "sym", ts, *order)
+    """Into root/table/date=..., sorted by symbol within files; dates that df has are replaced.
+    Rows are dealt by ranges of (date, symbol, time), so that a hot symbol's day has many tasks and files."""
+    out = df.withColumn("date", F.to_date(ts)).repartitionByRange("date", "sym", ts).sortWithinPartitions("date", "sym", ts, *order)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("date").parquet(f"{root}/{table}")
 
 
