@@ -1,6 +1,7 @@
-"""Registered queries: summaries and joins (queries), bars, labels and live analytics (research)."""
+"""Registered queries: summaries and joins (queries), bars, labels and live analytics (research),
+messages, archives, store, logs and streams (ingest)."""
 
-from . import queries, research
+from . import ingest, queries, research
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "queries", "research"]
+__all__ = ["QUERIES", "SQL", "ingest", "queries", "research"]

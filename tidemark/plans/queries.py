@@ -342,7 +342,32 @@ def backtest_momentum(spark, d):
     return run(A.trades(spark, d), A.funding(spark, d).withColumn("markPrice", F.lit(None).cast("double")), {"fast8": Momentum(8, 21), "fast12": Momentum(12, 26)})
 
 
-@query()
+def _book_sql() -> str:
+    """The book's states by recursion over each symbol's messages, and what of them is shown by a second one."""
+
+    def merged(book: str, side: str) -> str:
+        for j in (1, 2, 3):
+            known = f"list_filter({book}, lambda x: x.p <> s.{side}p[{j}])"
+            new = f"CASE WHEN s.q[{j}] <> 0 THEN [{{'p': s.{side}p[{j}], 'q': s.q[{j}]}}] ELSE [] END"
+            book = f"list_sort(list_concat({known}, {new}), '{'DESC' if side == 'b' else 'ASC'}')[:5]"
+        return book
+
+    level = "STRUCT(p DOUBLE, q DOUBLE)[]"
+    price = lambda sign: "[" + ", ".join(f"round(value {sign} 0.01::DOUBLE * {j}, 2) + 0.0::DOUBLE" for j in (1, 2, 3)) + "]"
+    starts, fits, gap = "s.snap AND r.state = 'init'", "NOT s.snap AND r.state <> 'init' AND s.id <= r.last + 1", "NOT s.snap AND r.state <> 'init' AND s.id > r.last + 1"
+    book = lambda side: f"CASE WHEN {starts} THEN {merged(f'CAST([] AS {level})', side)} WHEN {fits} THEN {merged(f'r.{side}', side)} WHEN {gap} THEN CAST([] AS {level}) ELSE r.{side} END"
+    shown = [f"CASE WHEN valid THEN coalesce({of}[{i}].{x}, 0) ELSE 0 END::DOUBLE AS {side}{what}{i}" for side, of in (("bid", "b"), ("ask", "a")) for what, x in (("Price", "p"), ("Qty", "q")) for i in range(1, 6)]
+    return f"""WITH RECURSIVE e AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS i FROM events),
+s AS (SELECT event_type AS sym, event_id AS ord, i, i % 200 = 10 AS snap, i + i // 997 AS id, epoch_us(ts) // 1000 AS ms, {price("-")} AS bp, {price("+")} AS ap, [((i * 8) % 5)::DOUBLE, ((i * 9) % 5)::DOUBLE, ((i * 10) % 5)::DOUBLE] AS q FROM e),
+r AS (SELECT DISTINCT sym, 0::BIGINT AS i, 'init' AS state, 0::BIGINT AS last, CAST([] AS {level}) AS b, CAST([] AS {level}) AS a FROM s UNION ALL
+  SELECT s.sym, s.i, CASE WHEN {starts} THEN 'syncing' WHEN {fits} THEN 'valid' WHEN {gap} THEN 'init' ELSE r.state END, CASE WHEN {starts} OR {fits} THEN s.id WHEN {gap} THEN 0 ELSE r.last END, {book("b")}, {book("a")} FROM r JOIN s ON s.sym = r.sym AND s.i = r.i + 1),
+c AS (SELECT s.sym, s.ord, s.ms, r.state = 'valid' AS valid, r.b, r.a, row_number() OVER (PARTITION BY s.sym ORDER BY s.i) AS k FROM r JOIN s ON s.sym = r.sym AND s.i = r.i JOIN r p ON p.sym = r.sym AND p.i = r.i - 1 WHERE NOT s.snap AND p.state <> 'init'),
+g AS (SELECT c.sym, c.k, p.k IS NULL OR p.valid <> c.valid OR (c.valid AND (p.b <> c.b OR p.a <> c.a)) AS news, c.valid, c.ms FROM c LEFT JOIN c p ON p.sym = c.sym AND p.k = c.k - 1),
+o AS (SELECT sym, k, true AS show, ms AS at FROM g WHERE k = 1 UNION ALL SELECT g.sym, g.k, g.news OR (g.valid AND g.ms - o.at >= 50), CASE WHEN g.news OR (g.valid AND g.ms - o.at >= 50) THEN g.ms ELSE o.at END FROM o JOIN g ON g.sym = o.sym AND g.k = o.k + 1)
+SELECT c.sym, c.ord, c.ms AS eventMs, valid AS isValid, {", ".join(shown)} FROM c JOIN o ON o.sym = c.sym AND o.k = c.k WHERE o.show"""
+
+
+@query(_book_sql())
 def book_replay(spark, d):
     """Deltas made of events, with a snapshot every 200th and gaps now and then, through the level-5 book."""
     e = spark.read.parquet(f"{d}/events.parquet").withColumn("i", F.row_number().over(Window.partitionBy("event_type").orderBy("event_id")).cast("long"))

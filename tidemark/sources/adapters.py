@@ -6,14 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+def _as_trades(events: DataFrame) -> DataFrame:
+    e = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return e.select(F.col("ts").alias("time"), F.col("event_type").alias("sym"), F.col("event_id").alias("tradeId"), F.col("value").alias("price"), (F.col("k") + 1).cast("double").alias("qty"), (F.col("k") % 2 == 1).alias("buyerIsMaker"))
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """time, sym, tradeId, price, qty, buyerIsMaker; the order key is tradeId."""
-    e = _events(spark, sf_dir)
-    return e.select(F.col("ts").alias("time"), F.col("event_type").alias("sym"), F.col("event_id").alias("tradeId"), F.col("value").alias("price"), (F.col("k") + 1).cast("double").alias("qty"), (F.col("k") % 2 == 1).alias("buyerIsMaker"))
+    return _as_trades(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def trade_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """trades() as a stream: what is there when it starts, and files that come later."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return _as_trades(spark.readStream.schema(schema).parquet(f"{sf_dir}/{{events.parquet}}"))  # a pattern, for a stream's plain path must be a folder
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,10 +35,11 @@ def _symbol(path: Column) -> Column:
 
 
 def read_csv(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """kind: spot (no header, times in microseconds), agg or fills (header, milliseconds)."""
+    """kind: spot (no header, times in microseconds), agg or fills (header, milliseconds).  The symbol
+    begins the file's name, or is that of its folder sym=... ."""
     schema, header = {"spot": (SPOT_CSV, False), "agg": (AGG_CSV, True), "fills": (FILL_CSV, True)}[kind]
     raw = spark.read.schema(schema).option("header", header).csv(path)
-    return shape(raw.withColumn("sym", _symbol(F.input_file_name())), kind)
+    return shape(raw if "sym" in raw.columns else raw.withColumn("sym", _symbol(F.input_file_name())), kind)
 
 
 def shape(raw: DataFrame, kind: str) -> DataFrame:
