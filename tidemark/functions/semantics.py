@@ -6,9 +6,14 @@ neither partitioning nor retries change a bit.  Percentiles are nearest rank wit
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+#: Cells for each factor e of values.
+CELLS = 4096
+
 
 def div(a: Column, b: Column) -> Column:
     return F.try_divide(a, b)
@@ -32,18 +37,28 @@ def nearest_ranks(rows: DataFrame, by: tuple[str, ...], columns: dict[str, str],
     """By group, for each column (named by a prefix) the values at clamp(round(p (n - 1))) of its
     sorted values (suffixes name the p) and the maximum (suffix Max), and cnt, the rows.
 
-    Equal values are counted before they meet, and what is sorted is a group's different values;
-    nulls do not count.  Values pass as doubles."""
+    Ranks are found by selection: equal values are counted, counts summed by cells (a cell's values differ by
+    one part in CELLS), and only the cells in which a rank falls are sorted, each by itself.  Nulls do not
+    count.  Values pass as doubles."""
     kinds = {k: rows.schema[c].dataType for k, c in columns.items()}
     each = F.explode(F.array(*(F.struct(F.lit(k).alias("of"), F.col(c).cast("double").alias("v")) for k, c in columns.items())))
     counted = rows.select(*by, each.alias("x")).groupBy(*by, F.col("x.of").alias("of"), F.col("x.v").alias("v")).agg(F.count("*").alias("rows"))
-    group = Window.partitionBy(*by, "of")
-    n = F.when(F.col("v").isNotNull(), F.col("rows")).otherwise(0)
-    placed = counted.withColumn("upto", F.sum(n).over(group.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))).withColumn("all", F.sum(n).over(group))
-    at = lambda k, p: F.min(F.when((F.col("of") == k) & (F.col("upto") > F.floor(F.lit(p) * (F.col("all") - 1) + 0.5)), F.col("v"))).cast(kinds[k])
-    first = next(iter(columns))
-    out = [x for k in columns for x in (*(at(k, p).alias(f"{k}{s}") for s, p in ranks.items()), F.max(F.when(F.col("of") == k, F.col("v"))).cast(kinds[k]).alias(f"{k}Max"))]
-    return placed.groupBy(*by).agg(*out, F.sum(F.when(F.col("of") == first, F.col("rows")).otherwise(0)).alias("cnt"))
+    counted = counted.withColumn("cell", F.floor(F.signum("v") * F.log1p(F.abs("v")) * CELLS))
+    key = [*by, "of"]
+    group = Window.partitionBy(*key)
+    n, wholly = F.when(F.col("cell").isNotNull(), F.col("n")).otherwise(0), group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cells = counted.groupBy(*key, "cell").agg(F.sum("rows").alias("n"), F.max("v").alias("most"))
+    cells = cells.withColumns({"upto": F.sum(n).over(group.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)), "all": F.sum(n).over(wholly), "cnt": F.sum("n").over(wholly), "most": F.max("most").over(wholly)})
+    cells = cells.withColumn("before", F.col("upto") - n).withColumn("wanted", F.array(*(F.floor(F.lit(p) * (F.col("all") - 1) + 0.5) for p in ranks.values())))
+    chosen = cells.where(F.col("cell").isNull() | F.exists("wanted", lambda r: (r >= F.col("before")) & (r < F.col("upto"))))
+    met = reduce(lambda x, y: x & y, (F.col(f"c.{c}").eqNullSafe(F.col(f"g.{c}")) for c in (*key, "cell")))
+    inside = counted.alias("c").join(chosen.alias("g"), met).select("c.*", "g.before", "g.wanted", "g.most", "g.cnt")
+    last = F.col("before") + F.sum("rows").over(Window.partitionBy(*key, "cell").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    found = inside.withColumn("last", last).withColumn("first", F.col("last") - F.col("rows"))
+    of = lambda k, c, when=True: F.max(F.when((F.col("of") == k) & when, F.col(c)))
+    at = lambda k, i: of(k, "v", (F.col("wanted")[i] >= F.col("first")) & (F.col("wanted")[i] < F.col("last")))
+    out = [x for k in columns for x in (*(at(k, i).cast(kinds[k]).alias(f"{k}{s}") for i, s in enumerate(ranks)), of(k, "most").cast(kinds[k]).alias(f"{k}Max"))]
+    return found.groupBy(*by).agg(*out, of(next(iter(columns)), "cnt").alias("cnt"))
 
 
 def last_n(w: WindowSpec, n: int) -> WindowSpec:
