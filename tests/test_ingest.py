@@ -33,7 +33,7 @@ def as_rows(df):
 
 NAMES = [
     "json_trades", "json_rejects", "json_depth", "csv_archives", "store_load", "store_counts", "store_order", "load_dates", "log_check", "durable_log", "stamped_log", "recovered_sequence",
-    "stream_windows", "stream_distinct", "stream_fan_out", "stream_days_ema", "stream_state", "end_of_day", "retention", "formatted", "book_replay", "latency_percentiles",
+    "stream_windows", "stream_distinct", "stream_fan_out", "stream_days_ema", "stream_state", "end_of_day", "retention", "formatted", "book_replay", "latency_percentiles", "handler_view", "latency_view",
 ]
 
 
@@ -74,3 +74,12 @@ def test_ranks_sort_only_the_cells_they_fall_into(spark):
     plan = nearest_ranks(df.where(F.col("g") == "a"), ("g",), {"x": "x"}, {"P50": 0.5})._jdf.queryExecution().optimizedPlan().toString()
     sorts = [line for line in plan.splitlines() if "Window" in line and "v#" in line.split("windowspecdefinition")[-1].split("specifiedwindowframe")[0]]
     assert sorts and all("cell#" in line for line in sorts)
+
+
+def test_schema_status(spark):
+    from tidemark.plans.serving import schema_status
+    from tidemark.schemas import fields
+
+    want, df = fields("sym:s n:j"), spark.createDataFrame([("a", 1)], "sym string, n int")
+    got = schema_status(spark, {"good": (df.withColumn("n", df.n.cast("long")), want), "bad": (df, want), "none": (df.limit(0), want)}).collect()
+    assert [(r.table, r.validated, r.valid, r.expectedFields, r.amiss) for r in got] == [("good", True, True, 2, []), ("bad", True, False, 2, ["n"]), ("none", False, True, 2, ["n"])]

@@ -14,14 +14,16 @@ from pyspark.sql import functions as F
 from ..functions import semantics as S
 from ..operators import bars as B
 from ..operators import kernels as K
+from ..operators import relational as R
 from ..sources import adapters as A
 from ..sources import archives, wire
 from ..sources.shared import scratch
 from ..streaming import pipelines, stateful
 from . import queries as Q
+from . import serving
 from .queries import _TRADES
-from .registry import query
-from .research import _DEC, _adaptive
+from .registry import SQL, query
+from .research import _HEALTH, _adaptive
 
 _MS = "timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', {})"
 _US = "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', {})"
@@ -266,3 +268,20 @@ def resumed_bars(spark, d):
     path = scratch(spark, "bars")
     B.save(*B.warmup(first, "rwdib", 60.0), path)
     return B.adaptive(rest, B.load(spark, path)[1], "rwdib").select("sym", "bn", "barstart", "barend", "close", "dqty", "ticks", "theta", "th")
+
+
+@query(
+    f"""WITH {_HEALTH}, z AS (SELECT handler, uptimeSec AS u, msgsPublished AS n, floor(msgsPublished / uptimeSec::DOUBLE + 0.5)::BIGINT AS r, (floor(epoch((SELECT max(ts) FROM events))) - floor(epoch(lastMsgTimeUtc)))::BIGINT AS s FROM hl QUALIFY row_number() OVER (PARTITION BY handler ORDER BY time DESC) = 1),
+y AS (SELECT *, floor((n + 5000) / 10000)::BIGINT AS m, floor((n + 50) / 100)::BIGINT AS k FROM z)
+SELECT handler AS Handler, 'connected' AS State, CASE WHEN u >= 3600 THEN (u // 3600) || 'h ' || (u % 3600 // 60) || 'm' WHEN u >= 60 THEN (u // 60) || 'm ' || (u % 60) || 's' ELSE u || 's' END AS Uptime, r AS MsgsSec,
+ CASE WHEN n >= 1000000 THEN (m // 100) || '.' || lpad((m % 100)::VARCHAR, 2, '0') || 'M' WHEN n >= 1000 THEN (k // 10) || '.' || (k % 10) || 'K' ELSE n::VARCHAR END AS Published,
+ CASE WHEN s < 60 THEN s || 's ago' WHEN s < 3600 THEN (s // 60) || 'm ago' ELSE (s // 3600) || 'h ago' END AS LastMsg FROM y"""
+)
+def handler_view(spark, d):
+    h = A.health(spark, d).withColumn("connState", F.lit("connected"))
+    return serving.handler_view(R.handler_status(h, h.agg(F.max("time")).scalar().cast("timestamp")))
+
+
+@query(f"SELECT sym AS Sym, parseP50 AS ParseP50, parseP95 AS ParseP95, sendP50 AS SendP50, sendP95 AS SendP95 FROM ({SQL['latency_percentiles']}) QUALIFY row_number() OVER (PARTITION BY sym ORDER BY bucket DESC) = 1")
+def latency_view(spark, d):
+    return serving.latency_view(R.latency_percentiles(A.trades(spark, d), "qty", "price", "1 day"))

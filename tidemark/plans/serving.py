@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..functions.semantics import exact_sum
+from ..functions.semantics import exact_sum, format_ago, format_count, format_duration
 from ..operators.relational import keep_latest, price_series, since, spread_mid
 from ..sources.adapters import funding, health, positions, quotes, trades
 
@@ -60,6 +61,32 @@ def get_volatility(volatility: DataFrame, symbol: str | None = None) -> dict:
     return {"data": data, "note": f"annualised realized volatility in percent; valid from {TARGET} samples on"}
 
 
+def handler_view(status: DataFrame) -> DataFrame:
+    """relational.handler_status() as a dashboard shows it: Handler, State, Uptime, MsgsSec, Published, LastMsg."""
+    return status.select(
+        F.col("handler").alias("Handler"), F.col("connState").alias("State"), format_duration(F.col("uptimeSec")).alias("Uptime"), F.col("avgRate").alias("MsgsSec"),
+        format_count(F.col("msgsPublished")).alias("Published"), format_ago(F.col("lastActivitySec")).alias("LastMsg"),
+    )
+
+
+def latency_view(latencies: DataFrame, by: tuple[str, ...] = ("sym",)) -> DataFrame:
+    """Of relational.latency_percentiles() the latest bucket of each symbol (and handler, if given)."""
+    shown = {"ParseP50": "parseP50", "ParseP95": "parseP95", "SendP50": "sendP50", "SendP95": "sendP95"}
+    return keep_latest(latencies, by, "bucket").select(*(F.col(c).alias(c.capitalize()) for c in by), *(F.col(v).alias(k) for k, v in shown.items()))
+
+
+def schema_status(spark: SparkSession, tables: dict[str, tuple[DataFrame, StructType]]) -> DataFrame:
+    """By table whether rows were there to validate, whether it has every declared column in its declared type
+    (a table without rows is valid), how many are declared, and which are amiss."""
+    rows = []
+    for name, (table, declared) in tables.items():
+        has = {f.name: f.dataType for f in table.schema}
+        amiss = [f.name for f in declared if has.get(f.name) != f.dataType]
+        seen = not table.isEmpty()
+        rows.append((name, seen, not (seen and amiss), len(declared), amiss))
+    return spark.createDataFrame(rows, "table string, validated boolean, valid boolean, expectedFields int, amiss array<string>")
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
     """Temporary views trades, quotes, positions, funding and health for queries in plain SQL."""
     tables = {"trades": trades, "quotes": quotes, "positions": positions, "funding": funding, "health": health}
