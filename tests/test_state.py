@@ -53,3 +53,22 @@ def test_state_ends_with_its_day_and_can_be_read(spark, streamed):
     th = max(state["th"], 1000.0)
     assert (got.barTicks, got.theta, got.maxRun, got.position, got.imbalRatio) == (state["n"], state["theta"], state["run"], state["position"], state["ratio"])
     assert (got.threshold, got.pctToBar, got.runPct) == (th, 100 * abs(state["theta"]) / th, 100 * state["run"] / th)
+
+
+def test_a_key_is_held_by_its_days_and_scanned_in_chunks(spark, tmp_path):
+    """One symbol, two days of 12,000 rows in one batch: a kernel's call sees one day, in order, and at most
+    CHUNK rows; a row without a time belongs to no day."""
+    at = F.timestamp_seconds(F.lit(1_704_067_200) + (F.lit(23_999) - F.col("id")) * F.lit(7.2))
+    t = spark.range(24_000).select(F.when(F.col("id") != 5, at).cast("timestamp_ntz").alias("time"), F.lit("A").alias("sym"), F.col("id").alias("tradeId"))
+    t.coalesce(1).write.parquet(f"{tmp_path}/in")
+
+    def calls(state, pdf):
+        first = (state or {"last": -1})["last"] < pdf["tradeId"].iloc[0] and pdf["tradeId"].is_monotonic_increasing
+        return pdf[["tradeId"]].assign(rows=len(pdf), days=pdf["time"].dt.date.nunique(), ordered=first), {"last": int(pdf["tradeId"].iloc[-1])}
+
+    out = stateful.stream_days(pipelines.file_source(spark, f"{tmp_path}/in", t.schema), ["sym"], ["tradeId"], calls, "tradeId long, rows long, days long, ordered boolean")
+    out.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted(r.tradeId for r in got.collect()) == [i for i in range(24_000) if i != 5]
+    assert got.agg(F.max("rows"), F.max("days"), F.bool_and("ordered")).first() == (10_000, 1, True)
+    assert [tuple(r)[:3] for r in stateful.day_states(spark, f"{tmp_path}/cp").collect()] == [("A", dt.date(2024, 1, 2), 11_999)]

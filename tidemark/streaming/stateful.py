@@ -1,7 +1,7 @@
 """The ordered-scan kernels over streams: the same functions, state in Spark's state store.
 
-stream_scan() keeps a key's state for good.  stream_days() keeps it by UTC day, in a map of the state
-store that can be read from outside, and drops a day when the watermark has passed its midnight.
+stream_scan() keeps a key's state for good.  stream_days() keeps it by key and UTC day, in a value of the
+state store that can be read from outside, and drops a day when the watermark has passed its midnight.
 """
 
 from __future__ import annotations
@@ -20,54 +20,71 @@ from ..operators.kernels import ONLINE_STATE
 from ..operators.scan import Kernel
 
 
+#: Rows of a kernel's call.
+CHUNK = 10_000
+
+
+def _in_order(frames: Iterator[pd.DataFrame], order: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows of all frames in order, CHUNK at a time: only the columns are held whole, not what a kernel
+    makes of them."""
+    got = [f for f in frames if len(f)]
+    if not got:
+        return
+    whole = pd.concat(got, ignore_index=True)
+    got.clear()
+    at = whole[order].sort_values(order, kind="stable").index.to_numpy()
+    for i in range(0, len(at), CHUNK):
+        yield whole.take(at[i : i + CHUNK]).reset_index(drop=True)
+
+
 def stream_scan(stream: DataFrame, keys: list[str], order: list[str], kernel: Kernel, schema: str) -> DataFrame:
     """kernel over each key's rows of a stream.  Within a micro-batch rows are taken in ``order``;
     between batches in order of arrival, as a live process sees them.  The result must be written in
     append mode.  Key by (sym, date) for state that starts anew each day."""
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = pickle.loads(state.get[0]) if state.exists else None
-        got = [f for f in frames if len(f)]
-        if got:
-            out, kept = kernel(kept, pd.concat(got).sort_values(order, kind="stable").reset_index(drop=True))
-            state.update((pickle.dumps(kept),))
+        kept, any_ = pickle.loads(state.get[0]) if state.exists else None, False
+        for part in _in_order(frames, order):
+            out, kept = kernel(kept, part)
+            any_ = True
             yield out
+        if any_:
+            state.update((pickle.dumps(kept),))
 
     return stream.groupBy(*keys).applyInPandasWithState(run, schema, "state binary", "append", GroupStateTimeout.NoTimeout)
 
 
-DAY_MS = 86_400_000
+DAY, DAY_MS = "day_", 86_400_000
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class _Days(StatefulProcessor):
-    """A kernel whose state begins anew each UTC day.  Map state: day (days since 1970) to the state as JSON
-    and the ticks so far; a timer at each day's end removes the day."""
+    """A kernel whose state begins anew each UTC day.  The key's last column is the day (days since 1970); its
+    value is the state as JSON and the ticks so far, and a timer at the day's end removes it."""
 
-    def __init__(self, kernel: Kernel, order: list[str], drop: list[str]) -> None:
-        self.kernel, self.order, self.gone = kernel, order, drop
+    def __init__(self, kernel: Kernel, order: list[str]) -> None:
+        self.kernel, self.order = kernel, order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.days = handle.getMapState("days", "day long", "state string, ticks long")
+        self.held = handle.getValueState("held", "state string, ticks long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        got = [f for f in rows if len(f)]
-        if not got:
-            return
-        whole = pd.concat(got).sort_values(["day_", *self.order], kind="stable")
-        for day, part in whole.groupby("day_", sort=True):
-            place = (int(day),)
-            held = self.days.getValue(place) if self.days.containsKey(place) else None
-            out, state = self.kernel(json.loads(held[0]) if held else None, part.drop(columns=self.gone).reset_index(drop=True))
-            if held is None:
-                self.handle.registerTimer((place[0] + 1) * DAY_MS)
-            self.days.updateValue(place, (json.dumps(state, default=lambda x: x.item()), len(part) + (held[1] if held else 0)))
+        held = self.held.get() if self.held.exists() else None
+        state, ticks = (json.loads(held[0]), held[1]) if held else (None, 0)
+        for part in _in_order(rows, self.order):
+            out, state = self.kernel(state, part.drop(columns=DAY))
+            ticks += len(part)
             yield out
+        if state is None:
+            return
+        if held is None:
+            self.handle.registerTimer((int(key[-1]) + 1) * DAY_MS)
+        self.held.update((json.dumps(state, default=lambda x: x.item()), ticks))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.days.removeKey((expiredTimerInfo.getExpiryTimeInMs() // DAY_MS - 1,))
+        self.held.clear()
         return iter(())
 
     def close(self) -> None:
@@ -77,20 +94,21 @@ class _Days(StatefulProcessor):
 def stream_days(stream: DataFrame, keys: list[str], order: list[str], kernel: Kernel, schema: str, lateness: str = "10 minutes", time: str = "time") -> DataFrame:
     """kernel over each key's rows of a stream, by UTC day.  Within a micro-batch rows are taken in ``order``.
 
-    A day's state goes when the watermark (``lateness`` behind the latest ``time``) has passed its midnight;
+    The day belongs to the key, so a task holds one day of one key at a time, as columns, and days of a hot key
+    are dealt out; a key of many days needs no more memory than its largest day in a micro-batch.  A day's state goes when the watermark (``lateness`` behind the latest ``time``) has passed its midnight;
     later rows of that day are dropped as late.  The kernel's state must be JSON.  Sets the session's
     state store to RocksDB, which this needs.  The result is written in append mode."""
     stream.sparkSession.conf.set(_PROVIDER, _ROCKSDB)
     timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness)
-    timed = timed.withColumn("day_", F.floor(F.unix_millis(F.col(time)) / DAY_MS))
-    return timed.groupBy(*keys).transformWithStateInPandas(_Days(kernel, order, ["day_"]), schema, "Append", "EventTime")
+    timed = timed.withColumn(DAY, F.floor(F.unix_millis(F.col(time)) / DAY_MS)).where(F.col(DAY).isNotNull())
+    return timed.groupBy(*keys, DAY).transformWithStateInPandas(_Days(kernel, order), schema, "Append", "EventTime")
 
 
 def day_states(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The key's columns, day, ticks and the state (JSON) that stream_days holds after its last batch, read
     from the query's checkpoint; nothing runs in the query for it."""
-    raw = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "days").load()
-    return raw.select("key.*", F.date_from_unix_date(F.col("user_map_key.day").cast("int")).alias("day"), F.col("user_map_value.ticks").alias("ticks"), F.col("user_map_value.state").alias("state"))
+    raw = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "held").load()
+    return raw.select("key.*", F.date_from_unix_date(F.col(f"key.{DAY}").cast("int")).alias("day"), "value.ticks", "value.state").drop(DAY)
 
 
 def online_status(spark: SparkSession, checkpoint: str, floor: float = 1_000.0) -> DataFrame:
