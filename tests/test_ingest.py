@@ -83,3 +83,13 @@ def test_schema_status(spark):
     want, df = fields("sym:s n:j"), spark.createDataFrame([("a", 1)], "sym string, n int")
     got = schema_status(spark, {"good": (df.withColumn("n", df.n.cast("long")), want), "bad": (df, want), "none": (df.limit(0), want)}).collect()
     assert [(r.table, r.validated, r.valid, r.expectedFields, r.amiss) for r in got] == [("good", True, True, 2, []), ("bad", True, False, 2, ["n"]), ("none", False, True, 2, ["n"])]
+
+
+def test_streams_of_days_hold_a_day_of_a_symbol_at_a_time(spark, tables):
+    """The state of both queries' stream is keyed by symbol and day, so no call gets a symbol's whole history."""
+    from tidemark.plans.ingest import _day_stream
+
+    rows, checkpoint = _day_stream(spark, tables)
+    assert rows.count() == N
+    state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "held").load()
+    assert state.select("key.*").columns == ["sym", "day_"] and 0 < state.count() <= 5 * 2
