@@ -2,6 +2,7 @@
 
 import datetime as dt
 import io
+import random
 import zipfile
 
 import pandas as pd
@@ -417,3 +418,40 @@ def test_thinned_history_and_half_open_days(spark):
     assert relational.on_days(t, "2023-12-31", "2024-01-01").count() == 100 and relational.on_days(t, "2023-12-30", "2023-12-31").count() == 0
     log, health = pipelines.routed(t.select("*", F.when(F.col("tradeId") < 3, "health").otherwise("trade").alias("table")))
     assert (log.count(), health.count()) == (97, 3)
+
+
+@pytest.mark.parametrize("by_symbol", [False, True])
+def test_backtest_in_slices_equals_one_scan(spark, monkeypatch, by_symbol):
+    """Accounts, timers, strategies' states and the kill switch go from slice to slice; a symbol that is absent
+    from slices in the middle goes on; no sort of all events is left."""
+    from tidemark.operators import scan
+    from tidemark.operators.backtest import Momentum, run
+
+    class Every:
+        """Buys at each third trade of a symbol and sells out at each tenth; sells at timers after funding."""
+
+        def init(self):
+            return {"n": {}, "funded": False}
+
+        def on_trade(self, state, sym, price, position):
+            n = state["n"].get(sym, 0) + 1
+            return state | {"n": state["n"] | {sym: n}}, [("flatten", 0.0)] if n % 10 == 0 else [("buy", 2.0)] if n % 3 == 0 else []
+
+        def on_funding(self, state, event):
+            return state | {"funded": True}
+
+        def on_timer(self, state, time):
+            return state, [("sell", 1.0, "A")] if state["funded"] else []
+
+    at, rng = dt.datetime(2024, 1, 1), random.Random(5)
+    data = [(at + dt.timedelta(seconds=i // 2), "B" if i in (3, 5, 290, 299) else "CD"[i % 2] if i % 5 == 0 else "A", i, 100 * (1 - i / 500) + rng.randrange(400) / 100) for i in range(300)]
+    t = spark.createDataFrame(data, "time timestamp_ntz, sym string, tradeId long, price double")
+    funding = spark.createDataFrame([(s, at + dt.timedelta(seconds=x), 0.001, m) for s, x, m in (("A", -9, None), ("A", 10, None), ("A", 22, 99.0), ("A", 40, None), ("B", 60, 99.0), ("C", 147, None))], "sym string, fundingTime timestamp_ntz, fundingRate double, markPrice double")
+    backtest = lambda: run(t, funding, {"x": Momentum(2, 5), "y": Every()}, initial=1_000.0, timer=dt.timedelta(seconds=20), by_symbol=by_symbol)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    want = rows(backtest())
+    monkeypatch.setattr(scan, "SLICE", 40, raising=False)
+    got = backtest()
+    assert rows(got) == want and len(want) > 100
+    assert {"killSwitch", "buy", "sell", "flatten"} <= {r.reason for r in got.collect()} and got.where("event = 'funding'").count() > 1
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()

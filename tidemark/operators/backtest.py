@@ -1,7 +1,7 @@
 """Event-driven backtests: a strategy sees one ordered stream of trades and funding events.
 
-Spark parallelises over runs (a strategy with its parameters); a run itself depends on its path and
-is one ordered scan with bounded memory.  The result is an audit of fills, rejections, funding and
+Spark parallelises over runs (a strategy with its parameters) and deals the sort of events by slices; a run
+itself depends on its path and is one ordered scan with bounded memory.  The result is an audit of fills, rejections, funding and
 policy actions; report() sums it up.
 """
 
@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import State, ordered_scan
+from .scan import State, sliced_scan
 
 # Basis points and limits of the simulated venue.
 TAKER_BPS, HALF_SPREAD_BPS, KILL_AT, STOP_AT = 5.0, 0.5, 0.10, 0.02
@@ -250,21 +250,22 @@ def run(trades: DataFrame, funding: DataFrame, strategies: dict[str, Strategy],
     own code never fires.  With ``timer``, on_timer and the policies also run at that cadence of
     the stream's own time, from the first event on and in order with funding.  by_symbol gives each
     symbol an account of its own, and so a task of its own: for strategies and policies that look at
-    one symbol only.
+    one symbol only.  More than scan.SLICE events are scanned slice by slice when this is called; accounts,
+    with the strategies and their states, are pickled from slice to slice.
     """
 
     def kernel(state: State, pdf: pd.DataFrame):
         account = (state or {}).get("account") or Account(strategies[pdf["run"].iloc[0]], caps, initial, not compat, None if timer is None else pd.Timedelta(timer))
-        account.out = []
         for r in pdf.to_dict("records"):
             account.on_event(r)
-        return pd.DataFrame(account.out, columns=[c.split()[0] for c in AUDIT.split(", ")]), {"account": account}
+        out, account.out = account.out, []
+        return pd.DataFrame(out, columns=[c.split()[0] for c in AUDIT.split(", ")]), {"account": account}
 
     none = F.lit(None).cast("double")
     events = trades.select(F.col("time").cast("timestamp_ntz").alias("time"), F.lit(1).alias("kind"), "sym", F.col("tradeId").alias("ord"), "price", none.alias("rate"), none.alias("mark"))
     events = events.unionByName(funding.select(F.col("fundingTime").cast("timestamp_ntz").alias("time"), F.lit(0).alias("kind"), "sym", F.lit(-1).cast("long").alias("ord"), none.alias("price"), F.col("fundingRate").alias("rate"), F.col("markPrice").alias("mark")))
-    runs = events.withColumn("run", F.explode(F.array(*map(F.lit, strategies))))
-    return ordered_scan(runs, ["run", "sym"] if by_symbol else ["run"], ["time", "kind", "sym", "ord"], kernel, AUDIT)
+    by_run = lambda rows: rows.withColumn("run", F.explode(F.array(*map(F.lit, strategies))))
+    return sliced_scan(events, ["run", "sym"] if by_symbol else ["run"], ["time", "kind", "sym", "ord"], kernel, AUDIT, by_run)
 
 
 def report(audit: DataFrame, initial: float = 100_000.0) -> DataFrame:
