@@ -1,8 +1,13 @@
 """State of streams: days that end, and reading the state of a running query."""
 
 import datetime as dt
+import pickle
 import random
+import tracemalloc
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,3 +77,30 @@ def test_a_key_is_held_by_its_days_and_scanned_in_chunks(spark, tmp_path):
     assert sorted(r.tradeId for r in got.collect()) == [i for i in range(24_000) if i != 5]
     assert got.agg(F.max("rows"), F.max("days"), F.bool_and("ordered")).first() == (10_000, 1, True)
     assert [tuple(r)[:3] for r in stateful.day_states(spark, f"{tmp_path}/cp").collect()] == [("A", dt.date(2024, 1, 2), 11_999)]
+
+
+@pytest.mark.parametrize("arrival", ["mixed", "in order", "backwards"])
+def test_a_group_of_any_length_is_sorted_in_bounded_memory(monkeypatch, arrival):
+    """30,000 rows where 2,500 are sorted at a time, with ties, nulls and texts: the rows of one stable sort, in
+    calls of at most CHUNK, and never near all of them in memory."""
+    for name, value in (("CHUNK", 700), ("RUN", 2_500), ("FAN", 4), ("PIECE", 500)):
+        monkeypatch.setattr(stateful, name, value, raising=False)
+    rng = np.random.default_rng(5)
+    n = 30_000
+    whole = pd.DataFrame({"at": pd.to_datetime(rng.integers(0, n // 20, n), unit="s", utc=True), "id": rng.integers(0, 30, n).astype(float), "nth": range(n), "name": rng.choice(["a", "b", None], n), "pay": rng.random(n)})
+    whole.loc[rng.choice(n, 500, replace=False), "id"] = np.nan
+    want = whole.sort_values(["at", "id"], kind="stable", ignore_index=True)
+    if arrival != "mixed":
+        whole = want if arrival == "in order" else want.iloc[::-1].reset_index(drop=True)
+        want = whole.sort_values(["at", "id"], kind="stable", ignore_index=True)
+    arrow = pa.Table.from_pandas(whole)
+    tracemalloc.start()
+    got = ((len(p), pickle.dumps(p["nth"].to_numpy())) for p in stateful._in_order((b.to_pandas() for b in arrow.to_batches(900)), ["at", "id"]))
+    sizes, nth = zip(*got, strict=True)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert np.array_equal(np.concatenate([pickle.loads(x) for x in nth]), want["nth"]) and 0 < min(sizes) <= max(sizes) <= 700
+    assert peak < whole.memory_usage(index=False).sum()
+    parts = list(stateful._in_order((b.to_pandas() for b in arrow.to_batches(900)), ["at", "id"]))
+    pd.testing.assert_frame_equal(pd.concat(parts, ignore_index=True), want)
+    assert not list(stateful._in_order(iter([whole.head(0)]), ["at"])) and not list(stateful._in_order(iter([]), ["at"]))

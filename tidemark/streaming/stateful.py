@@ -8,8 +8,12 @@ from __future__ import annotations
 
 import json
 import pickle
+import tempfile
 from collections.abc import Iterator
+from contextlib import suppress
+from itertools import islice
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,21 +24,94 @@ from ..operators.kernels import ONLINE_STATE
 from ..operators.scan import Kernel
 
 
-#: Rows of a kernel's call.
-CHUNK = 10_000
+#: Rows of a kernel's call; rows sorted in memory; sorted runs merged at a time, and rows read of one at a time.
+CHUNK, RUN, FAN, PIECE = 10_000, 250_000, 25, 5_000
+
+
+def _order_of(rows: pd.DataFrame, order: list[str]) -> np.ndarray:
+    return rows[order].reset_index(drop=True).sort_values(order, kind="stable").index.to_numpy()
+
+
+class _Run:
+    """Sorted rows in a temporary file, which goes with the object; level: how often they were merged."""
+
+    def __init__(self, level: int = 0) -> None:
+        self.level, self.file, self.last = level, tempfile.TemporaryFile(), None
+
+    def add(self, rows: pd.DataFrame) -> None:
+        for i in range(0, len(rows), PIECE):
+            pickle.dump(rows.iloc[i : i + PIECE], self.file, pickle.HIGHEST_PROTOCOL)
+        self.last = rows.tail(1).copy()
+
+    def __iter__(self) -> Iterator[pd.DataFrame]:
+        self.file.seek(0)
+        with suppress(EOFError):
+            while True:
+                yield pickle.load(self.file)
+
+
+def _merged(runs: list[_Run], order: list[str]) -> Iterator[pd.DataFrame]:
+    """The runs' rows in order, ties in the order of the runs.  What sorts up to the first of the last rows held
+    of the runs goes out, since nothing that is still to be read comes before it."""
+    parts = [iter(r) for r in runs]
+    heads = [next(p) for p in parts]
+    while True:
+        heads = [pd.concat([h, *islice(p, 1)], ignore_index=True) if len(h) < PIECE else h for h, p in zip(heads, parts, strict=True)]
+        parts, heads = [p for p, h in zip(parts, heads, strict=True) if len(h)], [h for h in heads if len(h)]
+        if not parts:
+            return
+        whole, ends = pd.concat(heads, ignore_index=True), np.cumsum([len(h) for h in heads])
+        at = _order_of(whole, order)
+        place = np.empty_like(at)
+        place[at] = np.arange(len(at))
+        cut = place[ends - 1].min() + 1
+        yield whole.take(at[:cut])
+        rest = np.sort(at[cut:])
+        heads = [whole.take(x) for x in np.split(rest, np.searchsorted(rest, ends[:-1]))]
+
+
+def _join_last(runs: list[_Run], order: list[str]) -> None:
+    one = _Run(runs[-1].level + 1)
+    for block in _merged(runs[-FAN:], order):
+        one.add(block)
+    runs[-FAN:] = [one]
+
+
+def _put(runs: list[_Run], held: list[pd.DataFrame], order: list[str]) -> None:
+    """Sorts the frames and writes them behind the last run if they begin where it ends or later, else as a new
+    run; the last FAN runs of one level become one of the next."""
+    rows = pd.concat(held, ignore_index=True)
+    rows = rows.take(_order_of(rows, order))
+    if not runs or _order_of(pd.concat([runs[-1].last, rows.head(1)]), order)[0] == 1:
+        while len(runs) >= FAN and runs[-FAN].level == runs[-1].level:
+            _join_last(runs, order)
+        runs.append(_Run())
+    runs[-1].add(rows)
 
 
 def _in_order(frames: Iterator[pd.DataFrame], order: list[str]) -> Iterator[pd.DataFrame]:
-    """The rows of all frames in order, CHUNK at a time: only the columns are held whole, not what a kernel
-    makes of them."""
-    got = [f for f in frames if len(f)]
-    if not got:
-        return
-    whole = pd.concat(got, ignore_index=True)
-    got.clear()
-    at = whole[order].sort_values(order, kind="stable").index.to_numpy()
-    for i in range(0, len(at), CHUNK):
-        yield whole.take(at[i : i + CHUNK]).reset_index(drop=True)
+    """The rows of all frames in order, at most CHUNK at a time.  Spark sorts a stream's rows by key but nothing
+    within a key, so more than RUN rows are sorted in runs, written to temporary files and merged: however many
+    there are, a few times RUN are held."""
+    runs, held, n = [], [], 0
+    for f in frames:
+        held.append(f)
+        n += len(f)
+        if n >= RUN:
+            _put(runs, held, order)
+            held, n = [], 0
+    if n and runs:
+        _put(runs, held, order)
+    elif n:
+        whole = pd.concat([f for f in held if len(f)], ignore_index=True)
+        runs = [[whole.take(_order_of(whole, order))]]
+        del whole
+    held.clear()
+    while len(runs) > FAN:
+        _join_last(runs, order)
+    for block in runs[0] if len(runs) == 1 else _merged(runs, order) if runs else ():
+        for i in range(0, len(block), CHUNK):
+            yield block.iloc[i : i + CHUNK].reset_index(drop=True)
 
 
 def stream_scan(stream: DataFrame, keys: list[str], order: list[str], kernel: Kernel, schema: str) -> DataFrame:
@@ -94,8 +171,8 @@ class _Days(StatefulProcessor):
 def stream_days(stream: DataFrame, keys: list[str], order: list[str], kernel: Kernel, schema: str, lateness: str = "10 minutes", time: str = "time") -> DataFrame:
     """kernel over each key's rows of a stream, by UTC day.  Within a micro-batch rows are taken in ``order``.
 
-    The day belongs to the key, so a task holds one day of one key at a time, as columns, and days of a hot key
-    are dealt out; a key of many days needs no more memory than its largest day in a micro-batch.  A day's state goes when the watermark (``lateness`` behind the latest ``time``) has passed its midnight;
+    The day belongs to the key, so days of a hot key are dealt out; a day's length in a micro-batch needs disk
+    (see _in_order), not memory.  A day's state goes when the watermark (``lateness`` behind the latest ``time``) has passed its midnight;
     later rows of that day are dropped as late.  The kernel's state must be JSON.  Sets the session's
     state store to RocksDB, which this needs.  The result is written in append mode."""
     stream.sparkSession.conf.set(_PROVIDER, _ROCKSDB)
